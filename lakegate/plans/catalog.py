@@ -105,3 +105,192 @@ def execution_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RPT-3: per file processed / rejected / written rows and status."""
     routed, decisions = cm.routed(spark, sf_dir, "orders")
     return rp.execution_report(routed, decisions, "orders")
+
+
+# ------------------------------------------------------------ file gates (B)
+from lakegate.operators import files as fl  # noqa: E402
+from lakegate.operators import tracking as tk  # noqa: E402
+from lakegate.plans import fixtures as fx  # noqa: E402
+from lakegate.plans.specs import normalise_table_sheet, resolve_table_config, table_sheet  # noqa: E402
+
+
+@query("file_manifest_orders")
+def file_manifest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-1, FIL-8, SCA-3/4, SRC-2 over the landed file names."""
+    return fl.describe_files(cm.landing_manifest(spark, sf_dir))
+
+
+def generated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names built from every distinct order date: valid, month 13, day 32,
+    30 February, year 200 years back, and an undated name."""
+    o = fx.table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("d")).distinct()
+    ymd = F.date_format("d", "yyyyMMdd")
+    y = F.date_format("d", "yyyy")
+    names = F.array(
+        F.concat(F.lit("orders_"), ymd, F.lit(".csv")),
+        F.concat(F.lit("orders_"), y, F.lit("13"), F.date_format("d", "dd"), F.lit(".csv")),
+        F.concat(F.lit("orders_"), F.date_format("d", "yyyyMM"), F.lit("32.csv")),
+        F.concat(F.lit("orders_"), y, F.lit("0230.csv")),
+        F.concat(F.lit("orders_"), (F.year("d") - 200).cast("string"), F.date_format("d", "MMdd"), F.lit(".csv")),
+        F.concat(F.lit("orders_extra_"), F.date_format("d", "dd"), F.lit(".csv")),
+    )
+    return o.select(F.explode(names).alias("filename")).distinct()
+
+
+@query("filename_date_gate")
+def filename_date_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-2 (undated passes) and FIL-3 (date required)."""
+    g = fl.date_gate(generated_names(spark, sf_dir))
+    from lakegate.functions.dates import filename_date_reason
+    return g.select("filename", "date_reason", "date_error_code",
+                    filename_date_reason(F.col("filename"), require_date=True).alias("strict_reason"))
+
+
+TABLE_CONF_ROWS = [
+    {"Delta Table Name": "orders", "Filename Pattern": "orders_<yyyy><mm><dd>.csv", "last_table_name_conf": "nan"},
+    {"Delta Table Name": "lineitem", "Filename Pattern": "lineitem_<yyyy><mm><dd>.csv",
+     "delta_table_name_conf": "li", "last_table_name_conf": "lineitem_current"},
+    {"Delta Table Name": "ordersarchive", "Filename Pattern": "<yyyy><mm><dd>.csv"},
+]
+
+
+def table_conf(spark: SparkSession) -> DataFrame:
+    return normalise_table_sheet(table_sheet(spark, TABLE_CONF_ROWS))
+
+
+def name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each landed name as sent, with a capitalised and an upper-case first part."""
+    m = cm.landing_manifest(spark, sf_dir).select("filename")
+    first = F.substring_index("filename", "_", 1)
+    rest = F.expr("substring(filename, length(substring_index(filename, '_', 1)) + 1)")
+    variants = F.array(F.col("filename"), F.concat(F.initcap(first), rest), F.concat(F.upper(first), rest))
+    return m.select(F.explode(variants).alias("filename")).distinct()
+
+
+@query("fix_part_gate")
+def fix_part_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-4/5/6: case-sensitive fixed part vs the configured file-name pattern."""
+    files = fl.describe_files(name_variants(spark, sf_dir)).select("filename", "table_name")
+    g = fl.fix_part_gate(files, table_conf(spark))
+    return g.select("filename", "table_name", "fix_part_expected", "fix_part_actual", "fix_part_reason",
+                    "fix_part_error_code")
+
+
+@query("table_names")
+def table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-18 + MOD-7: config row of each landed file's table (exact, then contained
+    name) and the resolved `_all` / `_last` table names."""
+    m = cm.landing_manifest(spark, sf_dir).select("filename")
+    arch = m.select(F.regexp_replace("filename", "^orders_", "ordersarchive_").alias("filename"))
+    other = m.select(F.regexp_replace("filename", "^orders_", "orders2_").alias("filename"))
+    files = fl.describe_files(m.unionByName(arch).unionByName(other).distinct()).select("filename", "table_name")
+    r = resolve_table_config(files, table_conf(spark), allow_substring=True)
+    return r.select("filename", "table_name", F.col("cfg_table_name").alias("config_table"),
+                    F.col("cfg_all_table").alias("all_table"), F.col("cfg_last_table").alias("last_table"))
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = fl.describe_files(cm.landing_manifest(spark, sf_dir))
+    return fl.history_checks(files, cm.tracking_history(spark, sf_dir))
+
+
+@query("file_validation")
+def file_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-10: duplicate and order checks together, first error code wins."""
+    return _history(spark, sf_dir).select("filename", "table_name", "file_date", "is_duplicate", "is_late",
+                                          F.size("errors").alias("n_errors"), "error_code", "valid")
+
+
+@query("duplicate_files")
+def duplicate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-7 / JOI-3: files already registered as SUCCESS for their table."""
+    h = _history(spark, sf_dir).filter("is_duplicate")
+    return h.select("filename", "table_name", F.lit("000000002").alias("error_code"),
+                    F.filter("errors", lambda e: e["code"] == "000000002")[0]["message"].alias("message"))
+
+
+@query("file_order_gate")
+def file_order_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-9 / JOI-5 / AGG-4: file date vs the table's latest SUCCESS date."""
+    return _history(spark, sf_dir).select("filename", "table_name", "file_date", "last_date", "is_late")
+
+
+def _tracking_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = tk.registrations(cm.run_outcomes(spark, sf_dir).withColumn("row_count", F.col("rows_ingested")),
+                           cm.as_of())
+    return cm.tracking_history(spark, sf_dir).unionByName(new)
+
+
+@query("tracking_register")
+def tracking_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-11: tracking rows written by the run (every outcome, explicit schema)."""
+    return tk.registrations(cm.run_outcomes(spark, sf_dir).withColumn("row_count", F.col("rows_ingested")),
+                            cm.as_of())
+
+
+@query("tracking_summary")
+def tracking_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-1 / AGG-1: registrations per status after the run."""
+    return tk.status_counts(_tracking_after(spark, sf_dir))
+
+
+@query("tracking_by_table")
+def tracking_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-2: files, rows, successes and failures per table."""
+    return tk.by_table(_tracking_after(spark, sf_dir))
+
+
+@query("tracking_latest10")
+def tracking_latest10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-2: the ten latest registrations (a top-k report)."""
+    return tk.latest(_tracking_after(spark, sf_dir), 10)
+
+
+@query("tracking_retention")
+def tracking_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-13: tracking rows kept by a 90-day retention at the run date."""
+    return tk.retain(_tracking_after(spark, sf_dir), cm.as_of(), 90)
+
+
+@query("quarantine_manifest")
+def quarantine_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-14: rejected files with code and reason."""
+    o = cm.run_outcomes(spark, sf_dir).filter(F.col("status") == "FAILED")
+    return fl.quarantine(o, cm.as_of())
+
+
+@query("completeness_check")
+def completeness_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-17: received = ingested + ignored + rejected + technical errors, per table."""
+    received = fl.describe_files(cm.landing_manifest(spark, sf_dir)).select("table_name", "filename")
+    return rp.completeness(received, cm.run_outcomes(spark, sf_dir))
+
+
+@query("run_status")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-7: per table file/row counts and SUCCESS / PARTIAL / NO_DATA / ERROR."""
+    return rp.run_status(cm.run_outcomes(spark, sf_dir))
+
+
+@query("empty_files")
+def empty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-16: expected orders files (one per shipping month in lineitem) without lines."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    expected = li.select(F.concat(F.lit("orders_"), F.date_format("l_shipdate", "yyyyMM"),
+                                  F.lit("01.csv")).alias("filename")).distinct()
+    lines = fx.dirty_orders(spark, sf_dir).select("_file_name")
+    return fl.empty_files(expected, lines).select("filename", "lines", "is_empty")
+
+
+@query("column_count_gate")
+def column_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-15: ';'-delimited customer lines (one file per nation) vs 5 configured columns;
+    every 50th customer line carries an extra field."""
+    from lakegate.operators.gates import column_count_gate as ccg
+    c = fx.table(spark, sf_dir, "customer")
+    text = F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"),
+                       F.col("c_acctbal").cast("decimal(18,2)").cast("string"), "c_mktsegment")
+    text = F.when(F.col("c_custkey") % 50 == 0, F.concat(text, F.lit(";extra"))).otherwise(text)
+    lines = c.select(F.concat(F.lit("customer_"), F.col("c_nationkey").cast("string"), F.lit(".csv")).alias("_file_name"),
+                     text.alias("line"))
+    return ccg(lines, "line", ";", 5)

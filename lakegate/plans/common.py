@@ -58,3 +58,65 @@ def line_summary_columns() -> list[F.Column]:
     return [F.col(N_ERRORS).alias("n_errors"), F.col(N_ICT).alias("n_ict"),
             error_codes_text().alias("error_codes"), F.col(REJECT).alias("reject"),
             F.col(ICT_REJECTED).alias("ict_rejected"), F.col(LINE_REJECTED).alias("line_rejected")]
+
+
+# ------------------------------------------------------------- file manifests
+def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the orders and lineitem landings with their line counts (from the data)."""
+    parts = []
+    for kind, dirty in (("orders", fx.dirty_orders(spark, sf_dir)), ("lineitem", fx.dirty_lineitem(spark, sf_dir))):
+        parts.append(dirty.groupBy(F.col("_file_name").alias("filename"))
+                     .agg(F.count(F.lit(1)).alias("lines")))
+    m = parts[0].unionByName(parts[1])
+    return m.select(F.concat(F.lit("/landing/"), F.col("filename")).alias("path"), "filename", "lines")
+
+
+def tracking_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracking state before the run, derived from the landing: orders files up to
+    1996-06 were ingested (SUCCESS) the day after their date; the 1997-01..03 files
+    failed then."""
+    from lakegate.operators.files import describe_files
+    from lakegate.operators.tracking import registrations
+    m = describe_files(landing_manifest(spark, sf_dir)).filter(F.col("table_name") == "orders")
+    fd = F.col("file_date")
+    status = (F.when(fd <= F.lit("1996-06-01 00:00:00").cast("timestamp_ntz"), F.lit("SUCCESS"))
+              .when(fd.between(F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"),
+                               F.lit("1997-03-01 00:00:00").cast("timestamp_ntz")), F.lit("FAILED")))
+    hist = m.select("table_name", "filename", "file_date", status.alias("status"),
+                    F.col("lines").alias("row_count")).filter(F.col("status").isNotNull())
+    return registrations(hist, F.col("file_date") + F.expr("INTERVAL 1 DAY"))
+
+
+def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per received file of both landings: history gate, tolerance gate,
+    rows written and the final status (SUCCESS / FAILED / SKIPPED)."""
+    from lakegate.operators.files import describe_files, history_checks
+    from lakegate.operators.gates import TO_ALL, TO_LAST
+    frames = []
+    for kind in ("orders", "lineitem"):
+        r, d = routed(spark, sf_dir, kind)
+        written = r.groupBy("_file_name").agg(F.count_if(F.col(TO_ALL)).alias("rows_to_all"),
+                                               F.count_if(F.col(TO_LAST)).alias("rows_to_last"))
+        frames.append(d.join(written, "_file_name", "left").select(
+            F.lit(kind).alias("kind"), F.col("_file_name").alias("filename"),
+            F.col("total_lines"), F.col("rejected_lines"), "file_status", "file_reason",
+            "rows_to_all", "rows_to_last"))
+    files = frames[0].unionByName(frames[1])
+    files = describe_files(files.withColumn("path", F.concat(F.lit("/landing/"), F.col("filename"))))
+    h = history_checks(files, tracking_history(spark, sf_dir))
+    status = (F.when(F.col("total_lines") == 0, F.lit("SKIPPED"))
+              .when(F.col("error_code").isNotNull(), F.lit("FAILED"))
+              .when(F.col("file_status") == "REJECTED", F.lit("FAILED"))
+              .otherwise(F.lit("SUCCESS")))
+    code = F.coalesce(F.col("error_code"), F.col("file_reason"))
+    reason = F.coalesce(F.try_element_at(F.col("errors"), F.lit(1))["message"], F.col("file_reason"))
+    ok = status == "SUCCESS"
+    return h.select(
+        "table_name", "filename", "file_date", "total_lines", "rejected_lines",
+        F.when(ok, F.col("rows_to_all")).otherwise(F.lit(0)).cast("long").alias("rows_ingested"),
+        F.when(ok, F.col("rows_to_last")).otherwise(F.lit(0)).cast("long").alias("rows_to_last"),
+        F.when(ok, F.col("rejected_lines")).otherwise(F.col("total_lines")).cast("long").alias("rows_rejected"),
+        status.alias("status"),
+        F.when(~ok, code).alias("error_code"),
+        F.when(~ok, reason).alias("reason"),
+    )

@@ -210,11 +210,12 @@ SELECT 'orders' AS table_name, dec._file_name AS filename, total_lines AS rows_p
 FROM dec LEFT JOIN w USING (_file_name)"""
 
 
-@oracle("typed_lineitem")
-def _():
+def lineitem_typed_ctes() -> str:
+    """CTEs ld, lv, le, lt2 and lt (typed lineitem + line decisions)."""
     li = DIRTY_LINEITEM_SQL
-    return f"""WITH d AS ({li}),
-v AS (
+    return f"""
+ld AS ({li}),
+lv AS (
   SELECT *,
     {_int('orderkey')} AS p_orderkey, {_int('linenumber', 'INTEGER')} AS p_linenumber,
     {_int('partkey')} AS p_partkey, {_int('suppkey')} AS p_suppkey,
@@ -222,8 +223,8 @@ v AS (
     {_dec('discount')} AS p_discount, {_dec('tax')} AS p_tax,
     CASE WHEN regexp_full_match(shipdate, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
          THEN try_strptime(shipdate, '%Y-%m-%d') END AS p_shipdate
-  FROM d),
-e AS (
+  FROM ld),
+le AS (
   SELECT *,
     CASE WHEN NOT {_blank('orderkey')} AND p_orderkey IS NULL THEN 'TYPE_MISMATCH' WHEN {_blank('orderkey')} THEN 'NULL_VALUE' END AS e_orderkey,
     CASE WHEN NOT {_blank('linenumber')} AND p_linenumber IS NULL THEN 'TYPE_MISMATCH' WHEN {_blank('linenumber')} THEN 'NULL_VALUE' END AS e_linenumber,
@@ -234,8 +235,8 @@ e AS (
     CASE WHEN NOT {_blank('discount')} AND p_discount IS NULL THEN 'TYPE_MISMATCH' END AS e_discount,
     CASE WHEN NOT {_blank('tax')} AND p_tax IS NULL THEN 'TYPE_MISMATCH' END AS e_tax,
     CASE WHEN NOT {_blank('shipdate')} AND p_shipdate IS NULL THEN 'DATE_PARSE_ERROR' WHEN {_blank('shipdate')} THEN 'NULL_VALUE' END AS e_shipdate
-  FROM v),
-t AS (
+  FROM lv),
+lt2 AS (
   SELECT _file_name, _line_order,
     CASE WHEN NOT {_blank('orderkey')} THEN p_orderkey END AS orderkey,
     CASE WHEN NOT {_blank('linenumber')} THEN p_linenumber END AS linenumber,
@@ -261,7 +262,366 @@ t AS (
               'suppkey:' || e_suppkey, 'quantity:' || e_quantity, 'extendedprice:' || e_extendedprice,
               'discount:' || e_discount, 'tax:' || e_tax, 'shipdate:' || e_shipdate) AS error_codes,
     e_extendedprice IS NOT NULL AS reject
-  FROM e)
-SELECT *, (n_ict > 0 AND 100 * n_ict >= 10 * 11) AS ict_rejected,
-       (reject OR (n_ict > 0 AND 100 * n_ict >= 10 * 11)) AS line_rejected
-FROM t"""
+  FROM le),
+lt AS (
+  SELECT *, (n_ict > 0 AND 100 * n_ict >= 10 * 11) AS ict_rejected,
+         (reject OR (n_ict > 0 AND 100 * n_ict >= 10 * 11)) AS line_rejected
+  FROM lt2)"""
+
+
+def lineitem_gate_ctes() -> str:
+    """CTEs lfs, ldec, lrt: per-file RLT (5 %) decisions of the lineitem landing."""
+    return """
+lfs AS (
+  SELECT _file_name, count(*) AS total_lines,
+    count(*) FILTER (WHERE reject) AS reject_lines,
+    count(*) FILTER (WHERE ict_rejected AND NOT reject) AS ict_lines,
+    count(*) FILTER (WHERE line_rejected) AS rejected_lines,
+    count(*) FILTER (WHERE n_errors > 0) AS error_lines,
+    CAST(sum(n_errors) AS BIGINT) AS errors
+  FROM lt GROUP BY _file_name),
+ldec AS (
+  SELECT *, CASE WHEN 100 * rejected_lines >= 5 * total_lines THEN 'RLT_EXCEEDED' END AS file_reason,
+    CASE WHEN 100 * rejected_lines >= 5 * total_lines THEN 'REJECTED' ELSE 'ACCEPTED' END AS file_status
+  FROM lfs),
+lrt AS (
+  SELECT lt.*, (ldec.file_status = 'ACCEPTED' AND NOT line_rejected) AS to_last,
+    (ldec.file_status = 'ACCEPTED' AND NOT reject) AS to_all
+  FROM lt LEFT JOIN ldec USING (_file_name))"""
+
+
+@oracle("typed_lineitem")
+def _():
+    return f"""WITH {lineitem_typed_ctes()}
+SELECT * FROM lt"""
+
+
+# ----------------------------------------------------------- file gates (B)
+def landing_cte() -> str:
+    return """
+lm AS (
+  SELECT '/landing/' || filename AS path, filename, lines FROM (
+    SELECT 'orders_' || strftime(o_orderdate, '%Y%m') || '01.csv' AS filename, count(*) AS lines
+    FROM orders GROUP BY 1
+    UNION ALL
+    SELECT 'lineitem_' || strftime(l_shipdate, '%Y%m') || '01.csv' AS filename, count(*) AS lines
+    FROM lineitem GROUP BY 1))"""
+
+
+def _base(f: str) -> str:
+    return f"regexp_replace({f}, '^(.+)\\.[^.]*$', '\\1')"
+
+
+def _first_non_digit(base: str) -> str:
+    return (f"coalesce(list_filter(string_split({base}, '_'), lambda p: NOT regexp_full_match(p, '[0-9]+'))[1], "
+            f"string_split({base}, '_')[1])")
+
+
+def table_from_name(f: str) -> str:
+    return f"lower({_first_non_digit(_base(f))})"
+
+
+def file_date_sql(f: str) -> str:
+    p1, p2, p3, p4 = r"(\d{8})_(\d{6})", r"(\d{8})", r"(\d{4})-(\d{2})-(\d{2})", r"(\d{4})_(\d{2})_(\d{2})"
+    return f"""CASE
+  WHEN regexp_matches({f}, '{p1}') THEN try_strptime(regexp_extract({f}, '{p1}', 1) || regexp_extract({f}, '{p1}', 2), '%Y%m%d%H%M%S')
+  WHEN regexp_matches({f}, '{p2}') THEN try_strptime(regexp_extract({f}, '{p2}', 1), '%Y%m%d')
+  WHEN regexp_matches({f}, '{p3}') THEN try_strptime(regexp_extract({f}, '{p3}', 1) || regexp_extract({f}, '{p3}', 2) || regexp_extract({f}, '{p3}', 3), '%Y%m%d')
+  WHEN regexp_matches({f}, '{p4}') THEN try_strptime(regexp_extract({f}, '{p4}', 1) || regexp_extract({f}, '{p4}', 2) || regexp_extract({f}, '{p4}', 3), '%Y%m%d')
+END"""
+
+
+def describe_cols(f: str = "filename") -> str:
+    ymd = r"_(\d{4})(\d{2})(\d{2})"
+    ext = f"lower(regexp_extract({f}, '^.+\\.([^.]*)$', 1))"
+    return f"""{table_from_name(f)} AS table_name,
+  {file_date_sql(f)} AS file_date,
+  TRY_CAST(regexp_extract({f}, '{ymd}', 1) AS INTEGER) AS yyyy,
+  TRY_CAST(regexp_extract({f}, '{ymd}', 2) AS INTEGER) AS mm,
+  TRY_CAST(regexp_extract({f}, '{ymd}', 3) AS INTEGER) AS dd,
+  CASE {ext} WHEN 'zip' THEN 'zip' WHEN 'csv' THEN 'csv' WHEN 'txt' THEN 'csv' WHEN 'parquet' THEN 'parquet'
+       WHEN 'json' THEN 'json' WHEN 'jsonl' THEN 'json' END AS file_format"""
+
+
+@oracle("file_manifest_orders")
+def _():
+    return f"""WITH {landing_cte()}
+SELECT path, filename, lines, {describe_cols()} FROM lm"""
+
+
+def date_reason_sql(f: str, require_date: bool) -> str:
+    pat = r"(\d{4})(\d{2})(\d{2})"
+    m = f"regexp_extract({f}, '{pat}', 0)"
+    y = f"TRY_CAST(regexp_extract({f}, '{pat}', 1) AS INTEGER)"
+    mo = f"TRY_CAST(regexp_extract({f}, '{pat}', 2) AS INTEGER)"
+    d = f"TRY_CAST(regexp_extract({f}, '{pat}', 3) AS INTEGER)"
+    nodate = "'no date yyyyMMdd in file name'" if require_date else "NULL"
+    return f"""CASE WHEN {m} = '' THEN {nodate}
+  WHEN NOT ({y} BETWEEN 1900 AND 2100) THEN printf('invalid year: %d (must be between 1900 and 2100)', {y})
+  WHEN NOT ({mo} BETWEEN 1 AND 12) THEN printf('invalid month: %d (must be between 1 and 12)', {mo})
+  WHEN NOT ({d} BETWEEN 1 AND 31) THEN printf('invalid day: %d (must be between 1 and 31)', {d})
+  WHEN try_strptime({m}, '%Y%m%d') IS NULL THEN 'invalid date: ' || printf('%04d-%02d-%02d', {y}, {mo}, {d})
+END"""
+
+
+@oracle("filename_date_gate")
+def _():
+    return f"""WITH dd AS (SELECT DISTINCT o_orderdate AS d FROM orders),
+names AS (
+  SELECT DISTINCT unnest([
+    'orders_' || strftime(d, '%Y%m%d') || '.csv',
+    'orders_' || strftime(d, '%Y') || '13' || strftime(d, '%d') || '.csv',
+    'orders_' || strftime(d, '%Y%m') || '32.csv',
+    'orders_' || strftime(d, '%Y') || '0230.csv',
+    'orders_' || CAST(year(d) - 200 AS VARCHAR) || strftime(d, '%m%d') || '.csv',
+    'orders_extra_' || strftime(d, '%d') || '.csv']) AS filename
+  FROM dd)
+SELECT filename, {date_reason_sql('filename', False)} AS date_reason,
+  CASE WHEN ({date_reason_sql('filename', False)}) IS NOT NULL THEN '000000001' END AS date_error_code,
+  {date_reason_sql('filename', True)} AS strict_reason
+FROM names"""
+
+
+CONF_SQL = """
+conf AS (
+  SELECT * FROM (VALUES
+    (0, 'orders', 'orders_<yyyy><mm><dd>.csv', 'orders_all', 'orders_last'),
+    (1, 'lineitem', 'lineitem_<yyyy><mm><dd>.csv', 'li_all', 'lineitem_current'),
+    (2, 'ordersarchive', '<yyyy><mm><dd>.csv', 'ordersarchive_all', 'ordersarchive_last'))
+  AS c(position, table_name, filename_pattern, all_table, last_table)),
+confx AS (
+  SELECT *, trim(split_part(replace(replace(regexp_replace(filename_pattern, '<[^>]+>', '', 'g'), '.csv', ''), '.CSV', ''), '_', 1)) AS fix_part_expected
+  FROM conf)"""
+
+
+def fix_part_actual_sql(f: str) -> str:
+    b = _base(f)
+    return (f"CASE WHEN contains({b}, '_') THEN {_first_non_digit(b)} "
+            f"ELSE trim(regexp_replace({b}, '[0-9]+$', '')) END")
+
+
+@oracle("fix_part_gate")
+def _():
+    return f"""WITH {landing_cte()}, {CONF_SQL},
+v AS (
+  SELECT DISTINCT unnest([filename,
+      upper(substr(split_part(filename, '_', 1), 1, 1)) || lower(substr(split_part(filename, '_', 1), 2))
+        || substr(filename, length(split_part(filename, '_', 1)) + 1),
+      upper(split_part(filename, '_', 1)) || substr(filename, length(split_part(filename, '_', 1)) + 1)]) AS filename
+  FROM lm),
+f AS (SELECT filename, {table_from_name('filename')} AS table_name, {fix_part_actual_sql('filename')} AS fix_part_actual FROM v),
+g AS (
+  SELECT f.filename, f.table_name, c.fix_part_expected, f.fix_part_actual,
+    (c.fix_part_expected IS NOT NULL AND c.fix_part_expected <> '' AND f.fix_part_actual <> c.fix_part_expected) AS bad
+  FROM f LEFT JOIN confx c ON f.table_name = c.table_name)
+SELECT filename, table_name, fix_part_expected, fix_part_actual,
+  CASE WHEN bad THEN printf('fix part mismatch (case-sensitive): expected ''%s'', got ''%s''', fix_part_expected, fix_part_actual) END AS fix_part_reason,
+  CASE WHEN bad THEN '000000001' END AS fix_part_error_code
+FROM g"""
+
+
+@oracle("table_names")
+def _():
+    return f"""WITH {landing_cte()}, {CONF_SQL},
+v AS (SELECT DISTINCT filename FROM (SELECT filename FROM lm UNION ALL
+      SELECT regexp_replace(filename, '^orders_', 'ordersarchive_') FROM lm UNION ALL
+      SELECT regexp_replace(filename, '^orders_', 'orders2_') FROM lm)),
+f AS (SELECT filename, {table_from_name('filename')} AS table_name FROM v),
+j AS (
+  SELECT f.filename, f.table_name, c.table_name AS config_table, c.all_table, c.last_table,
+    row_number() OVER (PARTITION BY f.filename, f.table_name
+                       ORDER BY CASE WHEN f.table_name = c.table_name THEN 0 ELSE 1 END, c.position) AS rn
+  FROM f LEFT JOIN conf c ON f.table_name = c.table_name OR contains(f.table_name, c.table_name)
+                          OR contains(c.table_name, f.table_name))
+SELECT filename, table_name, config_table, all_table, last_table FROM j WHERE rn = 1"""
+
+
+def history_ctes(src: str) -> str:
+    """hist (state before the run, from the landing), done, lastd, hc (checks over ``src``)."""
+    return f"""
+lf AS (SELECT path, filename, lines, {describe_cols()} FROM lm),
+hist0 AS (
+  SELECT table_name, filename, file_date, lines,
+    CASE WHEN file_date <= TIMESTAMP '1996-06-01 00:00:00' THEN 'SUCCESS'
+         WHEN file_date BETWEEN TIMESTAMP '1997-01-01 00:00:00' AND TIMESTAMP '1997-03-01 00:00:00' THEN 'FAILED' END AS status
+  FROM lf WHERE table_name = 'orders'),
+hist AS (
+  SELECT table_name, filename, file_date, file_date + INTERVAL 1 DAY AS processed_date, status,
+    CAST(CASE WHEN status = 'SUCCESS' THEN lines ELSE 0 END AS BIGINT) AS row_count
+  FROM hist0 WHERE status IS NOT NULL),
+done AS (SELECT DISTINCT table_name, filename FROM hist WHERE status = 'SUCCESS'),
+lastd AS (SELECT table_name, max(file_date) AS last_date FROM hist
+          WHERE status = 'SUCCESS' AND file_date IS NOT NULL GROUP BY table_name),
+hc0 AS (
+  SELECT s.*, lastd.last_date,
+    (done.filename IS NOT NULL
+     OR row_number() OVER (PARTITION BY s.table_name, s.filename ORDER BY s.path) > 1) AS is_duplicate
+  FROM {src} s
+  LEFT JOIN done ON s.table_name = done.table_name AND s.filename = done.filename
+  LEFT JOIN lastd ON s.table_name = lastd.table_name),
+hc AS (
+  SELECT *,
+    (file_date IS NOT NULL AND last_date IS NOT NULL AND file_date < last_date) AS is_late,
+    CASE WHEN is_duplicate THEN '000000002'
+         WHEN (file_date IS NOT NULL AND last_date IS NOT NULL AND file_date < last_date) THEN '000000003' END AS error_code,
+    CASE WHEN is_duplicate THEN 'File ' || filename || ' already processed for table ' || table_name
+         WHEN (file_date IS NOT NULL AND last_date IS NOT NULL AND file_date < last_date)
+         THEN 'File date ' || strftime(file_date, '%Y-%m-%d %H:%M:%S') || ' < last processed date '
+              || strftime(last_date, '%Y-%m-%d %H:%M:%S') || ' for table ' || table_name END AS first_message,
+    'File ' || filename || ' already processed for table ' || table_name AS dup_message
+  FROM hc0)"""
+
+
+@oracle("file_validation")
+def _():
+    return f"""WITH {landing_cte()}, {history_ctes('lf')}
+SELECT filename, table_name, file_date, is_duplicate, is_late,
+  CAST(CAST(is_duplicate AS INTEGER) + CAST(is_late AS INTEGER) AS INTEGER) AS n_errors,
+  error_code, (NOT is_duplicate AND NOT is_late) AS valid
+FROM hc"""
+
+
+@oracle("duplicate_files")
+def _():
+    return f"""WITH {landing_cte()}, {history_ctes('lf')}
+SELECT filename, table_name, '000000002' AS error_code, dup_message AS message FROM hc WHERE is_duplicate"""
+
+
+@oracle("file_order_gate")
+def _():
+    return f"""WITH {landing_cte()}, {history_ctes('lf')}
+SELECT filename, table_name, file_date, last_date, is_late FROM hc"""
+
+
+def outcomes_ctes() -> str:
+    """Run outcomes of both landings: CTE ``oc``."""
+    return f"""{landing_cte()}, {orders_typed_ctes()}, {orders_gate_ctes()}, {lineitem_typed_ctes()}, {lineitem_gate_ctes()},
+ofl AS (
+  SELECT 'orders' AS kind, dec._file_name AS filename, total_lines, rejected_lines, file_status, file_reason,
+    w.rows_to_all, w.rows_to_last
+  FROM dec LEFT JOIN (SELECT _file_name, count(*) FILTER (WHERE to_all) AS rows_to_all,
+                             count(*) FILTER (WHERE to_last) AS rows_to_last FROM rt GROUP BY 1) w USING (_file_name)
+  UNION ALL
+  SELECT 'lineitem', ldec._file_name, total_lines, rejected_lines, file_status, file_reason,
+    w.rows_to_all, w.rows_to_last
+  FROM ldec LEFT JOIN (SELECT _file_name, count(*) FILTER (WHERE to_all) AS rows_to_all,
+                              count(*) FILTER (WHERE to_last) AS rows_to_last FROM lrt GROUP BY 1) w USING (_file_name)),
+rf AS (SELECT *, '/landing/' || filename AS path, {describe_cols()} FROM ofl),
+{history_ctes('rf')[1:]},
+oc0 AS (
+  SELECT *, CASE WHEN total_lines = 0 THEN 'SKIPPED' WHEN error_code IS NOT NULL THEN 'FAILED'
+                 WHEN file_status = 'REJECTED' THEN 'FAILED' ELSE 'SUCCESS' END AS status2
+  FROM hc),
+oc AS (
+  SELECT table_name, filename, file_date, total_lines, rejected_lines,
+    CAST(CASE WHEN status2 = 'SUCCESS' THEN rows_to_all ELSE 0 END AS BIGINT) AS rows_ingested,
+    CAST(CASE WHEN status2 = 'SUCCESS' THEN rows_to_last ELSE 0 END AS BIGINT) AS rows_to_last,
+    CAST(CASE WHEN status2 = 'SUCCESS' THEN rejected_lines ELSE total_lines END AS BIGINT) AS rows_rejected,
+    status2 AS status,
+    CASE WHEN status2 <> 'SUCCESS' THEN coalesce(error_code, file_reason) END AS error_code,
+    CASE WHEN status2 <> 'SUCCESS' THEN coalesce(first_message, file_reason) END AS reason
+  FROM oc0)"""
+
+
+TRACK_NEW = f"""
+tnew AS (
+  SELECT table_name, filename, file_date, {AS_OF_SQL} AS processed_date, status,
+    CAST(CASE WHEN status = 'SUCCESS' THEN rows_ingested ELSE 0 END AS BIGINT) AS row_count
+  FROM oc),
+tall AS (SELECT * FROM hist UNION ALL SELECT * FROM tnew)"""
+
+
+@oracle("tracking_register")
+def _():
+    return f"""WITH {outcomes_ctes()}, {TRACK_NEW}
+SELECT * FROM tnew"""
+
+
+@oracle("tracking_summary")
+def _():
+    return f"""WITH {outcomes_ctes()}, {TRACK_NEW}
+SELECT status, count(*) AS count FROM tall GROUP BY status"""
+
+
+@oracle("tracking_by_table")
+def _():
+    return f"""WITH {outcomes_ctes()}, {TRACK_NEW}
+SELECT table_name, count(*) AS files, CAST(sum(row_count) AS BIGINT) AS rows,
+  count(*) FILTER (WHERE status = 'SUCCESS') AS success, count(*) FILTER (WHERE status = 'FAILED') AS failed
+FROM tall GROUP BY table_name"""
+
+
+@oracle("tracking_latest10")
+def _():
+    return f"""WITH {outcomes_ctes()}, {TRACK_NEW}
+SELECT * FROM tall ORDER BY processed_date DESC, table_name, filename LIMIT 10"""
+
+
+@oracle("tracking_retention")
+def _():
+    return f"""WITH {outcomes_ctes()}, {TRACK_NEW}
+SELECT * FROM tall WHERE processed_date >= CAST(CAST({AS_OF_SQL} AS DATE) - INTERVAL 90 DAY AS TIMESTAMP)"""
+
+
+@oracle("quarantine_manifest")
+def _():
+    return f"""WITH {outcomes_ctes()}
+SELECT filename, table_name, error_code, reason, {AS_OF_SQL} AS rejected_at,
+  'rejected/' || table_name || '/' || filename AS quarantine_path
+FROM oc WHERE status = 'FAILED'"""
+
+
+@oracle("completeness_check")
+def _():
+    return f"""WITH {outcomes_ctes()},
+rec AS (SELECT {table_from_name('filename')} AS table_name, filename FROM lm),
+j AS (SELECT coalesce(rec.table_name, oc.table_name) AS table_name, oc.status
+      FROM rec FULL OUTER JOIN oc ON rec.table_name = oc.table_name AND rec.filename = oc.filename),
+a AS (SELECT table_name, count(*) FILTER (WHERE status = 'SUCCESS') AS ingested,
+        count(*) FILTER (WHERE status = 'SKIPPED') AS ignored, count(*) FILTER (WHERE status = 'FAILED') AS rejected,
+        count(*) FILTER (WHERE status = 'ERROR') AS technical_errors FROM j GROUP BY table_name),
+r AS (SELECT table_name, count(*) AS received FROM rec GROUP BY table_name)
+SELECT coalesce(r.table_name, a.table_name) AS table_name, coalesce(received, 0) AS received, ingested, ignored,
+  rejected, technical_errors, (ingested + ignored + rejected + technical_errors) = coalesce(received, 0) AS complete
+FROM r FULL OUTER JOIN a ON r.table_name = a.table_name"""
+
+
+@oracle("run_status")
+def _():
+    return f"""WITH {outcomes_ctes()},
+a AS (SELECT table_name, count(*) AS files_received,
+        count(*) FILTER (WHERE status = 'SUCCESS') AS files_processed,
+        count(*) FILTER (WHERE status = 'FAILED') AS files_failed,
+        count(*) FILTER (WHERE status = 'SKIPPED') AS files_skipped,
+        count(*) FILTER (WHERE status = 'ERROR') AS files_error,
+        CAST(sum(rows_ingested) AS BIGINT) AS rows_ingested,
+        CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected
+      FROM oc GROUP BY table_name)
+SELECT *, CASE WHEN files_error > 0 THEN 'ERROR'
+               WHEN files_processed > 0 AND files_failed + files_skipped = 0 THEN 'SUCCESS'
+               WHEN files_processed > 0 THEN 'PARTIAL' ELSE 'NO_DATA' END AS run_status
+FROM a"""
+
+
+@oracle("empty_files")
+def _():
+    return f"""WITH e AS (SELECT DISTINCT 'orders_' || strftime(l_shipdate, '%Y%m') || '01.csv' AS filename FROM lineitem),
+c AS (SELECT 'orders_' || strftime(o_orderdate, '%Y%m') || '01.csv' AS filename, count(*) AS n FROM orders GROUP BY 1)
+SELECT e.filename, coalesce(c.n, 0) AS lines, coalesce(c.n, 0) = 0 AS is_empty FROM e LEFT JOIN c USING (filename)"""
+
+
+@oracle("column_count_gate")
+def _():
+    return """WITH l AS (
+  SELECT 'customer_' || CAST(c_nationkey AS VARCHAR) || '.csv' AS _file_name,
+    concat_ws(';', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR),
+              CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), c_mktsegment)
+      || CASE WHEN c_custkey % 50 = 0 THEN ';extra' ELSE '' END AS line
+  FROM customer),
+s AS (SELECT _file_name, CAST(min(len(string_split(line, ';'))) AS INTEGER) AS min_fields,
+        CAST(max(len(string_split(line, ';'))) AS INTEGER) AS max_fields, count(*) AS total_lines
+      FROM l GROUP BY _file_name)
+SELECT _file_name, total_lines, min_fields, max_fields, 5 AS expected_fields,
+  CASE WHEN min_fields <> 5 OR max_fields <> 5 THEN '000000006' END AS error_code,
+  CASE WHEN min_fields <> 5 OR max_fields <> 5 THEN 'REJECTED' ELSE 'ACCEPTED' END AS file_status
+FROM s"""

@@ -102,12 +102,10 @@ def completeness(received: DataFrame, outcomes: DataFrame, file_col: str = "file
     j = received.select("table_name", file_col).join(
         outcomes.select("table_name", file_col, "status"), ["table_name", file_col], "full_outer")
     agg = j.groupBy("table_name").agg(
-        F.count_if(F.col("status").isNotNull() | F.lit(True)).alias("files_seen"),
         F.count_if(F.col("status") == "SUCCESS").alias("ingested"),
         F.count_if(F.col("status") == "SKIPPED").alias("ignored"),
         F.count_if(F.col("status") == "FAILED").alias("rejected"),
         F.count_if(F.col("status") == "ERROR").alias("technical_errors"),
-        F.count_if(F.col("status").isNull()).alias("missing"),
     )
     rec = received.groupBy("table_name").agg(F.count(F.lit(1)).alias("received"))
     out = rec.join(agg, "table_name", "full_outer").fillna(0, subset=["received"])
