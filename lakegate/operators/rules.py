@@ -29,6 +29,7 @@ N_ICT = "_n_ict"
 REJECT = "_reject"
 ICT_REJECTED = "_ict_rejected"
 LINE_REJECTED = "_line_rejected"
+RAW_DATA = "_raw_data"
 ERROR_FIELDS = ("column", "code", "action", "message", "raw_value")
 ERROR_TYPE = "struct<column:string,code:string,action:string,message:string,raw_value:string>"
 
@@ -106,9 +107,10 @@ def column_expressions(df: DataFrame, rule: ColumnRule, file_col: str | None) ->
 
 def validate(df: DataFrame, rules: Sequence[ColumnRule], *, ict: Decimal | float | int = 10,
              ict_mode: str = "all", strict: bool = False, keep: Sequence[str] | None = None,
-             file_col: str | None = "_file_name") -> DataFrame:
+             file_col: str | None = "_file_name", raw_data_sep: str | None = None) -> DataFrame:
     """QUA-1: raw text frame -> typed columns + ``_errors`` + line decisions.
 
+    ``raw_data_sep``: also keep the raw line text (raw cells joined) as ``_raw_data``.
     ``keep``: non-business columns passed through unchanged (default: every input
     column that is not a configured one).  ICT (QUA-10, D9): share of invalid
     ICT_DRIVEN columns over all configured columns (``ict_mode="flagged"``: over
@@ -128,7 +130,11 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], *, ict: Decimal | float
     checked = [r for r in rules if not is_enrichment(r)]
     n_cols = len(checked) if ict_mode == "all" else len([r for r in checked if r.action == ACTION_ICT])
     n_cols = max(n_cols, 1)
-    out = df.select(*[F.col(_quote(c)) for c in keep], *values, err_array.alias(ERRORS))
+    extra = []
+    if raw_data_sep is not None:
+        raws = [F.col(_quote(r.name)).cast("string") for r in checked if r.name in df.columns]
+        extra.append(F.concat_ws(raw_data_sep, *raws).alias(RAW_DATA))
+    out = df.select(*[F.col(_quote(c)) for c in keep], *values, *extra, err_array.alias(ERRORS))
     n_ict = F.size(F.filter(F.col(ERRORS), lambda e: e["action"] == ACTION_ICT))
     share = F.lit(100) * F.col(N_ICT)
     limit = F.lit(Decimal(str(ict))) * F.lit(n_cols)

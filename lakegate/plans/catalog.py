@@ -294,3 +294,191 @@ def column_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = c.select(F.concat(F.lit("customer_"), F.col("c_nationkey").cast("string"), F.lit(".csv")).alias("_file_name"),
                      text.alias("line"))
     return ccg(lines, "line", ";", 5)
+
+
+# ------------------------------------------------- projections & quality (C/D)
+from lakegate.functions import dates as fd  # noqa: E402
+from lakegate.functions import text as ft  # noqa: E402
+from lakegate.operators import invalid_lines as il  # noqa: E402
+from lakegate.operators import projections as pj  # noqa: E402
+from lakegate.operators import quality as qa  # noqa: E402
+from lakegate.operators.rules import validate  # noqa: E402
+
+HEADER_CASES = ["ORDERKEY", "CustKey", "totalprice", "OrderDate", " orderstatus ", "orderpriority"]
+
+
+@query("header_line_filter")
+def header_line_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-4 (D6): each file gets a header line (names in mixed case) and a near-header
+    line (one cell differs); only the real header is dropped."""
+    d = fx.dirty_orders(spark, sf_dir)
+    files = d.select("_file_name").distinct()
+    header = files.select("_file_name", F.lit(-1).cast("long").alias("_line_order"),
+                          *[F.lit(v).alias(c) for v, c in zip(HEADER_CASES, ORDER_VALUES)])
+    near = files.select("_file_name", F.lit(-2).cast("long").alias("_line_order"),
+                        *[F.lit(v if c != "totalprice" else None).alias(c) for v, c in zip(HEADER_CASES, ORDER_VALUES)])
+    allrows = d.unionByName(header).unionByName(near)
+    kept = pj.drop_header_lines(allrows, ORDER_VALUES)
+    return kept.groupBy("_file_name").agg(F.count(F.lit(1)).alias("lines_kept"),
+                                           F.count_if(F.col("_line_order") < 0).alias("header_like_kept"))
+
+
+@query("positional_rename")
+def positional_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-2: a header-less read gives _c0.._c11 (out of string order); names come from
+    the configured order."""
+    li = fx.dirty_lineitem(spark, sf_dir)
+    names = ["orderkey", "linenumber", "partkey", "suppkey", "quantity", "extendedprice", "discount", "tax",
+             "returnflag", "linestatus", "shipdate"]
+    pos = li.select("_file_name", *[F.col(c).alias(f"_c{i}") for i, c in enumerate(names)])
+    shuffled = pos.select("_file_name", *[f"_c{i}" for i in sorted(range(len(names)), key=str)])
+    return pj.positional_rename(shuffled, names)
+
+
+@query("lowercase_names")
+def lowercase_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-1: names from a HEADER_USE file in upper case are lower-cased (technical '_' kept)."""
+    d = fx.dirty_orders(spark, sf_dir)
+    upper = d.select("_file_name", *[F.col(c).alias(c.upper()) for c in ORDER_VALUES])
+    return pj.lowercase_names(upper)
+
+
+@query("missing_columns")
+def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-6 / QUA-17: files sent without `orderpriority` -> one INFO row per file."""
+    d = fx.dirty_orders(spark, sf_dir).drop("orderpriority")
+    return pj.missing_column_report(d, d.columns, ORDER_VALUES, "orders")
+
+
+@query("date_strict")
+def date_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-2 / SCA-6: one pattern, no fallback; standard output text."""
+    d = fx.dirty_orders(spark, sf_dir)
+    parsed = F.when(~ft.is_blank("orderdate"), fd.parse_strict("orderdate", "dd/MM/yyyy"))
+    return d.select("_line_order", F.col("orderdate").alias("raw"), parsed.alias("parsed"),
+                    fd.to_output_text(parsed).alias("output_text"),
+                    (~ft.is_blank("orderdate") & parsed.isNull()).alias("is_error"))
+
+
+@query("date_multi_default")
+def date_multi_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-3 / QUA-18: several patterns, first match wins, else the default date;
+    EMPTY_DATE / INVALID_DATE logged."""
+    li = fx.dirty_lineitem(spark, sf_dir)
+    o = fx.dirty_orders(spark, sf_dir)
+    raw = li.select(F.col("_line_order"), F.lit("lineitem").alias("src"), F.col("shipdate").alias("raw")) \
+        .unionByName(o.select("_line_order", F.lit("orders").alias("src"), F.col("orderdate").alias("raw")))
+    pats = ["yyyy-MM-dd", "dd/MM/yyyy"]
+    first = fd.parse_multi("raw", pats)
+    out = fd.parse_multi("raw", pats, default="1900-01-01 00:00:00")
+    status = (F.when(first.isNull() & ft.is_blank("raw"), F.lit("EMPTY_DATE"))
+              .when(first.isNull(), F.lit("INVALID_DATE")))
+    return raw.select("src", "_line_order", "raw", out.alias("parsed"), status.alias("error_message"))
+
+
+@query("text_transforms")
+def text_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCA-1/2/5: uppercase, lowercase, regex replace (empty replacement deletes), trim."""
+    c = fx.table(spark, sf_dir, "customer")
+    return c.select(
+        "c_custkey",
+        ft.transform(F.col("c_mktsegment"), "lowercase").alias("segment_lower"),
+        ft.transform(F.col("c_name"), "uppercase").alias("name_upper"),
+        ft.transform(F.col("c_name"), "regex", "#0*", "").alias("name_regex"),
+        ft.transform(F.col("c_name"), "regex", "[0-9]", "9").alias("name_digits"),
+        F.length(F.trim(F.col("c_name"))).alias("name_length"),
+    )
+
+
+@query("filename_enrich")
+def filename_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-10 'filename-modified': a new column = regex match on the file name."""
+    from lakegate.plans.specs import ColumnRule
+    d = fx.dirty_orders(spark, sf_dir)
+    rules = [ColumnRule("orderkey", "LONG", nullable=False),
+             ColumnRule("file_suffix", enrich="filename-modified", pattern=".{12}$"),
+             ColumnRule("file_month", enrich="filename-modified", pattern="[0-9]{6}")]
+    v = validate(d, rules)
+    return v.select("_file_name", "orderkey", "file_suffix", "file_month")
+
+
+def _numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty orders with their dense line number within each landed file."""
+    d = fx.dirty_orders(spark, sf_dir)
+    return qa.dense_line_numbers(d, ["_file_name"], ["_line_order"], "line_number")
+
+
+@query("line_numbers")
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-20 / WIN-1: dense 1..n line numbers per file (skew-safe)."""
+    return _numbered_orders(spark, sf_dir).select("_file_name", "_line_order", "line_number")
+
+
+def _invalid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trule, crules = cm.rules_for(spark, "orders")
+    v = validate(_numbered_orders(spark, sf_dir), crules, ict=trule.ict, raw_data_sep=";")
+    rejected_on = F.to_timestamp_ntz(F.concat(F.regexp_extract("_file_name", r"(\d{8})", 1), F.lit("000000")),
+                                     F.lit("yyyyMMddHHmmss")) + F.expr("INTERVAL 1 DAY")
+    return il.invalid_lines(v, ORDER_VALUES, id_col="_line_order", line_col="line_number", raw_col="_raw_data",
+                            rejection_date=rejected_on)
+
+
+@query("invalid_lines")
+def invalid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4: the invalid-lines table of the orders landing."""
+    return _invalid_orders(spark, sf_dir)
+
+
+@query("invalid_lines_summary")
+def invalid_lines_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-2 / RPT-5 / AGG-3: lines and distinct files per reason and error type."""
+    return il.summary(_invalid_orders(spark, sf_dir), "orders")
+
+
+RETENTION_AS_OF = "1998-09-01 00:00:00"
+
+
+@query("invalid_lines_retention")
+def invalid_lines_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-21: invalid lines kept by a 30-day retention on 1998-09-01 (a new version)."""
+    inv = _invalid_orders(spark, sf_dir)
+    return tk.retain(inv, F.lit(RETENTION_AS_OF).cast("timestamp_ntz"), 30, date_col="rejection_date") \
+        .select("invalid_line_id", "filename", "rejection_date", "line_number")
+
+
+@query("error_sample_top")
+def error_sample_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-19: the first 3 errors of each (file, column) by line order (a sampling report)."""
+    e = error_rows(spark, sf_dir)
+    return qa.top_n_per_group(e, ["_file_name", "column"], ["_line_order"], 3) \
+        .select("_file_name", "column", "sample_rank", "_line_order", "code", "raw_value")
+
+
+@query("null_checks")
+def null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-14: NULL_VALUE errors per file and column."""
+    e = error_rows(spark, sf_dir).filter(F.col("code") == "NULL_VALUE")
+    return e.groupBy("_file_name", "column", "action").agg(F.count(F.lit(1)).alias("null_values"))
+
+
+@query("type_mismatch")
+def type_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-13: unparsable values per column (count, distinct raw values, smallest example)."""
+    e = error_rows(spark, sf_dir).filter(F.col("code").isin("TYPE_MISMATCH", "DATE_PARSE_ERROR"))
+    return e.groupBy("column", "code").agg(F.count(F.lit(1)).alias("errors"),
+                                           F.count_distinct("raw_value").alias("distinct_values"),
+                                           F.min("raw_value").alias("example"))
+
+
+@query("duplicate_keys")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-15: customers with more than one order line in the landing."""
+    v = cm.validated(spark, sf_dir, "orders")
+    return qa.duplicate_keys(v, ["custkey"], "orders")
+
+
+@query("all_null_columns")
+def all_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-16: per file non-null counts and FILE_EMPTY when every column is NULL."""
+    v = cm.validated(spark, sf_dir, "orders")
+    return qa.null_profile(v, ORDER_VALUES)

@@ -137,9 +137,9 @@ SELECT _file_name, _line_order, orderkey, custkey, totalprice, orderdate, orders
 FROM tx"""
 
 
-@oracle("error_rows")
-def _():
-    return f"""WITH {orders_typed_ctes()},
+def error_rows_cte() -> str:
+    """CTE ``err`` (one row per error of the typed orders) over ``tx``."""
+    return """
 er AS (
   SELECT _file_name, _line_order, 0 AS col_pos, 'orderkey' AS "column", e_orderkey AS code, 'ICT_DRIVEN' AS action,
          r_orderkey AS raw_value, 'LONG' AS typ FROM tx WHERE e_orderkey IS NOT NULL
@@ -150,7 +150,8 @@ er AS (
   UNION ALL
   SELECT _file_name, _line_order, 3, 'orderdate', e_orderdate, 'ICT_DRIVEN', r_orderdate, 'DATE' FROM tx WHERE e_orderdate IS NOT NULL
   UNION ALL
-  SELECT _file_name, _line_order, 4, 'orderstatus', e_orderstatus, 'LOG_ONLY', r_orderstatus, 'STRING' FROM tx WHERE e_orderstatus IS NOT NULL)
+  SELECT _file_name, _line_order, 4, 'orderstatus', e_orderstatus, 'LOG_ONLY', r_orderstatus, 'STRING' FROM tx WHERE e_orderstatus IS NOT NULL),
+err AS (
 SELECT _file_name, _line_order,
   CAST(row_number() OVER (PARTITION BY _file_name, _line_order ORDER BY col_pos) - 1 AS INTEGER) AS error_pos,
   "column", code, action,
@@ -158,7 +159,13 @@ SELECT _file_name, _line_order,
        WHEN code = 'DATE_PARSE_ERROR' THEN 'DATE_PARSE_ERROR: column ' || "column" || ' pattern ''dd/MM/yyyy'' does not match value: ' || coalesce(raw_value, 'NULL')
        ELSE 'TYPE MISMATCH: column ' || "column" || ' expected ' || typ || ' value: ' || coalesce(raw_value, 'NULL') END AS message,
   raw_value
-FROM er"""
+FROM er)"""
+
+
+@oracle("error_rows")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {error_rows_cte()}
+SELECT * FROM err"""
 
 
 @oracle("rlt_files")
@@ -625,3 +632,173 @@ SELECT _file_name, total_lines, min_fields, max_fields, 5 AS expected_fields,
   CASE WHEN min_fields <> 5 OR max_fields <> 5 THEN '000000006' END AS error_code,
   CASE WHEN min_fields <> 5 OR max_fields <> 5 THEN 'REJECTED' ELSE 'ACCEPTED' END AS file_status
 FROM s"""
+
+
+# ---------------------------------------------- projections & quality (C/D)
+ORDER_VALUES_SQL = "orderkey, custkey, totalprice, orderdate, orderstatus, orderpriority"
+
+
+@oracle("header_line_filter")
+def _():
+    def eq(c, v):
+        return f"lower(trim({c})) IS NOT DISTINCT FROM '{v}'"
+    cond = " AND ".join(eq(c, c) for c in ["orderkey", "custkey", "totalprice", "orderdate", "orderstatus"])
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL}), f AS (SELECT DISTINCT _file_name FROM d),
+a AS (
+  SELECT _file_name, _line_order, orderkey, custkey, totalprice, orderdate, orderstatus FROM d
+  UNION ALL SELECT _file_name, -1, 'ORDERKEY', 'CustKey', 'totalprice', 'OrderDate', ' orderstatus ' FROM f
+  UNION ALL SELECT _file_name, -2, 'ORDERKEY', 'CustKey', NULL, 'OrderDate', ' orderstatus ' FROM f)
+SELECT _file_name, count(*) AS lines_kept, count(*) FILTER (WHERE _line_order < 0) AS header_like_kept
+FROM a WHERE NOT ({cond})
+GROUP BY _file_name"""
+
+
+@oracle("positional_rename")
+def _():
+    return f"""WITH d AS ({DIRTY_LINEITEM_SQL})
+SELECT _file_name, orderkey, linenumber, partkey, suppkey, quantity, extendedprice, discount, tax,
+       returnflag, linestatus, shipdate FROM d"""
+
+
+@oracle("lowercase_names")
+def _():
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL}) SELECT _file_name, {ORDER_VALUES_SQL} FROM d"""
+
+
+@oracle("missing_columns")
+def _():
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT DISTINCT _file_name AS filename, 'orderpriority' AS column_name, 'INFO_MISSING_COLUMN' AS error_type,
+  'orders' AS table_name, 'missing column orderpriority added as NULL' AS error_message,
+  CAST(NULL AS VARCHAR) AS raw_value
+FROM d"""
+
+
+def _dmy(x: str) -> str:
+    return f"CASE WHEN regexp_full_match({x}, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') THEN try_strptime({x}, '%d/%m/%Y') END"
+
+
+def _ymd(x: str) -> str:
+    return f"CASE WHEN regexp_full_match({x}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_strptime({x}, '%Y-%m-%d') END"
+
+
+@oracle("date_strict")
+def _():
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL}),
+p AS (SELECT _line_order, orderdate AS raw,
+        CASE WHEN NOT {_blank('orderdate')} THEN {_dmy('orderdate')} END AS parsed,
+        {_blank('orderdate')} AS b FROM d)
+SELECT _line_order, raw, parsed, strftime(parsed, '%Y-%m-%d %H:%M:%S') AS output_text,
+       (NOT b AND parsed IS NULL) AS is_error FROM p"""
+
+
+@oracle("date_multi_default")
+def _():
+    return f"""WITH o AS ({DIRTY_ORDERS_SQL}), l AS ({DIRTY_LINEITEM_SQL}),
+r AS (SELECT _line_order, 'lineitem' AS src, shipdate AS raw FROM l
+      UNION ALL SELECT _line_order, 'orders', orderdate FROM o),
+p AS (SELECT *, coalesce({_ymd('raw')}, {_dmy('raw')}) AS first FROM r)
+SELECT src, _line_order, raw, coalesce(first, TIMESTAMP '1900-01-01 00:00:00') AS parsed,
+  CASE WHEN first IS NULL AND {_blank('raw')} THEN 'EMPTY_DATE' WHEN first IS NULL THEN 'INVALID_DATE' END AS error_message
+FROM p"""
+
+
+@oracle("text_transforms")
+def _():
+    return """SELECT c_custkey, lower(c_mktsegment) AS segment_lower, upper(c_name) AS name_upper,
+  regexp_replace(c_name, '#0*', '', 'g') AS name_regex, regexp_replace(c_name, '[0-9]', '9', 'g') AS name_digits,
+  CAST(length(trim(c_name)) AS INTEGER) AS name_length
+FROM customer"""
+
+
+@oracle("filename_enrich")
+def _():
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT _file_name, CASE WHEN NOT {_blank('orderkey')} THEN {_int('orderkey')} END AS orderkey,
+  regexp_extract(_file_name, '.{{12}}$', 0) AS file_suffix, regexp_extract(_file_name, '[0-9]{{6}}', 0) AS file_month
+FROM d"""
+
+
+@oracle("line_numbers")
+def _():
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT _file_name, _line_order, row_number() OVER (PARTITION BY _file_name ORDER BY _line_order) AS line_number
+FROM d"""
+
+
+def invalid_lines_cte() -> str:
+    return f"""{orders_typed_ctes()},
+inv AS (
+  SELECT _line_order AS invalid_line_id, _file_name AS filename,
+    strptime(regexp_extract(_file_name, '(\\d{{8}})', 1) || '000000', '%Y%m%d%H%M%S') + INTERVAL 1 DAY AS rejection_date,
+    CASE WHEN reject THEN 'REJECT' ELSE 'ICT_DRIVEN' END AS rejection_reason,
+    coalesce(e_orderkey, e_custkey, e_totalprice, e_orderdate, e_orderstatus) AS error_type,
+    error_codes AS error_details,
+    row_number() OVER (PARTITION BY _file_name ORDER BY _line_order) AS line_number,
+    concat_ws(';', r_orderkey, r_custkey, r_totalprice, r_orderdate, r_orderstatus, r_orderpriority) AS raw_data,
+    {ORDER_VALUES_SQL}, line_rejected
+  FROM tx)"""
+
+
+@oracle("invalid_lines")
+def _():
+    return f"""WITH {invalid_lines_cte()}
+SELECT invalid_line_id, filename, rejection_date, rejection_reason, error_type, error_details, line_number,
+       raw_data, {ORDER_VALUES_SQL}
+FROM inv WHERE line_rejected"""
+
+
+@oracle("invalid_lines_summary")
+def _():
+    return f"""WITH {invalid_lines_cte()}
+SELECT 'orders' AS table_name, rejection_reason, error_type, count(*) AS lines, count(DISTINCT filename) AS files
+FROM inv WHERE line_rejected GROUP BY rejection_reason, error_type"""
+
+
+@oracle("invalid_lines_retention")
+def _():
+    return f"""WITH {invalid_lines_cte()}
+SELECT invalid_line_id, filename, rejection_date, line_number FROM inv
+WHERE line_rejected AND rejection_date >= CAST(DATE '1998-09-01' - INTERVAL 30 DAY AS TIMESTAMP)"""
+
+
+@oracle("error_sample_top")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {error_rows_cte()},
+s AS (SELECT *, CAST(row_number() OVER (PARTITION BY _file_name, "column" ORDER BY _line_order) AS INTEGER) AS sample_rank
+      FROM err)
+SELECT _file_name, "column", sample_rank, _line_order, code, raw_value FROM s WHERE sample_rank <= 3"""
+
+
+@oracle("null_checks")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {error_rows_cte()}
+SELECT _file_name, "column", action, count(*) AS null_values FROM err WHERE code = 'NULL_VALUE'
+GROUP BY _file_name, "column", action"""
+
+
+@oracle("type_mismatch")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {error_rows_cte()}
+SELECT "column", code, count(*) AS errors, count(DISTINCT raw_value) AS distinct_values, min(raw_value) AS example
+FROM err WHERE code IN ('TYPE_MISMATCH', 'DATE_PARSE_ERROR') GROUP BY "column", code"""
+
+
+@oracle("duplicate_keys")
+def _():
+    return f"""WITH {orders_typed_ctes()}
+SELECT 'orders' AS table_name, 'custkey' AS column_name, custkey, 'DUPLICATE_KEY' AS error_message,
+       count(*) AS error_count
+FROM tx GROUP BY custkey HAVING count(*) > 1"""
+
+
+@oracle("all_null_columns")
+def _():
+    cols = ["orderkey", "custkey", "totalprice", "orderdate", "orderstatus", "orderpriority"]
+    counts = ", ".join(f"count({c}) AS nonnull_{c}" for c in cols)
+    names = ", ".join(f"CASE WHEN nonnull_{c} = 0 THEN '{c}' END" for c in cols)
+    alln = " AND ".join(f"nonnull_{c} = 0" for c in cols)
+    return f"""WITH {orders_typed_ctes()},
+g AS (SELECT _file_name, count(*) AS rows, {counts} FROM tx GROUP BY _file_name)
+SELECT *, concat_ws(',', {names}) AS all_null_columns, CASE WHEN {alln} THEN 'FILE_EMPTY' END AS error_type
+FROM g"""
