@@ -482,3 +482,101 @@ def all_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QUA-16: per file non-null counts and FILE_EMPTY when every column is NULL."""
     v = cm.validated(spark, sf_dir, "orders")
     return qa.null_profile(v, ORDER_VALUES)
+
+
+# ----------------------------------------------------------------- modes (E)
+from lakegate.operators import modes as md  # noqa: E402
+from lakegate.operators.gates import TO_ALL, TO_LAST  # noqa: E402
+
+TECH_AND_VALUES = ["FILE_LINE_ID", "FILE_NAME_RECEIVED", "FILE_EXTRACTION_DATE", "FILE_PROCESS_DATE", *ORDER_VALUES]
+
+
+def orders_batch(spark: SparkSession, sf_dir: str, second: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(`_last` rows, `_all` rows) of one accepted orders landing, technical columns first.
+
+    Batch 1 = the dirty orders landing processed the day before the run date;
+    batch 2 = the re-sent open orders processed on the run date.
+    """
+    dirty = fx.orders_batch2(spark, sf_dir) if second else fx.dirty_orders(spark, sf_dir)
+    numbered = qa.dense_line_numbers(dirty, ["_file_name"], ["_line_order"], "line_number")
+    routed, _ = cm.routed(spark, sf_dir, "orders", dirty=numbered)
+    processed = cm.as_of() if second else cm.as_of() - F.expr("INTERVAL 1 DAY")
+
+    def tech(df: DataFrame) -> DataFrame:
+        return pj.with_technical_columns(df, ORDER_VALUES, line_col="line_number", file_col="_file_name",
+                                         extraction_date=fd.file_date(F.col("_file_name")), process_date=processed)
+    return tech(routed.filter(F.col(TO_LAST))), tech(routed.filter(F.col(TO_ALL)))
+
+
+@query("mode_full_snapshot")
+def mode_full_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-1: `_last` after two snapshots = the second batch."""
+    l1, a1 = orders_batch(spark, sf_dir)
+    l2, a2 = orders_batch(spark, sf_dir, second=True)
+    r1 = md.full_snapshot(None, None, l1)
+    return md.full_snapshot(r1.last, r1.all, l2).last
+
+
+@query("mode_delta_flow")
+def mode_delta_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-2: `_all` after two flow batches (`_last` is never written)."""
+    l1, a1 = orders_batch(spark, sf_dir)
+    l2, a2 = orders_batch(spark, sf_dir, second=True)
+    r1 = md.delta_from_flow(None, None, a1)
+    return md.delta_from_flow(r1.last, r1.all, a2).all
+
+
+@query("mode_upsert")
+def mode_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-3: `_last` after upserting batch 2 on orderkey, compared by orderdate."""
+    _, crules = cm.rules_for(spark, "orders")
+    from lakegate.plans.specs import merge_keys, start_validity_column
+    l1, _ = orders_batch(spark, sf_dir)
+    l2, _ = orders_batch(spark, sf_dir, second=True)
+    return md.upsert(l1, l2, merge_keys(crules), start_validity_column(crules))
+
+
+@query("mode_historized")
+def mode_historized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-4: `_last` after two historised batches (append)."""
+    l1, _ = orders_batch(spark, sf_dir)
+    l2, _ = orders_batch(spark, sf_dir, second=True)
+    r1 = md.historized(None, None, l1)
+    return md.historized(r1.last, r1.all, l2).last
+
+
+@query("mode_key_replace")
+def mode_key_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-5: `_last` after replacing every key present in batch 2."""
+    l1, _ = orders_batch(spark, sf_dir)
+    l2, _ = orders_batch(spark, sf_dir, second=True)
+    return md.key_replace(l1, l2, ["orderkey"])
+
+
+@query("technical_columns")
+def technical_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-8: `_all` rows of batch 1 with the four technical columns first."""
+    return orders_batch(spark, sf_dir)[1]
+
+
+@query("partition_columns")
+def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-5: partition values (yyyy/mm/dd/hhmmss scheme) of the `_all` rows, with row counts."""
+    a = pj.with_partitions(orders_batch(spark, sf_dir)[1], "yyyy/mm/dd/hhmmss")
+    return a.groupBy("yyyy", "mm", "dd", "hhmmss").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("last_vs_all")
+def last_vs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-6 / SET-2: row counts of `_last` (after upsert) and `_all` (both batches)."""
+    l1, a1 = orders_batch(spark, sf_dir)
+    l2, a2 = orders_batch(spark, sf_dir, second=True)
+    r = md.apply_mode("delta_from_non_historized", l1, a1, a2, ["orderkey"], "orderdate")
+    return rp.row_counts({"orders_last": r.last, "orders_all": r.all})
+
+
+@query("staging_stats")
+def staging_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-6: rows and distinct files per staging table."""
+    return rp.staging_stats({"orders_staging": fx.dirty_orders(spark, sf_dir),
+                             "lineitem_staging": fx.dirty_lineitem(spark, sf_dir)})

@@ -26,11 +26,11 @@ def _blank(x: str) -> str:
     return f"({x} IS NULL OR trim({x}) = '')"
 
 
-def orders_typed_ctes(source_sql: str = DIRTY_ORDERS_SQL, name: str = "t") -> str:
-    """CTEs d (dirty view), v (parsed), <name> (typed + error codes + line decisions)."""
+def orders_typed_ctes(source_sql: str = DIRTY_ORDERS_SQL, name: str = "t", p: str = "") -> str:
+    """CTEs {p}d (dirty view), {p}v (parsed), {p}e, <name>, <name>2, <name>x (typed + line decisions)."""
     return f"""
-d AS ({source_sql}),
-v AS (
+{p}d AS ({source_sql}),
+{p}v AS (
   SELECT _line_order, _file_name,
     orderkey AS r_orderkey, custkey AS r_custkey, totalprice AS r_totalprice,
     orderdate AS r_orderdate, orderstatus AS r_orderstatus, orderpriority AS r_orderpriority,
@@ -47,15 +47,15 @@ v AS (
          THEN try_strptime(orderdate, '%d/%m/%Y') END AS p_orderdate,
     lower(orderstatus) AS p_orderstatus,
     regexp_replace(orderpriority, '^[0-9]+-', '') AS p_orderpriority
-  FROM d),
-e AS (
+  FROM {p}d),
+{p}e AS (
   SELECT *,
     CASE WHEN NOT b_orderkey AND p_orderkey IS NULL THEN 'TYPE_MISMATCH' WHEN b_orderkey THEN 'NULL_VALUE' END AS e_orderkey,
     CASE WHEN NOT b_custkey AND p_custkey IS NULL THEN 'TYPE_MISMATCH' WHEN b_custkey THEN 'NULL_VALUE' END AS e_custkey,
     CASE WHEN NOT b_totalprice AND p_totalprice IS NULL THEN 'TYPE_MISMATCH' WHEN b_totalprice THEN 'NULL_VALUE' END AS e_totalprice,
     CASE WHEN NOT b_orderdate AND p_orderdate IS NULL THEN 'DATE_PARSE_ERROR' WHEN b_orderdate THEN 'NULL_VALUE' END AS e_orderdate,
     CASE WHEN b_orderstatus THEN 'NULL_VALUE' END AS e_orderstatus
-  FROM v),
+  FROM {p}v),
 {name} AS (
   SELECT _line_order, _file_name,
     r_orderkey, r_custkey, r_totalprice, r_orderdate, r_orderstatus, r_orderpriority,
@@ -74,7 +74,7 @@ e AS (
     concat_ws(';', 'orderkey:' || e_orderkey, 'custkey:' || e_custkey, 'totalprice:' || e_totalprice,
               'orderdate:' || e_orderdate, 'orderstatus:' || e_orderstatus) AS error_codes,
     e_totalprice IS NOT NULL AS reject
-  FROM e),
+  FROM {p}e),
 {name}2 AS (
   SELECT *, (n_ict > 0 AND 100 * n_ict >= 30 * 6) AS ict_rejected
   FROM {name}),
@@ -82,11 +82,11 @@ e AS (
   SELECT *, (reject OR ict_rejected) AS line_rejected FROM {name}2)"""
 
 
-def orders_gate_ctes(typed: str = "tx", rlt: int = 7, fail_fast: int | None = None) -> str:
-    """CTEs fs (per-file stats) and dec (decisions) over the typed orders CTE."""
+def orders_gate_ctes(typed: str = "tx", rlt: int = 7, fail_fast: int | None = None, p: str = "") -> str:
+    """CTEs {p}fs (per-file stats), {p}fa, {p}dec (decisions), {p}rt (routed lines)."""
     ff = (f"100 * error_lines >= {fail_fast} * total_lines" if fail_fast is not None else "false")
     return f"""
-fs AS (
+{p}fs AS (
   SELECT _file_name, count(*) AS total_lines,
     count(*) FILTER (WHERE reject) AS reject_lines,
     count(*) FILTER (WHERE ict_rejected AND NOT reject) AS ict_lines,
@@ -96,26 +96,27 @@ fs AS (
     count(*) FILTER (WHERE e_custkey IS NOT NULL) AS invalid_custkey,
     count(*) FILTER (WHERE e_orderdate IS NOT NULL) AS invalid_orderdate
   FROM {typed} GROUP BY _file_name),
-fa AS (
+{p}fa AS (
   SELECT *,
     concat_ws(',', CASE WHEN 100 * invalid_custkey >= 20 * total_lines THEN 'custkey' END,
                    CASE WHEN 100 * invalid_orderdate >= 10 * total_lines THEN 'orderdate' END) AS ab,
     (100 * rejected_lines >= {rlt} * total_lines) AS rlt_exceeded,
     ({ff}) AS fail_fast
-  FROM fs),
-dec AS (
+  FROM {p}fs),
+{p}dec AS (
   SELECT _file_name, total_lines, reject_lines, ict_lines, rejected_lines, error_lines, errors,
     invalid_custkey, invalid_orderdate,
     NULLIF(ab, '') AS aborted_columns, rlt_exceeded, fail_fast,
     CASE WHEN fail_fast THEN '000000007' WHEN ab <> '' THEN 'ICT_DRIVEN_ABORT'
          WHEN rlt_exceeded THEN 'RLT_EXCEEDED' END AS file_reason,
     CASE WHEN fail_fast OR ab <> '' OR rlt_exceeded THEN 'REJECTED' ELSE 'ACCEPTED' END AS file_status
-  FROM fa),
-rt AS (
-  SELECT {typed}.*, dec.file_status = 'REJECTED' AS file_rejected, dec.file_reason,
-    (dec.file_status = 'ACCEPTED' AND NOT line_rejected) AS to_last,
-    (dec.file_status = 'ACCEPTED' AND NOT reject) AS to_all
-  FROM {typed} LEFT JOIN dec USING (_file_name))"""
+  FROM {p}fa),
+{p}rt AS (
+  SELECT {typed}.*, {p}dec.file_status = 'REJECTED' AS file_rejected, {p}dec.file_reason,
+    ({p}dec.file_status = 'ACCEPTED' AND NOT line_rejected) AS to_last,
+    ({p}dec.file_status = 'ACCEPTED' AND NOT reject) AS to_all,
+    row_number() OVER (PARTITION BY _file_name ORDER BY _line_order) AS line_number
+  FROM {typed} LEFT JOIN {p}dec USING (_file_name))"""
 
 
 ORACLES: dict[str, str] = {}
@@ -802,3 +803,89 @@ def _():
 g AS (SELECT _file_name, count(*) AS rows, {counts} FROM tx GROUP BY _file_name)
 SELECT *, concat_ws(',', {names}) AS all_null_columns, CASE WHEN {alln} THEN 'FILE_EMPTY' END AS error_type
 FROM g"""
+
+
+# ------------------------------------------------------------------ modes (E)
+def batches_ctes() -> str:
+    """b1l/b1a (batch 1 `_last`/`_all`) and b2l/b2a (batch 2), technical columns first."""
+    def tech(rt: str, when: str, flag: str) -> str:
+        return f"""SELECT CAST(line_number AS BIGINT) AS FILE_LINE_ID, _file_name AS FILE_NAME_RECEIVED,
+    {file_date_sql('_file_name')} AS FILE_EXTRACTION_DATE, {when} AS FILE_PROCESS_DATE,
+    {ORDER_VALUES_SQL} FROM {rt} WHERE {flag}"""
+    b1 = f"{AS_OF_SQL} - INTERVAL 1 DAY"
+    return f"""{orders_typed_ctes()}, {orders_gate_ctes()},
+{orders_typed_ctes(ORDERS_BATCH2_SQL, name='b', p='b')}, {orders_gate_ctes(typed='bx', p='b')},
+b1l AS ({tech('rt', b1, 'to_last')}),
+b1a AS ({tech('rt', b1, 'to_all')}),
+b2l AS ({tech('brt', AS_OF_SQL, 'to_last')}),
+b2a AS ({tech('brt', AS_OF_SQL, 'to_all')})"""
+
+
+TECH_COLS_SQL = f"FILE_LINE_ID, FILE_NAME_RECEIVED, FILE_EXTRACTION_DATE, FILE_PROCESS_DATE, {ORDER_VALUES_SQL}"
+
+UPSERT_SQL = f"""
+src AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY orderkey
+      ORDER BY orderdate DESC NULLS LAST, FILE_NAME_RECEIVED DESC, FILE_LINE_ID DESC) AS rn FROM b2l) WHERE rn = 1),
+ups AS (
+  SELECT t.* FROM b1l t LEFT JOIN src s ON t.orderkey = s.orderkey
+  WHERE s.orderkey IS NULL OR NOT (s.orderdate > t.orderdate OR (t.orderdate IS NULL AND s.orderdate IS NOT NULL))
+  UNION ALL
+  SELECT {TECH_COLS_SQL} FROM src s WHERE NOT EXISTS (SELECT 1 FROM b1l t WHERE t.orderkey = s.orderkey)
+     OR EXISTS (SELECT 1 FROM b1l t WHERE t.orderkey = s.orderkey
+                AND (s.orderdate > t.orderdate OR (t.orderdate IS NULL AND s.orderdate IS NOT NULL))))"""
+
+
+@oracle("mode_full_snapshot")
+def _():
+    return f"WITH {batches_ctes()} SELECT * FROM b2l"
+
+
+@oracle("mode_delta_flow")
+def _():
+    return f"WITH {batches_ctes()} SELECT * FROM b1a UNION ALL SELECT * FROM b2a"
+
+
+@oracle("mode_upsert")
+def _():
+    return f"WITH {batches_ctes()}, {UPSERT_SQL} SELECT * FROM ups"
+
+
+@oracle("mode_historized")
+def _():
+    return f"WITH {batches_ctes()} SELECT * FROM b1l UNION ALL SELECT * FROM b2l"
+
+
+@oracle("mode_key_replace")
+def _():
+    return f"""WITH {batches_ctes()}
+SELECT * FROM b1l t WHERE NOT EXISTS (SELECT 1 FROM b2l s WHERE s.orderkey = t.orderkey)
+UNION ALL SELECT * FROM b2l"""
+
+
+@oracle("technical_columns")
+def _():
+    return f"WITH {batches_ctes()} SELECT * FROM b1a"
+
+
+@oracle("partition_columns")
+def _():
+    return f"""WITH {batches_ctes()}
+SELECT strftime(FILE_EXTRACTION_DATE, '%Y') AS yyyy, strftime(FILE_EXTRACTION_DATE, '%m') AS mm,
+  strftime(FILE_EXTRACTION_DATE, '%d') AS dd, strftime(FILE_EXTRACTION_DATE, '%H%M%S') AS hhmmss, count(*) AS rows
+FROM b1a GROUP BY 1, 2, 3, 4"""
+
+
+@oracle("last_vs_all")
+def _():
+    return f"""WITH {batches_ctes()}, {UPSERT_SQL}
+SELECT 'orders_last' AS table_name, count(*) AS row_count FROM ups
+UNION ALL SELECT 'orders_all', (SELECT count(*) FROM b1a) + (SELECT count(*) FROM b2a)"""
+
+
+@oracle("staging_stats")
+def _():
+    return f"""WITH o AS ({DIRTY_ORDERS_SQL}), l AS ({DIRTY_LINEITEM_SQL})
+SELECT 'orders_staging' AS table_name, count(*) AS row_count, count(DISTINCT _file_name) AS file_count FROM o
+UNION ALL
+SELECT 'lineitem_staging', count(*), count(DISTINCT _file_name) FROM l"""
