@@ -580,3 +580,95 @@ def staging_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-6: rows and distinct files per staging table."""
     return rp.staging_stats({"orders_staging": fx.dirty_orders(spark, sf_dir),
                              "lineitem_staging": fx.dirty_lineitem(spark, sf_dir)})
+
+
+# --------------------------------------------------------------- sources (G)
+from lakegate.plans import landings as ld  # noqa: E402
+from lakegate.session import scratch_path  # noqa: E402
+from lakegate.sources import archives as ar  # noqa: E402
+from lakegate.sources import delimited as dl  # noqa: E402
+from lakegate.sources import landing as lg  # noqa: E402
+
+ORDER_B = ["orderdate", "orderkey", "orderpriority", "custkey", "orderstatus", "totalprice"]
+
+
+def _landing_frame(df: DataFrame) -> DataFrame:
+    """Reader output -> (_file_name = landed name from the folder, values)."""
+    return df.select(F.col(ld.LANDING).alias("_file_name"), *ORDER_VALUES)
+
+
+@query("csv_roundtrip_headers")
+def csv_roundtrip_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4..7 / H2: the dirty orders written as ';' CSV and read back under the
+    three header modes.  For HEADER_USE the files of the second half of each year
+    put their columns in another order; names are mapped per file from its header."""
+    d = fx.dirty_orders(spark, sf_dir)
+    root = scratch_path(spark, "csv-landing")
+    ld.write_csv(d, root, ORDER_VALUES)
+    mixed = scratch_path(spark, "csv-mixed")
+    first_half = F.substring(F.regexp_extract("_file_name", r"(\d{8})", 1), 5, 2).cast("int") <= 6
+    ld.write_csv(d.filter(first_half), mixed, ORDER_VALUES)
+    ld.write_csv(d.filter(~first_half), mixed, ORDER_B, mode="append")
+    out = None
+    for mode, path in (("", root), ("FIRST_LINE", root), ("HEADER_USE", mixed)):
+        r = dl.read_delimited(spark, path, ORDER_VALUES, header_mode=mode, delimiter=";")
+        r = r.select(F.regexp_extract("_file_path", r"landing_name=([^/]+)/", 1).alias("_file_name"), *ORDER_VALUES,
+                     F.lit(mode or "DEFAULT").alias("header_mode"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("corrupt_records")
+def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-8: text landing where some lines lose their last field or gain one; the
+    parser keeps them in ``_corrupt_record``."""
+    d = fx.dirty_orders(spark, sf_dir)
+    k = F.col("_line_order")
+    full = F.concat_ws(";", *ORDER_VALUES)
+    short = F.concat_ws(";", *ORDER_VALUES[:-1])
+    line = F.when(k % 29 == 0, short).when(k % 31 == 0, F.concat(full, F.lit(";extra"))).otherwise(full)
+    root = scratch_path(spark, "text-landing")
+    ld.write_text_with_header(d, root, ORDER_VALUES, line)
+    r = dl.read_delimited(spark, root, ORDER_VALUES, header_mode="FIRST_LINE", delimiter=";")
+    bad = dl.corrupt_lines(r)
+    return bad.select(F.regexp_extract("_file_path", r"landing_name=([^/]+)/", 1).alias("_file_name"),
+                      F.col(dl.CORRUPT).alias("corrupt_record"), *ORDER_VALUES)
+
+
+@query("json_parquet_sources")
+def json_parquet_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-9: the dirty orders as JSON and as Parquet landings, read back as text."""
+    d = fx.dirty_orders(spark, sf_dir)
+    jroot, proot = scratch_path(spark, "json-landing"), scratch_path(spark, "parquet-landing")
+    ld.write_json(d, jroot, ORDER_VALUES)
+    ld.write_parquet(d, proot, ORDER_VALUES)
+    j = dl.read_json(spark, jroot, ORDER_VALUES + [ld.LANDING])
+    p = dl.read_parquet_as_text(spark, proot, ORDER_VALUES + [ld.LANDING])
+    return _landing_frame(j).withColumn("format", F.lit("json")) \
+        .unionByName(_landing_frame(p).withColumn("format", F.lit("parquet")))
+
+
+@query("landing_listing")
+def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2/3/11: listing of a mixed landing (CSV, JSON, Parquet folders) without
+    reading content: landed names per detected format."""
+    d = fx.dirty_orders(spark, sf_dir)
+    root = scratch_path(spark, "mixed-landing")
+    ld.write_csv(d, f"{root}/csv", ORDER_VALUES)
+    ld.write_json(d, f"{root}/json", ORDER_VALUES)
+    ld.write_parquet(d, f"{root}/parquet", ORDER_VALUES)
+    m = lg.landing_manifest(spark, root)
+    return (m.select(F.regexp_extract("path", r"landing_name=([^/]+)/", 1).alias("landing_name"), "file_format")
+            .groupBy("landing_name", "file_format").agg(F.lit(True).alias("present")))
+
+
+@query("zip_expand")
+def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1: the dirty orders packed by tasks into zip archives (one entry per
+    landed name, plus __MACOSX and dot entries), expanded one task per archive."""
+    d = fx.dirty_orders(spark, sf_dir)
+    root = scratch_path(spark, "zip-landing")
+    ld.write_zips(d, root, ORDER_VALUES)
+    lines = ar.expand_archives(spark, root)
+    parsed = ar.parse_lines(lines.filter(F.col("status") == "OK"), ORDER_VALUES, ";")
+    return parsed.select("entry_name", "table_name", "line_no", *ORDER_VALUES)

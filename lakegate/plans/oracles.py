@@ -889,3 +889,52 @@ def _():
 SELECT 'orders_staging' AS table_name, count(*) AS row_count, count(DISTINCT _file_name) AS file_count FROM o
 UNION ALL
 SELECT 'lineitem_staging', count(*), count(DISTINCT _file_name) FROM l"""
+
+
+# --------------------------------------------------------------- sources (G)
+def _nz(c: str) -> str:
+    return f"NULLIF({c}, '')"
+
+
+@oracle("csv_roundtrip_headers")
+def _():
+    vals = ", ".join(f"{_nz(c)} AS {c}" for c in ORDER_VALUES_SQL.split(", "))
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT _file_name, {vals}, m.header_mode
+FROM d CROSS JOIN (VALUES ('DEFAULT'), ('FIRST_LINE'), ('HEADER_USE')) AS m(header_mode)"""
+
+
+@oracle("corrupt_records")
+def _():
+    cols = ORDER_VALUES_SQL.split(", ")
+    full = "concat_ws(';', " + ", ".join(cols) + ")"
+    short = "concat_ws(';', " + ", ".join(cols[:-1]) + ")"
+    vals = ", ".join(f"{_nz(c)} AS {c}" for c in cols[:-1])
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT _file_name,
+  CASE WHEN _line_order % 29 = 0 THEN {short} ELSE {full} || ';extra' END AS corrupt_record,
+  {vals}, CASE WHEN _line_order % 29 = 0 THEN NULL ELSE {_nz('orderpriority')} END AS orderpriority
+FROM d WHERE _line_order % 29 = 0 OR _line_order % 31 = 0"""
+
+
+@oracle("json_parquet_sources")
+def _():
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT _file_name, {ORDER_VALUES_SQL}, f.format
+FROM d CROSS JOIN (VALUES ('json'), ('parquet')) AS f(format)"""
+
+
+@oracle("landing_listing")
+def _():
+    return """WITH n AS (SELECT DISTINCT 'orders_' || strftime(o_orderdate, '%Y%m') || '01.csv' AS landing_name FROM orders)
+SELECT landing_name, f.file_format, true AS present
+FROM n CROSS JOIN (VALUES ('csv'), ('json'), ('parquet')) AS f(file_format)"""
+
+
+@oracle("zip_expand")
+def _():
+    vals = ", ".join(f"{_nz(c)} AS {c}" for c in ORDER_VALUES_SQL.split(", "))
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT _file_name AS entry_name, 'orders' AS table_name,
+  row_number() OVER (PARTITION BY _file_name ORDER BY _line_order) + 1 AS line_no, {vals}
+FROM d"""
