@@ -672,3 +672,67 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = ar.expand_archives(spark, root)
     parsed = ar.parse_lines(lines.filter(F.col("status") == "OK"), ORDER_VALUES, ";")
     return parsed.select("entry_name", "table_name", "line_no", *ORDER_VALUES)
+
+
+# -------------------------------------------------------------- streaming (H)
+from lakegate.plans.specs import ColumnRule  # noqa: E402
+from lakegate.streaming import staging as st  # noqa: E402
+
+EVENT_VALUES = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+EVENT_RULES = [
+    ColumnRule("event_id", "LONG", nullable=False),
+    ColumnRule("ts", "TIMESTAMP", pattern="yyyy-MM-dd HH:mm:ss.SSSSSS", nullable=False),
+    ColumnRule("user_id", "LONG", nullable=False, special="ismergekey"),
+    ColumnRule("event_type", "STRING"),
+    ColumnRule("value", "DECIMAL(18,2)", action="LOG_ONLY"),
+    ColumnRule("props", "STRING"),
+]
+
+
+def write_events_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The events table as one JSON-lines file per day (text cells)."""
+    e = fx.table(spark, sf_dir, "events")
+    text = e.select(
+        F.concat(F.lit("events_"), F.date_format("ts", "yyyyMMdd"), F.lit(".json")).alias(ld.LANDING),
+        F.col("event_id").cast("string").alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.col("user_id").cast("string").alias("user_id"),
+        "event_type",
+        F.col("value").cast("decimal(18,2)").cast("string").alias("value"),
+        "props",
+    )
+    root = scratch_path(spark, "events-landing")
+    text.repartition(ld.LANDING).write.partitionBy(ld.LANDING).json(root)
+    return root
+
+
+@query("stream_events_staging")
+def stream_events_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1/2, SNK-1: the events landing streamed (5 files per micro-batch, availableNow)
+    into a staging table; returns the staged rows."""
+    root = write_events_landing(spark, sf_dir)
+    s = st.landing_stream(spark, root, EVENT_VALUES, "json", max_files_per_trigger=5)
+    s = s.select(F.regexp_extract("_file_path", r"landing_name=([^/]+)/", 1).alias("_file_name"), *EVENT_VALUES)
+    staging = scratch_path(spark, "events_staging")
+    stats = st.stage(s, staging, scratch_path(spark, "events-staging-ckpt"))
+    if stats.rows <= 0:
+        raise RuntimeError("stream staged no rows")
+    return spark.read.parquet(staging)
+
+
+@query("stream_upsert_events")
+def stream_upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-3 inside foreachBatch: latest event per user, compared by (ts, event_id)."""
+    root = write_events_landing(spark, sf_dir)
+    s = st.landing_stream(spark, root, EVENT_VALUES, "json", max_files_per_trigger=5)
+    target = scratch_path(spark, "events_last")
+
+    def step(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        v = validate(batch, EVENT_RULES, keep=["_file_name"])
+        ok = v.filter(~F.col("_line_rejected")).select("_file_name", *EVENT_VALUES) \
+            .withColumn("event_rank", F.struct("ts", "event_id"))
+        return md.upsert(current, ok, ["user_id"], "event_rank", tiebreak=("event_id",))
+
+    st.apply_in_batches(s, target, scratch_path(spark, "events-last-ckpt"), step)
+    from lakegate.plans.tables import read_current
+    return read_current(spark, target).select("user_id", "event_id", "ts", "event_type", "value", "props")

@@ -938,3 +938,22 @@ def _():
 SELECT _file_name AS entry_name, 'orders' AS table_name,
   row_number() OVER (PARTITION BY _file_name ORDER BY _line_order) + 1 AS line_no, {vals}
 FROM d"""
+
+
+# ------------------------------------------------------------- streaming (H)
+@oracle("stream_events_staging")
+def _():
+    return """SELECT 'events_' || strftime(ts, '%Y%m%d') || '.json' AS _file_name,
+  CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+  CAST(user_id AS VARCHAR) AS user_id, event_type,
+  CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value, props
+FROM events"""
+
+
+@oracle("stream_upsert_events")
+def _():
+    return """WITH r AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT user_id, event_id, strptime(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '%Y-%m-%d %H:%M:%S.%f') AS ts,
+  event_type, CAST(value AS DECIMAL(18,2)) AS value, props
+FROM r WHERE rn = 1"""
