@@ -214,12 +214,20 @@ def load_column_rules(column_sheet_df: DataFrame, table: str | None = None,
         df = df.filter(F.col("table_name") == table.lower())
     rules = _rows_to(ColumnRule, _collect_config(df.orderBy("position")))
     if check_patterns and rules:
-        spark = column_sheet_df.sparkSession
-        for r in rules:
-            validate_pattern(spark, r)
+        validate_patterns(column_sheet_df.sparkSession, rules)
     return rules
 
 
+def validate_patterns(spark: SparkSession, rules: Sequence[ColumnRule]) -> None:
+    """D20 for a whole spec: every date pattern checked in one small job."""
+    probes = [F.try_to_timestamp(F.lit("x"), F.lit(r.date_pattern)) for r in rules if r.is_date]
+    if probes:
+        spark.range(1).select(*probes).collect()  # raises INVALID_DATETIME_PATTERN on a bad one
+    for r in rules:
+        if (r.transformation or "") == "regex" and r.pattern:
+            re.compile(r.pattern)
+
+
 def merge_keys(rules: Sequence[ColumnRule]) -> list[str]:
     """MOD-8: columns flagged IsMergeKey (case-insensitive), in sheet order."""
     return [r.name for r in rules if (r.special or "") == SPECIAL_MERGE_KEY]

@@ -77,3 +77,14 @@ def ensure_dir(path: str) -> None:
     p = local_path(path)
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a frame over the cluster's cores when its scan yields fewer
+    partitions than cores (a few large row groups).  CPU-heavy row work (parsing,
+    validation) then uses every core; a large input already has more splits than
+    cores and is returned unchanged (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
