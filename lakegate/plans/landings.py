@@ -94,3 +94,40 @@ def write_zips(df: DataFrame, root: str, names: Sequence[str], archives: int = 4
     summary = body.mapInPandas(_zip_writer(root, names, delimiter), "archive string, entries int, lines long")
     rows = summary.collect()  # one small row per archive written; forces the write
     return df.sparkSession.createDataFrame(rows, "archive string, entries int, lines long")
+
+
+def _named_csv_writer(root: str, names: Sequence[str], delimiter: str):
+    import csv
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, fh, w, done = None, None, None, []
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                name = row[0]
+                if name != current:
+                    if fh is not None:
+                        fh.close()
+                    fh = open(os.path.join(local_path(root), name), "w", encoding="utf-8", newline="")
+                    w = csv.writer(fh, delimiter=delimiter, quotechar='"', lineterminator="\n")
+                    w.writerow(list(names))
+                    current = name
+                    done.append(name)
+                w.writerow(["" if v is None else v for v in row[2:]])
+        if fh is not None:
+            fh.close()
+        if done:
+            yield pd.DataFrame({"file": done})
+    return write
+
+
+def write_named_csv(df: DataFrame, root: str, names: Sequence[str], delimiter: str = ";",
+                    file_col: str = "_file_name", order_col: str = "_line_order") -> int:
+    """Landed files named as the source sends them (``<table>_<yyyymmdd>.csv``), one
+    per distinct ``file_col``, header line first, lines in ``order_col`` order.
+    Written by tasks (a landed file is one task's output); the folder must be a
+    mounted path the workers can open.  Returns the number of files written."""
+    ensure_dir(root)
+    body = (df.select(F.col(file_col).alias(LANDING), F.col(order_col).alias("_o"),
+                      *[F.col(n).cast("string") for n in names])
+            .repartition(LANDING).sortWithinPartitions(LANDING, "_o"))
+    return len(body.mapInPandas(_named_csv_writer(root, names, delimiter), "file string").collect())

@@ -47,8 +47,12 @@ def text_schema(names: Sequence[str], corrupt: bool = True) -> T.StructType:
 
 
 def _with_file(df: DataFrame) -> DataFrame:
+    """File path / name of each line, plus the split start and a row id taken on
+    the scan itself (consecutive within a split) for file-order line numbers."""
     return df.select("*", F.col("_metadata.file_path").alias("_file_path"),
-                     F.col("_metadata.file_name").alias("_file_name"))
+                     F.col("_metadata.file_name").alias("_file_name"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_rid"))
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], *,
@@ -94,7 +98,7 @@ def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) ->
     width = F.size(F.filter(F.col("_header"), lambda x: x.isNotNull()))
     filled = F.size(F.filter(cells, lambda x: x.isNotNull()))
     return j.select(*out, F.when(filled > width, F.concat_ws(",", cells)).alias(CORRUPT),
-                    "_file_path", "_file_name")
+                    "_file_path", "_file_name", "_block", "_rid")
 
 
 def corrupt_lines(df: DataFrame) -> DataFrame:
