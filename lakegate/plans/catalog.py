@@ -736,3 +736,25 @@ def stream_upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     st.apply_in_batches(s, target, scratch_path(spark, "events-last-ckpt"), step)
     from lakegate.plans.tables import read_current
     return read_current(spark, target).select("user_id", "event_id", "ts", "event_type", "value", "props")
+
+
+# ------------------------------------------------------- end-to-end run (I)
+LINEITEM_VALUES = ["orderkey", "linenumber", "partkey", "suppkey", "quantity", "extendedprice", "discount", "tax",
+                   "returnflag", "linestatus", "shipdate"]
+
+
+@query("ingest_run_quality")
+def ingest_run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 end to end: the dirty orders (';', FIRST_LINE) and lineitem (',', HEADER_USE)
+    landings written as real named files, ingested by one run (file gates, reads,
+    line numbers, validation, staging, tolerance gates, modes, sinks); returns the
+    run's quality log (RPT-4) for both tables."""
+    from lakegate.plans.ingest import Ingestion, RunParams
+    from lakegate.plans.specs import column_sheet
+    land = scratch_path(spark, "named-landing")
+    ld.write_named_csv(fx.dirty_orders(spark, sf_dir), land, ORDER_VALUES, ";")
+    ld.write_named_csv(fx.dirty_lineitem(spark, sf_dir), land, LINEITEM_VALUES, ",")
+    tsheet = table_sheet(spark, fx.ORDERS_TABLE_ROWS + fx.LINEITEM_TABLE_ROWS)
+    csheet = column_sheet(spark, fx.ORDERS_COLUMN_ROWS + fx.LINEITEM_COLUMN_ROWS)
+    run = Ingestion(spark, tsheet, csheet, scratch_path(spark, "warehouse"), RunParams())
+    return run.run(land, "r1", run_at=cm.AS_OF).quality_log

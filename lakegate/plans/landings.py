@@ -100,19 +100,19 @@ def _named_csv_writer(root: str, names: Sequence[str], delimiter: str):
     import csv
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, fh, w, done = None, None, None, []
+        current, fh, done = None, None, []
         for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                name = row[0]
+            # rows arrive sorted by landed name: write each run of one name as a chunk
+            for name, chunk in pdf.groupby(LANDING, sort=False):
                 if name != current:
                     if fh is not None:
                         fh.close()
                     fh = open(os.path.join(local_path(root), name), "w", encoding="utf-8", newline="")
-                    w = csv.writer(fh, delimiter=delimiter, quotechar='"', lineterminator="\n")
-                    w.writerow(list(names))
+                    fh.write(delimiter.join(names) + "\n")
                     current = name
                     done.append(name)
-                w.writerow(["" if v is None else v for v in row[2:]])
+                chunk[list(names)].to_csv(fh, sep=delimiter, header=False, index=False, quotechar='"',
+                                          quoting=csv.QUOTE_MINIMAL, lineterminator="\n", na_rep="")
         if fh is not None:
             fh.close()
         if done:

@@ -957,3 +957,13 @@ def _():
 SELECT user_id, event_id, strptime(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '%Y-%m-%d %H:%M:%S.%f') AS ts,
   event_type, CAST(value AS DECIMAL(18,2)) AS value, props
 FROM r WHERE rn = 1"""
+
+
+# ------------------------------------------------------- end-to-end run (I)
+@oracle("ingest_run_quality")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {orders_gate_ctes()}, {lineitem_typed_ctes()}, {lineitem_gate_ctes()}
+SELECT 'orders' AS table_name, _file_name AS filename, total_lines AS total_rows,
+       total_lines - rejected_lines AS valid_rows, rejected_lines AS invalid_rows, file_status AS status FROM dec
+UNION ALL
+SELECT 'lineitem', _file_name, total_lines, total_lines - rejected_lines, rejected_lines, file_status FROM ldec"""

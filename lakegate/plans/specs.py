@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegate.constants import (ACTION_ICT, DEFAULT_DATE_PATTERNS, ERROR_ACTIONS,
+from lakegate.constants import (ACTION_ICT, DEFAULT_DATE_PATTERNS, ERROR_ACTIONS, NULL_TOKENS,
                                 SPECIAL_MERGE_KEY, SPECIAL_START_VALIDITY)
 from lakegate.functions.config import parse_bool, parse_percent
 from lakegate.functions.text import null_token
@@ -80,29 +80,36 @@ def _cell(df: DataFrame, name: str) -> Column:
     return null_token(F.col(f"`{name}`")) if name in df.columns else F.lit(None).cast("string")
 
 
+def _clean_cells(sheet: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """First projection: every sheet cell through PRJ-9 once (short column names)."""
+    return sheet.select(F.col("position").cast("long").alias("position"),
+                        *[_cell(sheet, c).alias(f"c{i}") for i, c in enumerate(cols)])
+
+
 # ----------------------------------------------------------------- tables
 def normalise_table_sheet(sheet: DataFrame, ict_default: float = 10.0,
                           rlt_default: float = 10.0, partitioning_default: str = "yyyy/mm/dd") -> DataFrame:
     """PRJ-9/SCA-8/MOD-7 on the table sheet; one clean row per table."""
-    base = F.lower(_cell(sheet, "Delta Table Name"))
-    conf = _cell(sheet, "delta_table_name_conf")
-    last_conf = F.coalesce(_cell(sheet, "last_table_name_conf"), _cell(sheet, "Last Table Name"))
-    stem = F.coalesce(conf, base)
-    return sheet.select(
-        F.col("position").cast("long").alias("position"),
+    c = {name: F.col(f"c{i}") for i, name in enumerate(TABLE_SHEET_COLUMNS)}
+    clean = _clean_cells(sheet, TABLE_SHEET_COLUMNS)
+    base = F.lower(c["Delta Table Name"])
+    stem = F.coalesce(c["delta_table_name_conf"], base)
+    last_conf = F.coalesce(c["last_table_name_conf"], c["Last Table Name"])
+    return clean.select(
+        "position",
         base.alias("table_name"),
-        _cell(sheet, "Filename Pattern").alias("filename_pattern"),
-        F.lower(F.coalesce(_cell(sheet, "Input Format"), F.lit("csv"))).alias("input_format"),
-        F.coalesce(_cell(sheet, "Input delimiter"), F.lit(",")).alias("delimiter"),
-        F.coalesce(_cell(sheet, "Input charset"), F.lit("UTF-8")).alias("charset"),
-        F.coalesce(F.upper(_cell(sheet, "Input header")), F.lit("")).alias("header_mode"),
-        F.coalesce(F.upper(_cell(sheet, "Ingestion mode")), F.lit("")).alias("ingestion_mode"),
+        c["Filename Pattern"].alias("filename_pattern"),
+        F.lower(F.coalesce(c["Input Format"], F.lit("csv"))).alias("input_format"),
+        F.coalesce(c["Input delimiter"], F.lit(",")).alias("delimiter"),
+        F.coalesce(c["Input charset"], F.lit("UTF-8")).alias("charset"),
+        F.coalesce(F.upper(c["Input header"]), F.lit("")).alias("header_mode"),
+        F.coalesce(F.upper(c["Ingestion mode"]), F.lit("")).alias("ingestion_mode"),
         F.concat(stem, F.lit("_all")).alias("all_table"),
         F.coalesce(last_conf, F.concat(stem, F.lit("_last"))).alias("last_table"),
-        _cell(sheet, "fix_part_filename").alias("fix_part"),
-        parse_percent(_cell(sheet, "Invalid column per line tolerance"), ict_default).alias("ict"),
-        parse_percent(_cell(sheet, "Rejected line per file tolerance"), rlt_default).alias("rlt"),
-        F.lower(F.coalesce(_cell(sheet, "Partitioning"), F.lit(partitioning_default))).alias("partitioning"),
+        c["fix_part_filename"].alias("fix_part"),
+        parse_percent(c["Invalid column per line tolerance"], ict_default, clean=True).alias("ict"),
+        parse_percent(c["Rejected line per file tolerance"], rlt_default, clean=True).alias("rlt"),
+        F.lower(F.coalesce(c["Partitioning"], F.lit(partitioning_default))).alias("partitioning"),
     )
 
 
@@ -127,23 +134,24 @@ class TableRule:
 # ---------------------------------------------------------------- columns
 def normalise_column_sheet(sheet: DataFrame) -> DataFrame:
     """PRJ-9/SCA-8/MOD-8 on the column sheet."""
-    action = F.upper(_cell(sheet, "Error action"))
-    special = F.lower(_cell(sheet, "Is Special"))
-    return sheet.select(
-        F.col("position").cast("long").alias("position"),
-        F.lower(_cell(sheet, "Delta Table Name")).alias("table_name"),
-        _cell(sheet, "Column Name").alias("name"),
-        F.upper(F.coalesce(_cell(sheet, "Field type"), F.lit("STRING"))).alias("field_type"),
-        F.lower(_cell(sheet, "Transformation Type")).alias("transformation"),
-        _cell(sheet, "Transformation pattern").alias("pattern"),
-        F.coalesce(_cell(sheet, "Regex replacement"), F.lit("")).alias("replacement"),
-        parse_bool(_cell(sheet, "Is Nullable"), True).alias("nullable"),
+    c = {name: F.col(f"c{i}") for i, name in enumerate(COLUMN_SHEET_COLUMNS)}
+    clean = _clean_cells(sheet, COLUMN_SHEET_COLUMNS)
+    action = F.upper(c["Error action"])
+    return clean.select(
+        "position",
+        F.lower(c["Delta Table Name"]).alias("table_name"),
+        c["Column Name"].alias("name"),
+        F.upper(F.coalesce(c["Field type"], F.lit("STRING"))).alias("field_type"),
+        F.lower(c["Transformation Type"]).alias("transformation"),
+        c["Transformation pattern"].alias("pattern"),
+        F.coalesce(c["Regex replacement"], F.lit("")).alias("replacement"),
+        parse_bool(c["Is Nullable"], True, clean=True).alias("nullable"),
         F.when(action.isin(*ERROR_ACTIONS), action).otherwise(F.lit(ACTION_ICT)).alias("action"),
-        _cell(sheet, "Default when invalid").alias("default"),
-        special.alias("special"),
-        parse_percent(_cell(sheet, "Rejected line per file tolerance"), None).alias("tolerance"),
-        _cell(sheet, "Comment").alias("comment"),
-        F.lower(_cell(sheet, "Enrich type")).alias("enrich"),
+        c["Default when invalid"].alias("default"),
+        F.lower(c["Is Special"]).alias("special"),
+        parse_percent(c["Rejected line per file tolerance"], None, clean=True).alias("tolerance"),
+        c["Comment"].alias("comment"),
+        F.lower(c["Enrich type"]).alias("enrich"),
     )
 
 
@@ -199,20 +207,87 @@ def validate_pattern(spark: SparkSession, rule: ColumnRule) -> None:
         re.compile(rule.pattern)
 
 
-def load_table_rules(table_sheet_df: DataFrame, **defaults) -> dict[str, TableRule]:
-    rows = _collect_config(normalise_table_sheet(table_sheet_df, **defaults).orderBy("position"))
+# Driver-side normalisation of the collected sheet rows.  Same rules as the
+# expression versions above (``normalise_*_sheet``, used where a spec frame is
+# joined); tests assert both give the same result.
+def _py_cell(v) -> str | None:
+    if v is None:
+        return None
+    t = str(v).strip()
+    return None if t.lower() in NULL_TOKENS else t
+
+
+def _py_bool(v, default: bool) -> bool:
+    t = (_py_cell(v) or "").lower()
+    if t in ("true", "t", "yes", "y", "1", "oui", "o"):
+        return True
+    if t in ("false", "f", "no", "n", "0", "non"):
+        return False
+    return default
+
+
+def _py_percent(v, default) -> Decimal | None:
+    t = _py_cell(v)
+    dflt = None if default is None else Decimal(str(default)).quantize(Decimal("0.0001"))
+    if t is None:
+        return dflt
+    try:
+        num = Decimal(t.replace("%", "").replace(",", ".")).quantize(Decimal("0.0001"))
+    except ArithmeticError:
+        return dflt
+    out = num if (t.endswith("%") or num > 1) else num * 100
+    return out.quantize(Decimal("0.0001"))
+
+
+def _raw_rows(sheet: DataFrame) -> list[dict]:
+    return sorted((r.asDict() for r in _collect_config(sheet)), key=lambda r: r.get("position") or 0)
+
+
+def table_rule_from_cells(r: dict, ict_default=10.0, rlt_default=10.0,
+                          partitioning_default: str = "yyyy/mm/dd") -> TableRule:
+    g = lambda k: _py_cell(r.get(k))
+    base = (g("Delta Table Name") or "").lower()
+    stem = g("delta_table_name_conf") or base
+    return TableRule(
+        table_name=base, filename_pattern=g("Filename Pattern"),
+        input_format=(g("Input Format") or "csv").lower(), delimiter=g("Input delimiter") or ",",
+        charset=g("Input charset") or "UTF-8", header_mode=(g("Input header") or "").upper(),
+        ingestion_mode=(g("Ingestion mode") or "").upper(), all_table=f"{stem}_all",
+        last_table=g("last_table_name_conf") or g("Last Table Name") or f"{stem}_last",
+        fix_part=g("fix_part_filename"),
+        ict=_py_percent(r.get("Invalid column per line tolerance"), ict_default),
+        rlt=_py_percent(r.get("Rejected line per file tolerance"), rlt_default),
+        partitioning=(g("Partitioning") or partitioning_default).lower(), position=int(r.get("position") or 0))
+
+
+def column_rule_from_cells(r: dict) -> ColumnRule:
+    g = lambda k: _py_cell(r.get(k))
+    action = (g("Error action") or "").upper()
+    return ColumnRule(
+        name=g("Column Name") or "", field_type=(g("Field type") or "STRING").upper(),
+        transformation=(g("Transformation Type") or "").lower() or None, pattern=g("Transformation pattern"),
+        replacement=g("Regex replacement") or "", nullable=_py_bool(r.get("Is Nullable"), True),
+        action=action if action in ERROR_ACTIONS else ACTION_ICT, default=g("Default when invalid"),
+        special=(g("Is Special") or "").lower() or None,
+        tolerance=_py_percent(r.get("Rejected line per file tolerance"), None),
+        comment=g("Comment"), enrich=(g("Enrich type") or "").lower() or None,
+        position=int(r.get("position") or 0), table_name=(g("Delta Table Name") or "").lower() or None)
+
+
+def load_table_rules(table_sheet_df: DataFrame, ict_default: float = 10.0, rlt_default: float = 10.0,
+                     partitioning_default: str = "yyyy/mm/dd") -> dict[str, TableRule]:
     out: dict[str, TableRule] = {}
-    for rule in _rows_to(TableRule, rows):
+    for r in _raw_rows(table_sheet_df):
+        rule = table_rule_from_cells(r, ict_default, rlt_default, partitioning_default)
         out.setdefault(rule.table_name, rule)
     return out
 
 
 def load_column_rules(column_sheet_df: DataFrame, table: str | None = None,
                       check_patterns: bool = True) -> list[ColumnRule]:
-    df = normalise_column_sheet(column_sheet_df)
+    rules = [column_rule_from_cells(r) for r in _raw_rows(column_sheet_df)]
     if table is not None:
-        df = df.filter(F.col("table_name") == table.lower())
-    rules = _rows_to(ColumnRule, _collect_config(df.orderBy("position")))
+        rules = [r for r in rules if r.table_name == table.lower()]
     if check_patterns and rules:
         validate_patterns(column_sheet_df.sparkSession, rules)
     return rules

@@ -33,3 +33,16 @@ def test_bad_date_pattern_rejected_at_load(spark):
     rows = [{"Delta Table Name": "t", "Column Name": "d", "Field type": "DATE", "Transformation pattern": "qqqqq"}]
     with pytest.raises(Exception):
         load_column_rules(column_sheet(spark, rows), "t")
+
+
+def test_driver_and_expression_normalisation_agree(spark):
+    from lakegate.plans import fixtures as fx
+    from lakegate.plans.specs import (ColumnRule, TableRule, _rows_to, normalise_column_sheet,
+                                      normalise_table_sheet)
+    cs = column_sheet(spark, fx.ORDERS_COLUMN_ROWS + fx.LINEITEM_COLUMN_ROWS)
+    ts = table_sheet(spark, fx.ORDERS_TABLE_ROWS + fx.LINEITEM_TABLE_ROWS + [{"Delta Table Name": "x",
+                                                                              "Rejected line per file tolerance": "0.05"}])
+    via_expr = _rows_to(ColumnRule, normalise_column_sheet(cs).orderBy("position").collect())
+    assert via_expr == load_column_rules(cs, check_patterns=False)
+    t_expr = {r.table_name: r for r in _rows_to(TableRule, normalise_table_sheet(ts).orderBy("position").collect())}
+    assert t_expr == load_table_rules(ts)
