@@ -758,3 +758,11 @@ def ingest_run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     csheet = column_sheet(spark, fx.ORDERS_COLUMN_ROWS + fx.LINEITEM_COLUMN_ROWS)
     run = Ingestion(spark, tsheet, csheet, scratch_path(spark, "warehouse"), RunParams())
     return run.run(land, "r1", run_at=cm.AS_OF).quality_log
+
+
+@query("files_by_table")
+def files_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-3 / SRC-11: landed files grouped per derived table (count, first / last name, folders)."""
+    g = fl.files_by_table(fl.describe_files(cm.landing_manifest(spark, sf_dir)))
+    return g.select("table_name", "file_count", F.element_at("files", 1).alias("first_file"),
+                    F.element_at("files", -1).alias("last_file"), F.size("folders").alias("folders"))

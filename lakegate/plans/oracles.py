@@ -967,3 +967,12 @@ SELECT 'orders' AS table_name, _file_name AS filename, total_lines AS total_rows
        total_lines - rejected_lines AS valid_rows, rejected_lines AS invalid_rows, file_status AS status FROM dec
 UNION ALL
 SELECT 'lineitem', _file_name, total_lines, total_lines - rejected_lines, rejected_lines, file_status FROM ldec"""
+
+
+@oracle("files_by_table")
+def _():
+    return f"""WITH {landing_cte()},
+f AS (SELECT path, filename, {table_from_name('filename')} AS table_name FROM lm)
+SELECT table_name, count(*) AS file_count, min(filename) AS first_file, max(filename) AS last_file,
+  CAST(count(DISTINCT regexp_replace(path, '/[^/]*$', '')) AS INTEGER) AS folders
+FROM f GROUP BY table_name"""
