@@ -74,7 +74,8 @@ def upsert(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], cmp: s
 
     Target and batch are unioned and reduced with one ``max(struct(cmp, is_target,
     tiebreak, row))`` per key - a map-side-combined aggregation, no join, no skew.
-    Rows with a NULL key never match anything (``null_safe=True`` lets NULL match NULL).
+    Rows with a NULL key never match anything (``null_safe=True`` lets NULL match NULL);
+    ``tiebreak`` must identify a line (file name + line number by default).
     """
     if not keys:
         raise ValueError("upsert needs merge keys (IsMergeKey columns)")
@@ -85,15 +86,13 @@ def upsert(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], cmp: s
     packed = F.struct(F.col(f"`{cmp}`").alias("_cmp"), F.col("_is_target"),
                       *[t.alias(f"_t{i}") for i, t in enumerate(tb)],
                       F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
-    if null_safe:
-        matched, loose = both, None
-    else:
-        matched, loose = both.filter(~_has_null_key(keys)), both.filter(_has_null_key(keys))
-    best = matched.groupBy(*keys).agg(F.max(packed).alias("_best"))
-    out = best.select(*keys, *[F.col("_best._row")[c].alias(c) for c in cols]).select(*batch.columns)
-    if loose is not None:
-        out = out.unionByName(loose.drop("_is_target"))
-    return out
+    group = [F.col(f"`{k}`") for k in keys]
+    if not null_safe:
+        # A row with a NULL key is its own group (its line identity joins the key), so it
+        # passes through unchanged - still one aggregation, one pass over the inputs.
+        group.append(F.when(_has_null_key(keys), F.struct(F.col("_is_target"), *tb)).alias("_nk"))
+    best = both.groupBy(*group).agg(F.max(packed).alias("_best"))
+    return best.select(*keys, *[F.col("_best._row")[c].alias(c) for c in cols]).select(*batch.columns)
 
 
 def key_replace(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
