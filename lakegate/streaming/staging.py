@@ -84,16 +84,24 @@ def apply_in_batches(stream: DataFrame, target_root: str, checkpoint: str,
     """Run ``step(current_target, micro_batch) -> new_target`` per micro-batch,
     writing target version = batch id (idempotent on replay)."""
 
+    seen_rows: dict[int, int] = {}
+
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch_id in tb.committed_versions(spark, target_root):
             return  # replay of a batch already applied
         current = latest_before(spark, target_root, batch_id)
-        tb.write_version(step(current, batch), target_root, version=batch_id)
+        cached = batch.persist()
+        seen_rows[batch_id] = cached.count()
+        tb.write_version(step(current, cached), target_root, version=batch_id)
+        cached.unpersist()
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    return run_available_now(q)
+    q.awaitTermination()
+    # numInputRows grows with every action on a micro-batch, so count each batch once here
+    rows = sum(seen_rows.values())
+    return RunStats(rows, len([n for n in seen_rows.values() if n > 0]), "SUCCESS" if rows else "NO_DATA")
 
 
 def list_staging_tables(spark: SparkSession, base: str) -> DataFrame:

@@ -82,3 +82,29 @@ def test_two_runs(spark, tmp_root):
     assert sorted(x["id"] for x in tb.read_current(spark, f"{wh}/sales_last").collect()) == [1, 3, 4, 5]
     trk = tb.read_current(spark, f"{wh}/tracking")
     assert trk.filter(F.col("status") == "FAILED").count() == 5
+
+
+def test_stream_run_equals_batch(spark, tmp_root):
+    land = f"{tmp_root}/sl"
+    for d in range(1, 7):
+        write(f"{land}/sales_2025010{d}.csv", "id;amount;day\n" +
+              "".join(f"{d * 10 + j};{j},5;0{d}/01/2025\n" for j in range(4)) + f"{d};x;0{d}/01/2025\n")
+    write(f"{land}/sales_20251399.csv", "id;amount;day\n1;1;01/01/2025\n")
+    write(f"{land}/stock_20250101.csv", "qty,sku\n5,A\n")
+    # files arrive in date order: the stream takes them by modification time
+    for i, name in enumerate(sorted(os.listdir(land))):
+        os.utime(f"{land}/{name}", (1_700_000_000 + i * 60, 1_700_000_000 + i * 60))
+    sheets = (table_sheet(spark, TABLES), column_sheet(spark, COLUMNS))
+    wh_s, wh_b = f"{tmp_root}/whs", f"{tmp_root}/whb"
+    stats = Ingestion(spark, *sheets, wh_s).run_stream(land, "sales", f"{tmp_root}/ck", "s",
+                                                       max_files_per_trigger=2, run_at="2025-01-10 00:00:00")
+    assert stats.rows == 6 * 5 + 1 and stats.batches >= 3
+    Ingestion(spark, *sheets, wh_b).run(land, "b", run_at="2025-01-10 00:00:00")
+    cols = ["FILE_NAME_RECEIVED", "FILE_LINE_ID", "id", "amount", "day"]
+    s_last = sorted(tuple(r) for r in tb.read_current(spark, f"{wh_s}/sales_last").select(*cols).collect())
+    b_last = sorted(tuple(r) for r in tb.read_current(spark, f"{wh_b}/sales_last").select(*cols).collect())
+    assert s_last == b_last and len(s_last) == 24
+    failed = tb.read_current(spark, f"{wh_s}/tracking").filter("status = 'FAILED'").collect()
+    assert [r["filename"] for r in failed] == ["sales_20251399.csv"]
+    again = Ingestion(spark, *sheets, wh_s).run_stream(land, "sales", f"{tmp_root}/ck", "s")
+    assert again.rows == 0
