@@ -766,3 +766,22 @@ def files_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = fl.files_by_table(fl.describe_files(cm.landing_manifest(spark, sf_dir)))
     return g.select("table_name", "file_count", F.element_at("files", 1).alias("first_file"),
                     F.element_at("files", -1).alias("last_file"), F.size("folders").alias("folders"))
+
+
+@query("stream_ingest_orders")
+def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1 + E2 in a stream: the named orders landing taken 40 files per micro-batch;
+    each batch runs file gates, rules, tolerance gates and the upsert; returns `_last`.
+    (The landing writer gives files arbitrary modification times, so the file-order
+    check - an independent toggle - is off here.)"""
+    from lakegate.plans.ingest import Ingestion, RunParams
+    from lakegate.plans.specs import column_sheet
+    from lakegate.plans.tables import read_current
+    land = scratch_path(spark, "named-orders-landing")
+    ld.write_named_csv(fx.dirty_orders(spark, sf_dir), land, ORDER_VALUES, ";")
+    wh = scratch_path(spark, "stream-warehouse")
+    run = Ingestion(spark, table_sheet(spark, fx.ORDERS_TABLE_ROWS), column_sheet(spark, fx.ORDERS_COLUMN_ROWS),
+                    wh, RunParams(file_order_check_enabled=False))
+    run.run_stream(land, "orders", scratch_path(spark, "stream-ingest-ckpt"), "s", max_files_per_trigger=40,
+                   run_at=cm.AS_OF)
+    return read_current(spark, f"{wh}/orders_last").select(*TECH_AND_VALUES)

@@ -196,13 +196,16 @@ class Ingestion:
             F.lit("FAILED").alias("status"), F.col("gate_code").alias("error_code"),
             F.col("gate_reason").alias("reason"))]
         reports, qlogs, table_paths = [], [], {}
+        work = []
         for tname, trule in self.tables.items():
             paths = [r["path"] for r in accepted_meta if r["table_name"] == tname]
             if not paths:
                 continue
             direct_paths = [x for x in paths if "!" not in x]
-            res = self._run_table(trule, direct_paths, zip_lines if any("!" in x for x in paths) else None,
-                                  run_id, processed)
+            zl = zip_lines if any("!" in x for x in paths) else None
+            work.append((tname, lambda t=trule, d=direct_paths, z=zl: self._run_table(t, d, z, run_id, processed)))
+        # Tables are independent: their jobs are submitted from parallel threads.
+        for (tname, _), res in zip(work, _concurrently([w for _, w in work])):
             outcomes.append(res["outcomes"])
             reports.append(res["report"])
             qlogs.append(res["quality"])
@@ -267,17 +270,19 @@ class Ingestion:
         cur = tb.read_current(spark, last_root)
         res = md.apply_mode(trule.ingestion_mode, cur, None, batch_last, merge_keys(rules),
                             start_validity_column(rules))
-        if res.last_written:
-            tb.write_version(res.last, last_root)
         parts = [c for c in ("yyyy", "mm", "dd", "hhmmss") if c in batch_all.columns]
-        batch_all.write.mode("overwrite").partitionBy(*parts).parquet(all_root)
         paths_out = {"last": last_root, "all": self.path(trule.all_table), "staging": staging}
+        # The three sinks are independent jobs over staging: submit them together.
+        writes = [lambda: batch_all.write.mode("overwrite").partitionBy(*parts).parquet(all_root)]
+        if res.last_written:
+            writes.append(lambda: tb.write_version(res.last, last_root))
         if p.invalid_lines_generated:
             inv = il.invalid_lines(routed, business, id_col="_rid", line_col="line_number", raw_col="_raw_data",
                                    rejection_date=processed)
             inv_root = self.path(f"{trule.table_name}_invalid_lines", f"run={run_id}")
-            inv.write.mode("overwrite").parquet(inv_root)
+            writes.append(lambda: inv.write.mode("overwrite").parquet(inv_root))
             paths_out["invalid_lines"] = self.path(f"{trule.table_name}_invalid_lines")
+        _concurrently(writes)
         written = routed.groupBy("_file_name").agg(F.count_if(F.col(TO_ALL)).alias("rows_to_all"))
         o = dec.join(written, "_file_name", "left").select(
             F.lit(trule.table_name).alias("table_name"), F.col("_file_name").alias("filename"),
@@ -357,6 +362,15 @@ class Ingestion:
         return stg.RunStats(rows, len([n for n in seen_rows.values() if n > 0]), "SUCCESS" if rows else "NO_DATA")
 
 
+def _concurrently(tasks: list, max_workers: int = 4) -> list:
+    """Run callables that each submit Spark jobs from their own thread; results in order."""
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as ex:
+        return list(ex.map(lambda f: f(), tasks))
+
+
 def _name_glob(table: str) -> str:
     """Case-insensitive file-name glob of a table (PRJ-3, D4): '<table>_*' or '<table>.csv'."""
     t = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in table)

@@ -976,3 +976,10 @@ f AS (SELECT path, filename, {table_from_name('filename')} AS table_name FROM lm
 SELECT table_name, count(*) AS file_count, min(filename) AS first_file, max(filename) AS last_file,
   CAST(count(DISTINCT regexp_replace(path, '/[^/]*$', '')) AS INTEGER) AS folders
 FROM f GROUP BY table_name"""
+
+
+@oracle("stream_ingest_orders")
+def _():
+    return f"""WITH {batches_ctes()}
+SELECT FILE_LINE_ID, FILE_NAME_RECEIVED, FILE_EXTRACTION_DATE, {AS_OF_SQL} AS FILE_PROCESS_DATE, {ORDER_VALUES_SQL}
+FROM b1l"""
