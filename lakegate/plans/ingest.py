@@ -111,8 +111,9 @@ class Ingestion:
         return "/".join([self.warehouse, *parts])
 
     def tracking(self) -> DataFrame:
-        cur = tb.read_current(self.spark, self.path("tracking"))
-        return cur if cur is not None else self.spark.createDataFrame([], tk.TRACKING_SCHEMA)
+        """All registrations so far (append-only run folders of the tracking table)."""
+        cur = tb.read_runs(self.spark, self.path("tracking"), tk.TRACKING_SCHEMA)
+        return cur.select(*tk.TRACKING_SCHEMA.fieldNames())
 
     # ------------------------------------------------------------- gates
     def file_gates(self, manifest: DataFrame) -> DataFrame:
@@ -214,7 +215,7 @@ class Ingestion:
         out = out.withColumn("rows_rejected", F.when(F.col("status") == "SUCCESS", F.col("rejected_lines"))
                              .otherwise(F.coalesce(F.col("total_lines"), F.lit(0))).cast("long")).persist()
         new_tracking = tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed)
-        tb.append_version(new_tracking, self.path("tracking"))
+        tb.write_run(new_tracking, self.path("tracking"), run_id)
         gated.unpersist()
         def union(xs: list[DataFrame]) -> DataFrame:
             return reduce(lambda a, b: a.unionByName(b), xs)
@@ -350,8 +351,8 @@ class Ingestion:
                 F.lit("FAILED").alias("status"), F.col("gate_code").alias("error_code"),
                 F.col("gate_reason").alias("reason"))
             out = res["outcomes"].unionByName(failed)
-            tb.append_version(tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed),
-                              self.path("tracking"))
+            tb.write_run(tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed),
+                         self.path("tracking"), f"{run_prefix}-{batch_id}")
             gated.unpersist()
             raw.unpersist()
 

@@ -97,3 +97,27 @@ def row_count_by_version(spark: SparkSession, root: str) -> DataFrame:
     df = spark.read.parquet(*[f"{root.rstrip('/')}/v={v}" for v in vs]).withColumn("_f", F.input_file_name())
     return df.select(F.regexp_extract("_f", r"/v=(\d+)/", 1).cast("int").alias("version")) \
         .groupBy("version").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def write_run(df: DataFrame, root: str, run_id: str, partition_by: Sequence[str] = ()) -> str:
+    """Append-only table: this run's rows in ``<root>/run=<run_id>`` (rewritten as a
+    whole on a retry of the same run, so a retried job never duplicates rows)."""
+    path = f"{root.rstrip('/')}/run={run_id}"
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return path
+
+
+def read_runs(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """All committed run folders of an append-only table (``run`` column added)."""
+    fs, p, jvm = _fs(spark, root)
+    if not fs.exists(p):
+        return None if schema is None else spark.createDataFrame([], schema)
+    done = [st.getPath().toString() for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith("run=")
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    if not done:
+        return None if schema is None else spark.createDataFrame([], schema)
+    return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*done)

@@ -80,7 +80,7 @@ def test_two_runs(spark, tmp_root):
     assert st2 == {"sales_20250101.csv": ("FAILED", "000000002"), "sales_20241231.csv": ("FAILED", "000000003"),
                    "sales_20250105.csv": ("SUCCESS", None)}
     assert sorted(x["id"] for x in tb.read_current(spark, f"{wh}/sales_last").collect()) == [1, 3, 4, 5]
-    trk = tb.read_current(spark, f"{wh}/tracking")
+    trk = tb.read_runs(spark, f"{wh}/tracking")
     assert trk.filter(F.col("status") == "FAILED").count() == 5
 
 
@@ -104,7 +104,7 @@ def test_stream_run_equals_batch(spark, tmp_root):
     s_last = sorted(tuple(r) for r in tb.read_current(spark, f"{wh_s}/sales_last").select(*cols).collect())
     b_last = sorted(tuple(r) for r in tb.read_current(spark, f"{wh_b}/sales_last").select(*cols).collect())
     assert s_last == b_last and len(s_last) == 24
-    failed = tb.read_current(spark, f"{wh_s}/tracking").filter("status = 'FAILED'").collect()
+    failed = tb.read_runs(spark, f"{wh_s}/tracking").filter("status = 'FAILED'").collect()
     assert [r["filename"] for r in failed] == ["sales_20251399.csv"]
     again = Ingestion(spark, *sheets, wh_s).run_stream(land, "sales", f"{tmp_root}/ck", "s")
     assert again.rows == 0
