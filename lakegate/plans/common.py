@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,21 +21,20 @@ def as_of() -> F.Column:
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
-@lru_cache(maxsize=8)
-def _rules_cached(kind: str, spark_id: int) -> tuple[TableRule, tuple[ColumnRule, ...]]:
-    from pyspark.sql import SparkSession as _S
-    spark = _S.getActiveSession()
-    if kind == "orders":
-        trows, crows = fx.ORDERS_TABLE_ROWS, fx.ORDERS_COLUMN_ROWS
-    else:
-        trows, crows = fx.LINEITEM_TABLE_ROWS, fx.LINEITEM_COLUMN_ROWS
-    trule = load_table_rules(table_sheet(spark, trows))[kind]
-    crules = tuple(load_column_rules(column_sheet(spark, crows), kind))
-    return trule, crules
+_RULES: dict[tuple[str, int], tuple[TableRule, tuple[ColumnRule, ...]]] = {}
 
 
 def rules_for(spark: SparkSession, kind: str) -> tuple[TableRule, list[ColumnRule]]:
-    t, c = _rules_cached(kind, id(spark))
+    """Rules of the orders / lineitem fixtures, loaded once per session."""
+    key = (kind, id(spark))
+    if key not in _RULES:
+        if kind == "orders":
+            trows, crows = fx.ORDERS_TABLE_ROWS, fx.ORDERS_COLUMN_ROWS
+        else:
+            trows, crows = fx.LINEITEM_TABLE_ROWS, fx.LINEITEM_COLUMN_ROWS
+        trule = load_table_rules(table_sheet(spark, trows))[kind]
+        _RULES[key] = (trule, tuple(load_column_rules(column_sheet(spark, crows), kind)))
+    t, c = _RULES[key]
     return t, list(c)
 
 

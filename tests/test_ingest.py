@@ -108,3 +108,21 @@ def test_stream_run_equals_batch(spark, tmp_root):
     assert [r["filename"] for r in failed] == ["sales_20251399.csv"]
     again = Ingestion(spark, *sheets, wh_s).run_stream(land, "sales", f"{tmp_root}/ck", "s")
     assert again.rows == 0
+
+
+def test_cli_batch_run(spark, tmp_root):
+    import csv
+
+    from lakegate.__main__ import main
+    from lakegate.plans.specs import COLUMN_SHEET_COLUMNS, TABLE_SHEET_COLUMNS
+    for name, cols, rows in (("t.csv", TABLE_SHEET_COLUMNS, TABLES), ("c.csv", COLUMN_SHEET_COLUMNS, COLUMNS)):
+        with open(f"{tmp_root}/{name}", "w", newline="") as fh:
+            w = csv.DictWriter(fh, fieldnames=list(cols))
+            w.writeheader()
+            for r in rows:
+                w.writerow({k: r.get(k, "") for k in cols})
+    write(f"{tmp_root}/cl/sales_20250101.csv", "id;amount;day\n1;1;01/01/2025\n")
+    rc = main(["--tables", f"{tmp_root}/t.csv", "--columns", f"{tmp_root}/c.csv", "--landing", f"{tmp_root}/cl",
+               "--warehouse", f"{tmp_root}/clw", "--run-id", "r1"])
+    assert rc == 0
+    assert tb.read_current(spark, f"{tmp_root}/clw/sales_last").count() == 1
