@@ -69,6 +69,7 @@ class RunParams:
     invalid_lines_cleanup_days: int = 30
     strict_tolerance: bool = False
     all_keeps_ict_rejects: bool = True
+    input_header_mode: str = ""          # used when a table's sheet row leaves it empty
 
     @staticmethod
     def for_env(env: str) -> "RunParams":
@@ -153,13 +154,19 @@ class Ingestion:
         direct = [p for p in paths if not p.lower().endswith(".zip")]
         if direct:
             fmt = trule.input_format
+            header_mode = trule.header_mode or self.params.input_header_mode.upper()
             if fmt == "json":
                 frames.append(dl.read_json(self.spark, direct, names))
             elif fmt == "parquet":
                 frames.append(dl.read_parquet_as_text(self.spark, direct, names))
             else:
-                frames.append(dl.read_delimited(self.spark, direct, names, header_mode=trule.header_mode,
-                                                delimiter=trule.delimiter, charset=trule.charset))
+                # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
+                r = dl.read_delimited(self.spark, direct, names, header_mode=header_mode,
+                                      delimiter=trule.delimiter, charset=trule.charset,
+                                      multiline=fmt.endswith("_ml"))
+                if header_mode != HEADER_USE:
+                    r = pj.drop_header_lines(r, names)  # PRJ-4: header lines repeated inside a file
+                frames.append(r)
         if zip_lines is not None:
             z = zip_lines.filter(F.col("table_name") == trule.table_name)
             z = ar.parse_lines(z, names, trule.delimiter).select(
@@ -310,6 +317,20 @@ class Ingestion:
         return {"outcomes": outcomes, "report": rp.execution_report(routed, dec, trule.table_name),
                 "quality": rp.quality_log(dec, trule.table_name), "paths": paths_out}
 
+    # ------------------------------------------------------------- retention
+    def retained_tracking(self, as_of: str) -> DataFrame:
+        """FIL-13: tracking rows inside the retention window (``tracking_cleanup_days``)."""
+        t = F.lit(as_of).cast("timestamp_ntz")
+        return tk.retain(self.tracking(), t, self.params.tracking_cleanup_days)
+
+    def retained_invalid_lines(self, table: str, as_of: str) -> DataFrame | None:
+        """QUA-21: invalid lines inside the retention window (``invalid_lines_cleanup_days``)."""
+        inv = tb.read_runs(self.spark, self.path(f"{table}_invalid_lines"))
+        if inv is None:
+            return None
+        t = F.lit(as_of).cast("timestamp_ntz")
+        return tk.retain(inv, t, self.params.invalid_lines_cleanup_days, date_col="rejection_date")
+
     # ------------------------------------------------------------- stream
     def run_stream(self, landing_root: str, table: str, checkpoint: str, run_prefix: str,
                    max_files_per_trigger: int | None = None, run_at: str | None = None):

@@ -19,7 +19,8 @@ TABLES = [
 COLUMNS = [
     {"Delta Table Name": "sales", "Column Name": "id", "Field type": "LONG", "Is Nullable": "false",
      "Is Special": "IsMergeKey"},
-    {"Delta Table Name": "sales", "Column Name": "amount", "Field type": "DECIMAL", "Error action": "REJECT"},
+    {"Delta Table Name": "sales", "Column Name": "amount", "Field type": "DECIMAL", "Error action": "REJECT",
+     "Comment": "sale amount"},
     {"Delta Table Name": "sales", "Column Name": "day", "Field type": "DATE", "Transformation pattern": "dd/MM/yyyy",
      "Is Special": "IsStartValidity"},
     {"Delta Table Name": "stock", "Column Name": "sku", "Field type": "STRING", "Is Nullable": "false"},
@@ -35,7 +36,8 @@ def write(path, text):
 
 def test_two_runs(spark, tmp_root):
     land1 = f"{tmp_root}/land1"
-    write(f"{land1}/sales_20250101.csv", "id;amount;day\n1;1,50;01/01/2025\n2;x;01/01/2025\n3;3;02/01/2025\n")
+    write(f"{land1}/sales_20250101.csv",
+          "id;amount;day\n1;1,50;01/01/2025\n2;x;01/01/2025\nID;Amount;Day\n3;3;02/01/2025\n")  # repeated header
     write(f"{land1}/sales_20251301.csv", "id;amount;day\n9;9;01/01/2025\n")            # bad date in name
     write(f"{land1}/Sales_20250102.csv", "id;amount;day\n8;8;01/01/2025\n")            # fix part case
     write(f"{land1}/unknown_20250101.csv", "a\n1\n")                                    # no config
@@ -63,9 +65,11 @@ def test_two_runs(spark, tmp_root):
     assert sorted((x["sku"], x["qty"]) for x in stock.collect()) == [("A", 5), ("B", 6)]
     allp = spark.read.parquet(f"{wh}/sales_all")
     assert {"yyyy", "mm", "run"} <= set(allp.columns) and allp.count() == 4
+    assert allp.schema["amount"].metadata.get("comment") == "sale amount"  # SNK-6
+    assert ing.retained_tracking("2025-01-05 00:00:00").count() == 6
+    assert ing.retained_invalid_lines("sales", "2025-01-05 00:00:00").count() == 1
     inv = spark.read.parquet(f"{wh}/sales_invalid_lines").collect()
-    assert [(x["id"], x["line_number"], x["error_type"]) for x in inv] == [(None, 2, "TYPE_MISMATCH")] or \
-        [(x["line_number"], x["error_type"]) for x in inv] == [(2, "TYPE_MISMATCH")]
+    assert [(x["id"], x["line_number"], x["error_type"]) for x in inv] == [(2, 2, "TYPE_MISMATCH")]
     rs = {x["table_name"]: x["run_status"] for x in r.run_status.collect()}
     assert rs["sales"] == "PARTIAL" and rs["stock"] == "SUCCESS"
     assert all(x["complete"] for x in r.completeness.collect())
