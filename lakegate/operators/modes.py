@@ -133,3 +133,40 @@ def mode_stats(result: ModeResult, batch: DataFrame) -> DataFrame:
     return batch.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(result.mode).alias("mode"), "rows",
         F.lit(result.last_written).alias("last_written"), F.lit(result.all_written).alias("all_written"))
+
+
+def validity_ranges(history: DataFrame, keys: Sequence[str], start: str,
+                    tiebreak: Sequence[str] = ("FILE_NAME_RECEIVED", "FILE_LINE_ID")) -> DataFrame:
+    """D16 (optional view over a historised table): ``valid_from`` = the row's start
+    value, ``valid_to`` = the next start of the same key (NULL for the current row).
+
+    A plain ``lead`` over ``partitionBy(keys)`` would put a hot key in one task.
+    Here rows are range-partitioned on (keys, start, tiebreak) - a hot key spans
+    several tasks - and frozen by a reliable checkpoint; ``lead`` runs within each
+    (task, key) slice, and the last row of a slice takes the first start of the
+    same key in the next slice, found on a frame with one row per (task, key).
+    """
+    from pyspark.sql import Window
+
+    from lakegate.session import cut_lineage
+    order = [start, *tiebreak]
+    cols = [*keys, *order]
+    ranged = (history.repartitionByRange(*[F.col(f"`{c}`") for c in cols])
+              .sortWithinPartitions(*[F.col(f"`{c}`") for c in cols])
+              .withColumn("_pid", F.spark_partition_id()))
+    ranged = cut_lineage(ranged)
+    w = Window.partitionBy("_pid", *keys).orderBy(*[F.col(f"`{c}`") for c in order])
+    inner = ranged.withColumn("_lead", F.lead(F.col(f"`{start}`")).over(w))
+    firsts = (ranged.groupBy("_pid", *keys)
+              .agg(F.min(F.struct(*[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)]))["_o0"]
+                   .alias("_first")))
+    wn = Window.partitionBy(*keys).orderBy("_pid")
+    nxt = firsts.select(*[F.col(f"`{k}`").alias(f"_n_{k}") for k in keys], F.col("_pid").alias("_n_pid"),
+                        F.lead("_first").over(wn).alias("_next_first"))
+    cond = F.col("_pid") == F.col("_n_pid")
+    for k in keys:
+        cond = cond & F.col(f"`{k}`").eqNullSafe(F.col(f"_n_{k}"))
+    j = inner.join(nxt, cond, "left")
+    return j.select(*[F.col(f"`{c}`") for c in history.columns],
+                    F.col(f"`{start}`").alias("valid_from"),
+                    F.coalesce(F.col("_lead"), F.col("_next_first")).alias("valid_to"))

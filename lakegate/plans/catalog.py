@@ -785,3 +785,14 @@ def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.run_stream(land, "orders", scratch_path(spark, "stream-ingest-ckpt"), "s", max_files_per_trigger=40,
                    run_at=cm.AS_OF)
     return read_current(spark, f"{wh}/orders_last").select(*TECH_AND_VALUES)
+
+
+@query("validity_ranges")
+def validity_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D16 (optional view): validity ranges of the historised `_all` rows of both
+    orders batches, per orderkey ordered by orderdate (the IsStartValidity column)."""
+    _, a1 = orders_batch(spark, sf_dir)
+    _, a2 = orders_batch(spark, sf_dir, second=True)
+    r = md.historized(None, a1, a2)
+    v = md.validity_ranges(r.all, ["orderkey"], "orderdate")
+    return v.select("orderkey", "FILE_NAME_RECEIVED", "FILE_LINE_ID", "orderdate", "valid_from", "valid_to")

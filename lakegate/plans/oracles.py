@@ -983,3 +983,11 @@ def _():
     return f"""WITH {batches_ctes()}
 SELECT FILE_LINE_ID, FILE_NAME_RECEIVED, FILE_EXTRACTION_DATE, {AS_OF_SQL} AS FILE_PROCESS_DATE, {ORDER_VALUES_SQL}
 FROM b1l"""
+
+
+@oracle("validity_ranges")
+def _():
+    return f"""WITH {batches_ctes()}, h AS (SELECT * FROM b1a UNION ALL SELECT * FROM b2a)
+SELECT orderkey, FILE_NAME_RECEIVED, FILE_LINE_ID, orderdate, orderdate AS valid_from,
+  lead(orderdate) OVER (PARTITION BY orderkey ORDER BY orderdate NULLS FIRST, FILE_NAME_RECEIVED, FILE_LINE_ID) AS valid_to
+FROM h"""

@@ -74,3 +74,17 @@ def test_latest_per_key_hot_key(spark):
                                    F.col("id").alias("FILE_LINE_ID"))
     out = {r["k"]: r["v"] for r in md.latest_per_key(df, ["k"], "cmp", ["FILE_LINE_ID"]).collect()}
     assert out == {0: "19998", 1: "19999"}
+
+
+def test_validity_ranges_hot_key(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 20000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).cast("long").alias("k"),
+        (F.lit("2025-01-01").cast("timestamp_ntz") + F.make_interval(secs=(F.col("id") * 7919 % 20011).cast("int")))
+        .alias("start"),
+        F.lit("f").alias("FILE_NAME_RECEIVED"), F.col("id").alias("FILE_LINE_ID"))
+    got = md.validity_ranges(df, ["k"], "start")
+    want = df.withColumn("vt", F.lead("start").over(
+        Window.partitionBy("k").orderBy("start", "FILE_NAME_RECEIVED", "FILE_LINE_ID")))
+    bad = got.join(want, ["k", "FILE_LINE_ID"]).filter(~F.col("valid_to").eqNullSafe(F.col("vt"))).count()
+    assert bad == 0 and got.count() == 20000
