@@ -148,7 +148,14 @@ class Ingestion:
                         code.alias("gate_code"), reason.alias("gate_reason"))
 
     # ------------------------------------------------------------- read
-    def read_table(self, trule: TableRule, paths: list[str], zip_lines: DataFrame | None) -> DataFrame:
+    def _stage(self, df: DataFrame, path: str) -> DataFrame:
+        """SNK-1: the raw text lines of this run, written once (one parse of the
+        landed files); everything after reads this Parquet copy."""
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def read_table(self, trule: TableRule, paths: list[str], zip_lines: DataFrame | None,
+                   stage: str | None = None) -> DataFrame:
         names = [r.name for r in self.columns[trule.table_name] if not (r.enrich or "")]
         frames = []
         direct = [p for p in paths if not p.lower().endswith(".zip")]
@@ -159,13 +166,20 @@ class Ingestion:
                 frames.append(dl.read_json(self.spark, direct, names))
             elif fmt == "parquet":
                 frames.append(dl.read_parquet_as_text(self.spark, direct, names))
+            elif header_mode == HEADER_USE:
+                raw, pos = dl.read_positional(self.spark, direct, len(names) + 4, delimiter=trule.delimiter,
+                                              charset=trule.charset, multiline=fmt.endswith("_ml"))
+                if stage:
+                    raw = self._stage(raw, f"{stage}/direct")
+                frames.append(dl.remap_by_header(raw, names, pos))
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
                 r = dl.read_delimited(self.spark, direct, names, header_mode=header_mode,
                                       delimiter=trule.delimiter, charset=trule.charset,
                                       multiline=fmt.endswith("_ml"))
-                if header_mode != HEADER_USE:
-                    r = pj.drop_header_lines(r, names)  # PRJ-4: header lines repeated inside a file
+                if stage:
+                    r = self._stage(r, f"{stage}/direct")
+                r = pj.drop_header_lines(r, names)  # PRJ-4: header lines repeated inside a file
                 frames.append(r)
         if zip_lines is not None:
             z = zip_lines.filter(F.col("table_name") == trule.table_name)
@@ -188,7 +202,8 @@ class Ingestion:
         zips, direct = lg.split_zip_and_direct(manifest)
         zip_lines = None
         if zips.limit(1).count() > 0:
-            zip_lines = ar.expand_archives(spark, landing_root)
+            # archives expanded once (one task per archive) and staged for every later use
+            zip_lines = self._stage(ar.expand_archives(spark, landing_root), self.path("_archive_lines", f"run={run_id}"))
             entries = zip_lines.filter("status = 'OK'").select(
                 F.concat_ws("!", "archive", "entry").alias("path"), F.col("entry_name").alias("filename")).distinct()
             direct = direct.select("path", "filename").unionByName(entries) if p.non_zip_support_enabled else entries
@@ -240,7 +255,8 @@ class Ingestion:
 
     def _run_table(self, trule: TableRule, paths: list[str], zip_lines: DataFrame | None, run_id: str,
                    processed: F.Column) -> dict:
-        raw = self.read_table(trule, paths, zip_lines)
+        stage = self.path(f"{trule.table_name}_staging", f"run={run_id}")
+        raw = self.read_table(trule, paths, zip_lines, stage=stage)
         return self.process_table(trule, raw, run_id, processed, expected_paths=paths)
 
     def process_table(self, trule: TableRule, raw: DataFrame, run_id: str, processed: F.Column,
@@ -253,7 +269,7 @@ class Ingestion:
         numbered = file_line_numbers(raw)
         v = validate(numbered, rules, ict=trule.ict, strict=p.strict_tolerance, raw_data_sep=trule.delimiter)
         # H4: validated lines written once; gates and routing read them back.
-        staging = self.path(f"{trule.table_name}_staging", f"run={run_id}")
+        staging = self.path(f"{trule.table_name}_validated", f"run={run_id}")
         v.write.mode("overwrite").parquet(staging)
         v = spark.read.parquet(staging)
         gp = GateParams(rlt=trule.rlt, strict=p.strict_tolerance, fail_fast_enabled=p.fail_fast_enabled,

@@ -68,14 +68,31 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], names: Seque
     if (header_mode or "").upper() != HEADER_USE:
         df = reader.option("header", "true").schema(text_schema(names)).csv(paths)
         return _with_file(df)
-    width = len(names) + slack
-    pos = [f"_c{i}" for i in range(width)]
+    raw, pos = read_positional(spark, paths, len(names) + slack, delimiter=delimiter, charset=charset,
+                               multiline=multiline, recursive=recursive)
+    return remap_by_header(raw, names, pos)
+
+
+def positional_names(width: int) -> list[str]:
+    return [f"_c{i}" for i in range(width)]
+
+
+def read_positional(spark: SparkSession, paths: str | Sequence[str], width: int, *, delimiter: str = ",",
+                    charset: str | None = "UTF-8", multiline: bool = False,
+                    recursive: bool = False) -> tuple[DataFrame, list[str]]:
+    """Header-less read: ``_c0.._c{width-1}`` text cells + file path / name, split
+    start and scan row id (input of ``remap_by_header``; can be staged first)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = spark.read.options(**_options(delimiter, charset, multiline))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    pos = positional_names(width)
     raw = reader.option("header", "false").schema(text_schema(pos, corrupt=False)).csv(paths)
     raw = raw.select("*", F.col("_metadata.file_path").alias("_file_path"),
                      F.col("_metadata.file_name").alias("_file_name"),
                      F.col("_metadata.file_block_start").alias("_block"),
                      F.monotonically_increasing_id().alias("_rid"))
-    return remap_by_header(raw, names, pos)
+    return raw, pos
 
 
 def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) -> DataFrame:
