@@ -98,3 +98,12 @@ def test_routing_partition_property(spark):
                    F.count_if("_reject").alias("reject")).collect()[0]
     assert c["last"] + c["rej"] == c["n"]
     assert c["all"] == c["n"] - c["reject"]
+
+
+def test_ict_flagged_denominator(spark):
+    """D9: ict_mode='flagged' divides by the ICT_DRIVEN columns only."""
+    rules = [ColumnRule("a", "INT"), ColumnRule("b", "INT", action="LOG_ONLY"),
+             ColumnRule("c", "INT", action="LOG_ONLY"), ColumnRule("d", "INT", action="LOG_ONLY")]
+    df = frame(spark, [("x", "1", "1", "1")], ["a", "b", "c", "d"]).withColumn("_file_name", F.lit("f.csv"))
+    assert validate(df, rules, ict=50).collect()[0]["_ict_rejected"] is False          # 1/4 = 25 %
+    assert validate(df, rules, ict=50, ict_mode="flagged").collect()[0]["_ict_rejected"] is True  # 1/1
