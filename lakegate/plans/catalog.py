@@ -11,10 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.operators.gates import GateParams, file_decisions, file_stats
-from lakegate.operators.rules import ERRORS, N_ICT, explode_errors
+from lakegate.functions import dates as fd
+from lakegate.functions import text as ft
+from lakegate.operators import files as fl
+from lakegate.operators import invalid_lines as il
+from lakegate.operators import modes as md
+from lakegate.operators import projections as pj
+from lakegate.operators import quality as qa
+from lakegate.operators import tracking as tk
+from lakegate.operators.gates import TO_ALL, TO_LAST, GateParams, file_decisions, file_stats
+from lakegate.operators.rules import ERRORS, N_ICT, explode_errors, validate
 from lakegate.plans import common as cm
+from lakegate.plans import fixtures as fx
+from lakegate.plans import landings as ld
 from lakegate.plans import reports as rp
+from lakegate.plans.specs import ColumnRule, normalise_table_sheet, resolve_table_config, table_sheet
+from lakegate.session import scratch_path
+from lakegate.sources import archives as ar
+from lakegate.sources import delimited as dl
+from lakegate.sources import landing as lg
+from lakegate.streaming import staging as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,10 +124,6 @@ def execution_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ file gates (B)
-from lakegate.operators import files as fl  # noqa: E402
-from lakegate.operators import tracking as tk  # noqa: E402
-from lakegate.plans import fixtures as fx  # noqa: E402
-from lakegate.plans.specs import normalise_table_sheet, resolve_table_config, table_sheet  # noqa: E402
 
 
 @query("file_manifest_orders")
@@ -297,12 +309,6 @@ def column_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------- projections & quality (C/D)
-from lakegate.functions import dates as fd  # noqa: E402
-from lakegate.functions import text as ft  # noqa: E402
-from lakegate.operators import invalid_lines as il  # noqa: E402
-from lakegate.operators import projections as pj  # noqa: E402
-from lakegate.operators import quality as qa  # noqa: E402
-from lakegate.operators.rules import validate  # noqa: E402
 
 HEADER_CASES = ["ORDERKEY", "CustKey", "totalprice", "OrderDate", " orderstatus ", "orderpriority"]
 
@@ -485,8 +491,6 @@ def all_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- modes (E)
-from lakegate.operators import modes as md  # noqa: E402
-from lakegate.operators.gates import TO_ALL, TO_LAST  # noqa: E402
 
 TECH_AND_VALUES = ["FILE_LINE_ID", "FILE_NAME_RECEIVED", "FILE_EXTRACTION_DATE", "FILE_PROCESS_DATE", *ORDER_VALUES]
 
@@ -583,11 +587,6 @@ def staging_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- sources (G)
-from lakegate.plans import landings as ld  # noqa: E402
-from lakegate.session import scratch_path  # noqa: E402
-from lakegate.sources import archives as ar  # noqa: E402
-from lakegate.sources import delimited as dl  # noqa: E402
-from lakegate.sources import landing as lg  # noqa: E402
 
 ORDER_B = ["orderdate", "orderkey", "orderpriority", "custkey", "orderstatus", "totalprice"]
 
@@ -675,8 +674,6 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------------- streaming (H)
-from lakegate.plans.specs import ColumnRule  # noqa: E402
-from lakegate.streaming import staging as st  # noqa: E402
 
 EVENT_VALUES = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 EVENT_RULES = [
