@@ -41,7 +41,7 @@ from lakegate.operators import tracking as tk
 from lakegate.operators.gates import (FILE_REJECTED, TO_ALL, TO_LAST, GateParams, apply_file_gate,
                                       file_decisions, file_stats)
 from lakegate.operators.quality import file_line_numbers
-from lakegate.operators.rules import validate
+from lakegate.operators.rules import explode_errors, validate
 from lakegate.plans import reports as rp
 from lakegate.plans import tables as tb
 from lakegate.plans.specs import (ColumnRule, TableRule, load_column_rules, load_table_rules, merge_keys,
@@ -300,6 +300,19 @@ class Ingestion:
         writes = [lambda: batch_all.write.mode("overwrite").partitionBy(*parts).parquet(all_root)]
         if res.last_written:
             writes.append(lambda: tb.write_version(res.last, last_root))
+        # SNK-3: error log, one row per recorded error (appended as this run's folder)
+        errors = explode_errors(v, ["_file_name", "line_number"]).select(
+            F.lit(trule.table_name).alias("table_name"), F.col("_file_name").alias("filename"), "line_number",
+            "error_pos", "column", "code", "action", "message", "raw_value")
+        errors_root = self.path(f"{trule.table_name}_errors", f"run={run_id}")
+        writes.append(lambda: errors.write.mode("overwrite").parquet(errors_root))
+        paths_out["errors"] = self.path(f"{trule.table_name}_errors")
+        # SRC-8: lines the parser could not map (bad records), kept verbatim
+        bad = v.filter(F.col(dl.CORRUPT).isNotNull()).select(
+            F.col("_file_name").alias("filename"), "line_number", F.col(dl.CORRUPT).alias("raw_line"))
+        bad_root = self.path(f"{trule.table_name}_bad_records", f"run={run_id}")
+        writes.append(lambda: bad.write.mode("overwrite").parquet(bad_root))
+        paths_out["bad_records"] = self.path(f"{trule.table_name}_bad_records")
         if p.invalid_lines_generated:
             inv = il.invalid_lines(routed, business, id_col="_rid", line_col="line_number", raw_col="_raw_data",
                                    rejection_date=processed)

@@ -42,6 +42,7 @@ def test_two_runs(spark, tmp_root):
     write(f"{land1}/Sales_20250102.csv", "id;amount;day\n8;8;01/01/2025\n")            # fix part case
     write(f"{land1}/unknown_20250101.csv", "a\n1\n")                                    # no config
     write(f"{land1}/stock_20250101.csv", "qty,sku\n5,A\n6,B\n")
+    write(f"{land1}/sales_20250104.csv", "id;amount;day\n11;1;04/01/2025\n12;1\n")  # short line -> 000000006
     with zipfile.ZipFile(f"{land1}/batch.zip", "w") as zf:
         zf.writestr("sales_20250103.csv", "id;amount;day\n1;2,00;03/01/2025\n4;4;03/01/2025\n")
         zf.writestr("__MACOSX/._x", "junk")
@@ -56,6 +57,11 @@ def test_two_runs(spark, tmp_root):
     assert st["unknown_20250101.csv"] == ("FAILED", "NO_CONFIG")
     assert st["stock_20250101.csv"] == ("SUCCESS", None)
     assert st["sales_20250103.csv"] == ("SUCCESS", None)
+    assert st["sales_20250104.csv"] == ("FAILED", "000000006")
+    bad = spark.read.parquet(f"{wh}/sales_bad_records").collect()
+    assert [(b["filename"], b["line_number"], b["raw_line"]) for b in bad] == [("sales_20250104.csv", 2, "12;1")]
+    errs = spark.read.parquet(f"{wh}/sales_errors").filter("code = 'TYPE_MISMATCH'").collect()
+    assert [(e["filename"], e["line_number"], e["column"]) for e in errs] == [("sales_20250101.csv", 2, "amount")]
     last = {x["id"]: x for x in tb.read_current(spark, f"{wh}/sales_last").collect()}
     assert sorted(last) == [1, 3, 4]  # 2 rejected (REJECT action); 1 updated by the later file
     assert str(last[1]["amount"]) == "2.00"
@@ -66,7 +72,7 @@ def test_two_runs(spark, tmp_root):
     allp = spark.read.parquet(f"{wh}/sales_all")
     assert {"yyyy", "mm", "run"} <= set(allp.columns) and allp.count() == 4
     assert allp.schema["amount"].metadata.get("comment") == "sale amount"  # SNK-6
-    assert ing.retained_tracking("2025-01-05 00:00:00").count() == 6
+    assert ing.retained_tracking("2025-01-05 00:00:00").count() == 7
     assert ing.retained_invalid_lines("sales", "2025-01-05 00:00:00").count() == 1
     inv = spark.read.parquet(f"{wh}/sales_invalid_lines").collect()
     assert [(x["id"], x["line_number"], x["error_type"]) for x in inv] == [(2, 2, "TYPE_MISMATCH")]
@@ -85,7 +91,7 @@ def test_two_runs(spark, tmp_root):
                    "sales_20250105.csv": ("SUCCESS", None)}
     assert sorted(x["id"] for x in tb.read_current(spark, f"{wh}/sales_last").collect()) == [1, 3, 4, 5]
     trk = tb.read_runs(spark, f"{wh}/tracking")
-    assert trk.filter(F.col("status") == "FAILED").count() == 5
+    assert trk.filter(F.col("status") == "FAILED").count() == 6
 
 
 def test_stream_run_equals_batch(spark, tmp_root):
