@@ -106,6 +106,7 @@ class Ingestion:
                                                              partitioning_default=p.partitioning_default)
         self.columns: dict[str, list[ColumnRule]] = {t: load_column_rules(column_sheet, t) for t in self.tables}
         self.warehouse = warehouse.rstrip("/")
+        self._missing: dict[str, DataFrame] = {}  # QUA-17 reports of HEADER_USE reads
 
     # ------------------------------------------------------------- paths
     def path(self, *parts: str) -> str:
@@ -172,6 +173,7 @@ class Ingestion:
                 if stage:
                     raw = self._stage(raw, f"{stage}/direct")
                 frames.append(dl.remap_by_header(raw, names, pos))
+                self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
                 r = dl.read_delimited(self.spark, direct, names, header_mode=header_mode,
@@ -304,6 +306,15 @@ class Ingestion:
         errors = explode_errors(v, ["_file_name", "line_number"]).select(
             F.lit(trule.table_name).alias("table_name"), F.col("_file_name").alias("filename"), "line_number",
             "error_pos", "column", "code", "action", "message", "raw_value")
+        missing = self._missing.pop(trule.table_name, None)
+        if missing is not None:  # QUA-17: configured column absent from a file's header
+            errors = errors.unionByName(missing.select(
+                F.lit(trule.table_name).alias("table_name"), "filename",
+                F.lit(None).cast("long").alias("line_number"), F.lit(None).cast("int").alias("error_pos"),
+                F.col("column_name").alias("column"), F.lit("INFO_MISSING_COLUMN").alias("code"),
+                F.lit("INFO").alias("action"),
+                F.concat(F.lit("missing column "), F.col("column_name"), F.lit(" added as NULL")).alias("message"),
+                F.lit(None).cast("string").alias("raw_value")))
         errors_root = self.path(f"{trule.table_name}_errors", f"run={run_id}")
         writes.append(lambda: errors.write.mode("overwrite").parquet(errors_root))
         paths_out["errors"] = self.path(f"{trule.table_name}_errors")
@@ -387,7 +398,9 @@ class Ingestion:
             # the micro-batch is used by several actions: read its files once
             raw = batch.withColumn("_rid", F.monotonically_increasing_id()).persist()
             seen_rows[batch_id] = raw.count()
+            cached = raw
             if header_use:
+                self._missing[table] = dl.missing_by_header(raw, names, cols)
                 raw = dl.remap_by_header(raw, names, cols)
             files = fl.describe_files(raw.select(F.col("_file_path").alias("path"),
                                                  F.col("_file_name").alias("filename")).distinct())
@@ -404,7 +417,7 @@ class Ingestion:
             tb.write_run(tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed),
                          self.path("tracking"), f"{run_prefix}-{batch_id}")
             gated.unpersist()
-            raw.unpersist()
+            cached.unpersist()
 
         q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

@@ -102,11 +102,7 @@ def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) ->
     (split start) and ``_rid`` (row id increasing within a split).
     """
     cells = F.array(*[F.col(c) for c in pos])
-    first = (raw.filter(F.col("_block") == 0)
-             .groupBy("_file_path")
-             .agg(F.min_by(F.struct(F.col("_rid").alias("rid"), cells.alias("cells")), F.col("_rid")).alias("_h")))
-    hdr = first.select(F.col("_file_path").alias("_h_path"), F.col("_h.rid").alias("_h_rid"),
-                       F.transform(F.col("_h.cells"), lambda x: F.lower(F.trim(x))).alias("_header"))
+    hdr = header_lines(raw, pos)
     j = raw.join(hdr, raw["_file_path"] == hdr["_h_path"], "inner").filter(F.col("_rid") != F.col("_h_rid"))
     out = []
     for n in names:
@@ -118,6 +114,27 @@ def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) ->
                     "_file_path", "_file_name", "_block", "_rid")
 
 
+def header_lines(raw: DataFrame, pos: Sequence[str]) -> DataFrame:
+    """One row per file: its header line (lower-cased, trimmed cells) and its row id.
+    A partial aggregation over the first split of each file (``min_by`` row id)."""
+    cells = F.array(*[F.col(c) for c in pos])
+    first = (raw.filter(F.col("_block") == 0)
+             .groupBy("_file_path", "_file_name")
+             .agg(F.min_by(F.struct(F.col("_rid").alias("rid"), cells.alias("cells")), F.col("_rid")).alias("_h")))
+    return first.select(F.col("_file_path").alias("_h_path"), F.col("_file_name").alias("_h_name"),
+                        F.col("_h.rid").alias("_h_rid"),
+                        F.transform(F.col("_h.cells"), lambda x: F.lower(F.trim(x))).alias("_header"))
+
+
+def missing_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) -> DataFrame:
+    """QUA-17 for HEADER_USE: per file, configured columns absent from its header."""
+    hdr = header_lines(raw, pos)
+    wanted = F.array(*[F.lit(n) for n in names])
+    # array_contains is NULL (not false) when the value is absent and the header holds NULL cells
+    missing = F.filter(wanted, lambda n: ~F.coalesce(F.array_contains(F.col("_header"), n), F.lit(False)))
+    return hdr.select(F.col("_h_name").alias("filename"), F.explode(missing).alias("column_name"))
+
+
 def corrupt_lines(df: DataFrame) -> DataFrame:
     """SRC-8: lines the parser could not map to the schema.
 

@@ -42,6 +42,7 @@ def test_two_runs(spark, tmp_root):
     write(f"{land1}/Sales_20250102.csv", "id;amount;day\n8;8;01/01/2025\n")            # fix part case
     write(f"{land1}/unknown_20250101.csv", "a\n1\n")                                    # no config
     write(f"{land1}/stock_20250101.csv", "qty,sku\n5,A\n6,B\n")
+    write(f"{land1}/stock_20250102.csv", "sku\nC\n")                                  # no qty column
     write(f"{land1}/sales_20250104.csv", "id;amount;day\n11;1;04/01/2025\n12;1\n")  # short line -> 000000006
     with zipfile.ZipFile(f"{land1}/batch.zip", "w") as zf:
         zf.writestr("sales_20250103.csv", "id;amount;day\n1;2,00;03/01/2025\n4;4;03/01/2025\n")
@@ -56,6 +57,7 @@ def test_two_runs(spark, tmp_root):
     assert st["Sales_20250102.csv"] == ("FAILED", "000000001")
     assert st["unknown_20250101.csv"] == ("FAILED", "NO_CONFIG")
     assert st["stock_20250101.csv"] == ("SUCCESS", None)
+    assert st["stock_20250102.csv"] == ("SUCCESS", None)
     assert st["sales_20250103.csv"] == ("SUCCESS", None)
     assert st["sales_20250104.csv"] == ("FAILED", "000000006")
     bad = spark.read.parquet(f"{wh}/sales_bad_records").collect()
@@ -68,11 +70,13 @@ def test_two_runs(spark, tmp_root):
     assert [c for c in tb.read_current(spark, f"{wh}/sales_last").columns][:4] == \
         ["FILE_LINE_ID", "FILE_NAME_RECEIVED", "FILE_EXTRACTION_DATE", "FILE_PROCESS_DATE"]
     stock = tb.read_current(spark, f"{wh}/stock_current")
-    assert sorted((x["sku"], x["qty"]) for x in stock.collect()) == [("A", 5), ("B", 6)]
+    assert sorted((x["sku"], x["qty"] or 0) for x in stock.collect()) == [("A", 5), ("B", 6), ("C", 0)]
+    info = spark.read.parquet(f"{wh}/stock_errors").filter("code = 'INFO_MISSING_COLUMN'").collect()
+    assert [(i["filename"], i["column"]) for i in info] == [("stock_20250102.csv", "qty")]
     allp = spark.read.parquet(f"{wh}/sales_all")
     assert {"yyyy", "mm", "run"} <= set(allp.columns) and allp.count() == 4
     assert allp.schema["amount"].metadata.get("comment") == "sale amount"  # SNK-6
-    assert ing.retained_tracking("2025-01-05 00:00:00").count() == 7
+    assert ing.retained_tracking("2025-01-05 00:00:00").count() == 8
     assert ing.retained_invalid_lines("sales", "2025-01-05 00:00:00").count() == 1
     inv = spark.read.parquet(f"{wh}/sales_invalid_lines").collect()
     assert [(x["id"], x["line_number"], x["error_type"]) for x in inv] == [(2, 2, "TYPE_MISMATCH")]
