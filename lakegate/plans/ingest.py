@@ -25,6 +25,7 @@ duplicate rows.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -87,6 +88,7 @@ class RunResult:
     run_status: DataFrame
     completeness: DataFrame
     quarantine: DataFrame
+    mode_stats: DataFrame | None = None          # MOD-9: mode, rows, tables written, per table
     tables: dict = field(default_factory=dict)   # table -> {"last": path, "all": path, ...}
 
 
@@ -220,7 +222,7 @@ class Ingestion:
             F.lit(None).cast("long").alias("rejected_lines"), F.lit(0).cast("long").alias("rows_ingested"),
             F.lit("FAILED").alias("status"), F.col("gate_code").alias("error_code"),
             F.col("gate_reason").alias("reason"))]
-        reports, qlogs, table_paths = [], [], {}
+        reports, qlogs, mstats, table_paths = [], [], [], {}
         work = []
         for tname, trule in self.tables.items():
             paths = [r["path"] for r in accepted_meta if r["table_name"] == tname]
@@ -234,6 +236,7 @@ class Ingestion:
             outcomes.append(res["outcomes"])
             reports.append(res["report"])
             qlogs.append(res["quality"])
+            mstats.append(res["mode_stats"])
             table_paths[tname] = res["paths"]
         out = reduce(lambda a, b: a.unionByName(b), outcomes)
         out = out.withColumn("rows_rejected", F.when(F.col("status") == "SUCCESS", F.col("rejected_lines"))
@@ -252,6 +255,7 @@ class Ingestion:
             run_status=rp.run_status(out),
             completeness=rp.completeness(received, out),
             quarantine=fl.quarantine(out.filter(F.col("status") == "FAILED"), processed),
+            mode_stats=union(mstats) if mstats else None,
             tables=table_paths,
         )
 
@@ -267,6 +271,7 @@ class Ingestion:
         ``_file_name``, ``_block``, ``_rid``): the same code serves a batch run and a
         streaming micro-batch."""
         spark, p = self.spark, self.params
+        started = time.perf_counter()
         rules = self.columns[trule.table_name]
         numbered = file_line_numbers(raw)
         v = validate(numbered, rules, ict=trule.ict, strict=p.strict_tolerance, raw_data_sep=trule.delimiter)
@@ -354,7 +359,10 @@ class Ingestion:
         outcomes = o.unionByName(empty).persist()
         outcomes.count()
         dec.unpersist()
-        return {"outcomes": outcomes, "report": rp.execution_report(routed, dec, trule.table_name),
+        stats = md.mode_stats(res, batch_last).select(F.lit(trule.table_name).alias("table_name"), "*")
+        report = rp.execution_report(routed, dec, trule.table_name).withColumn(
+            "duration_sec", F.lit(round(time.perf_counter() - started, 3)))
+        return {"outcomes": outcomes, "report": report, "mode_stats": stats,
                 "quality": rp.quality_log(dec, trule.table_name), "paths": paths_out}
 
     # ------------------------------------------------------------- retention

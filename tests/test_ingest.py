@@ -83,6 +83,9 @@ def test_two_runs(spark, tmp_root):
     rs = {x["table_name"]: x["run_status"] for x in r.run_status.collect()}
     assert rs["sales"] == "PARTIAL" and rs["stock"] == "SUCCESS"
     assert all(x["complete"] for x in r.completeness.collect())
+    ms = {x["table_name"]: (x["mode"], x["last_written"]) for x in r.mode_stats.collect()}
+    assert ms == {"sales": ("DELTA_FROM_NON_HISTORIZED", True), "stock": ("FULL_SNAPSHOT", True)}
+    assert "duration_sec" in r.execution_report.columns
 
     # second run: same files again -> duplicates; an older file -> late
     land2 = f"{tmp_root}/land2"
