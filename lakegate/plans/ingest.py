@@ -71,6 +71,7 @@ class RunParams:
     strict_tolerance: bool = False
     all_keeps_ict_rejects: bool = True
     input_header_mode: str = ""          # used when a table's sheet row leaves it empty
+    max_listed_files: int = 20_000       # above: read by name glob + semi join, no path list
 
     @staticmethod
     def for_env(env: str) -> "RunParams":
@@ -158,29 +159,42 @@ class Ingestion:
         return self.spark.read.parquet(path)
 
     def read_table(self, trule: TableRule, paths: list[str], zip_lines: DataFrame | None,
-                   stage: str | None = None) -> DataFrame:
+                   stage: str | None = None, glob_root: str | None = None,
+                   accepted: DataFrame | None = None) -> DataFrame:
+        """Text lines of the table's accepted files.  Either from an explicit path list,
+        or - for landings too large to list on the driver - from ``glob_root`` by the
+        table's case-insensitive name glob, kept by a semi join with ``accepted``
+        (one row per accepted file; AQE broadcasts it or skew-splits a hot file)."""
         names = [r.name for r in self.columns[trule.table_name] if not (r.enrich or "")]
         frames = []
-        direct = [p for p in paths if not p.lower().endswith(".zip")]
+        direct = [glob_root] if glob_root else [p for p in paths if not p.lower().endswith(".zip")]
+        glob = _name_glob(trule.table_name) if glob_root else None
+
+        def keep_accepted(df: DataFrame) -> DataFrame:
+            if accepted is None:
+                return df
+            ok = accepted.select(F.col("path").alias("_ok_path"))
+            return df.join(ok, df["_file_path"] == ok["_ok_path"], "left_semi")
         if direct:
             fmt = trule.input_format
             header_mode = trule.header_mode or self.params.input_header_mode.upper()
             if fmt == "json":
-                frames.append(dl.read_json(self.spark, direct, names))
+                frames.append(keep_accepted(dl.read_json(self.spark, direct, names, glob=glob)))
             elif fmt == "parquet":
-                frames.append(dl.read_parquet_as_text(self.spark, direct, names))
+                frames.append(keep_accepted(dl.read_parquet_as_text(self.spark, direct, names, glob=glob)))
             elif header_mode == HEADER_USE:
                 raw, pos = dl.read_positional(self.spark, direct, len(names) + 4, delimiter=trule.delimiter,
-                                              charset=trule.charset, multiline=fmt.endswith("_ml"))
+                                              charset=trule.charset, multiline=fmt.endswith("_ml"), glob=glob)
+                raw = keep_accepted(raw)
                 if stage:
                     raw = self._stage(raw, f"{stage}/direct")
                 frames.append(dl.remap_by_header(raw, names, pos))
                 self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
-                r = dl.read_delimited(self.spark, direct, names, header_mode=header_mode,
-                                      delimiter=trule.delimiter, charset=trule.charset,
-                                      multiline=fmt.endswith("_ml"))
+                r = keep_accepted(dl.read_delimited(self.spark, direct, names, header_mode=header_mode,
+                                                    delimiter=trule.delimiter, charset=trule.charset,
+                                                    multiline=fmt.endswith("_ml"), glob=glob))
                 if stage:
                     r = self._stage(r, f"{stage}/direct")
                 r = pj.drop_header_lines(r, names)  # PRJ-4: header lines repeated inside a file
@@ -215,7 +229,11 @@ class Ingestion:
             direct = direct.limit(0)
         files = fl.describe_files(direct.select("path", "filename"))
         gated = self.file_gates(files).persist()
-        accepted_meta = gated.filter(F.col("gate_code").isNull()).select("table_name", "path").collect()
+        accepted = gated.filter(F.col("gate_code").isNull()).select("table_name", "path")
+        # Per-file metadata goes to the driver only while it is small (checked by a count);
+        # beyond, each table is read by name glob and kept by a semi join on accepted files.
+        listed = accepted.count() <= p.max_listed_files
+        accepted_meta = accepted.collect() if listed else []
 
         outcomes: list[DataFrame] = [gated.filter(F.col("gate_code").isNotNull()).select(
             "table_name", "filename", "file_date", F.lit(None).cast("long").alias("total_lines"),
@@ -225,12 +243,23 @@ class Ingestion:
         reports, qlogs, mstats, table_paths = [], [], [], {}
         work = []
         for tname, trule in self.tables.items():
-            paths = [r["path"] for r in accepted_meta if r["table_name"] == tname]
-            if not paths:
-                continue
-            direct_paths = [x for x in paths if "!" not in x]
-            zl = zip_lines if any("!" in x for x in paths) else None
-            work.append((tname, lambda t=trule, d=direct_paths, z=zl: self._run_table(t, d, z, run_id, processed)))
+            if listed:
+                paths = [r["path"] for r in accepted_meta if r["table_name"] == tname]
+                if not paths:
+                    continue
+                direct_paths = [x for x in paths if "!" not in x]
+                zl = zip_lines if any("!" in x for x in paths) else None
+                work.append((tname, lambda t=trule, d=direct_paths, z=zl:
+                             self._run_table(t, d, z, run_id, processed)))
+            else:
+                mine = accepted.filter(F.col("table_name") == tname)
+                acc_direct = mine.filter(~F.col("path").contains("!")).select("path")
+                has_direct = acc_direct.limit(1).count() > 0
+                zl = zip_lines if mine.filter(F.col("path").contains("!")).limit(1).count() > 0 else None
+                if not has_direct and zl is None:
+                    continue
+                work.append((tname, lambda t=trule, a=acc_direct, z=zl, hd=has_direct:
+                             self._run_table_glob(t, landing_root if hd else None, a, z, run_id, processed)))
         # Tables are independent: their jobs are submitted from parallel threads.
         for (tname, _), res in zip(work, _concurrently([w for _, w in work])):
             outcomes.append(res["outcomes"])
@@ -265,8 +294,14 @@ class Ingestion:
         raw = self.read_table(trule, paths, zip_lines, stage=stage)
         return self.process_table(trule, raw, run_id, processed, expected_paths=paths)
 
+    def _run_table_glob(self, trule: TableRule, glob_root: str | None, accepted: DataFrame,
+                        zip_lines: DataFrame | None, run_id: str, processed: F.Column) -> dict:
+        stage = self.path(f"{trule.table_name}_staging", f"run={run_id}")
+        raw = self.read_table(trule, [], zip_lines, stage=stage, glob_root=glob_root, accepted=accepted)
+        return self.process_table(trule, raw, run_id, processed, expected_paths=accepted)
+
     def process_table(self, trule: TableRule, raw: DataFrame, run_id: str, processed: F.Column,
-                      expected_paths: list[str] | None = None) -> dict:
+                      expected_paths: list[str] | DataFrame | None = None) -> dict:
         """Steps 3-6 for one table over ``raw`` text lines (with ``_file_path``,
         ``_file_name``, ``_block``, ``_rid``): the same code serves a batch run and a
         streaming micro-batch."""
@@ -348,8 +383,9 @@ class Ingestion:
             F.col("file_reason").alias("error_code"), F.col("file_reason").alias("reason"))
         # FIL-16: accepted files that produced no line at all are skipped.
         seen = v.select("_file_path").distinct()
-        empty = (spark.createDataFrame([(x,) for x in (expected_paths or [])], "path string")
-                 .join(seen, F.col("path") == F.col("_file_path"), "left_anti")
+        expected = (expected_paths.select("path") if isinstance(expected_paths, DataFrame)
+                    else spark.createDataFrame([(x,) for x in (expected_paths or [])], "path string"))
+        empty = (expected.join(seen, F.col("path") == F.col("_file_path"), "left_anti")
                  .select(F.lit(trule.table_name).alias("table_name"),
                          F.regexp_extract("path", r"([^/]*)$", 1).alias("filename"))
                  .select("table_name", "filename", file_date(F.col("filename")).alias("file_date"),

@@ -39,6 +39,15 @@ def _options(delimiter: str, charset: str | None, multiline: bool) -> dict[str,
     }
 
 
+def _file_reader(reader, recursive: bool, glob: str | None):
+    """Recursive listing and a file-name glob (a glob implies a recursive walk)."""
+    if recursive or glob:
+        reader = reader.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader
+
+
 def text_schema(names: Sequence[str], corrupt: bool = True) -> T.StructType:
     fields = [T.StructField(n, T.StringType(), True) for n in names]
     if corrupt:
@@ -57,19 +66,18 @@ def _with_file(df: DataFrame) -> DataFrame:
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], *,
                    header_mode: str = "", delimiter: str = ",", charset: str | None = "UTF-8",
-                   multiline: bool = False, slack: int = 4, recursive: bool = False) -> DataFrame:
+                   multiline: bool = False, slack: int = 4, recursive: bool = False,
+                   glob: str | None = None) -> DataFrame:
     """SRC-4..8: a landing of delimited files -> text columns ``names`` (lower case)
     + ``_corrupt_record`` + ``_file_path`` / ``_file_name``."""
     names = [n.lower() for n in names]
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.options(**_options(delimiter, charset, multiline))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
+    reader = _file_reader(spark.read.options(**_options(delimiter, charset, multiline)), recursive, glob)
     if (header_mode or "").upper() != HEADER_USE:
         df = reader.option("header", "true").schema(text_schema(names)).csv(paths)
         return _with_file(df)
     raw, pos = read_positional(spark, paths, len(names) + slack, delimiter=delimiter, charset=charset,
-                               multiline=multiline, recursive=recursive)
+                               multiline=multiline, recursive=recursive, glob=glob)
     return remap_by_header(raw, names, pos)
 
 
@@ -79,13 +87,11 @@ def positional_names(width: int) -> list[str]:
 
 def read_positional(spark: SparkSession, paths: str | Sequence[str], width: int, *, delimiter: str = ",",
                     charset: str | None = "UTF-8", multiline: bool = False,
-                    recursive: bool = False) -> tuple[DataFrame, list[str]]:
+                    recursive: bool = False, glob: str | None = None) -> tuple[DataFrame, list[str]]:
     """Header-less read: ``_c0.._c{width-1}`` text cells + file path / name, split
     start and scan row id (input of ``remap_by_header``; can be staged first)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.options(**_options(delimiter, charset, multiline))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
+    reader = _file_reader(spark.read.options(**_options(delimiter, charset, multiline)), recursive, glob)
     pos = positional_names(width)
     raw = reader.option("header", "false").schema(text_schema(pos, corrupt=False)).csv(paths)
     raw = raw.select("*", F.col("_metadata.file_path").alias("_file_path"),
@@ -152,17 +158,20 @@ def as_text_columns(df: DataFrame, names: Sequence[str] | None = None) -> DataFr
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c.lower()) for c in cols], *keep)
 
 
-def read_json(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str]) -> DataFrame:
+def read_json(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
+              glob: str | None = None) -> DataFrame:
     """SRC-9: JSON / JSON-lines with an explicit all-text schema (no inference)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.schema(text_schema([n.lower() for n in names])).option("mode", "PERMISSIVE") \
+    reader = _file_reader(spark.read, False, glob)
+    df = reader.schema(text_schema([n.lower() for n in names])).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", CORRUPT).json(paths)
     return _with_file(df)
 
 
 def read_parquet_as_text(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str] | None = None,
-                         merge_schema: bool = True) -> DataFrame:
+                         merge_schema: bool = True, glob: str | None = None) -> DataFrame:
     """SRC-9 / SNK-7: Parquet (schema-merged) cast to text."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.option("mergeSchema", "true" if merge_schema else "false").parquet(*paths)
+    reader = _file_reader(spark.read, False, glob)
+    df = reader.option("mergeSchema", "true" if merge_schema else "false").parquet(*paths)
     return _with_file(as_text_columns(df, names))

@@ -143,3 +143,26 @@ def test_cli_batch_run(spark, tmp_root):
                "--warehouse", f"{tmp_root}/clw", "--run-id", "r1"])
     assert rc == 0
     assert tb.read_current(spark, f"{tmp_root}/clw/sales_last").count() == 1
+
+
+def test_glob_mode_equals_listed_mode(spark, tmp_root):
+    """Above max_listed_files the run reads by name glob + semi join: same results."""
+    land = f"{tmp_root}/gl"
+    write(f"{land}/a/sales_20250101.csv", "id;amount;day\n1;1,50;01/01/2025\n2;x;01/01/2025\n")
+    write(f"{land}/b/SALES_20250102.csv", "id;amount;day\n3;3;02/01/2025\n")           # routed, fix part ok?
+    write(f"{land}/b/sales_20251399.csv", "id;amount;day\n9;9;01/01/2025\n")           # rejected by name
+    write(f"{land}/b/sales_20250103.csv", "id;amount;day\n")                           # empty
+    write(f"{land}/stock_20250101.csv", "qty,sku\n5,A\n")
+    sheets = (table_sheet(spark, TABLES), column_sheet(spark, COLUMNS))
+    results = []
+    for mode, limit in (("listed", 20000), ("glob", 0)):
+        wh = f"{tmp_root}/wh-{mode}"
+        r = Ingestion(spark, *sheets, wh, RunParams(max_listed_files=limit)).run(land, "r1",
+                                                                               run_at="2025-01-04 00:00:00")
+        st = sorted((x["filename"], x["status"], x["error_code"]) for x in r.outcomes.collect())
+        last = sorted(tuple(x) for x in tb.read_current(spark, f"{wh}/sales_last")
+                      .select("FILE_NAME_RECEIVED", "FILE_LINE_ID", "id", "amount").collect())
+        results.append((st, last))
+    assert results[0] == results[1]
+    st = {f: (s, c) for f, s, c in results[0][0]}
+    assert st["sales_20251399.csv"] == ("FAILED", "000000001") and st["sales_20250103.csv"][0] == "SKIPPED"
