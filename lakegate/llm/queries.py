@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegate.llm import language, toxicity
 from lakegate.llm.common import read_table, text_or_empty
 from lakegate.llm.exact_dedup import normalised, refine
 from lakegate.llm.imatch import fingerprints
+from lakegate.llm.minhash import near_duplicates
 from lakegate.llm.mixing import mix
+from lakegate.llm.packing import pack, with_crc
 from lakegate.llm.url_filter import judge, labelled_urls, train
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents")).drop("_row", "first")
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -20,10 +27,30 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = language.fold(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels").where(~held_out))
+    return (docs.select("doc_id", held_out.alias("held_out"), toxicity.scorer(model)("text").alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "pages"), train(labelled_urls(spark)))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_crc(pack(read_table(spark, sf_dir, "documents")))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = language.fold(F.col("doc_id"), 5) == 0
+    model = language.train(docs.where(~held_out))
+    return (docs.select("doc_id", held_out.alias("held_out"), language.predictor(model)("text").alias("p"))
+            .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.rejected"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     docs = docs.withColumn("text_sha256", F.sha2(normalised(text_or_empty()), 256))
@@ -31,9 +58,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
+    "op8_packing": op8_packing,
+    "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
