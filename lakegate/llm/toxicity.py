@@ -4,9 +4,10 @@ Two dictionaries are made from labelled text.  The ordinary one holds ordinary
 text.  The toxic one holds what distinguishes toxic documents: those of their
 words that recur among them and that a large dictionary of ordinary text can't
 compress.  A text is cut into short windows at blanks; a window's distance is its
-length compressed with the ordinary dictionary less that with both, behind the
-same primer.  Distances of at least the calibrated threshold are hits; a logistic
-model of hits per document, fitted on the same sample, turns them into a score.
+length compressed with the ordinary dictionary less that with both of them, behind the
+same primer.  Windows that reach one of several thresholds are hits; a logistic
+model of a document's hits at each threshold, fitted on the same sample,
+calibrates how much each threshold counts and gives the score.
 
 Defined results
 * null and empty texts have no hit: their score is the model's value for that.
@@ -35,9 +36,9 @@ WINDOW_BYTES = 64
 LONGEST_WINDOW = 128
 PRIMER_BYTES = 64
 MIN_WORD = 4
-MIN_SHARE = 0.01
+MIN_SHARE = 0.02
 MAX_SAVED = 0.3
-THRESHOLDS = (3, 4, 5, 6, 7)
+THRESHOLDS = (2, 3, 4, 5, 6)
 
 
 def _bytes(text: str | None) -> bytes:
@@ -60,7 +61,7 @@ class Distance:
 
     def __init__(self, ordinary: bytes, toxic: bytes):
         self.head, self.tail = ordinary[:PRIMER_BYTES], ordinary[PRIMER_BYTES:PRIMER_BYTES + 16]
-        self.ordinary, self.both = compressor(ordinary), compressor(toxic + ordinary)
+        self.ordinary, self.both = compressor(ordinary), compressor(ordinary + toxic)
 
     def of(self, raw: bytes) -> np.ndarray:
         framed = [self.head + w + self.tail for w in windows(raw)]
@@ -83,10 +84,13 @@ def distinguishing(toxic: list[bytes], ordinary: bytes) -> bytes:
     return b" ".join([b"", *(w for _, w in sorted(kept)), b""])[-TOXIC_BYTES:]
 
 
-def features(distances: np.ndarray, threshold: int) -> list[float]:
-    hits = int((distances >= threshold).sum())
-    return [1.0, float(hits > 0), float(np.log1p(hits)), float(hits / max(1, len(distances))) * 10.0,
-            float(max(0, distances.max(initial=0) - threshold) * (hits > 0)) / 4.0]
+def features(distances: np.ndarray, thresholds: tuple[int, ...] = THRESHOLDS) -> list[float]:
+    """Constant; then for each threshold whether, how often and in what share windows reach it."""
+    found = [1.0]
+    for level in thresholds:
+        hits = int((distances >= level).sum())
+        found += [float(hits > 0), float(np.log1p(hits)), 10.0 * hits / max(1, len(distances))]
+    return found
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -122,13 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMPLE_DOC
     model = {"ordinary": plain[:ORDINARY_BYTES], "toxic": distinguishing(toxic, plain[:RESIDUAL_BYTES])}
     distance = Distance(model["ordinary"], model["toxic"])
     measured = [[distance.of(raw) for raw in part] for part in (ordinary, toxic)]
-
-    def separation(t: int) -> float:
-        share = [np.mean([(d >= t).any() for d in part]) for part in measured]
-        return share[1] - 4 * share[0]
-
-    model["threshold"] = max(THRESHOLDS, key=separation)
-    x = np.array([features(d, model["threshold"]) for part in measured for d in part])
+    x = np.array([features(d) for part in measured for d in part])
     y = np.repeat([0.0, 1.0], [len(ordinary), len(toxic)])
     weights = _fit(x, y)
     weights[0] += np.log(max(n1, 1) / max(n0, 1)) - np.log(len(toxic) / len(ordinary))  # back to the shares of the labels
@@ -146,7 +144,7 @@ def scorer(model: dict):
             return
         distance, weights = Distance(model["ordinary"], model["toxic"]), np.array(model["weights"])
         for part in parts:
-            x = np.array([features(distance.of(_bytes(t)), model["threshold"]) for t in part]).reshape(-1, len(weights))
+            x = np.array([features(distance.of(_bytes(t))) for t in part]).reshape(-1, len(weights))
             yield pd.Series(1 / (1 + np.exp(-x @ weights)), index=part.index)
 
     return score
