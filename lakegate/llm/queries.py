@@ -9,6 +9,7 @@ from lakegate.llm import language, toxicity
 from lakegate.llm.common import read_table, text_or_empty
 from lakegate.llm.exact_dedup import normalised, refine
 from lakegate.llm.imatch import fingerprints
+from lakegate.llm.line_dedup import drop_shared_lines
 from lakegate.llm.minhash import near_duplicates
 from lakegate.llm.mixing import mix
 from lakegate.llm.packing import pack, with_crc
@@ -27,6 +28,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_shared_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = language.fold(F.col("doc_id"), 3) == 1
@@ -61,6 +67,7 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_packing": op8_packing,
