@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakegate.llm import language, toxicity
 from lakegate.llm.common import read_table, text_or_empty
 from lakegate.llm.exact_dedup import normalised, refine
+from lakegate.llm.html_extract import extract_pages
 from lakegate.llm.imatch import fingerprints
 from lakegate.llm.line_dedup import drop_shared_lines
 from lakegate.llm.minhash import near_duplicates
@@ -20,6 +21,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).drop("_row", "first")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
