@@ -30,6 +30,14 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:
     """Number the rows of a stored table, unique also where rows repeat.
 
@@ -65,13 +73,15 @@ def bit_filter(keys: DataFrame, key: str, log2_bits: int = FILTER_BITS):
     return test
 
 
-def keep_rows(df: DataFrame, dropped: DataFrame, key: str = "_row") -> DataFrame:
-    """``df`` without the rows whose key is in ``dropped``.
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The stored table ``docs`` without the rows whose number ``_row`` is in ``dropped``.
 
     Rows that the membership filter clears pass without a shuffle; only the
-    others meet the dropped keys in an anti join.
+    others meet the dropped numbers in an anti join.
     """
-    maybe = bit_filter(dropped, key)
-    passed = df.where(~maybe(F.col(key)))
-    checked = df.where(maybe(F.col(key))).join(dropped.select(key), key, "left_anti")
-    return passed.unionByName(checked.select(*df.columns))
+    key = fresh(docs, "_row")
+    numbered, gone = with_row_id(docs, key), dropped.select(F.col("_row").alias(key))
+    maybe = bit_filter(gone, key)
+    passed = numbered.where(~maybe(F.col(key)))
+    checked = numbered.where(maybe(F.col(key))).join(gone, key, "left_anti")
+    return passed.select(*docs.columns).unionByName(checked.select(*docs.columns))

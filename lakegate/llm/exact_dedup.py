@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import ASCII_SPACE, bit_filter, checkpointed, keep_rows, text_or_empty, with_row_id
+from lakegate.llm.common import ASCII_SPACE, bit_filter, checkpointed, text_or_empty, with_row_id, without_rows
 
 PREFIX_CHARS = 64
 
@@ -68,4 +68,4 @@ def refine(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, carry: tuple[str,
 def drop_copies(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     dropped = checkpointed(refine(docs, prefix_chars).where(~F.col("kept")).select("_row"))
-    return keep_rows(with_row_id(docs), dropped).drop("_row")
+    return without_rows(docs, dropped)

@@ -53,6 +53,11 @@ def lexicon(documents: DataFrame, min_idf: float, max_idf: float) -> DataFrame:
     return df.where((idf >= min_idf) & (idf <= max_idf)).select("term")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def fingerprint(all_terms: Column, kept: Column, subsets: int = SUBSETS) -> Column:
     """Two levels, each an array of the level and one hash per subset (null: no term of it).
 
@@ -65,13 +70,12 @@ def fingerprint(all_terms: Column, kept: Column, subsets: int = SUBSETS) -> Colu
         s = level + offset
         cells = F.pow(F.lit(4), s).cast("long") * subsets
         mine = F.transform(kept, lambda t: F.struct(F.pmod(F.xxhash64(t, s), cells).alias("c"), t.alias("t")))
-        mine = F.array_sort(F.filter(mine, lambda x: x["c"] < subsets))
-        hashes = F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), lambda k: F.transform(
-            F.filter(mine, lambda x: x["c"] == k), lambda x: x["t"]))
-        return F.concat(F.array(s.cast("long")), F.transform(
-            hashes, lambda h: F.when(F.size(h) > 0, F.xxhash64(h))))
+        mine = F.sort_array(F.filter(mine, lambda x: x["c"] < subsets))
+        hashes = _let(mine, lambda m: F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), lambda k: _let(
+            F.filter(m, lambda x: x["c"] == k), lambda h: F.when(F.size(h) > 0, F.xxhash64(h)))))
+        return F.concat(F.array(s.cast("long")), hashes)
 
-    whole = F.array(F.lit(-1).cast("long"), F.xxhash64(F.array_sort(all_terms)))
+    whole = F.array(F.lit(-1).cast("long"), F.xxhash64(F.sort_array(all_terms)))
     return F.when(n == 0, F.array(whole, whole)).otherwise(F.array(at(0), at(1)))
 
 

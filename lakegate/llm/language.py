@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakegate.llm.common import fresh
 from lakegate.llm.zdict import compressor, sample_condition
 
 SAMPLE_DOCUMENTS = 400
@@ -92,6 +93,13 @@ def predictor(model: dict[str, tuple[bytes, bytes]], min_margin: float = MIN_MAR
     return predict
 
 
+def keep_identified(docs: DataFrame, model: dict[str, tuple[bytes, bytes]], min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The documents that are not rejected, with the columns of ``docs``."""
+    answer = fresh(docs, "_language")
+    return (docs.withColumn(answer, predictor(model, min_margin)("text")).where(~F.col(f"{answer}.rejected"))
+            .select(*docs.columns))
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """The document's fold: CRC-32 of the id as text, modulo ``folds``; 0 for a null id."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

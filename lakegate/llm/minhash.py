@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import bit_filter, checkpointed, keep_rows, with_row_id
+from lakegate.llm.common import bit_filter, checkpointed, with_row_id, without_rows
 from lakegate.llm.components import components
 from lakegate.llm.segments import WordHashes, shingles
 
@@ -222,4 +222,4 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     """One row of each component, with the columns of ``docs``."""
     dropped = checkpointed(near_duplicates(docs, **parameters).where(~F.col("first")).select("_row"))
-    return keep_rows(with_row_id(docs), dropped).drop("_row")
+    return without_rows(docs, dropped)

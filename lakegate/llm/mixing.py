@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import WORD_PATTERN, bit_filter, checkpointed, text_or_empty, with_row_id
+from lakegate.llm.common import WORD_PATTERN, bit_filter, checkpointed, fresh, text_or_empty, with_row_id
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
@@ -132,14 +132,15 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     A document taken t words of its size s comes t div s times whole, and once
     more cut to its first t mod s words where that is not 0.
     """
-    taken = mix(docs, **parameters).where("taken > 0").select("_row", "size", "taken")
+    key, words = fresh(docs, "_row"), fresh(docs, "_words")
     whole, rest = F.expr("taken div size"), F.col("taken") % F.col("size")
     copies = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")),
                       F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    some = checkpointed(taken.select("_row", copies.alias("_copies")))
-    maybe = bit_filter(some, "_row")
-    rows = with_row_id(docs).where(maybe(F.col("_row"))).join(some, "_row").withColumn("_words", F.explode("_copies"))
-    text = F.when(F.col("_words") < 0, F.col("text")).otherwise(first_words(F.col("text"), F.col("_words")))
+    taken = checkpointed(mix(docs, **parameters).where("taken > 0").select(F.col("_row").alias(key), copies.alias(words)))
+    maybe = bit_filter(taken, key)
+    rows = (with_row_id(docs, key).where(maybe(F.col(key))).join(taken, key)
+            .withColumn(words, F.explode(words)))
+    text = F.when(F.col(words) < 0, F.col("text")).otherwise(first_words(F.col("text"), F.col(words)))
     out = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
