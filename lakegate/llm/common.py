@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +18,18 @@ FILTER_BITS = 22
 """log2 of the bits in a membership filter: 512 KB, whatever the input's size."""
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder that the cluster names."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder that the cluster names, and read again.
+
+    This cuts the lineage like a checkpoint, survives lost executors, computes
+    ``df`` once, and gives later plans true sizes (a checkpoint keeps estimates,
+    which multiply from join to join).  The folder of an application may be
+    removed when it has ended.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +72,7 @@ def bit_filter(keys: DataFrame, key: str, log2_bits: int = FILTER_BITS):
                 .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")))
     dense = (keys.sparkSession.range(0, words, 1, 1).withColumnRenamed("id", "w").join(set_bits, "w", "left")
              .select(F.struct("w", F.coalesce("bits", F.lit(0)).alias("bits")).alias("x")))
-    array = checkpointed(dense.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["bits"]).alias("a")))
+    array = stored(dense.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["bits"]).alias("a")))
 
     def test(col: Column, words: Column | None = None) -> Column:
         at = F.pmod(F.xxhash64(col), F.lit(1 << log2_bits))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import ASCII_SPACE, bit_filter, checkpointed, text_or_empty, with_row_id, without_rows
+from lakegate.llm.common import ASCII_SPACE, bit_filter, stored, text_or_empty, with_row_id, without_rows
 
 PREFIX_CHARS = 64
 
@@ -45,11 +45,11 @@ def refine(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, carry: tuple[str,
               .select(F.xxhash64("_len", "_prefix").alias("_key")))
     survives = bit_filter(shared, "_key")
     key = F.xxhash64(F.length("_norm"), F.xxhash64(F.substring("_norm", 1, prefix_chars)))
-    rows = checkpointed(base.select(
+    rows = stored(base.select(
         "_row", "doc_id", "_n", F.length("_norm").alias("_len"),
         F.when(survives(key), F.sha2("_norm", 256)).alias("_full"), *carry))
     best = F.min(F.struct((-F.col("_n")).alias("n"), F.col("doc_id").isNull().alias("z"), "doc_id", "_row"))
-    groups = checkpointed(rows.where("_full is not null").groupBy("_len", "_full")
+    groups = stored(rows.where("_full is not null").groupBy("_len", "_full")
                           .agg(F.count(F.lit(1)).alias("group_size"), best.alias("_best")).where("group_size > 1")
                           .select("_len", "_full", "group_size", F.col("_best.doc_id").alias("keep_id"),
                                   F.col("_best._row").alias("_keep_row")))
@@ -67,5 +67,5 @@ def refine(docs: DataFrame, prefix_chars: int = PREFIX_CHARS, carry: tuple[str,
 
 def drop_copies(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    dropped = checkpointed(refine(docs, prefix_chars).where(~F.col("kept")).select("_row"))
+    dropped = stored(refine(docs, prefix_chars).where(~F.col("kept")).select("_row"))
     return without_rows(docs, dropped)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import bit_filter, checkpointed, with_row_id
+from lakegate.llm.common import bit_filter, stored, with_row_id
 from lakegate.llm.page_tree import infer, main_text, slim
 from lakegate.llm.url_filter import host_of
 
@@ -40,7 +40,7 @@ def host_samples(pages: DataFrame, sample_pages: int) -> DataFrame:
     hashed = pages.where("html <> ''").select("_row", "host", F.xxhash64("_row").alias("h"))
     least = (hashed.groupBy("host", F.pmod("h", F.lit(sample_pages)).alias("slot"))
              .agg(F.min(F.struct("h", "_row")).alias("m")).select("slot", F.col("m._row").alias("_row")))
-    chosen = checkpointed(least)
+    chosen = stored(least)
     maybe = bit_filter(chosen, "_row")
     return pages.where(maybe(F.col("_row"))).join(chosen, "_row").select("host", "slot", "html")
 
@@ -57,7 +57,7 @@ def infer_wrappers(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFr
 def extract_pages(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """``page_id, url, text`` per row of a stored table ``page_id, url, html``."""
     base = with_row_id(pages).select("_row", "page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    wrappers = checkpointed(infer_wrappers(base.select("_row", "host", "html"), sample_pages))
+    wrappers = stored(infer_wrappers(base.select("_row", "host", "html"), sample_pages))
     size = wrappers.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0)).alias("b")).first()["b"]
     small = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
     joined = base.select("page_id", "url", "html", "host").join(small, "host", "left").select("page_id", "url", "html", "wrapper")

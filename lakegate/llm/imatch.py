@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import bit_filter, checkpointed, text_or_empty, with_row_id
+from lakegate.llm.common import bit_filter, stored, text_or_empty, with_row_id
 
 MIN_IDF = 1.0
 MAX_IDF = 9.0
@@ -111,7 +111,7 @@ def next_rows(ids: DataFrame) -> DataFrame:
     Range partitions hold consecutive ids; each looks ahead on its own, and one
     row per partition, its first, links the partitions.
     """
-    parts = checkpointed(ids.repartitionByRange(
+    parts = stored(ids.repartitionByRange(
         ids.sparkSession.sparkContext.defaultParallelism * 4, F.col("doc_id").asc_nulls_last(), F.col("_row"))
         .withColumn("_p", F.spark_partition_id()))
     order = [F.col("doc_id").asc_nulls_last(), F.col("_row")]
@@ -128,7 +128,7 @@ def next_rows(ids: DataFrame) -> DataFrame:
 def with_edits(docs: DataFrame) -> DataFrame:
     """``_row, doc_id, text, edited, _next``: the last quarter replaced by the start of the next document."""
     base = with_row_id(docs).select("_row", "doc_id", text_or_empty().alias("text"))
-    order = checkpointed(next_rows(base.select("_row", "doc_id", F.length("text").alias("_n"))))
+    order = stored(next_rows(base.select("_row", "doc_id", F.length("text").alias("_n"))))
     quarter = F.floor(F.col("_n") / 4).cast("int")
     starts = (base.select(F.col("_row").alias("_next"), "text").join(order, "_next")
               .select("_row", "_next", F.substring(F.col("text"), F.lit(1), quarter).alias("_start"),
@@ -140,7 +140,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF,
                  subsets: int = SUBSETS) -> DataFrame:
     """Per row ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``."""
-    words = checkpointed(lexicon(docs.select(text_or_empty().alias("text")), min_idf, max_idf))
+    words = stored(lexicon(docs.select(text_or_empty().alias("text")), min_idf, max_idf))
     in_lexicon = bit_filter(words, "term", LEXICON_BITS)
     about = ("_row", "doc_id", "_next", "n_chars", "edited_sha256")
     kept = with_edits(docs).select(
@@ -148,7 +148,7 @@ def fingerprints(docs: DataFrame, min_idf: float = MIN_IDF, max_idf: float = MAX
         F.array(terms(F.col("text")), terms(F.col("edited"))).alias("_terms"),
         in_lexicon.words().alias("_lexicon")).select(*about, F.transform("_terms", lambda all_terms: F.struct(
             all_terms.alias("t"), F.filter(all_terms, lambda t: in_lexicon(t, F.col("_lexicon"))).alias("k"))).alias("_k"))
-    done = checkpointed(kept.select(
+    done = stored(kept.select(
         *about, fingerprint(F.col("_k")[0]["t"], F.col("_k")[0]["k"], subsets).alias("fp"),
         fingerprint(F.col("_k")[1]["t"], F.col("_k")[1]["k"], subsets).alias("edited_fp")))
     after = done.select(F.col("_row").alias("_next"), F.col("fp").alias("next_fp"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import ASCII_SPACE, bit_filter, checkpointed, with_row_id
+from lakegate.llm.common import ASCII_SPACE, bit_filter, stored, with_row_id
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -137,7 +137,7 @@ def dealt(lines: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     shard = F.pmod("hi", F.lit(shards)).cast("int").alias("shard")
     asked = lines.groupBy(shard).agg(F.count(F.lit(1)).alias("asked"))
     mean = asked.agg(F.avg("asked").alias("m"))
-    salts = checkpointed(asked.select("shard", F.greatest(F.lit(1), F.ceil(
+    salts = stored(asked.select("shard", F.greatest(F.lit(1), F.ceil(
         F.col("asked") / (2 * F.greatest(mean.scalar(), F.lit(1.0))))).cast("int").alias("salts")))
     arrays = (index.join(salts, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
               .drop("salts").withColumn("probe", F.lit(False)))
@@ -196,14 +196,14 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents
                       shard_keys: int = SHARD_KEYS) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept`` per row of a stored table with an integer doc_id."""
     base = with_row_id(docs).select("_row", "doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).cast("long").alias("doc"), "text")
-    lines = checkpointed(document_lines(base, min_chars))
-    keys = checkpointed(lines.select("hi", "lo", "doc").distinct().groupBy("hi", "lo")
+    lines = stored(document_lines(base, min_chars))
+    keys = stored(lines.select("hi", "lo", "doc").distinct().groupBy("hi", "lo")
                         .agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(partitions, -(-keys.count() // shard_keys))
-    index = checkpointed(shard_index(keys, shards))
+    index = stored(shard_index(keys, shards))
     dropped = probe(dealt(lines, index, shards), min_documents)
-    per_row = checkpointed(dropped.groupBy("_row").agg(F.collect_list("line").alias("dropped")))
+    per_row = stored(dropped.groupBy("_row").agg(F.collect_list("line").alias("dropped")))
     maybe = bit_filter(per_row, "_row")
     none = F.array().cast("array<bigint>")
     clear = base.where(~maybe(F.col("_row"))).withColumn("dropped", none)

@@ -7,10 +7,12 @@ on the full shingle sets.
 
 Equal sets are one node from the start.  In a bucket every node meets the
 bucket's first node (its hub), never all of its pairs; afterwards only buckets
-that still hold several components matter: small ones compare the pairs across
-components (at most ``SMALL`` / 2 per row), large ones are split by the other
-bands of their members, and if that leaves large ones, further hubs follow until
-each bucket is one component or has no hub left.  So no candidate is dropped.
+that still hold several components matter.  Small ones compare the pairs across
+components (at most ``SMALL`` / 2 per row).  Large ones that share nodes are
+joined into families; a family's nodes are dealt to blocks of bounded size, and a
+task takes two blocks, counts all their intersections as a matrix product, and
+returns no more than one link per node.  So no candidate is dropped, no group is
+in one task, and no list of a group's pairs is ever made.
 
 Defined results
 * words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; fewer than five words
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import bit_filter, checkpointed, with_row_id, without_rows
+from lakegate.llm.common import bit_filter, stored, with_row_id, without_rows
 from lakegate.llm.components import components
 from lakegate.llm.segments import WordHashes, shingles
 
@@ -41,6 +43,7 @@ THRESHOLD_PERCENT = 75
 BANDS = 32
 BAND_ROWS = 4
 SMALL = 32
+BLOCK = 192
 _CHUNK = 4096
 
 
@@ -128,7 +131,7 @@ def _sizes_allow(percent: int):
 
 def _hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket's first node with its other nodes, of sizes that can reach the threshold."""
-    hubs = checkpointed(rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("h"))
+    hubs = stored(rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("h"))
                         .select("key", F.col("h.node").alias("a"), F.col("h.n").alias("n_a")))
     pairs = rows.join(hubs, "key").where("node <> a").select(
         "a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b")).where(_sizes_allow(percent))
@@ -137,11 +140,11 @@ def _hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 def _open_buckets(rows: DataFrame, comp: DataFrame) -> DataFrame:
     """The rows ``key, node, n, component, members`` of buckets with several components."""
-    labelled = checkpointed(_labelled(rows, comp))
-    several = checkpointed(labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+    labelled = stored(_labelled(rows, comp))
+    several = stored(labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                                        F.count(F.lit(1)).alias("members"))
                            .where("lo <> hi").select("key", "members"))
-    return checkpointed(labelled.join(several, "key"))
+    return stored(labelled.join(several, "key"))
 
 
 def _cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
@@ -152,63 +155,95 @@ def _cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def _split(open_rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Large buckets split by each other band of their members."""
-    return (open_rows.select("key", "node", "n").join(nodes.select("node", "bands"), "node")
-            .select("node", "n", "key", F.explode("bands").alias("band")).where("band <> key")
-            .select(F.xxhash64("key", "band").alias("key"), "node", "n"))
+def _block_pairs(open_rows: DataFrame, block: int) -> DataFrame:
+    """``pair, node``: the members of each two blocks of each family (and of each block with itself)."""
+    hubs = stored(open_rows.groupBy("key").agg(F.min("node").alias("a")))
+    family = components(open_rows.join(hubs, "key").select("a", F.col("node").alias("b")))
+    sizes = stored(family.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return (family.join(sizes, "component").withColumn("_mine", mine)
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.xxhash64("component", F.least("_mine", "_other"), F.greatest("_mine", "_other")).alias("pair"), "node"))
+
+
+def block_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that span the components of the sets that reach the threshold, by counting intersections."""
+    count = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(count), sizes)
+    shared = seen[column] > 1
+    row, column = row[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((count, count), np.float32)
+    starts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]]) if len(column) else np.zeros(0, np.int64)
+    for at in range(0, len(starts), _CHUNK):
+        lo, hi = starts[at], starts[at + _CHUNK] if at + _CHUNK < len(starts) else len(column)
+        part = np.unique(column[lo:hi], return_inverse=True)[1]
+        held = np.zeros((count, int(part.max()) + 1), np.float32)
+        held[row[lo:hi], part] = 1
+        common += held @ held.T
+    near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    label = np.arange(count)
+    while True:
+        least = np.where(near, label[None, :], count).min(axis=1)
+        least = np.minimum(least, label)[np.minimum(least, label)]
+        if (least == label).all():
+            break
+        label = least
+    return [(int(label[i]), i) for i in range(count) if label[i] != i]
+
+
+def family_links(open_rows: DataFrame, texts: DataFrame, shingle_words: int, percent: int, block: int) -> DataFrame:
+    """Links ``a, b`` that connect whatever is near within the families of large buckets."""
+    pairs = stored(_block_pairs(open_rows, block))
+    some = pairs.select(F.col("node").alias("_row")).distinct()
+    maybe = bit_filter(some, "_row")
+    loaded = pairs.join(texts.where(maybe(F.col("_row"))).select(F.col("_row").alias("node"), "text"), "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        hashes = WordHashes()
+        sets = [shingles(hashes.of(t.as_py()), shingle_words) for t in table.column("text")]
+        found = block_links(sets, percent)
+        node = table.column("node").to_pylist()
+        return pa.table({"a": pa.array([node[i] for i, _ in found], pa.int64()),
+                         "b": pa.array([node[j] for _, j in found], pa.int64())})
+
+    return loaded.groupBy("pair").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT,
-                    bands: int = BANDS, band_rows: int = BAND_ROWS, small: int = SMALL) -> DataFrame:
+                    bands: int = BANDS, band_rows: int = BAND_ROWS, small: int = SMALL,
+                    block: int = BLOCK) -> DataFrame:
     """``_row, doc_id, n_shingles, component_id, kept, first`` per row of a stored table.
 
     ``first`` marks one row of each component: the first of those kept.
     """
     texts = with_row_id(docs).select("_row", "doc_id", "text")
-    sig = checkpointed(signatures(texts, shingle_words, bands, band_rows))
-    sets = checkpointed(sig.where("n_shingles > 0").groupBy("set_id").agg(F.min("_row").alias("node")))
-    member = checkpointed(sig.where("n_shingles > 0").select("_row", "doc_id", "n_shingles", "set_id").join(sets, "set_id")
+    sig = stored(signatures(texts, shingle_words, bands, band_rows))
+    sets = stored(sig.where("n_shingles > 0").groupBy("set_id").agg(F.min("_row").alias("node")))
+    member = stored(sig.where("n_shingles > 0").select("_row", "doc_id", "n_shingles", "set_id").join(sets, "set_id")
                           .select("_row", "doc_id", "n_shingles", "node"))
     is_node = bit_filter(sets, "node")
-    nodes = checkpointed(sig.where("n_shingles > 0").where(is_node(F.col("_row")))
+    nodes = stored(sig.where("n_shingles > 0").where(is_node(F.col("_row")))
                          .join(sets.select(F.col("node").alias("_row")), "_row", "left_semi")
                          .select(F.col("_row").alias("node"), F.col("n_shingles").alias("n"), "bands"))
 
     exploded = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = checkpointed(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
+    shared = stored(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
     maybe = bit_filter(shared, "key", 24)
-    rows = checkpointed(exploded.where(maybe(F.col("key"))).join(shared, "key").select("key", "node", "n"))
-
-    links = checkpointed(nodes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")))
-    comp = checkpointed(links.select(F.col("a").alias("node"), F.col("b").alias("component")))
-
-    def link(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        found = checkpointed(confirmed(checkpointed(pairs), texts, shingle_words, percent))
-        every = links.unionByName(found)
-        return every, components(every)
-
-    level = 0
-    while not rows.isEmpty():
-        links, comp = link(_hub_pairs(rows, percent))
-        opened = _open_buckets(rows, comp)
-        tight = opened.where(F.col("members") <= small)
-        if not tight.isEmpty():
-            links, comp = link(_cross_pairs(tight, percent))
-        wide = opened.where(F.col("members") > small).select("key", "node", "n")
-        if wide.isEmpty():
-            break
-        wide = _open_buckets(wide, comp).select("key", "node", "n")
-        if level == 0:
-            rows = checkpointed(_split(wide, nodes))
-        else:
-            firsts = checkpointed(wide.groupBy("key").agg(F.min("node").alias("hub")))
-            rows = checkpointed(wide.join(firsts, "key").where("node > hub").select("key", "node", "n"))
-        level += 1
-
-    located = checkpointed(_labelled(member, comp).select("_row", "doc_id", "n_shingles", "component"))
+    rows = stored(exploded.where(maybe(F.col("key"))).join(shared, "key").select("key", "node", "n"))
+
+    links = stored(confirmed(stored(_hub_pairs(rows, percent)), texts, shingle_words, percent))
+    opened = _open_buckets(rows, components(links))
+    across = stored(_cross_pairs(opened.where(F.col("members") <= small), percent))
+    links = links.unionByName(confirmed(across, texts, shingle_words, percent)).unionByName(
+        family_links(opened.where(F.col("members") > small), texts, shingle_words, percent, block))
+    comp = components(links)
+    located = stored(_labelled(member, comp).select("_row", "doc_id", "n_shingles", "component"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_row"))
-    lowest = checkpointed(located.groupBy("component").agg(best.alias("m")).select(
+    lowest = stored(located.groupBy("component").agg(best.alias("m")).select(
         "component", F.col("m.doc_id").alias("component_id"), F.col("m._row").alias("_first")))
     linked = located.join(lowest, "component").select(
         "_row", "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
@@ -221,5 +256,5 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     """One row of each component, with the columns of ``docs``."""
-    dropped = checkpointed(near_duplicates(docs, **parameters).where(~F.col("first")).select("_row"))
+    dropped = stored(near_duplicates(docs, **parameters).where(~F.col("first")).select("_row"))
     return without_rows(docs, dropped)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import WORD_PATTERN, bit_filter, checkpointed, fresh, text_or_empty, with_row_id
+from lakegate.llm.common import WORD_PATTERN, bit_filter, stored, fresh, text_or_empty, with_row_id
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
@@ -85,7 +85,7 @@ def schedule(targets: DataFrame, total: int, block_words: int = BLOCK_WORDS) ->
     ends = (targets.where("target > 0")
             .withColumn("_end", F.when(last, F.lit(float("inf"))).otherwise(F.sum("target").over(W.orderBy("_i"))))
             .agg(F.sort_array(F.collect_list(F.struct("_end", "_i"))).alias("a")))
-    ends = checkpointed(ends)
+    ends = stored(ends)
     slots = -(-total // block_words)
     point = (F.pmod(F.pmod("id", F.lit(1 << 31)) * F.lit(GOLDEN_31), F.lit(1 << 31)) + F.lit(0.5)) / F.lit(float(1 << 31))
     drawn = spark.range(slots).select(F.col("id").alias("slot"), (point * F.lit(float(total))).alias("_u"),
@@ -99,16 +99,16 @@ def schedule(targets: DataFrame, total: int, block_words: int = BLOCK_WORDS) ->
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_REPEAT,
         block_words: int = BLOCK_WORDS, buckets: int = BUCKETS) -> DataFrame:
     """``_row, doc_id, size, source_size, target, taken`` per row of a stored table."""
-    sized = checkpointed(with_row_id(docs).select(
+    sized = stored(with_row_id(docs).select(
         "_row", "doc_id", "source", word_count(text_or_empty()).alias("size")))
-    targets = checkpointed(source_targets(sized.select("source", "size"), weights, repeat))
+    targets = stored(source_targets(sized.select("source", "size"), weights, repeat))
     total = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("t")).first()["t"]
     tagged = (sized.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
               .drop("_s").withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     if not total:
         return tagged.select("_row", "doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     bucket = F.conv(F.substring("_key", 1, 4), 16, 10).cast("int") % F.lit(buckets)
-    placed = checkpointed(running_total(tagged.withColumn("_bucket", bucket), "_i", "_bucket", ["_key", "_row"],
+    placed = stored(running_total(tagged.withColumn("_bucket", bucket), "_i", "_bucket", ["_key", "_row"],
                                         F.col("size"), "_at").drop("_bucket", "_key"))
     blocks = targets.select("_i", F.ceil(F.col("source_size") / F.lit(block_words)).alias("_blocks"))
     used = (schedule(targets, total, block_words).join(blocks, "_i")
@@ -136,7 +136,7 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     whole, rest = F.expr("taken div size"), F.col("taken") % F.col("size")
     copies = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")),
                       F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    taken = checkpointed(mix(docs, **parameters).where("taken > 0").select(F.col("_row").alias(key), copies.alias(words)))
+    taken = stored(mix(docs, **parameters).where("taken > 0").select(F.col("_row").alias(key), copies.alias(words)))
     maybe = bit_filter(taken, key)
     rows = (with_row_id(docs, key).where(maybe(F.col(key))).join(taken, key)
             .withColumn(words, F.explode(words)))
