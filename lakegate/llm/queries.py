@@ -13,6 +13,7 @@ from lakegate.llm.imatch import fingerprints
 from lakegate.llm.line_dedup import drop_shared_lines
 from lakegate.llm.minhash import near_duplicates
 from lakegate.llm.mixing import mix
+from lakegate.llm.oracles import ORACLES
 from lakegate.llm.packing import pack, with_crc
 from lakegate.llm.url_filter import judge, labelled_urls, train
 
@@ -81,4 +82,4 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLES"]
