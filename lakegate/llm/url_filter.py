@@ -59,6 +59,7 @@ addresses.test blog.wins-and- losses.test adults-education.test
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The default labelled table ``url, label`` (1: block)."""
     rows = [(u + p, y) for y, sites in ((1, BLOCKED), (0, ALLOWED)) for u in sites.split() for p in PATHS]
+    rows += [(p, 0) for p in PATHS] * 25  # a nameless host is no reason to block
     return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('https://{u}', {y})" for u, y in rows) + " AS t(url, label)")
 
 
