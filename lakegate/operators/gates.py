@@ -25,6 +25,8 @@ FILE_REJECTED = "_file_rejected"
 FILE_REASON = "_file_reason"
 TO_LAST = "_to_last"
 TO_ALL = "_to_all"
+ROWS_TO_LAST = "rows_to_last"
+ROWS_TO_ALL = "rows_to_all"
 
 
 @dataclass(frozen=True)
@@ -48,13 +50,9 @@ def abort_columns(rules: Sequence[ColumnRule]) -> list[ColumnRule]:
     return [r for r in rules if r.action == ACTION_ICT and r.tolerance is not None and not is_enrichment(r)]
 
 
-def _is_column(name: str):
-    return lambda e: e["column"] == F.lit(name)
-
-
 def file_stats(validated: DataFrame, rules: Sequence[ColumnRule], file_col: str = "_file_name") -> DataFrame:
     """AGG-7 + QUA-11 inputs: per file line counts and per-column invalid counts."""
-    per_col = [F.count_if(F.exists(ERRORS, _is_column(r.name))).alias(f"invalid_{r.name}")
+    per_col = [F.count_if(F.array_contains(F.col(ERRORS)["column"], r.name)).alias(f"invalid_{r.name}")
                for r in abort_columns(rules)]
     return validated.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("total_lines"),
@@ -69,7 +67,8 @@ def file_stats(validated: DataFrame, rules: Sequence[ColumnRule], file_col: str
 
 def file_decisions(stats: DataFrame, rules: Sequence[ColumnRule], params: GateParams,
                    file_col: str = "_file_name") -> DataFrame:
-    """QUA-9 column abort, QUA-11 RLT, QUA-12 fail-fast -> status + reason per file."""
+    """QUA-9 column abort, QUA-11 RLT, QUA-12 fail-fast -> status + reason per file, and the
+    rows that go to `_last` and `_all`, which follow from the counts (lines aren't read again)."""
     total = F.col("total_lines")
     aborts = [F.when(_ge(F.col(f"invalid_{r.name}"), total, r.tolerance, params.strict), F.lit(r.name))
               for r in abort_columns(rules)]
@@ -87,6 +86,9 @@ def file_decisions(stats: DataFrame, rules: Sequence[ColumnRule], params: GatePa
         ff_hit.alias("fail_fast"),
         reason.alias("file_reason"),
         F.when(reason.isNull(), F.lit("ACCEPTED")).otherwise(F.lit("REJECTED")).alias("file_status"),
+        F.when(reason.isNull(), total - F.col("rejected_lines")).otherwise(F.lit(0)).cast("long").alias(ROWS_TO_LAST),
+        F.when(reason.isNull(), total - F.col("reject_lines" if params.all_keeps_ict_rejects else "rejected_lines"))
+         .otherwise(F.lit(0)).cast("long").alias(ROWS_TO_ALL),
     )
 
 

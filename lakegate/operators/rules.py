@@ -1,10 +1,11 @@
 """Column rules -> one validated projection (QUA-1..8, 13, 14, 18; PRJ-5/6/7/10; SCA-1/2/7).
 
-Every configured column becomes two expressions: its typed value and an
-optional error struct.  The errors of a line are one ``array<struct>``; the
-line decisions (REJECT action present, ICT share of invalid columns) are array
-higher-order functions.  The whole thing is a single ``select`` over the raw
-frame: no action, no per-column job, everything inside whole-stage codegen.
+Every configured column becomes its typed value and two flags (bad text, blank
+where none is allowed).  The line decisions (errors, REJECT action present, ICT
+share of invalid columns) are sums and disjunctions of the flags; the errors of a
+line are one ``array<struct>``, flattened from per-column arrays of none or one.
+No lambda is involved, so the projections stay inside whole-stage codegen: no
+action, no per-column job.
 """
 
 from __future__ import annotations
@@ -57,9 +58,9 @@ def typed_value(raw: Column, rule: ColumnRule) -> tuple[Column, Column, Column]:
     return value, blank, bad_type
 
 
-def error_struct(rule: ColumnRule, raw: Column, blank: Column, bad_type: Column) -> Column | None:
+def error_struct(rule: ColumnRule, raw: Column, bad_type: Column) -> Column:
     """QUA-13/14 (D11/D12): TYPE_MISMATCH / DATE_PARSE_ERROR for unparsable text,
-    NULL_VALUE for a blank in a not-nullable column; NULL when the cell is fine."""
+    NULL_VALUE for a blank in a not-nullable column (a struct for a cell that has an error)."""
     raw_txt = raw.cast("string")
     shown = F.coalesce(raw_txt, F.lit("NULL"))
     if rule.is_date:
@@ -70,39 +71,44 @@ def error_struct(rule: ColumnRule, raw: Column, blank: Column, bad_type: Column)
         bad_code = F.lit(ERR_TYPE_MISMATCH)
         bad_msg = F.concat(F.lit(f"TYPE MISMATCH: column {rule.name} expected "
                                  f"{rule.field_type} value: "), shown)
-
-    def make(code: Column, msg: Column) -> Column:
-        return F.struct(F.lit(rule.name).alias("column"), code.alias("code"),
-                        F.lit(rule.action).alias("action"), msg.alias("message"),
-                        raw_txt.alias("raw_value"))
-
-    out = F.when(bad_type, make(bad_code, bad_msg))
+    code, msg = bad_code, bad_msg
     if not rule.nullable:
-        out = out.when(blank, make(F.lit(ERR_NULL_VALUE),
-                                   F.lit(f"NULL VALUE: column {rule.name} is not nullable")))
-    return out
+        code = F.when(bad_type, bad_code).otherwise(F.lit(ERR_NULL_VALUE))
+        msg = F.when(bad_type, bad_msg).otherwise(F.lit(f"NULL VALUE: column {rule.name} is not nullable"))
+    return F.struct(F.lit(rule.name).alias("column"), code.alias("code"), F.lit(rule.action).alias("action"),
+                    msg.alias("message"), raw_txt.alias("raw_value"))
 
 
-def column_expressions(df: DataFrame, rule: ColumnRule, file_col: str | None) -> tuple[Column, Column | None]:
-    """Value expression (aliased, with comment metadata) and error expression of one rule."""
+def column_expressions(df: DataFrame, rule: ColumnRule, file_col: str | None) -> tuple[Column, Column | None, Column | None]:
+    """Value (aliased, with comment metadata), failure flag and error struct of one rule."""
     meta = {"comment": rule.comment} if rule.comment else None
     if is_enrichment(rule):
         src = F.col(file_col) if file_col else F.lit(None).cast("string")
         v = enrich_from_name(src, rule.pattern or ".*")
-        return (v.alias(rule.name, metadata=meta) if meta else v.alias(rule.name)), None
+        return (v.alias(rule.name, metadata=meta) if meta else v.alias(rule.name)), None, None
     # PRJ-6: a configured column absent from the input is read as NULL text.
     raw = F.col(_quote(rule.name)).cast("string") if rule.name in df.columns else F.lit(None).cast("string")
     value, blank, bad_type = typed_value(raw, rule)
-    err = error_struct(rule, raw, blank, bad_type)
+    failed = bad_type if rule.nullable else bad_type | blank
     if rule.default is not None:
-        failed = bad_type | (blank & F.lit(not rule.nullable))
         dflt = (parse_strict(F.lit(rule.default), "yyyy-MM-dd HH:mm:ss") if rule.is_date
                 else F.lit(rule.default).try_cast(spark_type(rule.field_type)))
         if rule.is_date:
             dflt = F.coalesce(dflt, parse_strict(F.lit(rule.default), "yyyy-MM-dd"))
         value = F.when(failed, dflt).otherwise(value)
     value = value.cast(spark_type(rule.field_type))
-    return (value.alias(rule.name, metadata=meta) if meta else value.alias(rule.name)), err
+    return (value.alias(rule.name, metadata=meta) if meta else value.alias(rule.name)), failed, error_struct(rule, raw, bad_type)
+
+
+def _total(flags: Sequence[Column]) -> Column:
+    return sum((f.cast("int") for f in flags), F.lit(0))
+
+
+def _any(flags: Sequence[Column]) -> Column:
+    out = F.lit(False)
+    for f in flags:
+        out = out | f
+    return out
 
 
 def validate(df: DataFrame, rules: Sequence[ColumnRule], *, ict: Decimal | float | int = 10,
@@ -119,14 +125,16 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], *, ict: Decimal | float
     business = {r.name for r in rules}
     if keep is None:
         keep = [c for c in df.columns if c not in business]
-    values, errors = [], []
-    for r in rules:
-        v, e = column_expressions(df, r, file_col)
+    values, failed, errors, by_action = [], [], [], {}
+    for i, r in enumerate(rules):
+        v, f, e = column_expressions(df, r, file_col)
         values.append(v)
-        if e is not None:
-            errors.append(e)
-    err_array = (F.filter(F.array(*errors), lambda x: x.isNotNull()) if errors
-                 else F.array().cast(f"array<{ERROR_TYPE}>"))
+        if f is not None:
+            failed.append(f.alias(f"_failed_{i}"))
+            by_action.setdefault(r.action, []).append(F.col(f"_failed_{i}"))
+            none = F.array().cast(f"array<{ERROR_TYPE}>")
+            errors.append(F.when(f, F.array(e).cast(f"array<{ERROR_TYPE}>")).otherwise(none))
+    err_array = F.flatten(F.array(*errors)) if errors else F.array().cast(f"array<{ERROR_TYPE}>")
     checked = [r for r in rules if not is_enrichment(r)]
     n_cols = len(checked) if ict_mode == "all" else len([r for r in checked if r.action == ACTION_ICT])
     n_cols = max(n_cols, 1)
@@ -134,16 +142,17 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], *, ict: Decimal | float
     if raw_data_sep is not None:
         raws = [F.col(_quote(r.name)).cast("string") for r in checked if r.name in df.columns]
         extra.append(F.concat_ws(raw_data_sep, *raws).alias(RAW_DATA))
-    out = df.select(*[F.col(_quote(c)) for c in keep], *values, *extra, err_array.alias(ERRORS))
-    n_ict = F.size(F.filter(F.col(ERRORS), lambda e: e["action"] == ACTION_ICT))
+    kept = [F.col(_quote(c)) for c in keep]
+    out = df.select(*kept, *values, *extra, err_array.alias(ERRORS), *failed)
+    flags = [f for fs in by_action.values() for f in fs]
     share = F.lit(100) * F.col(N_ICT)
     limit = F.lit(Decimal(str(ict))) * F.lit(n_cols)
     over = share > limit if strict else share >= limit
     return out.select(
-        "*",
-        F.size(ERRORS).alias(N_ERRORS),
-        n_ict.alias(N_ICT),
-        F.exists(ERRORS, lambda e: e["action"] == ACTION_REJECT).alias(REJECT),
+        *[_quote(c) for c in out.columns if not c.startswith("_failed_")],
+        _total(flags).alias(N_ERRORS),
+        _total(by_action.get(ACTION_ICT, [])).alias(N_ICT),
+        _any(by_action.get(ACTION_REJECT, [])).alias(REJECT),
     ).select(
         "*",
         ((F.col(N_ICT) > 0) & over).alias(ICT_REJECTED),

@@ -87,7 +87,7 @@ def _decisions(spark: SparkSession, sf_dir: str, params: GateParams | None = Non
 @query("rlt_files")
 def rlt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QUA-9/11: per-file tolerance decisions."""
-    return _decisions(spark, sf_dir)
+    return _decisions(spark, sf_dir).drop("rows_to_last", "rows_to_all")
 
 
 @query("fail_fast")
@@ -119,8 +119,8 @@ def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("execution_report")
 def execution_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RPT-3: per file processed / rejected / written rows and status."""
-    routed, decisions = cm.routed(spark, sf_dir, "orders")
-    return rp.execution_report(routed, decisions, "orders")
+    _, decisions = cm.routed(spark, sf_dir, "orders")
+    return rp.execution_report(decisions, "orders")
 
 
 # ------------------------------------------------------------ file gates (B)

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.operators.gates import FILE_REJECTED, TO_ALL, TO_LAST
+from lakegate.operators.gates import ROWS_TO_ALL, ROWS_TO_LAST
 
 
 def quality_log(decisions: DataFrame, table_name: str, file_col: str = "_file_name") -> DataFrame:
@@ -26,24 +26,18 @@ def quality_log(decisions: DataFrame, table_name: str, file_col: str = "_file_na
     )
 
 
-def execution_report(routed: DataFrame, decisions: DataFrame, table_name: str,
-                     file_col: str = "_file_name") -> DataFrame:
+def execution_report(decisions: DataFrame, table_name: str, file_col: str = "_file_name") -> DataFrame:
     """RPT-3: per file rows processed, rejected, invalid cells, rows written, final status."""
-    written = routed.groupBy(file_col).agg(
-        F.count_if(F.col(TO_LAST)).alias("rows_to_last"),
-        F.count_if(F.col(TO_ALL)).alias("rows_to_all"),
-    )
-    return (decisions.join(written, file_col, "left").select(
+    return decisions.select(
         F.lit(table_name).alias("table_name"),
         F.col(file_col).alias("filename"),
         F.col("total_lines").alias("rows_processed"),
         F.col("rejected_lines").alias("rows_rejected"),
         F.col("errors").alias("invalid_cells"),
-        F.coalesce("rows_to_last", F.lit(0)).cast("long").alias("rows_to_last"),
-        F.coalesce("rows_to_all", F.lit(0)).cast("long").alias("rows_to_all"),
+        ROWS_TO_LAST, ROWS_TO_ALL,
         F.when(F.col("file_status") == "ACCEPTED", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
         F.col("file_reason").alias("reason"),
-    ))
+    )
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -95,30 +89,23 @@ def run_status(outcomes: DataFrame) -> DataFrame:
 def completeness(received: DataFrame, outcomes: DataFrame, file_col: str = "filename") -> DataFrame:
     """FIL-17: per table received = ingested + ignored + rejected + technical errors.
 
-    ``received``: table_name, filename (the manifest).  ``outcomes``: table_name,
-    filename, status.  A received file with no outcome is counted as missing and
-    makes the table incomplete.
+    ``received``: table_name and ``file_col`` (the path, where names can repeat) of every
+    file of the manifest.  ``outcomes``: the same and status.  Files and outcomes meet on
+    ``file_col``; a received file without an outcome, or an outcome without a received
+    file, makes the table incomplete.
     """
-    j = received.select("table_name", file_col).join(
-        outcomes.select("table_name", file_col, "status"), ["table_name", file_col], "full_outer")
+    got = received.select(F.col(file_col).alias("_file"), F.col("table_name").alias("_received"))
+    out = outcomes.select(F.col(file_col).alias("_out"), F.col("table_name").alias("_outcome"), "status")
+    j = got.join(out, F.col("_file") == F.col("_out"), "full_outer").select(
+        F.coalesce("_outcome", "_received").alias("table_name"), F.col("_file").isNotNull().alias("_has_file"), "status")
     agg = j.groupBy("table_name").agg(
+        F.count_if("_has_file").alias("received"),
         F.count_if(F.col("status") == "SUCCESS").alias("ingested"),
         F.count_if(F.col("status") == "SKIPPED").alias("ignored"),
         F.count_if(F.col("status") == "FAILED").alias("rejected"),
         F.count_if(F.col("status") == "ERROR").alias("technical_errors"),
+        F.count_if(F.col("_has_file") & F.col("status").isNotNull()).alias("_matched"),
+        F.count(F.lit(1)).alias("_all"),
     )
-    rec = received.groupBy("table_name").agg(F.count(F.lit(1)).alias("received"))
-    out = rec.join(agg, "table_name", "full_outer").fillna(0, subset=["received"])
-    total = F.col("ingested") + F.col("ignored") + F.col("rejected") + F.col("technical_errors")
-    return out.select("table_name", "received", "ingested", "ignored", "rejected", "technical_errors",
-                      (total == F.col("received")).alias("complete"))
-
-
-def routing_counts(routed: DataFrame) -> DataFrame:
-    """Rows going to `_last`, `_all` and invalid lines (one row)."""
-    return routed.agg(
-        F.count(F.lit(1)).alias("rows_received"),
-        F.count_if(F.col(TO_LAST)).alias("rows_to_last"),
-        F.count_if(F.col(TO_ALL)).alias("rows_to_all"),
-        F.count_if(F.coalesce(F.col(FILE_REJECTED), F.lit(False))).alias("rows_in_rejected_files"),
-    )
+    return agg.select("table_name", "received", "ingested", "ignored", "rejected", "technical_errors",
+                      (F.col("_matched") == F.col("_all")).alias("complete"))

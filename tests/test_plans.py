@@ -30,6 +30,18 @@ def test_validation_is_map_only(spark):
     assert "Exchange" not in p and "Window" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
+def test_validation_and_line_decisions_stay_in_codegen(spark):
+    _, rules = cm.rules_for(spark, "orders")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(validate(dirty(spark), rules[:2]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    projects = [line for line in p.splitlines() if " Project [" in line or line.startswith("Project [")]
+    assert projects and all("*(" in line for line in projects)
+
+
 def test_file_stats_combine_map_side(spark):
     _, rules = cm.rules_for(spark, "orders")
     s = file_stats(validate(dirty(spark), rules[:2]), rules[:2])
