@@ -16,6 +16,11 @@ def base_name(path: Column | str) -> Column:
     return F.regexp_extract(col_of(path), r"([^/]*)$", 1)
 
 
+def plain_path(path: Column | str) -> Column:
+    """A ``_metadata.file_path`` as the file is called: percent codes decoded, '+' kept."""
+    return F.url_decode(F.replace(col_of(path), F.lit("+"), F.lit("%2B")))
+
+
 def strip_extension(fname: Column | str) -> Column:
     """Drop the last '.ext' (a leading dot alone is not an extension)."""
     return F.regexp_replace(col_of(fname), r"(?<=.)\.[^.]*$", "")

@@ -17,6 +17,9 @@ from lakegate.constants import (MODE_DELTA_FROM_FLOW, MODE_FULL_KEY_REPLACE, MOD
                                 MODE_HISTORIZED, MODE_UPSERT)
 
 
+FILE_ORDER = ("FILE_EXTRACTION_DATE", "FILE_NAME_RECEIVED")
+
+
 @dataclass
 class ModeResult:
     mode: str
@@ -79,10 +82,12 @@ def upsert(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], cmp: s
     """
     if not keys:
         raise ValueError("upsert needs merge keys (IsMergeKey columns)")
-    cols = [c for c in batch.columns if c not in keys]
     tb = [F.col(f"`{t}`") for t in tiebreak]
     src = batch.select(*batch.columns, F.lit(0).alias("_is_target"))
-    both = src if last is None else last.select(*batch.columns).withColumn("_is_target", F.lit(1)).unionByName(src)
+    # A column that only one side has (the sheet gained or lost it) is NULL on the other.
+    both = src if last is None else src.unionByName(last.withColumn("_is_target", F.lit(1)), allowMissingColumns=True)
+    columns = [c for c in both.columns if c != "_is_target"]
+    cols = [c for c in columns if c not in keys]
     packed = F.struct(F.col(f"`{cmp}`").alias("_cmp"), F.col("_is_target"),
                       *[t.alias(f"_t{i}") for i, t in enumerate(tb)],
                       F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
@@ -92,7 +97,7 @@ def upsert(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], cmp: s
         # passes through unchanged - still one aggregation, one pass over the inputs.
         group.append(F.when(_has_null_key(keys), F.struct(F.col("_is_target"), *tb)).alias("_nk"))
     best = both.groupBy(*group).agg(F.max(packed).alias("_best"))
-    return best.select(*keys, *[F.col("_best._row")[c].alias(c) for c in cols]).select(*batch.columns)
+    return best.select(*keys, *[F.col("_best._row")[c].alias(c) for c in cols]).select(*columns)
 
 
 def key_replace(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -108,7 +113,30 @@ def key_replace(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], n
         c = F.col(f"`{k}`").eqNullSafe(F.col(f"_k_{k}")) if null_safe else (F.col(f"`{k}`") == F.col(f"_k_{k}"))
         cond = c if cond is None else cond & c
     kept = last.join(bkeys, cond, "left_anti")
-    return kept.select(*batch.columns).unionByName(batch)
+    return batch.unionByName(kept, allowMissingColumns=True)
+
+
+def newest_file(batch: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """MOD-1 over several files: the rows of the newest file (date, then name); a mode applies
+    file by file, so each snapshot replaces the one before."""
+    newest = batch.agg(F.max(F.struct(*order)).alias("_newest"))
+    cond = _and([F.col(f"`{c}`").eqNullSafe(F.col(f"_newest.`{c}`")) for c in order])
+    return batch.join(newest, cond, "left_semi")
+
+
+def newest_file_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """MOD-5 over several files: per key all rows of the newest file that holds it."""
+    newest = batch.groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys]).agg(F.max(F.struct(*order)).alias("_newest"))
+    same_key = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    same_file = [F.col(f"`{c}`").eqNullSafe(F.col(f"_newest.`{c}`")) for c in order]
+    return batch.join(newest, _and(same_key + same_file), "left_semi")
+
+
+def _and(conditions: Sequence[Column]) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
 
 
 def apply_mode(mode: str | None, last: DataFrame | None, all_: DataFrame | None, batch: DataFrame,

@@ -19,12 +19,14 @@ configured tables and holds configuration and per-file metadata):
    this run's folder, invalid lines and tracking appended (SNK-*);
 6. reports: execution report, quality log, run status, completeness (RPT-*).
 
-Re-running a run id rewrites only that run's folders, so a retried job does not
-duplicate rows.
+Re-running a run id rewrites only that run's folders and versions: its own tracking
+rows are no history to it, and `_last` starts again from the version before its own.
+A table that fails with an exception gets ERROR outcomes; the other tables go on.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from dataclasses import dataclass, field
 from functools import reduce
@@ -32,14 +34,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.constants import CODE_COLUMN_COUNT, HEADER_USE
+from lakegate.constants import (CODE_COLUMN_COUNT, FORMAT_BY_EXTENSION, HEADER_USE, MODE_FULL_KEY_REPLACE,
+                                MODE_FULL_SNAPSHOT, MODE_HISTORIZED)
 from lakegate.functions.dates import file_date
+from lakegate.functions.filenames import base_name, table_from_filename
 from lakegate.operators import files as fl
 from lakegate.operators import invalid_lines as il
 from lakegate.operators import modes as md
 from lakegate.operators import projections as pj
 from lakegate.operators import tracking as tk
-from lakegate.operators.gates import (FILE_REJECTED, TO_ALL, TO_LAST, GateParams, apply_file_gate,
+from lakegate.operators.gates import (ROWS_TO_ALL, ROWS_TO_LAST, TO_ALL, TO_LAST, GateParams, apply_file_gate,
                                       file_decisions, file_stats)
 from lakegate.operators.quality import file_line_numbers
 from lakegate.operators.rules import explode_errors, validate
@@ -71,7 +75,8 @@ class RunParams:
     strict_tolerance: bool = False
     all_keeps_ict_rejects: bool = True
     input_header_mode: str = ""          # used when a table's sheet row leaves it empty
-    max_listed_files: int = 20_000       # above: read by name glob + semi join, no path list
+    concurrent_jobs: int = 4             # tables, and sinks of a table, submitted at the same time
+    kept_versions: int = 3               # of each `_last` table
 
     @staticmethod
     def for_env(env: str) -> "RunParams":
@@ -93,10 +98,6 @@ class RunResult:
     tables: dict = field(default_factory=dict)   # table -> {"last": path, "all": path, ...}
 
 
-OUTCOME_SCHEMA = ("table_name string, filename string, file_date timestamp_ntz, total_lines long, "
-                  "rejected_lines long, rows_ingested long, status string, error_code string, reason string")
-
-
 class Ingestion:
     def __init__(self, spark: SparkSession, table_sheet: DataFrame, column_sheet: DataFrame,
                  warehouse: str, params: RunParams | None = None):
@@ -115,26 +116,35 @@ class Ingestion:
     def path(self, *parts: str) -> str:
         return "/".join([self.warehouse, *parts])
 
-    def tracking(self) -> DataFrame:
-        """All registrations so far (append-only run folders of the tracking table)."""
+    def tracking(self, but_run: str | None = None) -> DataFrame:
+        """All registrations so far (append-only run folders of the tracking table),
+        without those of the run that is being repeated."""
         cur = tb.read_runs(self.spark, self.path("tracking"), tk.TRACKING_SCHEMA)
+        if but_run is not None and "run" in cur.columns:
+            cur = cur.filter(F.col("run").cast("string") != but_run)
         return cur.select(*tk.TRACKING_SCHEMA.fieldNames())
 
     # ------------------------------------------------------------- gates
-    def file_gates(self, manifest: DataFrame) -> DataFrame:
+    def file_gates(self, manifest: DataFrame, run_id: str | None = None) -> DataFrame:
         """FIL-18, FIL-2/3, FIL-6, FIL-7/9/10 over the manifest -> gate columns.
 
         ``table_name`` becomes the configured table the file resolves to; files
         without a configuration keep the name-derived table and fail NO_CONFIG.
         """
         p = self.params
+        # Files that go to their archive's table needn't have that table's kind of name.
+        free = manifest.filter("table_hint is not null").select("path", F.lit(True).alias("_free")) \
+            if "table_hint" in manifest.columns else None
         m = resolve_table_config(manifest.select("path", "filename", "table_name", "file_date", "file_format"),
                                  self.table_conf, allow_substring=p.allow_substring_config)
         m = m.select("path", "filename", F.coalesce("cfg_table_name", "table_name").alias("table_name"),
                      "file_date", "file_format", F.col("cfg_table_name").alias("config_table"))
         m = fl.date_gate(m, require_date=p.require_date)
         m = fl.fix_part_gate(m, self.table_conf)
-        h = fl.history_checks(m, self.tracking())
+        if free is not None:
+            m = m.join(free, "path", "left").withColumn("fix_part_error_code", F.when(F.col("_free").isNull(), F.col(
+                "fix_part_error_code"))).withColumn("fix_part_reason", F.when(F.col("_free").isNull(), F.col("fix_part_reason")))
+        h = fl.history_checks(m, self.tracking(but_run=run_id))
         dup = F.col("is_duplicate") & F.lit(p.duplicate_check_enabled)
         late = F.col("is_late") & F.lit(p.file_order_check_enabled)
         first_history = F.try_element_at(F.filter("errors", lambda e: (
@@ -158,110 +168,129 @@ class Ingestion:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def read_table(self, trule: TableRule, paths: list[str], zip_lines: DataFrame | None,
-                   stage: str | None = None, glob_root: str | None = None,
-                   accepted: DataFrame | None = None) -> DataFrame:
-        """Text lines of the table's accepted files.  Either from an explicit path list,
-        or - for landings too large to list on the driver - from ``glob_root`` by the
-        table's case-insensitive name glob, kept by a semi join with ``accepted``
-        (one row per accepted file; AQE broadcasts it or skew-splits a hot file)."""
+    def read_table(self, trule: TableRule, landing_root: str, formats: set[str], accepted: DataFrame,
+                   zip_lines: DataFrame | None, stage: str) -> DataFrame:
+        """Text lines of the table's accepted files (``path, file_format, from_archive``).
+
+        The same way at every size: each format that occurs is read below the landing root by a
+        file-name pattern that covers every name the table's files can have, and a semi join on
+        the path keeps the accepted ones; no list of paths goes through the driver.
+        """
         names = [r.name for r in self.columns[trule.table_name] if not (r.enrich or "")]
+        header_use = (trule.header_mode or self.params.input_header_mode.upper()) == HEADER_USE
+        multiline = trule.input_format.endswith("_ml")
         frames = []
-        direct = [glob_root] if glob_root else [p for p in paths if not p.lower().endswith(".zip")]
-        glob = _name_glob(trule.table_name) if glob_root else None
-
-        def keep_accepted(df: DataFrame) -> DataFrame:
-            if accepted is None:
-                return df
-            ok = accepted.select(F.col("path").alias("_ok_path"))
-            return df.join(ok, df["_file_path"] == ok["_ok_path"], "left_semi")
-        if direct:
-            fmt = trule.input_format
-            header_mode = trule.header_mode or self.params.input_header_mode.upper()
+        for fmt in sorted(formats):
+            mine = accepted.filter((F.col("file_format") == fmt) & ~F.col("from_archive")).select("path")
+
+            def kept(df: DataFrame) -> DataFrame:
+                return df.join(mine.withColumnRenamed("path", "_file_path"), "_file_path", "left_semi")
+            glob = _name_glob("" if self.params.allow_substring_config else trule.table_name, fmt)
             if fmt == "json":
-                frames.append(keep_accepted(dl.read_json(self.spark, direct, names, glob=glob)))
+                frames.append(kept(dl.read_json(self.spark, landing_root, names, glob=glob)))
             elif fmt == "parquet":
-                frames.append(keep_accepted(dl.read_parquet_as_text(self.spark, direct, names, glob=glob)))
-            elif header_mode == HEADER_USE:
-                raw, pos = dl.read_positional(self.spark, direct, len(names) + 4, delimiter=trule.delimiter,
-                                              charset=trule.charset, multiline=fmt.endswith("_ml"), glob=glob)
-                raw = keep_accepted(raw)
-                if stage:
-                    raw = self._stage(raw, f"{stage}/direct")
+                frames.append(kept(dl.read_parquet_as_text(self.spark, landing_root, names, glob=glob)))
+            elif header_use:
+                width = max(len(names), dl.header_width(self.spark, landing_root, trule.delimiter, mine, glob))
+                raw, pos = dl.read_positional(self.spark, landing_root, width, delimiter=trule.delimiter,
+                                              charset=trule.charset, multiline=multiline, glob=glob)
+                raw = self._stage(kept(raw), f"{stage}/direct")
                 frames.append(dl.remap_by_header(raw, names, pos))
                 self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
-                r = keep_accepted(dl.read_delimited(self.spark, direct, names, header_mode=header_mode,
-                                                    delimiter=trule.delimiter, charset=trule.charset,
-                                                    multiline=fmt.endswith("_ml"), glob=glob))
-                if stage:
-                    r = self._stage(r, f"{stage}/direct")
-                r = pj.drop_header_lines(r, names)  # PRJ-4: header lines repeated inside a file
-                frames.append(r)
+                r = self._stage(kept(dl.read_delimited(self.spark, landing_root, names, delimiter=trule.delimiter,
+                                                       charset=trule.charset, multiline=multiline, glob=glob)),
+                                f"{stage}/direct")
+                frames.append(pj.drop_header_lines(r, names))  # PRJ-4: header lines repeated inside a file
         if zip_lines is not None:
-            z = zip_lines.filter(F.col("table_name") == trule.table_name)
-            z = ar.parse_lines(z, names, trule.delimiter).select(
-                *names, F.lit(None).cast("string").alias(dl.CORRUPT),
-                F.concat_ws("!", "archive", "entry").alias("_file_path"), F.col("entry_name").alias("_file_name"),
-                F.lit(0).cast("long").alias("_block"), F.col("line_no").cast("long").alias("_rid"))
-            frames.append(z)
+            frames.append(self._archive_rows(trule, names, header_use, zip_lines, accepted))
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f, allowMissingColumns=True)
         return out
 
+    def _archive_rows(self, trule: TableRule, names: list[str], header_use: bool, zip_lines: DataFrame,
+                      accepted: DataFrame) -> DataFrame:
+        """Lines of the table's accepted archive entries, by the rules of directly landed files."""
+        mine = accepted.filter("from_archive").select(F.col("path").alias("_file_path"))
+        raw = F.encode("line", "ISO-8859-1")  # the bytes, to be read in the sheet's charset
+        utf8 = trule.charset.upper().replace("-", "") == "UTF8"
+        line = F.make_valid_utf8(raw.cast("string")) if utf8 else F.decode(raw, trule.charset)
+        z = (zip_lines.filter("status = 'OK'").join(mine, "_file_path", "left_semi")
+             .select("_file_path", F.col("entry_name").alias("_file_name"), line.alias("line"),
+                     F.lit(0).cast("long").alias("_block"), F.col("line_no").cast("long").alias("_rid")))
+        if not header_use:
+            z = ar.parse_lines(z.filter("_rid > 1"), names, trule.delimiter, corrupt=dl.CORRUPT).drop("line")
+            return pj.drop_header_lines(z, names)
+        cells = F.size(F.split("line", "\\Q" + trule.delimiter + "\\E"))
+        width = z.filter("_rid = 1").agg(F.coalesce(F.max(cells), F.lit(0)).alias("n")).first()["n"]
+        pos = dl.positional_names(max(len(names), width))
+        raw = ar.parse_lines(z, pos, trule.delimiter).drop("line")
+        missing = dl.missing_by_header(raw, names, pos)
+        before = self._missing.get(trule.table_name)
+        self._missing[trule.table_name] = missing if before is None else before.unionByName(missing)
+        return dl.remap_by_header(raw, names, pos)
+
     # ------------------------------------------------------------- run
+    def _archives(self, landing_root: str, run_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Archives expanded once and stored: their lines, entries (``path, filename, archive``) and
+        what can't be read (``path, filename, error``)."""
+        lines = ar.expand_archives(self.spark, landing_root, skip_header=False, encoding="iso-8859-1")
+        lines = lines.withColumn("_file_path", F.concat_ws("!/", "archive", "entry"))
+        lines = self._stage(lines, self.path("_archive_lines", f"run={run_id}"))
+        broken = lines.filter("status = 'ERROR'").select(
+            F.col("_file_path").alias("path"), F.coalesce("entry_name", base_name("archive")).alias("filename"), "error")
+        entries = (lines.filter("status = 'ENTRY'").select(F.col("_file_path").alias("path"),
+                                                           F.col("entry_name").alias("filename"), "archive")
+                   .join(broken.select("path"), "path", "left_anti"))
+        # An entry whose name leads to no configured table belongs to its archive's table.
+        known = self.table_conf.select(F.col("table_name").alias("_known")).distinct()
+        entries = (entries.withColumn("_own", table_from_filename("filename")).join(known, F.col("_own") == F.col("_known"), "left")
+                   .withColumn("table_hint", F.when(F.col("_known").isNull(), table_from_filename(base_name("archive")))))
+        return lines, entries.select("path", "filename", "table_hint"), broken
+
     def run(self, landing_root: str, run_id: str, run_at: str | None = None) -> RunResult:
         spark, p = self.spark, self.params
-        processed = (F.lit(run_at).cast("timestamp_ntz") if run_at else
-                     F.current_timestamp().cast("timestamp_ntz"))
+        processed = _clock(run_at)
         manifest = lg.landing_manifest(spark, landing_root)
         zips, direct = lg.split_zip_and_direct(manifest)
-        zip_lines = None
-        if zips.limit(1).count() > 0:
-            # archives expanded once (one task per archive) and staged for every later use
-            zip_lines = self._stage(ar.expand_archives(spark, landing_root), self.path("_archive_lines", f"run={run_id}"))
-            entries = zip_lines.filter("status = 'OK'").select(
-                F.concat_ws("!", "archive", "entry").alias("path"), F.col("entry_name").alias("filename")).distinct()
-            direct = direct.select("path", "filename").unionByName(entries) if p.non_zip_support_enabled else entries
-        elif not p.non_zip_support_enabled:
-            direct = direct.limit(0)
-        files = fl.describe_files(direct.select("path", "filename"))
-        gated = self.file_gates(files).persist()
-        accepted = gated.filter(F.col("gate_code").isNull()).select("table_name", "path")
-        # Per-file metadata goes to the driver only while it is small (checked by a count);
-        # beyond, each table is read by name glob and kept by a semi join on accepted files.
-        listed = accepted.count() <= p.max_listed_files
-        accepted_meta = accepted.collect() if listed else []
-
-        outcomes: list[DataFrame] = [gated.filter(F.col("gate_code").isNotNull()).select(
-            "table_name", "filename", "file_date", F.lit(None).cast("long").alias("total_lines"),
-            F.lit(None).cast("long").alias("rejected_lines"), F.lit(0).cast("long").alias("rows_ingested"),
-            F.lit("FAILED").alias("status"), F.col("gate_code").alias("error_code"),
-            F.col("gate_reason").alias("reason"))]
+        no_hint = F.lit(None).cast("string").alias("table_hint")
+        files = direct.select("path", "filename", no_hint, F.lit(False).alias("from_archive"))
+        if not p.non_zip_support_enabled:
+            files = files.limit(0)
+        zip_lines = broken = None
+        if not zips.isEmpty():
+            zip_lines, entries, broken = self._archives(landing_root, run_id)
+            files = files.unionByName(entries.withColumn("from_archive", F.lit(True)))
+        described = fl.describe_files(files).withColumn("table_name", F.coalesce("table_hint", "table_name"))
+        kinds = described.select("path", "from_archive")
+        gated = self.file_gates(described, run_id).join(kinds, "path").persist()
+        accepted = gated.filter(F.col("gate_code").isNull()).select("table_name", "path", "filename", "file_date",
+                                                                    "file_format", "from_archive")
+        # What occurs: bounded by the configured tables and the formats, not by the files.
+        occurring: dict[str, set] = {}
+        for r in accepted.groupBy("table_name", "file_format", "from_archive").count().collect():
+            occurring.setdefault(r["table_name"], set()).add(None if r["from_archive"] else r["file_format"])
+
+        outcomes: list[DataFrame] = [_outcomes(gated.filter(F.col("gate_code").isNotNull()), "FAILED",
+                                               F.col("gate_code"), F.col("gate_reason"))]
+        received = gated.select("path", "table_name")
+        if broken is not None:
+            bad = fl.describe_files(broken)
+            outcomes.append(_outcomes(bad, "FAILED", F.lit("INVALID_ARCHIVE"), F.col("error")))
+            received = received.unionByName(bad.select("path", "table_name"))
         reports, qlogs, mstats, table_paths = [], [], [], {}
-        work = []
-        for tname, trule in self.tables.items():
-            if listed:
-                paths = [r["path"] for r in accepted_meta if r["table_name"] == tname]
-                if not paths:
-                    continue
-                direct_paths = [x for x in paths if "!" not in x]
-                zl = zip_lines if any("!" in x for x in paths) else None
-                work.append((tname, lambda t=trule, d=direct_paths, z=zl:
-                             self._run_table(t, d, z, run_id, processed)))
-            else:
-                mine = accepted.filter(F.col("table_name") == tname)
-                acc_direct = mine.filter(~F.col("path").contains("!")).select("path")
-                has_direct = acc_direct.limit(1).count() > 0
-                zl = zip_lines if mine.filter(F.col("path").contains("!")).limit(1).count() > 0 else None
-                if not has_direct and zl is None:
-                    continue
-                work.append((tname, lambda t=trule, a=acc_direct, z=zl, hd=has_direct:
-                             self._run_table_glob(t, landing_root if hd else None, a, z, run_id, processed)))
-        # Tables are independent: their jobs are submitted from parallel threads.
-        for (tname, _), res in zip(work, _concurrently([w for _, w in work])):
+        work = [(tname, lambda t=trule, o=occurring[tname]: self._run_table(
+                    t, landing_root, o, accepted.filter(F.col("table_name") == t.table_name), zip_lines, run_id, processed))
+                for tname, trule in self.tables.items() if tname in occurring]
+        # Tables are independent: their jobs are submitted from parallel threads, and one that fails stops no other.
+        for (tname, _), res in zip(work, _concurrently([_guarded(w) for _, w in work], p.concurrent_jobs)):
+            if isinstance(res, Exception):
+                reason = str(res).strip().split("\n")[0][:500] or type(res).__name__
+                outcomes.append(_outcomes(accepted.filter(F.col("table_name") == tname), "ERROR",
+                                          F.lit("TECHNICAL_ERROR"), F.lit(reason)))
+                continue
             outcomes.append(res["outcomes"])
             reports.append(res["report"])
             qlogs.append(res["quality"])
@@ -269,39 +298,37 @@ class Ingestion:
             table_paths[tname] = res["paths"]
         out = reduce(lambda a, b: a.unionByName(b), outcomes)
         out = out.withColumn("rows_rejected", F.when(F.col("status") == "SUCCESS", F.col("rejected_lines"))
-                             .otherwise(F.coalesce(F.col("total_lines"), F.lit(0))).cast("long")).persist()
+                             .otherwise(F.coalesce(F.col("total_lines"), F.lit(0))).cast("long"))
+        # The outcomes as they were decided, stored before tracking: reading them later must not decide again.
+        out = self._stage(out, self.path("outcomes", f"run={run_id}"))
         new_tracking = tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed)
         tb.write_run(new_tracking, self.path("tracking"), run_id)
+        received = self._stage(received, self.path("received", f"run={run_id}"))
         gated.unpersist()
+
         def union(xs: list[DataFrame]) -> DataFrame:
             return reduce(lambda a, b: a.unionByName(b), xs)
         empty_rep = spark.createDataFrame([], "table_name string")
-        received = files.select("table_name", "filename")
         return RunResult(
             outcomes=out,
             execution_report=union(reports) if reports else empty_rep,
             quality_log=union(qlogs) if qlogs else empty_rep,
             run_status=rp.run_status(out),
-            completeness=rp.completeness(received, out),
+            completeness=rp.completeness(received, out, "path"),
             quarantine=fl.quarantine(out.filter(F.col("status") == "FAILED"), processed),
             mode_stats=union(mstats) if mstats else None,
             tables=table_paths,
         )
 
-    def _run_table(self, trule: TableRule, paths: list[str], zip_lines: DataFrame | None, run_id: str,
-                   processed: F.Column) -> dict:
+    def _run_table(self, trule: TableRule, landing_root: str, occurring: set, accepted: DataFrame,
+                   zip_lines: DataFrame | None, run_id: str, processed: F.Column) -> dict:
         stage = self.path(f"{trule.table_name}_staging", f"run={run_id}")
-        raw = self.read_table(trule, paths, zip_lines, stage=stage)
-        return self.process_table(trule, raw, run_id, processed, expected_paths=paths)
-
-    def _run_table_glob(self, trule: TableRule, glob_root: str | None, accepted: DataFrame,
-                        zip_lines: DataFrame | None, run_id: str, processed: F.Column) -> dict:
-        stage = self.path(f"{trule.table_name}_staging", f"run={run_id}")
-        raw = self.read_table(trule, [], zip_lines, stage=stage, glob_root=glob_root, accepted=accepted)
-        return self.process_table(trule, raw, run_id, processed, expected_paths=accepted)
+        raw = self.read_table(trule, landing_root, occurring - {None}, accepted,
+                              zip_lines if None in occurring else None, stage)
+        return self.process_table(trule, raw, run_id, processed, expected=accepted)
 
     def process_table(self, trule: TableRule, raw: DataFrame, run_id: str, processed: F.Column,
-                      expected_paths: list[str] | DataFrame | None = None) -> dict:
+                      expected: DataFrame | None = None) -> dict:
         """Steps 3-6 for one table over ``raw`` text lines (with ``_file_path``,
         ``_file_name``, ``_block``, ``_rid``): the same code serves a batch run and a
         streaming micro-batch."""
@@ -317,11 +344,14 @@ class Ingestion:
         gp = GateParams(rlt=trule.rlt, strict=p.strict_tolerance, fail_fast_enabled=p.fail_fast_enabled,
                         fail_fast_threshold=p.fail_fast_threshold, all_keeps_ict_rejects=p.all_keeps_ict_rejects)
         stats = file_stats(v, rules)
-        corrupt = v.groupBy("_file_name").agg(F.count(F.col(dl.CORRUPT)).alias("corrupt_lines"))
+        corrupt = v.groupBy("_file_name").agg(F.count(F.col(dl.CORRUPT)).alias("corrupt_lines"),
+                                              F.min("_file_path").alias("path"))
         dec = file_decisions(stats, rules, gp).join(corrupt, "_file_name", "left")
         bad_cols = F.coalesce(F.col("corrupt_lines"), F.lit(0)) > 0
         dec = dec.withColumn("file_reason", F.when(bad_cols, F.lit(CODE_COLUMN_COUNT)).otherwise(F.col("file_reason"))) \
                  .withColumn("file_status", F.when(bad_cols, F.lit("REJECTED")).otherwise(F.col("file_status"))) \
+                 .withColumn(ROWS_TO_LAST, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_LAST)).cast("long")) \
+                 .withColumn(ROWS_TO_ALL, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_ALL)).cast("long")) \
                  .persist()
         routed = apply_file_gate(v, dec, gp)
         business = [r.name for r in rules]
@@ -333,15 +363,23 @@ class Ingestion:
         batch_all = pj.with_comments(batch_all, {r.name: r.comment for r in rules if r.comment})
         last_root = self.path(trule.last_table)
         all_root = self.path(trule.all_table, f"run={run_id}")
-        cur = tb.read_current(spark, last_root)
+        mode = trule.ingestion_mode.strip().upper()
+        appended = mode == MODE_HISTORIZED  # `_last` only grows: this run's folder, nothing is rewritten
+        if mode == MODE_FULL_SNAPSHOT:
+            batch_last = md.newest_file(batch_last)
+        elif mode == MODE_FULL_KEY_REPLACE:
+            batch_last = md.newest_file_per_key(batch_last, merge_keys(rules))
+        cur = None if appended else tb.read_before(spark, last_root, run_id)
         res = md.apply_mode(trule.ingestion_mode, cur, None, batch_last, merge_keys(rules),
                             start_validity_column(rules))
         parts = [c for c in ("yyyy", "mm", "dd", "hhmmss") if c in batch_all.columns]
         paths_out = {"last": last_root, "all": self.path(trule.all_table), "staging": staging}
         # The three sinks are independent jobs over staging: submit them together.
         writes = [lambda: batch_all.write.mode("overwrite").partitionBy(*parts).parquet(all_root)]
-        if res.last_written:
-            writes.append(lambda: tb.write_version(res.last, last_root))
+        if appended:
+            writes.append(lambda: tb.write_run(batch_last, last_root, run_id))
+        elif res.last_written:
+            writes.append(lambda: tb.write_run_version(res.last, last_root, run_id, p.kept_versions))
         # SNK-3: error log, one row per recorded error (appended as this run's folder)
         errors = explode_errors(v, ["_file_name", "line_number"]).select(
             F.lit(trule.table_name).alias("table_name"), F.col("_file_name").alias("filename"), "line_number",
@@ -365,38 +403,29 @@ class Ingestion:
         writes.append(lambda: bad.write.mode("overwrite").parquet(bad_root))
         paths_out["bad_records"] = self.path(f"{trule.table_name}_bad_records")
         if p.invalid_lines_generated:
-            inv = il.invalid_lines(routed, business, id_col="_rid", line_col="line_number", raw_col="_raw_data",
+            line_id = F.xxhash64(F.lit(run_id), "_file_path", "line_number")
+            inv = il.invalid_lines(routed.withColumn("_line_id", line_id), business, id_col="_line_id", line_col="line_number", raw_col="_raw_data",
                                    rejection_date=processed)
             inv_root = self.path(f"{trule.table_name}_invalid_lines", f"run={run_id}")
             writes.append(lambda: inv.write.mode("overwrite").parquet(inv_root))
             paths_out["invalid_lines"] = self.path(f"{trule.table_name}_invalid_lines")
-        _concurrently(writes)
-        written = routed.groupBy("_file_name").agg(F.count_if(F.col(TO_ALL)).alias("rows_to_all"))
-        o = dec.join(written, "_file_name", "left").select(
-            F.lit(trule.table_name).alias("table_name"), F.col("_file_name").alias("filename"),
+        _concurrently(writes, p.concurrent_jobs)
+        o = dec.select(
+            F.lit(trule.table_name).alias("table_name"), "path", F.col("_file_name").alias("filename"),
             file_date(F.col("_file_name")).alias("file_date"),
             F.col("total_lines").cast("long"), F.col("rejected_lines").cast("long"),
-            F.when(F.col("file_status") == "ACCEPTED", F.coalesce("rows_to_all", F.lit(0)))
-             .otherwise(F.lit(0)).cast("long").alias("rows_ingested"),
+            F.col(ROWS_TO_ALL).alias("rows_ingested"),
             F.when(F.col("total_lines") == 0, F.lit("SKIPPED"))
              .when(F.col("file_status") == "ACCEPTED", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
             F.col("file_reason").alias("error_code"), F.col("file_reason").alias("reason"))
-        # FIL-16: accepted files that produced no line at all are skipped.
-        seen = v.select("_file_path").distinct()
-        expected = (expected_paths.select("path") if isinstance(expected_paths, DataFrame)
-                    else spark.createDataFrame([(x,) for x in (expected_paths or [])], "path string"))
-        empty = (expected.join(seen, F.col("path") == F.col("_file_path"), "left_anti")
-                 .select(F.lit(trule.table_name).alias("table_name"),
-                         F.regexp_extract("path", r"([^/]*)$", 1).alias("filename"))
-                 .select("table_name", "filename", file_date(F.col("filename")).alias("file_date"),
-                         F.lit(0).cast("long").alias("total_lines"), F.lit(0).cast("long").alias("rejected_lines"),
-                         F.lit(0).cast("long").alias("rows_ingested"), F.lit("SKIPPED").alias("status"),
-                         F.lit(None).cast("string").alias("error_code"), F.lit("empty file").alias("reason")))
-        outcomes = o.unionByName(empty).persist()
+        outcomes = o
+        if expected is not None:  # FIL-16: accepted files that produced no line at all are skipped.
+            none = expected.join(dec.select("path"), "path", "left_anti")
+            outcomes = o.unionByName(_outcomes(none, "SKIPPED", F.lit(None).cast("string"), F.lit("empty file"), lines=0))
+        outcomes = outcomes.persist()
         outcomes.count()
-        dec.unpersist()
         stats = md.mode_stats(res, batch_last).select(F.lit(trule.table_name).alias("table_name"), "*")
-        report = rp.execution_report(routed, dec, trule.table_name).withColumn(
+        report = rp.execution_report(dec, trule.table_name).withColumn(
             "duration_sec", F.lit(round(time.perf_counter() - started, 3)))
         return {"outcomes": outcomes, "report": report, "mode_stats": stats,
                 "quality": rp.quality_log(dec, trule.table_name), "paths": paths_out}
@@ -426,15 +455,16 @@ class Ingestion:
         spark = self.spark
         trule = self.tables[table]
         names = [r.name for r in self.columns[table] if not (r.enrich or "")]
-        header_use = trule.header_mode == HEADER_USE
-        slack = 4
-        cols = [f"_c{i}" for i in range(len(names) + slack)] if header_use else names
+        header_use = (trule.header_mode or self.params.input_header_mode.upper()) == HEADER_USE
+        glob = _name_glob(table, "json" if trule.input_format == "json" else "csv")
+        cols = names
+        if header_use:  # a stream's schema is fixed at its start: as wide as the widest header landed so far
+            cols = dl.positional_names(max(len(names), dl.header_width(spark, landing_root, trule.delimiter, glob=glob)))
         stream = stg.landing_stream(spark, landing_root, cols, trule.input_format, header=not header_use,
                                     delimiter=trule.delimiter, charset=trule.charset,
-                                    max_files_per_trigger=max_files_per_trigger, glob=_name_glob(table))
+                                    max_files_per_trigger=max_files_per_trigger, glob=glob)
         stream = stream.withColumn("_block", F.col("_metadata.file_block_start"))
-        processed = (F.lit(run_at).cast("timestamp_ntz") if run_at else
-                     F.current_timestamp().cast("timestamp_ntz"))
+        processed = _clock(run_at)
 
         seen_rows: dict[int, int] = {}
 
@@ -446,17 +476,16 @@ class Ingestion:
             if header_use:
                 self._missing[table] = dl.missing_by_header(raw, names, cols)
                 raw = dl.remap_by_header(raw, names, cols)
+            else:
+                raw = pj.drop_header_lines(raw, names)
             files = fl.describe_files(raw.select(F.col("_file_path").alias("path"),
                                                  F.col("_file_name").alias("filename")).distinct())
-            gated = self.file_gates(files).persist()
-            ok = gated.filter(F.col("gate_code").isNull()).select(F.col("path").alias("_ok_path"))
-            accepted = raw.join(ok, raw["_file_path"] == ok["_ok_path"], "left_semi")
+            gated = self.file_gates(files, f"{run_prefix}-{batch_id}").persist()
+            ok = gated.filter(F.col("gate_code").isNull()).select(F.col("path").alias("_file_path"))
+            accepted = raw.join(ok, "_file_path", "left_semi")
             res = self.process_table(trule, accepted, f"{run_prefix}-{batch_id}", processed)
-            failed = gated.filter(F.col("gate_code").isNotNull()).select(
-                "table_name", "filename", "file_date", F.lit(None).cast("long").alias("total_lines"),
-                F.lit(None).cast("long").alias("rejected_lines"), F.lit(0).cast("long").alias("rows_ingested"),
-                F.lit("FAILED").alias("status"), F.col("gate_code").alias("error_code"),
-                F.col("gate_reason").alias("reason"))
+            failed = _outcomes(gated.filter(F.col("gate_code").isNotNull()), "FAILED", F.col("gate_code"),
+                               F.col("gate_reason"))
             out = res["outcomes"].unionByName(failed)
             tb.write_run(tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed),
                          self.path("tracking"), f"{run_prefix}-{batch_id}")
@@ -470,7 +499,7 @@ class Ingestion:
         return stg.RunStats(rows, len([n for n in seen_rows.values() if n > 0]), "SUCCESS" if rows else "NO_DATA")
 
 
-def _concurrently(tasks: list, max_workers: int = 4) -> list:
+def _concurrently(tasks: list, max_workers: int) -> list:
     """Run callables that each submit Spark jobs from their own thread; results in order."""
     if len(tasks) <= 1:
         return [t() for t in tasks]
@@ -479,7 +508,33 @@ def _concurrently(tasks: list, max_workers: int = 4) -> list:
         return list(ex.map(lambda f: f(), tasks))
 
 
-def _name_glob(table: str) -> str:
-    """Case-insensitive file-name glob of a table (PRJ-3, D4): '<table>_*' or '<table>.csv'."""
-    t = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in table)
-    return "{" + f"{t}_*,{t}.[cC][sS][vV]" + "}"
+def _guarded(task):
+    """The task's result, or the exception it ended with."""
+    def run():
+        try:
+            return task()
+        except Exception as exc:  # noqa: BLE001  becomes the table's ERROR outcome
+            return exc
+    return run
+
+
+def _clock(run_at: str | None) -> F.Column:
+    """One time for everything that a run writes."""
+    at = run_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.lit(at).cast("timestamp_ntz")
+
+
+def _outcomes(files: DataFrame, status: str, code: F.Column, reason: F.Column, lines: int | None = None) -> DataFrame:
+    """Outcome rows of files that no line was ingested from."""
+    return files.select(
+        "table_name", "path", "filename", "file_date", F.lit(lines).cast("long").alias("total_lines"),
+        F.lit(lines).cast("long").alias("rejected_lines"), F.lit(0).cast("long").alias("rows_ingested"),
+        F.lit(status).alias("status"), code.alias("error_code"), reason.alias("reason"))
+
+
+def _name_glob(table: str, fmt: str) -> str:
+    """File-name pattern, in any case, that covers all files of a format whose name holds the table's."""
+    def any_case(text: str) -> str:
+        return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c if c.isalnum() or c in "_-" else "?" for c in text)
+    ends = ",".join(any_case(e) for e, f in FORMAT_BY_EXTENSION.items() if f == fmt)
+    return f"*{any_case(table)}*.{{{ends}}}" if table else f"*.{{{ends}}}"

@@ -10,6 +10,7 @@ batch writes the version named after its batch id, so a replay is idempotent.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,19 +25,7 @@ def _fs(spark: SparkSession, path: str):
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Version numbers below ``root`` that carry a commit marker."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                try:
-                    out.append(int(name[2:]))
-                except ValueError:
-                    pass
-    return sorted(out)
+    return [n for n, _, _ in run_versions(spark, root)]
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
@@ -46,10 +35,10 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     """The latest committed version (schema-merged), or None for a new table."""
-    v = current_version(spark, root)
-    if v is None:
-        return None
-    return spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/v={v}")
+    versions = run_versions(spark, root)
+    if not versions:
+        return read_runs(spark, root)  # a table that is only appended to (HISTORIZED)
+    return spark.read.option("mergeSchema", "true").parquet(versions[-1][2])
 
 
 def write_version(df: DataFrame, root: str, version: int | None = None,
@@ -69,14 +58,49 @@ def write_version(df: DataFrame, root: str, version: int | None = None,
     return version
 
 
-def append_version(df: DataFrame, root: str, version: int | None = None,
-                   partition_by: Sequence[str] = ()) -> int:
-    """SNK-3/SNK-7 append: the new version is old ∪ new with a merged schema
-    (``unionByName(allowMissingColumns)``) - never an overwrite of the log."""
+def run_versions(spark: SparkSession, root: str) -> list[tuple[int, str | None, str]]:
+    """``(number, run id, path)`` of the committed versions below ``root``, in order."""
+    fs, p, jvm = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        m = re.fullmatch(r"v=(\d+)(?:__(.*))?", st.getPath().getName())
+        if m and st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append((int(m[1]), m[2], st.getPath().toString()))
+    return sorted(out, key=lambda v: v[0])
+
+
+def _of_run(versions: list[tuple[int, str | None, str]], run_id: str) -> int | None:
+    return next((n for n, run, _ in versions if run == _folder(run_id)), None)
+
+
+def _folder(run_id: str) -> str:
+    return re.sub(r"[^A-Za-z0-9._-]", "_", run_id)
+
+
+def read_before(spark: SparkSession, root: str, run_id: str) -> DataFrame | None:
+    """The table as it was before ``run_id`` wrote it (a retry starts from there again)."""
+    versions = run_versions(spark, root)
+    own = _of_run(versions, run_id)
+    before = [path for n, _, path in versions if own is None or n < own]
+    return spark.read.option("mergeSchema", "true").parquet(before[-1]) if before else None
+
+
+def write_run_version(df: DataFrame, root: str, run_id: str, keep: int = 3) -> str:
+    """Write the version of ``run_id``, again if it is there already, and expire versions but the
+    latest ``keep`` (at least two: a retry reads the one before its own)."""
     spark = df.sparkSession
-    old = read_current(spark, root)
-    new = df if old is None else old.unionByName(df, allowMissingColumns=True)
-    return write_version(new, root, version, partition_by)
+    versions = run_versions(spark, root)
+    number = _of_run(versions, run_id)
+    if number is None:
+        number = versions[-1][0] + 1 if versions else 0
+    path = f"{root.rstrip('/')}/v={number}__{_folder(run_id)}"
+    df.write.mode("overwrite").parquet(path)
+    fs, _, jvm = _fs(spark, root)
+    for _, _, old in run_versions(spark, root)[:-max(2, keep)]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    return path
 
 
 def list_tables(spark: SparkSession, base: str, suffix: str = "_staging") -> DataFrame:
@@ -89,16 +113,6 @@ def list_tables(spark: SparkSession, base: str, suffix: str = "_staging") -> Dat
     return spark.createDataFrame([(n,) for n in sorted(names)], "table_name string")
 
 
-def row_count_by_version(spark: SparkSession, root: str) -> DataFrame:
-    """All committed versions with their row counts (for audits)."""
-    vs = committed_versions(spark, root)
-    if not vs:
-        return spark.createDataFrame([], "version int, rows long")
-    df = spark.read.parquet(*[f"{root.rstrip('/')}/v={v}" for v in vs]).withColumn("_f", F.input_file_name())
-    return df.select(F.regexp_extract("_f", r"/v=(\d+)/", 1).cast("int").alias("version")) \
-        .groupBy("version").agg(F.count(F.lit(1)).alias("rows"))
-
-
 def write_run(df: DataFrame, root: str, run_id: str, partition_by: Sequence[str] = ()) -> str:
     """Append-only table: this run's rows in ``<root>/run=<run_id>`` (rewritten as a
     whole on a retry of the same run, so a retried job never duplicates rows)."""

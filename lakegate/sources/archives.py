@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.functions.filenames import base_name, table_from_filename
+from lakegate.functions.filenames import base_name, plain_path, table_from_filename
 
 LINES_SCHEMA = ("archive string, entry string, line_no long, line string, status string, error string")
 CHUNK = 50_000
@@ -45,37 +46,49 @@ def _expand(batches: Iterator[pd.DataFrame], skip_header: bool, encoding: str) -
                 yield pd.DataFrame([_rows(archive, None, None, None, "ERROR", "No valid files in ZIP")])
                 continue
             for name in names:
-                buf: list[dict] = []
-                with zf.open(name) as fh:
-                    text = io.TextIOWrapper(fh, encoding=encoding, newline="")
-                    n = 0
-                    for raw in text:
-                        n += 1
-                        if skip_header and n == 1:
-                            continue
-                        buf.append(_rows(archive, name, n, raw.rstrip("\r\n"), "OK", None))
-                        if len(buf) >= CHUNK:
-                            yield pd.DataFrame(buf)
-                            buf = []
-                if buf:
-                    yield pd.DataFrame(buf)
+                yield pd.DataFrame([_rows(archive, name, 0, None, "ENTRY", None)])
+                try:
+                    yield from _entry_lines(zf, archive, name, skip_header, encoding)
+                except (zipfile.BadZipFile, OSError, ValueError, RuntimeError, NotImplementedError, EOFError, zlib.error) as exc:
+                    yield pd.DataFrame([_rows(archive, name, None, None, "ERROR", f"Invalid ZIP entry: {exc}")])
+
+
+def _entry_lines(zf: zipfile.ZipFile, archive: str, name: str, skip_header: bool, encoding: str) -> Iterator[pd.DataFrame]:
+    buf: list[dict] = []
+    with zf.open(name) as fh:
+        for n, raw in enumerate(io.TextIOWrapper(fh, encoding=encoding, newline="\n"), 1):
+            if skip_header and n == 1:
+                continue
+            buf.append(_rows(archive, name, n, raw.rstrip("\r\n"), "OK", None))
+            if len(buf) >= CHUNK:
+                yield pd.DataFrame(buf)
+                buf = []
+    if buf:
+        yield pd.DataFrame(buf)
 
 
 def expand_archives(spark: SparkSession, root: str, skip_header: bool = True,
                     encoding: str = "utf-8") -> DataFrame:
-    """Lines of every zip below ``root`` + the entry's file name and table."""
+    """Lines of every zip below ``root`` + the entry's file name and table.
+
+    Status ENTRY: one row per entry, also of an empty one; OK: a line; ERROR: an
+    archive, or an entry, that can't be read (its other rows don't count).
+    """
     bins = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.zip").load(root).select("path", "content"))
+            .option("pathGlobFilter", "*.[zZ][iI][pP]").load(root)
+            .select(plain_path("_metadata.file_path").alias("path"), "content"))
     lines = bins.mapInPandas(lambda it: _expand(it, skip_header, encoding), LINES_SCHEMA)
     return lines.select("*", base_name(F.col("entry")).alias("entry_name"),
                         table_from_filename(base_name(F.col("entry"))).alias("table_name"))
 
 
-def parse_lines(lines: DataFrame, names: Sequence[str], delimiter: str = ",") -> DataFrame:
-    """Lines -> text columns with Spark's CSV parser (``from_csv``)."""
-    schema = ", ".join(f"`{n}` string" for n in names)
-    parsed = F.from_csv(F.col("line"), schema, {"sep": delimiter, "quote": '"', "escape": "\\"})
-    return lines.select("*", parsed.alias("_p")).select("*", *[F.col("_p")[n].alias(n) for n in names]).drop("_p")
+def parse_lines(lines: DataFrame, names: Sequence[str], delimiter: str = ",", corrupt: str | None = None) -> DataFrame:
+    """Lines -> text columns with Spark's CSV parser (``from_csv``); with ``corrupt`` also the
+    text of lines whose cells don't match the columns."""
+    wanted = [*names, *([corrupt] if corrupt else [])]
+    options = {"sep": delimiter, "quote": '"', "escape": "\\"} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
+    parsed = F.from_csv(F.col("line"), ", ".join(f"`{n}` string" for n in wanted), options)
+    return lines.select("*", parsed.alias("_p")).select("*", *[F.col("_p")[n].alias(n) for n in wanted]).drop("_p")
 
 
 def archive_report(lines: DataFrame) -> DataFrame:

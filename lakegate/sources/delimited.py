@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegate.constants import HEADER_USE
+from lakegate.functions.filenames import base_name, plain_path
 
 CORRUPT = "_corrupt_record"
 
@@ -58,16 +59,15 @@ def text_schema(names: Sequence[str], corrupt: bool = True) -> T.StructType:
 def _with_file(df: DataFrame) -> DataFrame:
     """File path / name of each line, plus the split start and a row id taken on
     the scan itself (consecutive within a split) for file-order line numbers."""
-    return df.select("*", F.col("_metadata.file_path").alias("_file_path"),
-                     F.col("_metadata.file_name").alias("_file_name"),
+    path = plain_path("_metadata.file_path")
+    return df.select("*", path.alias("_file_path"), base_name(path).alias("_file_name"),
                      F.col("_metadata.file_block_start").alias("_block"),
                      F.monotonically_increasing_id().alias("_rid"))
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], *,
                    header_mode: str = "", delimiter: str = ",", charset: str | None = "UTF-8",
-                   multiline: bool = False, slack: int = 4, recursive: bool = False,
-                   glob: str | None = None) -> DataFrame:
+                   multiline: bool = False, recursive: bool = False, glob: str | None = None) -> DataFrame:
     """SRC-4..8: a landing of delimited files -> text columns ``names`` (lower case)
     + ``_corrupt_record`` + ``_file_path`` / ``_file_name``."""
     names = [n.lower() for n in names]
@@ -76,7 +76,8 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], names: Seque
     if (header_mode or "").upper() != HEADER_USE:
         df = reader.option("header", "true").schema(text_schema(names)).csv(paths)
         return _with_file(df)
-    raw, pos = read_positional(spark, paths, len(names) + slack, delimiter=delimiter, charset=charset,
+    width = max(len(names), header_width(spark, paths, delimiter, glob=glob))
+    raw, pos = read_positional(spark, paths, width, delimiter=delimiter, charset=charset,
                                multiline=multiline, recursive=recursive, glob=glob)
     return remap_by_header(raw, names, pos)
 
@@ -94,11 +95,19 @@ def read_positional(spark: SparkSession, paths: str | Sequence[str], width: int,
     reader = _file_reader(spark.read.options(**_options(delimiter, charset, multiline)), recursive, glob)
     pos = positional_names(width)
     raw = reader.option("header", "false").schema(text_schema(pos, corrupt=False)).csv(paths)
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_file_path"),
-                     F.col("_metadata.file_name").alias("_file_name"),
-                     F.col("_metadata.file_block_start").alias("_block"),
-                     F.monotonically_increasing_id().alias("_rid"))
-    return raw, pos
+    return _with_file(raw), pos
+
+
+def header_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str, accepted: DataFrame | None = None,
+                 glob: str | None = None) -> int:
+    """The most cells in any file's first line (of the ``accepted`` paths): one value, from an aggregation."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    lines = _with_file(_file_reader(spark.read, bool(glob), glob).text(paths)).where("_block = 0")
+    if accepted is not None:
+        lines = lines.join(accepted.select(F.col("path").alias("_file_path")), "_file_path", "left_semi")
+    first = lines.groupBy("_file_path").agg(F.min_by("value", "_rid").alias("h"))
+    cells = F.size(F.split("h", "\\Q" + delimiter + "\\E"))
+    return first.agg(F.coalesce(F.max(cells), F.lit(0)).alias("n")).first()["n"]
 
 
 def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegate.functions.filenames import plain_path
 from lakegate.operators.files import manifest_from_paths
 
 
@@ -14,7 +15,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(root).select("path", "length", "modificationTime")
+    return r.load(root).select(plain_path("_metadata.file_path").alias("path"), "length", "modificationTime")
 
 
 def landing_manifest(spark: SparkSession, root: str) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakegate.functions.filenames import base_name, plain_path
 from lakegate.plans import tables as tb
 from lakegate.sources.delimited import CORRUPT, _options, text_schema
 
@@ -35,15 +36,15 @@ def landing_stream(spark: SparkSession, root: str, names: Sequence[str], fmt: st
     if glob:
         r = r.option("pathGlobFilter", glob)
     r = r.option("recursiveFileLookup", "true")
-    if fmt == "csv":
-        r = r.options(**_options(delimiter, charset, False)).option("header", "true" if header else "false")
+    if fmt.startswith("csv"):
+        r = r.options(**_options(delimiter, charset, fmt.endswith("_ml"))).option("header", "true" if header else "false")
         df = r.csv(root)
     elif fmt == "json":
         df = r.option("columnNameOfCorruptRecord", CORRUPT).json(root)
     else:
         raise ValueError(f"unsupported stream format {fmt}")
-    return df.select("*", F.col("_metadata.file_name").alias("_file_name"),
-                     F.col("_metadata.file_path").alias("_file_path"))
+    path = plain_path("_metadata.file_path")
+    return df.select("*", base_name(path).alias("_file_name"), path.alias("_file_path"))
 
 
 @dataclass

@@ -70,7 +70,8 @@ def test_two_runs(spark, tmp_root):
     assert [c for c in tb.read_current(spark, f"{wh}/sales_last").columns][:4] == \
         ["FILE_LINE_ID", "FILE_NAME_RECEIVED", "FILE_EXTRACTION_DATE", "FILE_PROCESS_DATE"]
     stock = tb.read_current(spark, f"{wh}/stock_current")
-    assert sorted((x["sku"], x["qty"] or 0) for x in stock.collect()) == [("A", 5), ("B", 6), ("C", 0)]
+    assert [(x["sku"], x["qty"]) for x in stock.collect()] == [("C", None)]  # the newest file is the snapshot
+    assert spark.read.parquet(f"{wh}/stock_all").count() == 3
     info = spark.read.parquet(f"{wh}/stock_errors").filter("code = 'INFO_MISSING_COLUMN'").collect()
     assert [(i["filename"], i["column"]) for i in info] == [("stock_20250102.csv", "qty")]
     allp = spark.read.parquet(f"{wh}/sales_all")
@@ -145,24 +146,106 @@ def test_cli_batch_run(spark, tmp_root):
     assert tb.read_current(spark, f"{tmp_root}/clw/sales_last").count() == 1
 
 
-def test_glob_mode_equals_listed_mode(spark, tmp_root):
-    """Above max_listed_files the run reads by name glob + semi join: same results."""
-    land = f"{tmp_root}/gl"
-    write(f"{land}/a/sales_20250101.csv", "id;amount;day\n1;1,50;01/01/2025\n2;x;01/01/2025\n")
-    write(f"{land}/b/SALES_20250102.csv", "id;amount;day\n3;3;02/01/2025\n")           # routed, fix part ok?
-    write(f"{land}/b/sales_20251399.csv", "id;amount;day\n9;9;01/01/2025\n")           # rejected by name
-    write(f"{land}/b/sales_20250103.csv", "id;amount;day\n")                           # empty
+def run_of(spark, land, wh, run_id="r1", tables=TABLES, columns=COLUMNS, **params):
+    ing = Ingestion(spark, table_sheet(spark, tables), column_sheet(spark, columns), wh, RunParams(**params))
+    return ing.run(land, run_id, run_at="2025-01-04 00:00:00")
+
+
+def statuses(r):
+    return {os.path.basename(x["path"]): (x["status"], x["error_code"], x["rows_ingested"]) for x in r.outcomes.collect()}
+
+
+def test_no_landed_file_is_lost(spark, tmp_root):
+    """Names with blanks, '!', '+', '%', a leading date, any case; folders; wide headers; other formats."""
+    land, body = f"{tmp_root}/l", "id;amount;day\n{0};1;01/01/2025\n"
+    names = ["a/sales_2025 0101 x.csv", "new!/sales_20250102.csv", "20250101_sales_x.csv", "p+c/sales_20250103+1.csv",
+             "q%20/sales_20250104%41.csv", "b/sales_20250105.CSV"]
+    for i, n in enumerate(names):
+        write(f"{land}/{n}", body.format(i))
+    write(f"{land}/b/sales_20251399.csv", body.format(9))
+    write(f"{land}/b/sales_20250106.csv", "id;amount;day\n")
+    write(f"{land}/b/sales_20250102.csv", body.format(8))  # the name again, in another folder
+    write(f"{land}/stock_20250101.csv", ",".join(f"x{i}" for i in range(12)) + ",SKU,qty\n" + "0," * 12 + "A,5\n")
+    write(f"{land}/stock_20250102.json", '{"sku": "B", "qty": 7}\n')
+    r = run_of(spark, land, f"{tmp_root}/w")
+    st = {x["path"].split("/l/", 1)[1]: (x["status"], x["rows_ingested"]) for x in r.outcomes.collect()}
+    assert len(st) == 11
+    twice = [st.pop("new!/sales_20250102.csv"), st.pop("b/sales_20250102.csv")]
+    assert sorted(twice) == [("FAILED", 0), ("SUCCESS", 1)]
+    assert st.pop("b/sales_20251399.csv") == ("FAILED", 0) and st.pop("b/sales_20250106.csv") == ("SKIPPED", 0)
+    assert set(st.values()) == {("SUCCESS", 1)}, st
+    stock = spark.read.parquet(f"{tmp_root}/w/stock_all")
+    assert sorted((x["sku"], x["qty"]) for x in stock.collect()) == [("A", 5), ("B", 7)]
+    assert all(x["complete"] for x in r.completeness.collect())
+
+
+def test_archives_pass_the_same_gates(spark, tmp_root):
+    land = f"{tmp_root}/z"
+    os.makedirs(land)
+    with zipfile.ZipFile(f"{land}/UP.ZIP", "w") as zf:
+        zf.writestr("sales_20250101.csv", "id;amount;day\n1;1;01/01/2025\n")
+        zf.writestr("sales_20251399.csv", "id;amount;day\n2;1;01/01/2025\n")
+        zf.writestr("sales_20250102.csv", "id;amount;day\n")
+        zf.writestr("sales_20250103.csv", "id;amount;day\n5;1\n")
+        zf.writestr("stock_20250101.csv", "qty,note,sku\n5,x,\xc9\n".encode("latin-1"))
+    with zipfile.ZipFile(f"{land}/sales.zip", "w") as zf:
+        zf.writestr("data.csv", "id;amount;day\n7;1;01/01/2025\n")
+    with zipfile.ZipFile(f"{land}/none.zip", "w") as zf:
+        zf.writestr("__MACOSX/x", "y")
+    write(f"{land}/bad.zip", "no archive")
+    tables = [TABLES[0], TABLES[1] | {"Input charset": "ISO-8859-1"}]
+    r = run_of(spark, land, f"{tmp_root}/w", tables=tables)
+    assert statuses(r) == {
+        "sales_20250101.csv": ("SUCCESS", None, 1), "sales_20251399.csv": ("FAILED", "000000001", 0),
+        "sales_20250102.csv": ("SKIPPED", None, 0), "sales_20250103.csv": ("FAILED", "000000006", 0),
+        "stock_20250101.csv": ("SUCCESS", None, 1), "data.csv": ("SUCCESS", None, 1),
+        "none.zip": ("FAILED", "INVALID_ARCHIVE", 0), "bad.zip": ("FAILED", "INVALID_ARCHIVE", 0)}
+    assert sorted(x["id"] for x in tb.read_current(spark, f"{tmp_root}/w/sales_last").collect()) == [1, 7]
+    assert [(x["sku"], x["qty"]) for x in tb.read_current(spark, f"{tmp_root}/w/stock_current").collect()] == [("É", 5)]
+    assert all(x["complete"] for x in r.completeness.collect())
+
+
+def test_a_repeated_run_changes_nothing(spark, tmp_root):
+    land, wh = f"{tmp_root}/l", f"{tmp_root}/w"
+    write(f"{land}/sales_20250101.csv", "id;amount;day\n1;1;01/01/2025\n")
     write(f"{land}/stock_20250101.csv", "qty,sku\n5,A\n")
-    sheets = (table_sheet(spark, TABLES), column_sheet(spark, COLUMNS))
+    tables = [TABLES[0], TABLES[1] | {"Ingestion mode": "DELTA_FROM_HISTORIZED"}]
     results = []
-    for mode, limit in (("listed", 20000), ("glob", 0)):
-        wh = f"{tmp_root}/wh-{mode}"
-        r = Ingestion(spark, *sheets, wh, RunParams(max_listed_files=limit)).run(land, "r1",
-                                                                               run_at="2025-01-04 00:00:00")
-        st = sorted((x["filename"], x["status"], x["error_code"]) for x in r.outcomes.collect())
-        last = sorted(tuple(x) for x in tb.read_current(spark, f"{wh}/sales_last")
-                      .select("FILE_NAME_RECEIVED", "FILE_LINE_ID", "id", "amount").collect())
-        results.append((st, last))
-    assert results[0] == results[1]
-    st = {f: (s, c) for f, s, c in results[0][0]}
-    assert st["sales_20251399.csv"] == ("FAILED", "000000001") and st["sales_20250103.csv"][0] == "SKIPPED"
+    for run_id in ("r1", "r1", "r2", "r2"):
+        st = statuses(run_of(spark, land, wh, run_id, tables, duplicate_check_enabled=run_id == "r1"))
+        last = [sorted(map(str, tb.read_current(spark, f"{wh}/{t}").select("FILE_LINE_ID", c).collect()))
+                for t, c in (("sales_last", "id"), ("stock_current", "sku"))]
+        results.append((st, last, tb.read_runs(spark, f"{wh}/tracking").filter("status = 'SUCCESS'").count()))
+    assert results[0] == results[1] and results[2] == results[3]
+    assert set(results[0][0].values()) == {("SUCCESS", None, 1)} and [len(x) for x in results[2][1]] == [1, 2]
+
+
+def test_a_failing_table_stops_no_other(spark, tmp_root):
+    land, wh = f"{tmp_root}/l", f"{tmp_root}/w"
+    write(f"{land}/sales_20250101.csv", "id;amount;day\n1;1;01/01/2025\n")
+    write(f"{land}/stock_20250101.csv", "qty,sku\n5,A\n")
+    tables = [TABLES[0], TABLES[1] | {"Ingestion mode": "DELTA_FROM_NON_HISTORIZED"}]  # no merge key
+    r = run_of(spark, land, wh, tables=tables)
+    st = statuses(r)
+    assert st["sales_20250101.csv"] == ("SUCCESS", None, 1) and st["stock_20250101.csv"][:2] == ("ERROR", "TECHNICAL_ERROR")
+    assert {x["table_name"]: x["run_status"] for x in r.run_status.collect()} == {"sales": "SUCCESS", "stock": "ERROR"}
+    assert all(x["complete"] for x in r.completeness.collect())
+    assert tb.read_runs(spark, f"{wh}/tracking").count() == 2
+
+
+def test_a_column_added_to_the_sheet_reaches_the_target(spark, tmp_root):
+    wh, more = f"{tmp_root}/w", [*COLUMNS, {"Delta Table Name": "sales", "Column Name": "note", "Field type": "STRING"}]
+    write(f"{tmp_root}/1/sales_20250101.csv", "id;amount;day\n1;1;01/01/2025\n2;1;01/01/2025\n")
+    write(f"{tmp_root}/2/sales_20250102.csv", "id;amount;day;note\n2;1;02/01/2025;n\n")
+    run_of(spark, f"{tmp_root}/1", wh)
+    run_of(spark, f"{tmp_root}/2", wh, "r2", columns=more)
+    last = tb.read_current(spark, f"{wh}/sales_last")
+    assert sorted((x["id"], x["note"]) for x in last.collect()) == [(1, None), (2, "n")]
+
+
+def test_key_replace_takes_each_key_from_its_newest_file(spark, tmp_root):
+    write(f"{tmp_root}/l/sales_20250101.csv", "id;amount;day\n1;1;01/01/2025\n2;1;01/01/2025\n")
+    write(f"{tmp_root}/l/sales_20250102.csv", "id;amount;day\n2;5;02/01/2025\n2;6;02/01/2025\n")
+    run_of(spark, f"{tmp_root}/l", f"{tmp_root}/w", tables=[TABLES[0] | {"Ingestion mode": "FULL_KEY_REPLACE"}])
+    last = tb.read_current(spark, f"{tmp_root}/w/sales_last")
+    assert sorted((x["id"], int(x["amount"])) for x in last.collect()) == [(1, 1), (2, 5), (2, 6)]

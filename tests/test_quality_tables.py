@@ -51,9 +51,20 @@ def test_versioned_tables(spark, tmp_root):
     root = f"{tmp_root}/t"
     assert tb.read_current(spark, root) is None
     v0 = tb.write_version(spark.range(3), root)
-    v1 = tb.append_version(spark.range(2).withColumn("extra", F.lit("x")), root)
+    v1 = tb.write_version(spark.range(5).withColumn("extra", F.lit("x")), root)
     assert (v0, v1) == (0, 1)
     cur = tb.read_current(spark, root)
     assert cur.count() == 5 and "extra" in cur.columns
     assert tb.write_version(spark.range(99), root, version=1) == 1  # replay: untouched
     assert tb.read_current(spark, root).count() == 5
+
+
+def test_versions_of_runs_are_bound_to_the_run_and_expire(spark, tmp_root):
+    root = f"{tmp_root}/rv"
+    assert tb.read_before(spark, root, "a") is None
+    for i, run in enumerate(("a", "b", "c", "d")):
+        tb.write_run_version(spark.range(i + 1), root, run, keep=3)
+    assert [run for _, run, _ in tb.run_versions(spark, root)] == ["b", "c", "d"]
+    assert tb.read_before(spark, root, "d").count() == 3 and tb.read_before(spark, root, "e").count() == 4
+    tb.write_run_version(spark.range(40), root, "d")  # a retry takes its own place again
+    assert tb.committed_versions(spark, root) == [1, 2, 3] and tb.read_current(spark, root).count() == 40
