@@ -53,13 +53,17 @@ def lexicon(documents: DataFrame, min_idf: float, max_idf: float) -> DataFrame:
     return df.where((idf >= min_idf) & (idf <= max_idf)).select("term")
 
 
+def _short_hash(value: Column) -> Column:
+    return F.shiftright(F.xxhash64(value), 32).cast("int")
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is evaluated once."""
     return F.transform(F.array(value), body)[0]
 
 
 def fingerprint(all_terms: Column, kept: Column, subsets: int = SUBSETS) -> Column:
-    """Two levels, each an array of the level and one hash per subset (null: no term of it).
+    """Two levels, each an array of the level and one 32-bit hash per subset (null: no term of it).
 
     ``kept`` are the document's lexicon terms, ``all_terms`` all of its terms.
     """
@@ -72,10 +76,10 @@ def fingerprint(all_terms: Column, kept: Column, subsets: int = SUBSETS) -> Colu
         mine = F.transform(kept, lambda t: F.struct(F.pmod(F.xxhash64(t, s), cells).alias("c"), t.alias("t")))
         mine = F.sort_array(F.filter(mine, lambda x: x["c"] < subsets))
         hashes = _let(mine, lambda m: F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), lambda k: _let(
-            F.filter(m, lambda x: x["c"] == k), lambda h: F.when(F.size(h) > 0, F.xxhash64(h)))))
-        return F.concat(F.array(s.cast("long")), hashes)
+            F.filter(m, lambda x: x["c"] == k), lambda h: F.when(F.size(h) > 0, _short_hash(h)))))
+        return F.concat(F.array(s), hashes)
 
-    whole = F.array(F.lit(-1).cast("long"), F.xxhash64(F.sort_array(all_terms)))
+    whole = F.array(F.lit(-1), _short_hash(F.sort_array(all_terms)))
     return F.when(n == 0, F.array(whole, whole)).otherwise(F.array(at(0), at(1)))
 
 
@@ -106,7 +110,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def next_rows(ids: DataFrame) -> DataFrame:
-    """``_row, _n, _next`` for rows ``_row, doc_id, _n``: the following row in id order, the first after the last.
+    """``_row, doc_id, _n, _next`` for rows ``_row, doc_id, _n``: the following row in id order, the first after the last.
 
     Range partitions hold consecutive ids; each looks ahead on its own, and one
     row per partition, its first, links the partitions.
@@ -122,19 +126,20 @@ def next_rows(ids: DataFrame) -> DataFrame:
     linked = heads.select(
         "_p", F.coalesce(F.lead("_head").over(around), F.first("_head").over(
             around.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("_after"))
-    return (inside.join(linked, "_p").select("_row", "_n", F.coalesce("_next", "_after").alias("_next")))
+    return (inside.join(linked, "_p").select("_row", "doc_id", "_n", F.coalesce("_next", "_after").alias("_next")))
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
     """``_row, doc_id, text, edited, _next``: the last quarter replaced by the start of the next document."""
     base = with_row_id(docs).select("_row", "doc_id", text_or_empty().alias("text"))
     order = stored(next_rows(base.select("_row", "doc_id", F.length("text").alias("_n"))))
+    this, after = (base.select(F.col("_row").alias(name), "text") for name in ("_this", "_next"))  # one shuffle for both
     quarter = F.floor(F.col("_n") / 4).cast("int")
-    starts = (base.select(F.col("_row").alias("_next"), "text").join(order, "_next")
-              .select("_row", "_next", F.substring(F.col("text"), F.lit(1), quarter).alias("_start"),
+    starts = (after.join(order, "_next")
+              .select(F.col("_row").alias("_this"), "doc_id", "_next", F.substring(F.col("text"), F.lit(1), quarter).alias("_start"),
                       (F.col("_n") - quarter).alias("_keep")))
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("_keep")), F.col("_start"))
-    return base.join(starts, "_row").select("_row", "doc_id", "text", edited.alias("edited"), "_next")
+    return this.join(starts, "_this").select(F.col("_this").alias("_row"), "doc_id", "text", edited.alias("edited"), "_next")
 
 
 def fingerprints(docs: DataFrame, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF,
