@@ -21,6 +21,11 @@ Defined results
 
 from __future__ import annotations
 
+import os
+import re
+import struct
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +34,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.segments import slices
+from lakegate.llm.segments import SLICE_CHARS, slices
 
 CAPACITY = 2048
 LEAST_PIECE = 32
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_CHUNKS = 1 << 18
+WORD_END = "</w>"
+CACHE_CHUNKS = 3 << 17
+GROUP = 128
 BATCH_ROWS = 4096
 
 
@@ -44,32 +51,98 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class TokenIds(dict):
-    """Little-endian 32-bit token ids of blank-free chunks of text, kept for the frequent ones."""
+_MARK_AFTER_SIGN = re.compile(r"[^\w\s][.,](?:\s|$)|_[.,]")
+
+
+def chunks_of(text: str) -> list[str]:
+    """Blank-free chunks whose ids, one after the other, are those of the text.
+
+    Text of Latin-1 letters is lower-cased here, as the tokenizer would do, and a
+    full stop or comma behind a letter or digit is split off, where the tokenizer
+    splits too; so a word in its various forms is one chunk.
+    """
+    text = text.replace("\n", " ")
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.split(" ")
+    if "<|" not in text:
+        text = text.lower()
+    if not _MARK_AFTER_SIGN.search(text):
+        text = (text + " ").replace(", ", " , ").replace(". ", " . ")
+    return text.split(" ")
+
+
+class TokenIds:
+    """Little-endian 32-bit token ids of texts; those of blank-free chunks met of late are kept.
+
+    There are two generations of kept chunks, each of bounded size: when the young
+    one is full it becomes the old one, and chunks that are met again move back.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         from tokenizers import Tokenizer
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self[""] = b""
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str) -> TokenIds:
+        """One for all tasks of a Python worker, which outlives them (task code doesn't)."""
+        kept = sys.modules.setdefault("lakegate_worker_state", types.ModuleType("lakegate_worker_state"))
+        if getattr(kept, "token_path", None) != path:
+            kept.token_path, kept.token_ids = path, cls(path)
+        return kept.token_ids
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self) + len(chunks) > CACHE_CHUNKS:
-            self.clear()
-            self[""] = b""
-        new = [c for c in chunks if c not in self]
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[chunk] = np.asarray(found.ids, "<u4").tobytes()
+        if len(self.young) + len(chunks) > CACHE_CHUNKS:
+            self.old, self.young = self.young, {}
+        new = []
+        for chunk in chunks:
+            ids = self.old.get(chunk)
+            if ids is None:
+                new.append(chunk)
+            else:
+                self.young[chunk] = ids
+        letters = [c for c in new if c.isalpha()]
+        found = self._of_words(letters)
+        self.young.update(zip(letters, found))
+        rest = new if letters and not found else [c for c in new if not c.isalpha()]
+        for chunk, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            ids = encoded.ids
+            self.young[chunk] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, encoded as one text and cut behind the ids that end words;
+        nothing if the tokenizer sees another number of words in them."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return []
+        bounds, raw = [0, *(4 * ends).tolist()], ids.tobytes()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def of_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts of at most a slice each."""
+        parts = [chunks_of(t) for t in texts]
+        needed = set().union(*parts)
+        unknown = needed.difference(self.young)
+        if unknown:
+            young = self.young
+            self.learn(unknown)
+            if self.young is not young:
+                self.learn(needed.difference(self.young))
+        known = self.young.__getitem__
+        return [b"".join(map(known, chunks)) for chunks in parts]
 
     def of(self, text: str) -> bytes:
-        parts = []
-        for part in slices(text):
-            chunks = part.replace("\n", " ").split(" ")
-            unknown = {c for c in chunks if c not in self}
-            if unknown:
-                self.learn(unknown if len(self) + len(unknown) <= CACHE_CHUNKS else set(chunks))
-            parts.append(b"".join(map(self.__getitem__, chunks)))
-        return b"".join(parts)
+        return b"".join(self.of_many([part])[0] for part in slices(text))
 
 
 class Bins:
@@ -155,11 +228,18 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = TokenIds(tokenizer or tokenizer_path())
+        tokens = TokenIds.of_worker(tokenizer or tokenizer_path())
         bins = Bins(capacity, least_piece, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id"), batch.column("text")):
-                bins.add(doc.as_py(), tokens.of(text.as_py() or "") + end)
+            for at in range(0, batch.num_rows, GROUP):
+                group = batch.slice(at, GROUP)
+                texts = [t or "" for t in group.column("text").to_pylist()]
+                if sum(map(len, texts)) <= SLICE_CHARS:
+                    found = iter(tokens.of_many(texts))
+                else:
+                    found = map(tokens.of, texts)
+                for doc, ids in zip(group.column("doc_id").to_pylist(), found):
+                    bins.add(doc, ids + end)
                 if len(bins.done) >= BATCH_ROWS:
                     yield from batches_of(bins.done)
                     bins.done.clear()
