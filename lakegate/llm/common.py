@@ -23,12 +23,13 @@ def stored(df: DataFrame) -> DataFrame:
 
     This cuts the lineage like a checkpoint, survives lost executors, computes
     ``df`` once, and gives later plans true sizes (a checkpoint keeps estimates,
-    which multiply from join to join).  The folder of an application may be
-    removed when it has ended.
+    which multiply from join to join).  Twice as many files as the cluster has
+    cores keep all of them busy; more would be small files.  The folder of an
+    application may be removed when it has ended.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.coalesce(max(2, 2 * spark.sparkContext.defaultParallelism)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -207,7 +207,8 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents
     maybe = bit_filter(per_row, "_row")
     none = F.array().cast("array<bigint>")
     clear = base.where(~maybe(F.col("_row"))).withColumn("dropped", none)
-    touched = base.where(maybe(F.col("_row"))).join(per_row, "_row", "left").withColumn("dropped", F.coalesce("dropped", none))
+    # always a sort-merge join, so that what it moves grows in step with the input
+    touched = base.where(maybe(F.col("_row"))).join(per_row.hint("merge"), "_row", "left").withColumn("dropped", F.coalesce("dropped", none))
     columns = ["doc_id", "text", "dropped"]
     return (kept_text(clear.select(*columns)).unionByName(kept_text(touched.select(*columns)))
             .select("doc_id", "n_lines", "n_dropped", "kept"))
