@@ -6,7 +6,6 @@ CODE_DUPLICATE_FILE = "000000002"
 CODE_FILE_ORDER = "000000003"
 CODE_COLUMN_COUNT = "000000006"
 CODE_FAIL_FAST = "000000007"
-CODE_FIX_PART = "BBAFORGIF-102"
 
 # --- fixed values: cell values that mean "not set" in a configuration sheet -
 NULL_TOKENS = ("", "nan", "none", "null")
@@ -90,3 +89,11 @@ PARTITION_SCHEMES = {
     "yyyy/mm/dd": ("yyyy", "mm", "dd"),
     "yyyy/mm/dd/hhmmss": ("yyyy", "mm", "dd", "hhmmss"),
 }
+
+# --- fixed values: date patterns in file names, in this order; the first that matches decides ----
+FILE_DATE_RULES = (
+    (r"(\d{8})_(\d{6})", "concat", "yyyyMMddHHmmss"),
+    (r"(\d{8})", "one", "yyyyMMdd"),
+    (r"(\d{4})-(\d{2})-(\d{2})", "concat3", "yyyyMMdd"),
+    (r"(\d{4})_(\d{2})_(\d{2})", "concat3", "yyyyMMdd"),
+)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakegate.constants import FILE_DATE_RULES
 from lakegate.functions.text import col_of
 
 OUTPUT_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -63,27 +64,18 @@ def filename_date_reason(fname: Column | str, require_date: bool = False) -> Col
     return (
         F.when(text == "", no_date)
         .when(~y.between(1900, 2100),
-              F.format_string("invalid year: %d (must be between 1900 and 2100)", y))
-        .when(~m.between(1, 12), F.format_string("invalid month: %d (must be between 1 and 12)", m))
-        .when(~d.between(1, 31), F.format_string("invalid day: %d (must be between 1 and 31)", d))
-        .when(real.isNull(), F.concat(F.lit("invalid date: "), ymd))
+              F.format_string("year %d outside 1900 to 2100", y))
+        .when(~m.between(1, 12), F.format_string("month %d outside 1 to 12", m))
+        .when(~d.between(1, 31), F.format_string("day %d outside 1 to 31", d))
+        .when(real.isNull(), F.concat(F.lit("no such day: "), ymd))
     )
 
 
-# FIL-8 patterns, tried in this order; the first that matches decides.
-_FILE_DATE_RULES = (
-    (r"(\d{8})_(\d{6})", "concat", "yyyyMMddHHmmss"),
-    (r"(\d{8})", "one", "yyyyMMdd"),
-    (r"(\d{4})-(\d{2})-(\d{2})", "concat3", "yyyyMMdd"),
-    (r"(\d{4})_(\d{2})_(\d{2})", "concat3", "yyyyMMdd"),
-)
-
-
 def file_date(fname: Column | str) -> Column:
     """FIL-8: date of a file from its name; a matched but impossible date is NULL."""
     f = col_of(fname)
     out = F.lit(None).cast("timestamp_ntz")
-    for pattern, how, fmt in reversed(_FILE_DATE_RULES):
+    for pattern, how, fmt in reversed(FILE_DATE_RULES):
         if how == "concat":
             txt = F.concat(F.regexp_extract(f, pattern, 1), F.regexp_extract(f, pattern, 2))
         elif how == "one":

@@ -18,12 +18,6 @@ def is_blank(c: Column | str) -> Column:
     return c.isNull() | (F.trim(c) == F.lit(""))
 
 
-def blank_to_null(c: Column | str) -> Column:
-    """PRJ-5: '' or white space becomes NULL, other text is kept as is."""
-    c = col_of(c)
-    return F.when(~is_blank(c), c)
-
-
 def null_token(c: Column | str) -> Column:
     """PRJ-9: a configuration cell holding ''/nan/none/null (any case) is unset -> NULL."""
     c = col_of(c)

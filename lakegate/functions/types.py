@@ -28,8 +28,3 @@ def is_date_type(name: str | None) -> bool:
 def is_numeric_type(name: str | None) -> bool:
     t = spark_type(name)
     return t in ("int", "bigint", "float", "double") or t.startswith("decimal")
-
-
-def safe_cast(c: Column, type_name: str | None) -> Column:
-    """try_cast of text; NULL instead of an error (ANSI mode safe)."""
-    return c.try_cast(spark_type(type_name))

@@ -47,12 +47,16 @@ def manifest_from_paths(paths: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def files_by_table(manifest: DataFrame) -> DataFrame:
-    """SRC-3/SRC-11: per table the files and folders, sorted for stable output."""
+    """SRC-3/SRC-11: per table the number of files and folders, and the first and last file name.
+
+    The files themselves stay rows of the manifest; a table's are never gathered in one value.
+    """
     folder = F.regexp_replace(F.col("path"), r"/[^/]*$", "")
     return manifest.groupBy("table_name").agg(
-        F.array_sort(F.collect_list("filename")).alias("files"),
-        F.array_sort(F.collect_set(folder)).alias("folders"),
         F.count(F.lit(1)).alias("file_count"),
+        F.min("filename").alias("first_file"),
+        F.max("filename").alias("last_file"),
+        F.count_distinct(folder).cast("int").alias("folders"),
     )
 
 
@@ -71,13 +75,13 @@ def fix_part_gate(files: DataFrame, table_conf: DataFrame, name_col: str = "file
 
     ``table_conf``: normalised table spec (table_name, filename_pattern, fix_part).
     No config row, no pattern or an empty fixed part -> accept.  The spec has one
-    row per configured table, so it is broadcast.
+    row per configured table, so Spark broadcasts it by its size.
     """
     conf = table_conf.select(
         F.col("table_name").alias("_cfg_table"),
         F.coalesce(F.col("fix_part"), fix_part_from_pattern(F.col("filename_pattern"))).alias("fix_part_expected"),
     )
-    j = files.join(F.broadcast(conf), files["table_name"] == conf["_cfg_table"], "left").drop("_cfg_table")
+    j = files.join(conf, files["table_name"] == conf["_cfg_table"], "left").drop("_cfg_table")
     actual = fix_part_from_filename(F.col(name_col))
     expected = F.col("fix_part_expected")
     bad = expected.isNotNull() & (expected != "") & (actual != expected)
@@ -118,10 +122,10 @@ def history_checks(files: DataFrame, tracking: DataFrame, name_col: str = "filen
     dup = F.coalesce(F.col("_done"), F.lit(False)) | F.col("_seen_before")
     late = F.col("file_date").isNotNull() & F.col("last_date").isNotNull() & (F.col("file_date") < F.col("last_date"))
     dup_err = F.when(dup, F.struct(F.lit("DUPLICATE_FILE").alias("type"), F.lit(CODE_DUPLICATE_FILE).alias("code"),
-                                   F.format_string("File %s already processed for table %s",
+                                   F.format_string("%s was ingested into %s before",
                                                    F.col(name_col), F.col("table_name")).alias("message")))
     late_err = F.when(late, F.struct(F.lit("INVALID_FILE_ORDER").alias("type"), F.lit(CODE_FILE_ORDER).alias("code"),
-                                     F.format_string("File date %s < last processed date %s for table %s",
+                                     F.format_string("dated %s, older than the newest ingested date %s of %s",
                                                      F.date_format("file_date", "yyyy-MM-dd HH:mm:ss"),
                                                      F.date_format("last_date", "yyyy-MM-dd HH:mm:ss"),
                                                      F.col("table_name")).alias("message")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegate.operators.rules import ERRORS, LINE_REJECTED, REJECT, error_codes_text
@@ -40,6 +40,17 @@ def summary(invalid: DataFrame, table_name: str) -> DataFrame:
     ).select(F.lit(table_name).alias("table_name"), "*")
 
 
+def latest(invalid: DataFrame, n: int = 10) -> DataFrame:
+    """SRT-2: the latest ``n`` invalid lines (a top-k report) with their ``rank``."""
+    order = [F.desc("rejection_date"), F.asc("filename"), F.asc("line_number")]
+    return invalid.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
+def by_file(invalid: DataFrame) -> DataFrame:
+    """RPT-5: invalid lines per file."""
+    return invalid.groupBy("filename").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def count_lines(invalid: DataFrame) -> DataFrame:
     """QUA-21: number of invalid lines."""
     return invalid.agg(F.count(F.lit(1)).alias("invalid_lines"))

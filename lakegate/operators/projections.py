@@ -46,12 +46,6 @@ def missing_columns(present: Sequence[str], expected: Sequence[str]) -> list[str
     return [c for c in expected if c.lower() not in have]
 
 
-def complete_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """PRJ-6: add configured-but-absent columns as NULL text (rules then apply)."""
-    miss = missing_columns(df.columns, expected)
-    return df.withColumns({c: F.lit(None).cast("string") for c in miss}) if miss else df
-
-
 def missing_column_report(files: DataFrame, present: Sequence[str], expected: Sequence[str], table_name: str,
                           file_col: str = "_file_name") -> DataFrame:
     """QUA-17: one INFO_MISSING_COLUMN row per (file, missing column)."""

@@ -6,7 +6,7 @@ including FAILED files and undated files (D17).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,10 +43,19 @@ def retain(tracking: DataFrame, as_of: Column, days: int, date_col: str = "proce
 
 
 def status_counts(tracking: DataFrame) -> DataFrame:
-    """RPT-1 / AGG-1 / SRT-1: count per status, most frequent first."""
+    """RPT-1 / AGG-1: count per status."""
     return tracking.groupBy("status").agg(F.count(F.lit(1)).alias("count"))
 
 
+def ranked(counts: DataFrame, count_col: str, *ties: str) -> DataFrame:
+    """SRT-1: groups in the order of their count, the most frequent first, with their ``rank``.
+
+    For frames with a row per group of a report, after the aggregation.
+    """
+    order = Window.orderBy(F.desc(count_col), *[F.asc(t) for t in ties])
+    return counts.withColumn("rank", F.row_number().over(order)).orderBy("rank")
+
+
 def by_table(tracking: DataFrame) -> DataFrame:
     """AGG-2: per table files, rows, successes, failures."""
     return tracking.groupBy("table_name").agg(

@@ -246,6 +246,12 @@ def tracking_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tk.status_counts(_tracking_after(spark, sf_dir))
 
 
+@query("tracking_summary_ranked")
+def tracking_summary_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-1: registrations per status, the most frequent first."""
+    return tk.ranked(tk.status_counts(_tracking_after(spark, sf_dir)), "count", "status")
+
+
 @query("tracking_by_table")
 def tracking_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-2: files, rows, successes and failures per table."""
@@ -441,6 +447,19 @@ def invalid_lines_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return il.summary(_invalid_orders(spark, sf_dir), "orders")
 
 
+@query("invalid_lines_latest10")
+def invalid_lines_latest10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-2 / RPT-2: the ten latest invalid lines (a top-k report)."""
+    return il.latest(_invalid_orders(spark, sf_dir), 10).select(
+        "filename", "line_number", "rejection_date", "rejection_reason", "error_type", "rank")
+
+
+@query("invalid_lines_by_file_ranked")
+def invalid_lines_by_file_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-5: files by their number of invalid lines, the worst first."""
+    return tk.ranked(il.by_file(_invalid_orders(spark, sf_dir)), "lines", "filename")
+
+
 RETENTION_AS_OF = "1998-09-01 00:00:00"
 
 
@@ -540,6 +559,32 @@ def mode_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return md.upsert(l1, l2, merge_keys(crules), start_validity_column(crules))
 
 
+@query("mode_full_snapshot_files")
+def mode_full_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-1 over a batch of many dated files: `_last` is the newest file's rows."""
+    l1, _ = orders_batch(spark, sf_dir)
+    return md.full_snapshot(None, None, md.newest_file(l1)).last
+
+
+@query("mode_key_replace_files")
+def mode_key_replace_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-5 over many dated files: per custkey the rows of the newest file that holds it."""
+    l1, _ = orders_batch(spark, sf_dir)
+    l2, _ = orders_batch(spark, sf_dir, second=True)
+    return md.key_replace(None, md.newest_file_per_key(l1.unionByName(l2), ["custkey"]), ["custkey"])
+
+
+@query("mode_upsert_new_column")
+def mode_upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-3 / SNK-7: a column that the target lacks arrives with batch 2."""
+    _, crules = cm.rules_for(spark, "orders")
+    from lakegate.plans.specs import merge_keys, start_validity_column
+    l1, _ = orders_batch(spark, sf_dir)
+    l2, _ = orders_batch(spark, sf_dir, second=True)
+    out = md.upsert(l1, l2.withColumn("note", F.lit("batch 2")), merge_keys(crules), start_validity_column(crules))
+    return out.select("orderkey", "FILE_NAME_RECEIVED", "FILE_LINE_ID", "orderdate", "note")
+
+
 @query("mode_historized")
 def mode_historized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MOD-4: `_last` after two historised batches (append)."""
@@ -760,9 +805,7 @@ def ingest_run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("files_by_table")
 def files_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-3 / SRC-11: landed files grouped per derived table (count, first / last name, folders)."""
-    g = fl.files_by_table(fl.describe_files(cm.landing_manifest(spark, sf_dir)))
-    return g.select("table_name", "file_count", F.element_at("files", 1).alias("first_file"),
-                    F.element_at("files", -1).alias("last_file"), F.size("folders").alias("folders"))
+    return fl.files_by_table(fl.describe_files(cm.landing_manifest(spark, sf_dir)))
 
 
 @query("stream_ingest_orders")

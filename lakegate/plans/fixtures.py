@@ -95,10 +95,6 @@ ORDERS_COLUMN_ROWS = [
 ]
 
 
-def orders_sheets(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    return table_sheet(spark, ORDERS_TABLE_ROWS), column_sheet(spark, ORDERS_COLUMN_ROWS)
-
-
 # ---------------------------------------------------------------- lineitem
 def dirty_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
@@ -171,10 +167,6 @@ LINEITEM_COLUMN_ROWS = [
 ]
 
 
-def lineitem_sheets(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    return table_sheet(spark, LINEITEM_TABLE_ROWS), column_sheet(spark, LINEITEM_COLUMN_ROWS)
-
-
 # ------------------------------------------------------- second orders batch
 def orders_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next landing of open orders: same keys, price +1.00, one file dated later.

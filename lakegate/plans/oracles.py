@@ -365,10 +365,10 @@ def date_reason_sql(f: str, require_date: bool) -> str:
     d = f"TRY_CAST(regexp_extract({f}, '{pat}', 3) AS INTEGER)"
     nodate = "'no date yyyyMMdd in file name'" if require_date else "NULL"
     return f"""CASE WHEN {m} = '' THEN {nodate}
-  WHEN NOT ({y} BETWEEN 1900 AND 2100) THEN printf('invalid year: %d (must be between 1900 and 2100)', {y})
-  WHEN NOT ({mo} BETWEEN 1 AND 12) THEN printf('invalid month: %d (must be between 1 and 12)', {mo})
-  WHEN NOT ({d} BETWEEN 1 AND 31) THEN printf('invalid day: %d (must be between 1 and 31)', {d})
-  WHEN try_strptime({m}, '%Y%m%d') IS NULL THEN 'invalid date: ' || printf('%04d-%02d-%02d', {y}, {mo}, {d})
+  WHEN NOT ({y} BETWEEN 1900 AND 2100) THEN printf('year %d outside 1900 to 2100', {y})
+  WHEN NOT ({mo} BETWEEN 1 AND 12) THEN printf('month %d outside 1 to 12', {mo})
+  WHEN NOT ({d} BETWEEN 1 AND 31) THEN printf('day %d outside 1 to 31', {d})
+  WHEN try_strptime({m}, '%Y%m%d') IS NULL THEN 'no such day: ' || printf('%04d-%02d-%02d', {y}, {mo}, {d})
 END"""
 
 
@@ -472,11 +472,11 @@ hc AS (
     (file_date IS NOT NULL AND last_date IS NOT NULL AND file_date < last_date) AS is_late,
     CASE WHEN is_duplicate THEN '000000002'
          WHEN (file_date IS NOT NULL AND last_date IS NOT NULL AND file_date < last_date) THEN '000000003' END AS error_code,
-    CASE WHEN is_duplicate THEN 'File ' || filename || ' already processed for table ' || table_name
+    CASE WHEN is_duplicate THEN filename || ' was ingested into ' || table_name || ' before'
          WHEN (file_date IS NOT NULL AND last_date IS NOT NULL AND file_date < last_date)
-         THEN 'File date ' || strftime(file_date, '%Y-%m-%d %H:%M:%S') || ' < last processed date '
-              || strftime(last_date, '%Y-%m-%d %H:%M:%S') || ' for table ' || table_name END AS first_message,
-    'File ' || filename || ' already processed for table ' || table_name AS dup_message
+         THEN 'dated ' || strftime(file_date, '%Y-%m-%d %H:%M:%S') || ', older than the newest ingested date '
+              || strftime(last_date, '%Y-%m-%d %H:%M:%S') || ' of ' || table_name END AS first_message,
+    filename || ' was ingested into ' || table_name || ' before' AS dup_message
   FROM hc0)"""
 
 
@@ -551,6 +551,13 @@ def _():
 SELECT status, count(*) AS count FROM tall GROUP BY status"""
 
 
+@oracle("tracking_summary_ranked")
+def _():
+    return f"""WITH {outcomes_ctes()}, {TRACK_NEW}
+SELECT status, count(*) AS count, CAST(row_number() OVER (ORDER BY count(*) DESC, status) AS INTEGER) AS rank
+FROM tall GROUP BY status"""
+
+
 @oracle("tracking_by_table")
 def _():
     return f"""WITH {outcomes_ctes()}, {TRACK_NEW}
@@ -756,6 +763,21 @@ SELECT 'orders' AS table_name, rejection_reason, error_type, count(*) AS lines,
 FROM inv WHERE line_rejected GROUP BY rejection_reason, error_type"""
 
 
+@oracle("invalid_lines_latest10")
+def _():
+    return f"""WITH {invalid_lines_cte()}
+SELECT filename, line_number, rejection_date, rejection_reason, error_type,
+  CAST(row_number() OVER (ORDER BY rejection_date DESC, filename, line_number) AS INTEGER) AS rank
+FROM inv WHERE line_rejected ORDER BY rank LIMIT 10"""
+
+
+@oracle("invalid_lines_by_file_ranked")
+def _():
+    return f"""WITH {invalid_lines_cte()}
+SELECT filename, count(*) AS lines, CAST(row_number() OVER (ORDER BY count(*) DESC, filename) AS INTEGER) AS rank
+FROM inv WHERE line_rejected GROUP BY filename"""
+
+
 @oracle("invalid_lines_retention")
 def _():
     return f"""WITH {invalid_lines_cte()}
@@ -841,6 +863,29 @@ def _():
     return f"WITH {batches_ctes()} SELECT * FROM b2l"
 
 
+@oracle("mode_full_snapshot_files")
+def _():
+    return f"""WITH {batches_ctes()}
+SELECT * FROM b1l WHERE (FILE_EXTRACTION_DATE, FILE_NAME_RECEIVED) = (
+  SELECT (FILE_EXTRACTION_DATE, FILE_NAME_RECEIVED) FROM b1l ORDER BY 1 DESC LIMIT 1)"""
+
+
+@oracle("mode_key_replace_files")
+def _():
+    return f"""WITH {batches_ctes()}, both_batches AS (SELECT * FROM b1l UNION ALL SELECT * FROM b2l)
+SELECT * EXCLUDE (newest) FROM (SELECT *, max(FILE_EXTRACTION_DATE) OVER (PARTITION BY custkey) AS newest FROM both_batches)
+WHERE FILE_EXTRACTION_DATE = newest"""
+
+
+@oracle("mode_upsert_new_column")
+def _():
+    return f"""WITH {batches_ctes()}, {UPSERT_SQL}
+SELECT orderkey, FILE_NAME_RECEIVED, FILE_LINE_ID, orderdate,
+  CASE WHEN EXISTS (SELECT 1 FROM b2l s WHERE s.orderkey = ups.orderkey AND s.FILE_NAME_RECEIVED = ups.FILE_NAME_RECEIVED
+    AND s.FILE_LINE_ID = ups.FILE_LINE_ID) THEN 'batch 2' END AS note
+FROM ups"""
+
+
 @oracle("mode_delta_flow")
 def _():
     return f"WITH {batches_ctes()} SELECT * FROM b1a UNION ALL SELECT * FROM b2a"

@@ -76,7 +76,14 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return df.withColumn("position", F.monotonically_increasing_id())
 
 
+VERBATIM_CELLS = ("Input delimiter", "Regex replacement")  # white space counts: a tab, a blank
+
+
 def _cell(df: DataFrame, name: str) -> Column:
+    if name in VERBATIM_CELLS and name in df.columns:
+        c = F.col(f"`{name}`").cast("string")
+        token = F.lower(F.trim(c))
+        return F.when(c.isNull() | (c == "") | ((token != "") & token.isin(*NULL_TOKENS)), F.lit(None)).otherwise(c)
     return null_token(F.col(f"`{name}`")) if name in df.columns else F.lit(None).cast("string")
 
 
@@ -198,15 +205,6 @@ def _collect_config(df: DataFrame) -> list:
     return rows
 
 
-def validate_pattern(spark: SparkSession, rule: ColumnRule) -> None:
-    """D20: reject impossible date / regex patterns when the spec is loaded."""
-    if rule.is_date:
-        probe = spark.range(1).select(F.try_to_timestamp(F.lit("x"), F.lit(rule.date_pattern)))
-        probe.collect()  # raises INVALID_DATETIME_PATTERN on a bad pattern
-    if (rule.transformation or "") == "regex" and rule.pattern:
-        re.compile(rule.pattern)
-
-
 # Driver-side normalisation of the collected sheet rows.  Same rules as the
 # expression versions above (``normalise_*_sheet``, used where a spec frame is
 # joined); tests assert both give the same result.
@@ -217,6 +215,12 @@ def _py_cell(v) -> str | None:
     return None if t.lower() in NULL_TOKENS else t
 
 
+def _py_verbatim(v) -> str | None:
+    """A cell whose white space counts (a delimiter, a replacement): only an empty or null one is unset."""
+    token = "" if v is None else str(v).strip().lower()
+    return None if v is None or v == "" or (token and token in NULL_TOKENS) else str(v)
+
+
 def _py_bool(v, default: bool) -> bool:
     t = (_py_cell(v) or "").lower()
     if t in ("true", "t", "yes", "y", "1", "oui", "o"):
@@ -250,7 +254,7 @@ def table_rule_from_cells(r: dict, ict_default=10.0, rlt_default=10.0,
     stem = g("delta_table_name_conf") or base
     return TableRule(
         table_name=base, filename_pattern=g("Filename Pattern"),
-        input_format=(g("Input Format") or "csv").lower(), delimiter=g("Input delimiter") or ",",
+        input_format=(g("Input Format") or "csv").lower(), delimiter=_py_verbatim(r.get("Input delimiter")) or ",",
         charset=g("Input charset") or "UTF-8", header_mode=(g("Input header") or "").upper(),
         ingestion_mode=(g("Ingestion mode") or "").upper(), all_table=f"{stem}_all",
         last_table=g("last_table_name_conf") or g("Last Table Name") or f"{stem}_last",
@@ -266,7 +270,7 @@ def column_rule_from_cells(r: dict) -> ColumnRule:
     return ColumnRule(
         name=g("Column Name") or "", field_type=(g("Field type") or "STRING").upper(),
         transformation=(g("Transformation Type") or "").lower() or None, pattern=g("Transformation pattern"),
-        replacement=g("Regex replacement") or "", nullable=_py_bool(r.get("Is Nullable"), True),
+        replacement=_py_verbatim(r.get("Regex replacement")) or "", nullable=_py_bool(r.get("Is Nullable"), True),
         action=action if action in ERROR_ACTIONS else ACTION_ICT, default=g("Default when invalid"),
         special=(g("Is Special") or "").lower() or None,
         tolerance=_py_percent(r.get("Rejected line per file tolerance"), None),
@@ -294,13 +298,12 @@ def load_column_rules(column_sheet_df: DataFrame, table: str | None = None,
 
 
 def validate_patterns(spark: SparkSession, rules: Sequence[ColumnRule]) -> None:
-    """D20 for a whole spec: every date pattern checked in one small job."""
+    """D20 for a whole spec: every date and regex pattern checked in one small job."""
     probes = [F.try_to_timestamp(F.lit("x"), F.lit(r.date_pattern)) for r in rules if r.is_date]
+    # Patterns are Spark's (Java) regular expressions, so Spark judges them.
+    probes += [F.rlike(F.lit("x"), F.lit(r.pattern)) for r in rules if (r.transformation or "") == "regex" and r.pattern]
     if probes:
-        spark.range(1).select(*probes).collect()  # raises INVALID_DATETIME_PATTERN on a bad one
-    for r in rules:
-        if (r.transformation or "") == "regex" and r.pattern:
-            re.compile(r.pattern)
+        spark.range(1).select(*probes).collect()  # raises on a bad date or regex pattern
 
 
 def merge_keys(rules: Sequence[ColumnRule]) -> list[str]:
@@ -336,18 +339,19 @@ def resolve_table_config(files: DataFrame, table_conf: DataFrame, table_col: str
     """FIL-18 (D2): attach the config row of each file's table.
 
     Exact name first; with ``allow_substring`` a name contained either way is the
-    fallback, first in sheet order.  The config frame is bounded by the number
-    of configured tables, so it is broadcast.
+    fallback, first in sheet order.
     """
     conf = table_conf.select([F.col(c).alias(f"cfg_{c}") for c in table_conf.columns])
+    key_cols = list(files.columns)
+    first = Window.partitionBy(*key_cols).orderBy("cfg_position")
+
+    def first_of(matches: DataFrame) -> DataFrame:
+        return matches.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
     t = F.col(table_col)
-    exact = t == F.col("cfg_table_name")
-    cond = exact
-    if allow_substring:
-        cond = exact | t.contains(F.col("cfg_table_name")) | F.col("cfg_table_name").contains(t)
-    key_cols = [c for c in files.columns]
-    ranked = (files.join(F.broadcast(conf), cond, "left")
-              .withColumn("_exact", F.when(exact, 0).otherwise(1)))
-    w = Window.partitionBy(*key_cols).orderBy("_exact", "cfg_position")
-    return (ranked.withColumn("_rn", F.row_number().over(w))
-            .filter("_rn = 1").drop("_rn", "_exact"))
+    exact = first_of(files.join(conf, t == F.col("cfg_table_name"), "left"))
+    if not allow_substring:
+        return exact
+    # Only the names that no row matches exactly meet all rows of the (small) sheet.
+    rest = exact.filter(F.col("cfg_table_name").isNull()).select(*key_cols)
+    near = t.contains(F.col("cfg_table_name")) | F.col("cfg_table_name").contains(t)
+    return exact.filter(F.col("cfg_table_name").isNotNull()).unionByName(first_of(rest.join(conf, near, "left")))

@@ -47,6 +47,9 @@ def landing_stream(spark: SparkSession, root: str, names: Sequence[str], fmt: st
     return df.select("*", base_name(path).alias("_file_name"), path.alias("_file_path"))
 
 
+KEPT_REPORTS = 1 << 20
+
+
 @dataclass
 class RunStats:
     rows: int
@@ -70,7 +73,14 @@ def stage(stream: DataFrame, staging_path: str, checkpoint: str, query_name: str
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if query_name:
         w = w.queryName(query_name)
-    return run_available_now(w.start(staging_path))
+    # The rows are summed over all progress reports, so all of them must be kept (100 are by default).
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.numRecentProgressUpdates"
+    before = conf.get(key)
+    conf.set(key, str(KEPT_REPORTS))
+    try:
+        return run_available_now(w.start(staging_path))
+    finally:
+        conf.set(key, before)
 
 
 def latest_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:

@@ -80,3 +80,16 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark, tmp_root):
     assert spark.read.parquet(out).count() == 30
     names = [r[0] for r in stg.list_staging_tables(spark, tmp_root).collect()]
     assert names == ["t_staging"]
+
+
+def test_staging_counts_more_batches_than_spark_reports_by_default(spark, tmp_root):
+    import os
+
+    from lakegate.streaming import staging as stg
+    os.makedirs(f"{tmp_root}/many")
+    for i in range(120):
+        with open(f"{tmp_root}/many/f_{i:03d}.csv", "w") as fh:
+            fh.write("a\n1\n")
+    stream = stg.landing_stream(spark, f"{tmp_root}/many", ["a"], max_files_per_trigger=1)
+    stats = stg.stage(stream, f"{tmp_root}/many_staging", f"{tmp_root}/many_ck")
+    assert (stats.rows, stats.batches) == (120, 120)

@@ -46,3 +46,14 @@ def test_driver_and_expression_normalisation_agree(spark):
     assert via_expr == load_column_rules(cs, check_patterns=False)
     t_expr = {r.table_name: r for r in _rows_to(TableRule, normalise_table_sheet(ts).orderBy("position").collect())}
     assert t_expr == load_table_rules(ts)
+
+
+def test_white_space_cells_and_java_patterns(spark):
+    from lakegate.plans.specs import normalise_table_sheet
+    sheet = table_sheet(spark, [{"Delta Table Name": "a", "Input delimiter": "\t"}, {"Delta Table Name": "b", "Input delimiter": "NaN"}])
+    rules = load_table_rules(sheet)
+    assert (rules["a"].delimiter, rules["b"].delimiter) == ("\t", ",")
+    assert [r["delimiter"] for r in normalise_table_sheet(sheet).orderBy("position").collect()] == ["\t", ","]
+    rows = [{"Delta Table Name": "a", "Column Name": "c", "Transformation Type": "regex",
+             "Transformation pattern": r"\p{L}+", "Regex replacement": " "}]
+    assert load_column_rules(column_sheet(spark, rows), "a")[0].replacement == " "
