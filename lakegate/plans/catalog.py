@@ -802,6 +802,49 @@ def ingest_run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.run(land, "r1", run_at=cm.AS_OF).quality_log
 
 
+def _ordered_run(spark: SparkSession, sf_dir: str, repeat: int):
+    """The orders landing ingested ``repeat`` times under one run id -> warehouse."""
+    from lakegate.plans.ingest import Ingestion, RunParams
+    from lakegate.plans.specs import column_sheet
+    land, wh = scratch_path(spark, "rerun-landing"), scratch_path(spark, "rerun-warehouse")
+    ld.write_named_csv(fx.dirty_orders(spark, sf_dir), land, ORDER_VALUES, ";")
+    run = Ingestion(spark, table_sheet(spark, fx.ORDERS_TABLE_ROWS), column_sheet(spark, fx.ORDERS_COLUMN_ROWS), wh,
+                    RunParams())
+    for _ in range(repeat):
+        run.run(land, "r1", run_at=cm.AS_OF)
+    return wh
+
+
+@query("ingest_rerun_last")
+def ingest_rerun_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2: `_last` after a run and its repetition under the same run id (nothing doubled)."""
+    from lakegate.plans.tables import read_current
+    return read_current(spark, f"{_ordered_run(spark, sf_dir, 2)}/orders_last").select(*TECH_AND_VALUES)
+
+
+@query("ingest_rerun_tracking")
+def ingest_rerun_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-11: tracking after a run and its repetition (a run is no history to itself)."""
+    from lakegate.plans.tables import read_runs
+    return read_runs(spark, f"{_ordered_run(spark, sf_dir, 2)}/tracking").select(
+        "table_name", "filename", "status", "row_count")
+
+
+@query("ingest_table_error")
+def ingest_table_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1: a table whose mode lacks its merge keys ends as ERROR, the other is ingested."""
+    from lakegate.plans.ingest import Ingestion, RunParams
+    from lakegate.plans.specs import column_sheet
+    land = scratch_path(spark, "error-landing")
+    ld.write_named_csv(fx.dirty_orders(spark, sf_dir), land, ORDER_VALUES, ";")
+    ld.write_named_csv(fx.dirty_lineitem(spark, sf_dir), land, LINEITEM_VALUES, ",")
+    tables = fx.ORDERS_TABLE_ROWS + [r | {"Ingestion mode": "DELTA_FROM_NON_HISTORIZED"} for r in fx.LINEITEM_TABLE_ROWS]
+    columns = fx.ORDERS_COLUMN_ROWS + [r | {"Is Special": None} for r in fx.LINEITEM_COLUMN_ROWS]
+    run = Ingestion(spark, table_sheet(spark, tables), column_sheet(spark, columns), scratch_path(spark, "error-warehouse"),
+                    RunParams())
+    return run.run(land, "r1", run_at=cm.AS_OF).outcomes.select("table_name", "filename", "status", "rows_ingested")
+
+
 @query("files_by_table")
 def files_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-3 / SRC-11: landed files grouped per derived table (count, first / last name, folders)."""

@@ -12,6 +12,7 @@ import os
 import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -96,38 +97,27 @@ def write_zips(df: DataFrame, root: str, names: Sequence[str], archives: int = 4
     return df.sparkSession.createDataFrame(rows, "archive string, entries int, lines long")
 
 
-def _named_csv_writer(root: str, names: Sequence[str], delimiter: str):
-    import csv
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, fh, done = None, None, []
-        for pdf in batches:
-            # rows arrive sorted by landed name: write each run of one name as a chunk
-            for name, chunk in pdf.groupby(LANDING, sort=False):
-                if name != current:
-                    if fh is not None:
-                        fh.close()
-                    fh = open(os.path.join(local_path(root), name), "w", encoding="utf-8", newline="")
-                    fh.write(delimiter.join(names) + "\n")
-                    current = name
-                    done.append(name)
-                chunk[list(names)].to_csv(fh, sep=delimiter, header=False, index=False, quotechar='"',
-                                          quoting=csv.QUOTE_MINIMAL, lineterminator="\n", na_rep="")
-        if fh is not None:
-            fh.close()
-        if done:
-            yield pd.DataFrame({"file": done})
-    return write
-
-
 def write_named_csv(df: DataFrame, root: str, names: Sequence[str], delimiter: str = ";",
                     file_col: str = "_file_name", order_col: str = "_line_order") -> int:
     """Landed files named as the source sends them (``<table>_<yyyymmdd>.csv``), one
     per distinct ``file_col``, header line first, lines in ``order_col`` order.
-    Written by tasks (a landed file is one task's output); the folder must be a
-    mounted path the workers can open.  Returns the number of files written."""
-    ensure_dir(root)
-    body = (df.select(F.col(file_col).alias(LANDING), F.col(order_col).alias("_o"),
-                      *[F.col(n).cast("string") for n in names])
-            .repartition(LANDING).sortWithinPartitions(LANDING, "_o"))
-    return len(body.mapInPandas(_named_csv_writer(root, names, delimiter), "file string").collect())
+    Spark's CSV writer makes one file per name below a folder of its own, which is
+    then given its landed name by the file system, so any shared store will do.
+    Returns the number of files written."""
+    spark = df.sparkSession
+    parts = f"{root.rstrip('/')}-parts-{uuid.uuid4().hex[:12]}"
+    (df.select(F.col(file_col).alias(LANDING), F.col(order_col).alias("_o"), *[F.col(n).cast("string") for n in names])
+     .repartition(LANDING).sortWithinPartitions(LANDING, "_o").drop("_o")
+     .write.partitionBy(LANDING).option("header", "true").option("sep", delimiter).option("emptyValue", "")
+     .csv(parts))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(root))
+    written = 0
+    for part in fs.globStatus(path(f"{parts}/{LANDING}=*/part-*")):
+        name = unquote(part.getPath().getParent().getName().split("=", 1)[1])
+        fs.rename(part.getPath(), path(root, name))
+        written += 1
+    fs.delete(path(parts), True)
+    return written

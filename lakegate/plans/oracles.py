@@ -1036,3 +1036,21 @@ def _():
 SELECT orderkey, FILE_NAME_RECEIVED, FILE_LINE_ID, orderdate, orderdate AS valid_from,
   lead(orderdate) OVER (PARTITION BY orderkey ORDER BY orderdate NULLS FIRST, FILE_NAME_RECEIVED, FILE_LINE_ID) AS valid_to
 FROM h"""
+
+
+@oracle("ingest_rerun_last")
+def _():
+    return ORACLES["stream_ingest_orders"]
+
+
+@oracle("ingest_rerun_tracking")
+def _():
+    return f"""SELECT table_name, filename, status, rows_to_all AS row_count
+FROM ({ORACLES["execution_report"]})"""
+
+
+@oracle("ingest_table_error")
+def _():
+    return f"""WITH {lineitem_typed_ctes()}, {lineitem_gate_ctes()}
+SELECT table_name, filename, status, rows_to_all AS rows_ingested FROM ({ORACLES["execution_report"]})
+UNION ALL SELECT 'lineitem', _file_name, 'ERROR', 0 FROM ldec"""
