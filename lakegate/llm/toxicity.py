@@ -1,9 +1,8 @@
 """Toxicity by compression distance.
 
 Two dictionaries are made from labelled text.  The ordinary one holds ordinary
-text.  The toxic one holds what distinguishes toxic documents: those of their
-words that recur among them and that a large dictionary of ordinary text can't
-compress.  A text is cut into short windows at blanks; a window's distance is its
+text.  The toxic one holds what distinguishes toxic documents: words, or stems of
+words, that recur among them and are rare in ordinary text.  A text is cut into short windows at blanks; a window's distance is its
 length compressed with the ordinary dictionary less that with both of them, behind the
 same primer.  Windows that reach one of several thresholds are hits; a logistic
 model of a document's hits at each threshold, fitted on the same sample,
@@ -17,7 +16,7 @@ Defined results
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ from lakegate.llm.zdict import compressor, sample_condition
 
 SAMPLE_DOCUMENTS = 1500
 SAMPLE_CHARS = 20000
-RESIDUAL_BYTES = 1 << 21
+COMPARED_BYTES = 1 << 21
 ORDINARY_BYTES = 32768
 TOXIC_BYTES = 4096
 WINDOW_BYTES = 64
@@ -37,7 +36,8 @@ LONGEST_WINDOW = 128
 PRIMER_BYTES = 64
 MIN_WORD = 4
 MIN_SHARE = 0.02
-MAX_SAVED = 0.3
+MAX_ORDINARY = 0.05
+LONGEST_STEM = 16
 THRESHOLDS = (2, 3, 4, 5, 6)
 
 
@@ -69,19 +69,29 @@ class Distance:
 
 
 def distinguishing(toxic: list[bytes], ordinary: bytes) -> bytes:
-    """Words that recur in toxic documents and that ordinary text doesn't help to compress, the commonest last."""
-    big = compressor(ordinary, window_log=22, hash_log=21, chain_log=21, search_log=7, min_match=6, strategy=5)
-    head, tail = ordinary[:128], ordinary[200:232]
-    base = len(big.compress(head + tail))
-    seen = Counter(w for raw in toxic for w in set(raw.split()))
-    least = max(2, MIN_SHARE * len(toxic))
-    kept = []
-    for word, n in seen.items():
-        if n >= least and MIN_WORD <= len(word) <= WINDOW_BYTES:
-            saved = len(word) + 2 - (len(big.compress(head + b" " + word + b" " + tail)) - base)
-            if saved <= MAX_SAVED * len(word):
-                kept.append((n, word))
-    return b" ".join([b"", *(w for _, w in sorted(kept)), b""])[-TOXIC_BYTES:]
+    """Beginnings of words that recur in toxic documents and are rare in ordinary text, the commonest last.
+
+    A beginning recurs as often as it has different neighbours, so copies of a text
+    add nothing.  Each is as long as nearly all of its words agree: a whole word, or
+    the stem of its forms.
+    """
+    met = set()
+    for raw in toxic:
+        words = [b"", *raw.split(), b""]
+        met.update((b, w, a) for b, w, a in zip(words, words[1:], words[2:]) if MIN_WORD <= len(w) <= WINDOW_BYTES)
+    counts = Counter(word[:n] for _, word, _ in met for n in range(MIN_WORD, min(len(word), LONGEST_STEM) + 1))
+    longer = defaultdict(list)
+    for stem in counts:
+        longer[stem[:-1]].append(stem)
+    share = len(ordinary) / max(1, sum(map(len, toxic)))
+    kept = set()
+    for stem, n in counts.items():
+        if len(stem) == MIN_WORD and n >= max(2, MIN_SHARE * len(toxic)):
+            while (best := max(longer[stem], key=counts.__getitem__, default=None)) and counts[best] >= 0.8 * counts[stem]:
+                stem = best
+            if ordinary.count(b" " + stem) <= MAX_ORDINARY * share * counts[stem]:
+                kept.add(stem)
+    return b" ".join([b"", *sorted(kept, key=lambda w: (counts[w], w)), b""])[-TOXIC_BYTES:]
 
 
 def features(distances: np.ndarray, thresholds: tuple[int, ...] = THRESHOLDS) -> list[float]:
@@ -123,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMPLE_DOC
     if not toxic or not ordinary:
         return {"constant": n1 / max(1, n1 + n0)}
     plain = b" ".join(ordinary)
-    model = {"ordinary": plain[:ORDINARY_BYTES], "toxic": distinguishing(toxic, plain[:RESIDUAL_BYTES])}
+    model = {"ordinary": plain[:ORDINARY_BYTES], "toxic": distinguishing(toxic, plain[:COMPARED_BYTES])}
     distance = Distance(model["ordinary"], model["toxic"])
     measured = [[distance.of(raw) for raw in part] for part in (ordinary, toxic)]
     x = np.array([features(d) for part in measured for d in part])
