@@ -1,12 +1,9 @@
-"""Configured type names -> Spark types; safe casts (QUA-4, D21)."""
+"""Configured type names -> Spark types (QUA-4, D21)."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from lakegate.constants import TYPE_MAPPING
 
 _DECIMAL = re.compile(r"^DECIMAL\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)$")

@@ -20,7 +20,7 @@ from lakegate.operators import projections as pj
 from lakegate.operators import quality as qa
 from lakegate.operators import tracking as tk
 from lakegate.operators.gates import TO_ALL, TO_LAST, GateParams, file_decisions, file_stats
-from lakegate.operators.rules import ERRORS, N_ICT, explode_errors, validate
+from lakegate.operators.rules import N_ICT, explode_errors, validate
 from lakegate.plans import common as cm
 from lakegate.plans import fixtures as fx
 from lakegate.plans import landings as ld

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.plans.specs import column_sheet, table_sheet
 from lakegate.session import spread
 
 

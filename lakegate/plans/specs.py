@@ -14,9 +14,8 @@ the per-column expressions.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, fields
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window

@@ -14,7 +14,6 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
