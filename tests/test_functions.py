@@ -42,7 +42,7 @@ def test_filename_date_reasons(spark):
     assert "month" in one(spark, fd.filename_date_reason(F.lit("b_20251332.csv")))
     assert "day" in one(spark, fd.filename_date_reason(F.lit("b_20251232.csv")))
     assert "year" in one(spark, fd.filename_date_reason(F.lit("b_18001201.csv")))
-    assert one(spark, fd.filename_date_reason(F.lit("b_20250230.csv"))) == "invalid date: 2025-02-30"
+    assert one(spark, fd.filename_date_reason(F.lit("b_20250230.csv"))) == "no such day: 2025-02-30"
 
 
 def test_file_date_patterns(spark):
