@@ -138,7 +138,8 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
                       F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
     taken = stored(mix(docs, **parameters).where("taken > 0").select(F.col("_row").alias(key), copies.alias(words)))
     maybe = bit_filter(taken, key)
-    rows = (with_row_id(docs, key).where(maybe(F.col(key))).join(taken, key)
+    # always a sort-merge join, so that what it moves grows in step with the input
+    rows = (with_row_id(docs, key).where(maybe(F.col(key))).join(taken.hint("merge"), key)
             .withColumn(words, F.explode(words)))
     text = F.when(F.col(words) < 0, F.col("text")).otherwise(first_words(F.col("text"), F.col(words)))
     out = rows.withColumn("text", text)
