@@ -14,6 +14,9 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
+BATCH_ROWS = 500
+"""Rows of an Arrow batch: they hold whole texts, so Spark's 10,000 would be many megabytes on both sides."""
+
 FILTER_BITS = 22
 """log2 of the bits in a membership filter: 512 KB, whatever the input's size."""
 
@@ -37,6 +40,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python in batches of ``BATCH_ROWS`` (a setting of the session)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

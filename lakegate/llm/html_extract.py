@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import bit_filter, stored, with_row_id
+from lakegate.llm.common import bit_filter, small_batches, stored, with_row_id
 from lakegate.llm.page_tree import infer, main_text, slim
 from lakegate.llm.url_filter import host_of
 
@@ -56,6 +56,7 @@ def infer_wrappers(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFr
 
 def extract_pages(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """``page_id, url, text`` per row of a stored table ``page_id, url, html``."""
+    small_batches(pages.sparkSession)
     base = with_row_id(pages).select("_row", "page_id", "url", "html", host_of(F.col("url")).alias("host"))
     wrappers = stored(infer_wrappers(base.select("_row", "host", "html"), sample_pages))
     size = wrappers.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0)).alias("b")).first()["b"]

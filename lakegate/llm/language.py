@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import fresh
+from lakegate.llm.common import fresh, small_batches
 from lakegate.llm.zdict import compressor, sample_condition
 
 SAMPLE_DOCUMENTS = 400
@@ -43,6 +43,7 @@ def train(labelled: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> dict
     Fitted on a sample of about ``sample_documents`` documents of each language,
     of each its first ``EXCERPT_CHARS`` characters.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.where("lang is not null and text is not null")
     chosen, _ = sample_condition(rows, "lang", sample_documents)
     excerpts: dict[str, list[str]] = {}

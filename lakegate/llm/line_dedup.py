@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import ASCII_SPACE, bit_filter, stored, with_row_id
+from lakegate.llm.common import ASCII_SPACE, bit_filter, small_batches, stored, with_row_id
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -195,6 +195,7 @@ def kept_text(rows: DataFrame) -> DataFrame:
 def drop_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS,
                       shard_keys: int = SHARD_KEYS) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept`` per row of a stored table with an integer doc_id."""
+    small_batches(docs.sparkSession)
     base = with_row_id(docs).select("_row", "doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).cast("long").alias("doc"), "text")
     lines = stored(document_lines(base, min_chars))
     keys = stored(lines.select("hi", "lo", "doc").distinct().groupBy("hi", "lo")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import bit_filter, stored, with_row_id, without_rows
+from lakegate.llm.common import bit_filter, small_batches, stored, with_row_id, without_rows
 from lakegate.llm.components import components
 from lakegate.llm.segments import WordHashes, shingles
 
@@ -220,6 +220,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
     ``first`` marks one row of each component: the first of those kept.
     """
+    small_batches(docs.sparkSession)
     texts = with_row_id(docs).select("_row", "doc_id", "text")
     sig = stored(signatures(texts, shingle_words, bands, band_rows))
     sets = stored(sig.where("n_shingles > 0").groupBy("set_id").agg(F.min("_row").alias("node")))

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakegate.llm.common import small_batches
 from lakegate.llm.zdict import compressor, sample_condition
 
 SAMPLE_DOCUMENTS = 1500
@@ -123,6 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMPLE_DOC
     Fitted on a sample of about ``sample_documents`` documents of each label, of
     each its first ``SAMPLE_CHARS`` characters.
     """
+    small_batches(docs.sparkSession)
     known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic")
     chosen, counts = sample_condition(known, "toxic", sample_documents)
     sample = F.broadcast(known.where(chosen))  # bounded by the parameter

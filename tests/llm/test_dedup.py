@@ -6,7 +6,6 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lakegate.llm import line_dedup as L
 from lakegate.llm import minhash as M
