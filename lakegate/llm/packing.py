@@ -22,7 +22,6 @@ Defined results
 from __future__ import annotations
 
 import os
-import re
 import struct
 import sys
 import types
@@ -34,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakegate.llm.common import small_batches
 from lakegate.llm.segments import SLICE_CHARS, slices
 
 CAPACITY = 2048
@@ -41,7 +41,7 @@ LEAST_PIECE = 32
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 WORD_END = "</w>"
-CACHE_CHUNKS = 3 << 17
+CACHE_CHUNKS = 1 << 18
 GROUP = 128
 BATCH_ROWS = 4096
 
@@ -51,24 +51,26 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-_MARK_AFTER_SIGN = re.compile(r"[^\w\s][.,](?:\s|$)|_[.,]")
+_MARKS = ".,"
+# Kinds of Latin-1 characters: marks, other signs, white space, letters and digits.
+_KINDS = bytes(ord("," if c in _MARKS else "a" if c.isalnum() else " " if c.isspace() else "s") for c in map(chr, range(256)))
 
 
 def chunks_of(text: str) -> list[str]:
     """Blank-free chunks whose ids, one after the other, are those of the text.
 
-    Text of Latin-1 letters is lower-cased here, as the tokenizer would do, and a
-    full stop or comma behind a letter or digit is split off, where the tokenizer
-    splits too; so a word in its various forms is one chunk.
+    Text of Latin-1 letters is lower-cased here, as the tokenizer would do, and
+    unless signs come together a full stop or comma before a blank is split off, as
+    the tokenizer does; so a word in its various forms is one chunk.
     """
     text = text.replace("\n", " ")
     try:
-        text.encode("latin-1")
+        kinds = text.encode("latin-1").translate(_KINDS)
     except UnicodeEncodeError:
         return text.split(" ")
     if "<|" not in text:
         text = text.lower()
-    if not _MARK_AFTER_SIGN.search(text):
+    if b"s," not in kinds and b",," not in kinds:
         text = (text + " ").replace(", ", " , ").replace(". ", " . ")
     return text.split(" ")
 
@@ -213,6 +215,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     ``capacity`` must be a power of two.  ``tokenizer`` is the path of a tokenizer
     file whose tokens never span a blank.
     """
+    small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     arrow_id = pa.int32() if id_type == "int" else pa.string() if id_type == "string" else pa.int64()
@@ -243,6 +246,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
                 if len(bins.done) >= BATCH_ROWS:
                     yield from batches_of(bins.done)
                     bins.done.clear()
+        tokens.old = {}  # what the worker keeps for its next task is one generation
         bins.finish()
         yield from batches_of(bins.done)
 
