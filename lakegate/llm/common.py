@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakegate.session import checkpoint_dir
@@ -60,10 +61,19 @@ def fresh(df: DataFrame, name: str) -> str:
 def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:
     """Number the rows of a stored table, unique also where rows repeat.
 
-    The number follows from the scan's splits, so two reads of the same stored
-    table in one session agree, and so does a task that is run again.
+    The number is the row's place in its Parquet file plus the rows of the files
+    before it in path order.  No split, core count or lost executor changes it, so
+    all reads of the same stored table agree.  The table of first numbers has one
+    row per file and is broadcast.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    about = df.metadataColumn("_metadata")
+    path, start = fresh(df, "_file"), fresh(df, "_start")
+    files = (df.select(about["file_path"].alias(path), about["row_index"].alias("at"))
+             .groupBy(path).agg((F.max("at") + 1).alias("n")))
+    before = W.orderBy(path).rowsBetween(W.unboundedPreceding, -1)
+    starts = stored(files.select(path, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start)))
+    return (df.withColumns({path: about["file_path"], name: about["row_index"]}).join(F.broadcast(starts), path)
+            .withColumn(name, F.col(name) + F.col(start)).drop(path, start))
 
 
 def bit_filter(keys: DataFrame, key: str, log2_bits: int = FILTER_BITS):

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from lakegate.llm import line_dedup as L
 from lakegate.llm import minhash as M
+from lakegate.llm.common import with_row_id, without_rows
 from lakegate.llm.components import components
 from lakegate.llm.exact_dedup import drop_copies, refine
 
@@ -39,6 +40,30 @@ def test_exact_stage_keeps_one_of_repeated_rows_and_all_columns(docs):
     assert kept.where("trim(coalesce(text, '')) = '' or text is null").count() <= 1
 
 
+def test_row_numbers_do_not_depend_on_splits(spark, tmp_path):
+    """Another number of cores, here another minPartitionNum, splits the next scan otherwise."""
+    path = str(tmp_path / "t")
+    (spark.range(0, 4000, 1, 5).selectExpr("id as doc_id", "repeat(concat('w', id % 3500), 40) as text")
+     .write.option("parquet.block.size", 4096).parquet(path))
+    seen, kept = [], []
+    dropped = None
+    try:
+        for least in ("1", "7", "64"):
+            spark.conf.set("spark.sql.files.minPartitionNum", least)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+            docs = spark.read.parquet(path)
+            seen.append((docs.rdd.getNumPartitions(), {r["doc_id"]: r["_row"] for r in with_row_id(docs).select("doc_id", "_row").collect()}))
+            if dropped is None:
+                dropped = spark.createDataFrame(refine(docs).where("not kept").select("_row").collect(), "_row long")
+            kept.append(sorted(r["doc_id"] for r in without_rows(docs, dropped).select("doc_id").collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len({n for n, _ in seen}) == 3
+    assert len(set(seen[0][1].values())) == 4000 and all(rows == seen[0][1] for _, rows in seen)
+    assert all(k == list(range(3500)) for k in kept)
+
+
 def test_exact_empty(no_docs):
     assert refine(no_docs).count() == 0
     assert drop_copies(no_docs).columns == no_docs.columns
