@@ -190,14 +190,16 @@ def skipped(sig: str, inside: bool) -> bool:
 
 def annotate(wrapper: dict, pages: int) -> dict:
     """Mark what extraction needs: ``skip`` for boilerplate items, ``main`` for the article's item."""
-    def visit(item: dict, inside: bool, sure: bool) -> int:
+    def visit(item: dict, inside: bool, held: bool, sure: bool) -> int:
         sure = sure and item["must"] and not item["many"]
         inside = inside or item["sig"].split(".")[0] in ("article", "main")
-        constant = item["sig"] == "#" and item["text"] is not None and sure and pages >= 3
+        held = held or inside or any(BODY.match(m) for m in item["sig"].split(".")[1:])
+        # pages of a host may be copies or share a heading: within an article, constant text is content
+        constant = item["sig"] == "#" and item["text"] is not None and sure and not held and pages >= 3
         menu = item["sig"] != "#" and item["chars"] and item["links"] > 0.6 * item["chars"]
         item["skip"] = bool(constant or menu or (item["sig"] not in ("#", "()") and skipped(item["sig"], inside)))
         own = item["chars"] - item["links"] if item["sig"] == "#" else 0
-        item["score"] = 0 if item["skip"] else own + sum(visit(k, inside, sure) for k in item["kids"])
+        item["score"] = 0 if item["skip"] else own + sum(visit(k, inside, held, sure) for k in item["kids"])
         return item["score"]
 
     def every(item: dict):
@@ -209,7 +211,8 @@ def annotate(wrapper: dict, pages: int) -> dict:
     def called(item: dict, *names: str) -> bool:
         return item["sig"].split(".")[0] in names
 
-    visit(wrapper, False, True)
+    if not visit(wrapper, False, False, True) and pages >= 3:
+        return annotate(wrapper, 1)  # copies without a named article: nothing tells the template from the text
     items = list(every(wrapper))
     for chosen in ([i for i in items if called(i, "article")], [i for i in items if called(i, "main")],
                    [i for i in items if any(BODY.match(m) for m in i["sig"].split(".")[1:])]):

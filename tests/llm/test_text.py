@@ -324,6 +324,27 @@ def test_pages_of_two_hosts(spark, tmp_path):
     assert got[200] == got[201] == got[205] == [""] and got[202] == ["alone <b>"] and got[203] == ["plain < text"] and got[204] == ["deep"]
 
 
+PASSAGE = "The only passage of an article that many pages of its host hold, word for word, in copies."
+
+
+def test_pages_that_share_their_text(spark, tmp_path):
+    """Copies of one article, a shared heading, and constant text outside the article."""
+    def copy(i, start, end):
+        return f"<body><div>Menu of day {i}</div><div>Same for all</div>{start}<h1>News</h1><p>{PASSAGE}</p>{end}<div>Foot {i} {'x' * i}</div>"
+
+    rows = [(i, f"http://copies.com/{i}", copy(i, "<article>", "</article>")) for i in range(30)]
+    rows += [(100 + i, f"http://div.com/{i}", copy(i, '<div class="content">', "</div>")) for i in range(30)]
+    rows += [(200 + i, f"http://head.com/{i}", f"<div>Note</div><article><h1>News</h1><p>Passage {i}</p></article>") for i in range(30)]
+    rows += [(300 + i, f"http://bare.com/{i}", f"<h1>News</h1><p>Text</p><nav>{i}</nav>") for i in range(30)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages"))
+    got = {r["page_id"]: r["text"] for r in extract_pages(spark.read.parquet(str(tmp_path / "pages"))).collect()}
+    for i in range(30):
+        assert got[i] == f"News\n\n{PASSAGE}"
+        assert f"News\n\n{PASSAGE}" in got[100 + i]
+        assert got[200 + i] == f"News\n\nPassage {i}"
+        assert got[300 + i] == "News\n\nText"
+
+
 def test_pages_empty(spark, tmp_path):
     schema = "page_id long, url string, html string"
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none"))
