@@ -8,9 +8,12 @@ repeated, and repeated groups of several items.
 from __future__ import annotations
 
 import html
+import json
 import re
 from difflib import SequenceMatcher
 
+import xxhash
+
 MAX_DEPTH = 150
 
 # Element names by role.
@@ -127,12 +130,16 @@ def parse(page: str) -> Node:
     return root
 
 
+def text_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def fold(node: Node) -> dict:
     """A wrapper of one page: equal neighbours become repeated items or groups."""
     items: list[dict] = []
     for kid in node.kids:
         if isinstance(kid, tuple):
-            item = {"sig": "#", "text": kid[0], "chars": len(kid[0]), "links": kid[1], "must": True, "many": False, "kids": []}
+            item = {"sig": "#", "text": text_hash(kid[0]), "chars": len(kid[0]), "links": kid[1], "must": True, "many": False, "kids": []}
         else:
             item = fold(kid)
         if items and items[-1]["sig"] == item["sig"]:
@@ -173,6 +180,8 @@ def merge(a: dict, b: dict) -> dict:
 def align(a: list[dict], b: list[dict]) -> list[dict]:
     """Items that match are merged, the others become optional."""
     left, right = [i["sig"] for i in a], [i["sig"] for i in b]
+    if left == right:
+        return [merge(x, y) for x, y in zip(a, b)]
     found = []
     for what, a1, a2, b1, b2 in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
         if what == "equal":
@@ -230,13 +239,44 @@ def annotate(wrapper: dict, pages: int) -> dict:
     return wrapper
 
 
-def infer(pages: list[str]) -> dict:
-    """The wrapper of a site from some of its pages."""
-    distinct = list(dict.fromkeys(pages))
-    wrapper = fold(parse(distinct[0]))
-    for page in distinct[1:]:
-        wrapper = merge(wrapper, fold(parse(page)))
-    return annotate(wrapper, len(distinct))
+def layout(item: dict) -> tuple[str, list[tuple[int | None, int, int]]]:
+    """A folded page as its structure (JSON) and ``(hash or None, chars, links)`` of its texts in order.
+
+    Pages of one structure differ in their texts alone, so what they have in
+    common needs no alignment: sums, and equal hashes, in any order.
+    """
+    texts: list[tuple[int | None, int, int]] = []
+
+    def walk(x: dict) -> list:
+        if x["sig"] == "#":
+            texts.append((x["text"], x["chars"], x["links"]))
+        return [x["sig"], int(x["must"]), int(x["many"]), [walk(k) for k in x["kids"]]]
+
+    return json.dumps(walk(item), separators=(",", ":")), texts
+
+
+def restored(structure: str, texts: list[tuple[int | None, int, int]]) -> dict:
+    """The wrapper of all pages of one structure."""
+    left = iter(texts)
+
+    def build(x: list) -> dict:
+        sig, must, many, kids = x
+        item = {"sig": sig, "text": None, "must": bool(must), "many": bool(many), "kids": [build(k) for k in kids]}
+        if sig == "#":
+            item["text"], item["chars"], item["links"] = next(left)
+        else:
+            item["chars"], item["links"] = (sum(k[c] for k in item["kids"]) for c in ("chars", "links"))
+        return item
+
+    return build(json.loads(structure))
+
+
+def infer(wrappers: list[dict], pages: int) -> dict:
+    """The wrapper of a site from those of its layouts; ``pages``: its different pages."""
+    wrapper = wrappers[0]
+    for other in wrappers[1:]:
+        wrapper = merge(wrapper, other)
+    return annotate(wrapper, pages)
 
 
 def slim(item: dict) -> dict:
@@ -266,7 +306,7 @@ def extract(root: Node, wrapper: dict) -> list[str] | None:
             if hit is not None:
                 at = hit
             if isinstance(kid, tuple):
-                constant = found is not None and found.get("skip") and found.get("text") == kid[0]
+                constant = found is not None and found.get("skip") and found.get("text") == text_hash(kid[0])
                 if inside_main and not constant:
                     blocks.append(kid[0])
                 continue

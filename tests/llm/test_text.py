@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lakegate.llm import imatch, language, packing, page_tree, toxicity
-from lakegate.llm.html_extract import extract_pages
+from lakegate.llm.html_extract import extract_pages, infer_wrappers
 from lakegate.llm.mixing import first_words, mix, mixed_documents, source_targets
 from lakegate.llm.url_filter import RULES, judge, labelled_urls, matching_rule, train
 
@@ -345,6 +345,19 @@ def test_pages_that_share_their_text(spark, tmp_path):
         assert got[300 + i] == "News\n\nText"
 
 
+def test_rare_layouts_of_a_host_count(spark, tmp_path):
+    """A layout of a few among many pages has its template found, in any split."""
+    rows = [(i, f"http://hot.com/{i}", f"<div><p>Common {i} {'word ' * 30}</p></div>") for i in range(400)]
+    rows += [(400 + i, f"http://hot.com/{i}", f"<div><h2>Fixed line</h2><p>Rare {i} {'word ' * 30}</p><h4>Printed on paper</h4></div>") for i in range(4)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5).write.parquet(str(tmp_path / "pages"))
+    wrappers = []
+    for n in (2, 9):
+        base = spark.read.parquet(str(tmp_path / "pages")).repartition(n).withColumn("host", F.lit("hot.com"))
+        wrappers.append([tuple(r) for r in infer_wrappers(base).collect()])
+    assert wrappers[0] == wrappers[1] and len(wrappers[0]) == 1
+    assert all(sig in wrappers[0][0][1] for sig in ('"h2"', '"h4"'))
+
+
 def test_pages_empty(spark, tmp_path):
     schema = "page_id long, url string, html string"
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none"))
