@@ -28,17 +28,30 @@ REGULARISATION = 0.002
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/"))
 
-# Labelled example sites, of kinds that web corpora leave out and ordinary ones.  All get each of PATHS, so
-# that ordinary paths say nothing; a table of one's own may tell paths apart too.
+# Labelled example sites and paths, of kinds that web corpora leave out and ordinary ones.  Sites of both kinds get
+# each of PATHS, so that languages and numbers say nothing, and paths of their own kind; ordinary sites get
+# paths to block too, so that paths tell on any host.
 PATHS = ("/en/12", "/de/7.html", "/fr/30/", "/es/5", "/")
+BLOCKED_PATHS = """
+/casino/slots /slots/free-spins /free-bonus /casino/bonus /poker/cash /roulette/spin /sports-betting/odds /bets/live
+/betting-tips /win-prizes/claim /cheap-pills/order /viagra/buy /online-pharmacy /diet-pills /adult/videos /xxx/watch
+/porn/view /sexcams/live /escort-girls /warez/keygen /torrent/crack /payday-loans/apply /popup-ads/click
+/adtrack/pixel /spam/backlinks /link-farm /replica-watches/rolex /get-rich-quick /hacked-accounts /free-money
+"""
+ALLOWED_PATHS = """
+/wiki/physics /docs/guide /news/weather /blog/garden /article/history /law/article /src/index.html /release/notes
+/research/paper.pdf /recipes/bread /library/books /about /contact /page /music/song /school/lessons /travel/mountains
+/football/result /science/ocean /help/questions /archive/letters /museum/art /forum/topic /category/house
+/project/readme /economy/report /family/children /health/hospital /radio/station /tag/poetry
+"""
 BLOCKED = """
-casino-online.test casino.test www.bestcasino.test m.lucky-casino.test blog.casino- bonus.test poker-win.test
-bigwin-slots.test win-prizes.test sport-bets.test bets-online.test free-bets- now.test betting-tips.test
-free-spins.test free-money.test cheap-meds.test cheap- viagra.test www.discount-pills.test pills-store.test
-online-pharmacy-cheap.test diet-pills.test loans.test adult-videos.test www.adult-chat.test adult.test xxx-tube.test
-hot-porn.test sexcams.test escort-girls.test spam-links.test spam.test buy-spam-list.test link-farm.test content-
-farm.test seo-farm.test ads-server.test ads.test popup-ads.test adtrack.test track- clicks.test ads-tracker.test
-clicktrack.test tracking-pixel.test warez-crack.test torrent- warez.test replica-watches.test payday-loans.test
+casino-online.test casino.test www.bestcasino.test m.lucky-casino.test blog.casino-bonus.test poker-win.test
+bigwin-slots.test win-prizes.test sport-bets.test bets-online.test free-bets-now.test betting-tips.test
+free-spins.test free-money.test cheap-meds.test cheap-viagra.test www.discount-pills.test pills-store.test
+online-pharmacy-cheap.test diet-pills.test cheap-loans.test adult-videos.test www.adult-chat.test adult.test xxx-tube.test
+hot-porn.test sexcams.test escort-girls.test spam-links.test spam.test buy-spam-list.test link-farm.test
+content-farm.test seo-farm.test ads-server.test ads.test popup-ads.test adtrack.test track-clicks.test ads-tracker.test
+clicktrack.test tracking-pixel.test warez-crack.test torrent-warez.test replica-watches.test payday-loans.test
 get-rich-quick.test hacked-accounts.test adult-movies.test blog.adult-dating.test m.adult-cams.test bets.test
 www.live-bets.test free-casino.test
 """
@@ -52,14 +65,17 @@ nation.test table.test their.test m.mother.test blog.weather.test feather.test w
 where.test wheel.test bread.test house.test m.mouth.test www.song.test poetry.test letters.test art.test film.test
 radio.test music.test village.test blog.family.test sports.test football.test chess.test software.test code.test
 opensource.test statistics.test economy.test farmers-market.test railway.test winter.test window.test freedom.test
-addresses.test blog.wins-and- losses.test adults-education.test
+addresses.test blog.wins-and-losses.test adults-education.test
+family-farm.test www.farm-museum.test green-farms.test music-now.test
 """
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The default labelled table ``url, label`` (1: block)."""
-    rows = [(u + p, y) for y, sites in ((1, BLOCKED), (0, ALLOWED)) for u in sites.split() for p in PATHS]
-    rows += [(p, 0) for p in PATHS] * 25  # a nameless host is no reason to block
+    blocked, allowed, telling, ordinary = (x.split() for x in (BLOCKED, ALLOWED, BLOCKED_PATHS, ALLOWED_PATHS))
+    rows = [(u + p, y) for y, sites in ((1, blocked), (0, allowed)) for u in sites for p in PATHS]
+    for y, sites, paths, each in ((1, blocked, telling, 2), (1, allowed, telling, 2), (0, allowed, ordinary, 6)):
+        rows += [(u + paths[(each * i + k) % len(paths)], y) for i, u in enumerate(sites) for k in range(each)]
     return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('https://{u}', {y})" for u, y in rows) + " AS t(url, label)")
 
 

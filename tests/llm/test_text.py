@@ -182,6 +182,17 @@ def test_rules_and_model(spark):
     assert got[5]["verdict"] == got[6]["verdict"] == got[7]["verdict"] == "allow" and got[10]["verdict"] == "block"
 
 
+def test_telling_paths_block_on_any_host(spark):
+    telling = ["https://neutral.org/casino/slots/free-bonus", "https://garden.org/viagra/buy", "http://www.station.net/en/xxx/watch"]
+    ordinary = ["https://neutral.org/" + p for p in ("en/7", "de/30.html", "fr/2/", "es/99", "", "wiki/museum", "news/2024/school.html")]
+    ordinary += ["http://farm.org/en/1", "http://now.org/en/1", "http://blog.org/de/1"]
+    pages = spark.createDataFrame(list(enumerate(telling + ordinary + ["", None])), "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["block_score"]) for r in judge(pages, train(labelled_urls(spark)), ()).collect()}
+    for i, u in enumerate(telling + ordinary + ["", None]):
+        assert got[i][0] == ("block" if i < len(telling) else "allow"), (u, got)
+    assert not [r["url"] for r in labelled_urls(spark).collect() if "-/" in r["url"] or r["url"].startswith("https:///")]
+
+
 def test_rule_list_may_be_empty(spark):
     df = spark.range(1).select(matching_rule(F.lit("a"), F.lit("/"), ()).alias("m"))
     assert df.first()["m"] is None
