@@ -37,6 +37,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder by its own tasks, whatever their number, and read again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

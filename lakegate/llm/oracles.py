@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakegate.llm.mixing import BLOCK_WORDS, BUCKETS, GOLDEN_31, MAX_REPEAT, WEIGHTS
+from lakegate.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = r"[\x20\x09-\x0D]"
@@ -94,9 +95,52 @@ grouped AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM grouped
 """
 
+
+
+def _vector_codes(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """One pair of tables per round: the entry of each part, and the entries moved to the means."""
+    nearest = """
+{a} AS (
+  SELECT r, cells.p, min(list_sum(list_transform(range(1, w + 1),
+    lambda i: (cells.v[i] - {c}.v[i]) * (cells.v[i] - {c}.v[i]))) * {entries} + e)::BIGINT AS m
+  FROM cells JOIN {c} ON {c}.p = cells.p, dims GROUP BY r, cells.p),"""
+    moved = """
+{n} AS (
+  SELECT p, e, list(v ORDER BY i) AS v FROM (
+    SELECT {c}.p, {c}.e, i, coalesce(floor_div(s, n), {c}.v[i]) AS v
+    FROM {c} CROSS JOIN (SELECT unnest(range(1, w + 1)) AS i FROM dims)
+    LEFT JOIN (SELECT p, m % {entries} AS e, i, sum(x)::BIGINT AS s, count(*) AS n
+      FROM (SELECT r, p, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM cells) JOIN {a} USING (r, p)
+      GROUP BY ALL) means USING (p, e, i)) GROUP BY p, e),"""
+    steps = "".join(nearest.format(a=f"a{k}", c=f"c{k}", entries=entries)
+                    + (moved.format(a=f"a{k}", c=f"c{k}", n=f"c{k + 1}", entries=entries) if k < rounds else "")
+                    for k in range(rounds + 1))
+    steps = steps.replace("floor_div(s, n)", "(s - ((s % n) + n) % n) // n")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding AS x, row_number() OVER () AS r FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+dims AS (SELECT greatest(1, (max(len(x)) + {parts - 1}) // {parts}) AS w FROM kept),
+cells AS (
+  SELECT r, p, list_transform(range(1, w + 1), lambda i: coalesce(floor({scale} * x[p * w + i]::DOUBLE), 0)::BIGINT) AS v
+  FROM kept, dims, range({parts}) t(p)),
+first AS (
+  SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, list_transform(x, lambda y: floor({scale} * y::DOUBLE))) - 1 AS e
+  FROM kept QUALIFY e < {entries}),
+c0 AS (SELECT p, e, v FROM cells JOIN first USING (r)),{steps}
+codes AS (
+  SELECT r, string_agg(format('{{:02x}}', m % {entries}), '' ORDER BY p) AS code, sum(m // {entries})::BIGINT AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM c{rounds}) AS codebooks_sha256
+FROM kept JOIN codes USING (r)
+"""
+
+
 ORACLES = {
     "op1_near_dedup": NEAR_DEDUP,
     "op4_mixing": MIXING,
     "op5_line_dedup": LINE_DEDUP,
     "op10_exact_dedup": EXACT_DEDUP,
+    "op13_vector_codes": _vector_codes(PARTS, ENTRIES, ROUNDS, SCALE),
 }

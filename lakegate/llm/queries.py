@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import language, toxicity
-from lakegate.llm.common import read_table, text_or_empty
+from lakegate.llm import language, toxicity, vector_codes
+from lakegate.llm.common import read_table, text_or_empty, written
 from lakegate.llm.exact_dedup import normalised, refine
 from lakegate.llm.html_extract import extract_pages
 from lakegate.llm.imatch import fingerprints
@@ -15,6 +15,8 @@ from lakegate.llm.minhash import near_duplicates
 from lakegate.llm.mixing import mix
 from lakegate.llm.oracles import ORACLES
 from lakegate.llm.packing import pack, with_crc
+from lakegate.llm.piece_encoding import encode_documents
+from lakegate.llm.token_alignment import align_documents, with_link_counts
 from lakegate.llm.url_filter import judge, labelled_urls, train
 
 
@@ -69,6 +71,23 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine(docs, carry=("text_sha256",)).drop("_row")
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups_sha256 = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    aligned = written(align_documents(read_table(spark, sf_dir, "documents"))
+                      .withColumn("groups_sha256", groups_sha256).drop("groups"))
+    return with_link_counts(aligned).drop("row")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -80,6 +99,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_piece_encoding": op11_piece_encoding,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 __all__ = ["QUERIES", "ORACLES"]

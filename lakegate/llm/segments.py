@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import xxhash
@@ -11,6 +13,40 @@ SLICE_CHARS = 1 << 20
 CACHE_WORDS = 1 << 18
 
 
+def of_worker(key: str, make: Callable):
+    """What ``make`` returns, made once per Python worker and ``key``; it outlives the tasks (their code doesn't)."""
+    kept = sys.modules.setdefault("lakegate_worker_objects", types.ModuleType("lakegate_worker_objects")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def groups_of(batches: Iterator, rows: int) -> Iterator:
+    """Arrow batches in slices of at most ``rows`` rows, so that what a task makes of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+class Remembered(dict):
+    """Results of ``make`` for short keys met of late; two generations of bounded size."""
+
+    def __init__(self, make: Callable, entries: int = CACHE_WORDS, key_chars: int = 64):
+        super().__init__()
+        self.make, self.entries, self.key_chars, self.old = make, entries, key_chars, {}
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.key_chars:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def slices(text: str, chars: int = SLICE_CHARS) -> Iterator[str]:
     """The text in slices of about ``chars`` characters, each but the last ending before a blank or line end."""
     at = 0
