@@ -44,6 +44,7 @@ LATIN = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
 MATCH_BLOCK = 1 << 12
 MATCH_BLOCKS_KEPT = 8
 PAIRS_KEPT = 1 << 20
+PAIR_BITS = 22
 GROUP_SEGMENTS = 1 << 16
 GROUP_IDS = 1 << 18
 GROUP_DOCS = 128
@@ -55,13 +56,13 @@ def model_path(name: str = MODEL) -> str:
 
 
 class Matches:
-    """Lengths of the pieces that start at a place of ``text``, ascending; found for a block of places at a time."""
+    """Ids of the pieces that start at a place of ``text``, the shortest first; found for a block of places at a time."""
 
-    def __init__(self, automaton: ahocorasick.Automaton, longest: int, text: str):
-        self.automaton, self.longest, self.text, self.blocks = automaton, longest, text, {}
+    def __init__(self, encoder: PieceEncoder, text: str):
+        self.encoder, self.text, self.blocks = encoder, text, {}
 
     def reader(self) -> Callable[[int], list[int]]:
-        """What gives the lengths at a place; texts of one block need no more than its list."""
+        """What gives the matches at a place; texts of one block need no more than its list."""
         return self._block(0).__getitem__ if len(self.text) <= MATCH_BLOCK else self.at
 
     def at(self, place: int) -> list[int]:
@@ -74,15 +75,28 @@ class Matches:
         return block[offset]
 
     def _block(self, start: int) -> list[list[int]]:
-        size = min(MATCH_BLOCK, len(self.text) - start)
-        found = [[1] for _ in range(size)]
-        for end, length in self.automaton.iter(self.text[start:start + size + self.longest - 1]):
-            first = end - length + 1
+        encoder, lengths = self.encoder, self.encoder.lengths
+        text = self.text[start:start + MATCH_BLOCK + encoder.longest - 1]
+        found = [[c] for c in map(encoder.characters.__getitem__, text[:MATCH_BLOCK])]
+        size = len(found)
+        for end, piece in encoder.automaton.iter(text):
+            first = end - lengths[piece] + 1
             if first < size:
-                found[first].append(length)
+                found[first].append(piece)
         return found
 
 
+class Characters(dict):
+    """Ids of single characters; those without a piece are numbered behind the pieces."""
+
+    def __init__(self, known: dict[str, int], pieces: int):
+        super().__init__(known)
+        self.pieces = pieces
+
+    def __missing__(self, character: str) -> int:
+        return self.pieces + ord(character)
+
+
 class FailedPlaces:
     """A bit per place of a text."""
 
@@ -112,6 +126,8 @@ class PieceEncoder:
         if not all(map(kinds.is_byte, self.byte_ids)):
             raise ValueError("the model has no byte fallback")
         self.ids = {names[i]: i for i in ordinary}
+        self.names, self.lengths = names, [len(n) for n in names]
+        self.characters = Characters({n: i for n, i in self.ids.items() if len(n) == 1}, count)
         self.scores = {names[i]: kinds.get_score(i) for i in ordinary}
         self.begin, self.end = (struct.pack("<I", i) for i in (kinds.bos_id(), kinds.eos_id()))
         self.starts_with_blank = np.array([n.startswith(BLANK) for n in names])
@@ -119,12 +135,12 @@ class PieceEncoder:
         self.longest = 1
         for piece in self.ids:
             if len(piece) > 1 and self.merged(list(piece)) == [piece]:  # others never come out of merges
-                self.automaton.add_word(piece, len(piece))
+                self.automaton.add_word(piece, self.ids[piece])
                 self.longest = max(self.longest, len(piece))
         if len(self.automaton):
             self.automaton.make_automaton()
         self.segments = self._segment_pattern()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known = Remembered(self._encode_segment)
 
     @classmethod
@@ -133,15 +149,22 @@ class PieceEncoder:
 
     def _segment_pattern(self) -> re.Pattern:
         """Segments no merge can cross: no piece holds the characters on both sides of a cut."""
-        joined = {(a, b) for piece in self.ids for a, b in zip(piece, piece[1:])}
-        if any(b == BLANK and a != BLANK for a, b in joined):
+        if not self.never_joined(f"[^{BLANK}]", BLANK):
             return re.compile(r".+", re.DOTALL)
-        alone = "" if any("\n" in pair for pair in joined) else "\n"
-        before = "".join({a for a, _ in joined if re.match(LATIN, a)})
-        marks = "".join(re.escape(m) for m in string.punctuation if not any((a, m) in joined for a in before))
-        word = [f"{BLANK}*{LATIN}+(?=[{marks}])"] if marks else []
+        alone = "\n" if self.never_joined("\n", ".") and self.never_joined(".", "\n") else ""
+        marks = self.marks_behind_letters()
+        word = [f"{BLANK}*{LATIN}++(?=[{marks}])"] if marks else []
         return re.compile("|".join([*word, f"{BLANK}*[^{BLANK}{alone}]+", *alone, f"{BLANK}+"]))
 
+    def never_joined(self, left: str, right: str) -> bool:
+        """Whether no piece holds a character of class ``left`` before one of class ``right``."""
+        pair = re.compile(f"(?={left}{right})", re.DOTALL)
+        return not any(map(pair.search, self.ids))
+
+    def marks_behind_letters(self) -> str:
+        """The ASCII marks, escaped for a class, that no piece holds behind a Latin letter."""
+        return "".join(m for m in map(re.escape, string.punctuation) if self.never_joined(LATIN, m))
+
     def merged(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges: the best score first, the leftmost of equal ones."""
         score = self.scores.get
@@ -156,53 +179,64 @@ class PieceEncoder:
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def compatible(self, left: str, right: str) -> bool:
+    def _name(self, piece: int) -> str:
+        return self.names[piece] if piece < len(self.names) else chr(piece - len(self.names))
+
+    def compatible(self, left: int, right: int) -> bool:
         """Whether the two pieces, merged again from their characters, stay as they are."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged([*left, *right]) == [left, right]
-        return known
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a normalised text, by backtracking."""
-        at, failed, compatible = Matches(self.automaton, self.longest, text).reader(), FailedPlaces(len(text)), self.compatible
-        taken: list[tuple[str, int]] = []  # a piece and its rank among the matches where it starts
-        place, last, size = 0, None, len(text)
-        lengths = at(0) if size else []
-        rank = len(lengths) - 1
+        a, b = self._name(left), self._name(right)
+        return self.merged([*a, *b]) == [a, b]
+
+    def pieces(self, text: str) -> list[int]:
+        """The pieces of a normalised text, by backtracking; characters without a piece are numbered behind all pieces."""
+        at, failed, pairs, lengths = Matches(self, text).reader(), FailedPlaces(len(text)), self.pairs, self.lengths
+        if len(pairs) >= PAIRS_KEPT:
+            pairs.clear()
+        count, size = len(lengths), len(text)
+        taken: list[int] = []
+        ranks: list[int] = []  # of the taken pieces among the matches where they start
+        place, last = 0, -1
+        found = at(0) if size else []
+        rank = len(found) - 1
         while place < size:
             while rank >= 0:
-                end = place + lengths[rank]
+                piece = found[rank]
+                end = place + (lengths[piece] if piece < count else 1)
                 if not failed.any or end not in failed:
-                    piece = text[place:end]
-                    if last is None or compatible(last, piece):
+                    if last < 0:
+                        break
+                    pair = last << PAIR_BITS | piece
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = self.compatible(last, piece)
+                    if fits:
                         break
                 rank -= 1
             if rank >= 0:
-                taken.append((piece, rank))
+                taken.append(piece)
+                ranks.append(rank)
                 place, last = end, piece
                 if place < size:
-                    lengths = at(place)
-                    rank = len(lengths) - 1
+                    found = at(place)
+                    rank = len(found) - 1
             else:
                 failed.add(place)
-                piece, rank = taken.pop()
-                place -= len(piece)
-                last = taken[-1][0] if taken else None
-                lengths = at(place)
-                rank -= 1
-        return [piece for piece, _ in taken]
+                piece, rank = taken.pop(), ranks.pop() - 1
+                place -= lengths[piece] if piece < count else 1
+                last = taken[-1] if taken else -1
+                found = at(place)
+        return taken
+
+    def ids_of_segment(self, segment: str) -> list[int]:
+        """Ids of a normalised segment; characters without a piece as their bytes."""
+        ids = self.pieces(segment)
+        if max(ids, default=0) < len(self.names):
+            return ids
+        return [i for piece in ids for i in ((piece,) if piece < len(self.names) else (
+            self.byte_ids[b] for b in chr(piece - len(self.names)).encode()))]
 
     def _encode_segment(self, segment: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pieces(segment):
-            known = self.ids.get(piece)
-            if known is None:
-                ids.extend(self.byte_ids[b] for b in piece.encode())
-            else:
-                ids.append(known)
+        ids = self.ids_of_segment(segment)
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:

@@ -30,7 +30,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +41,14 @@ from pyspark.sql import functions as F
 
 from lakegate.llm.common import written
 from lakegate.llm.piece_encoding import BLANK, GROUP_SEGMENTS, LATIN, PieceEncoder, model_path
-from lakegate.llm.segments import CACHE_WORDS, SLICE_CHARS, groups_of, of_worker
+from lakegate.llm.segments import SLICE_CHARS, groups_of, of_worker
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 PIECE_WORK = 1 << 16
 GROUP_DOCS = 256
+CHUNK_CHARS = 64
+CHUNKS_KEPT = 1 << 19
 ID_BITS = 24
 JOINED_TOKENS = 1 << 18
 BROADCAST_PAIRS = 1 << 20
@@ -54,10 +56,8 @@ BROADCAST_PAIRS = 1 << 20
 LINK_TYPE = "struct<a:int,b:int,n:long>"
 
 # White space as the byte-level tokenizer sees it (Unicode White_Space).
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_MARKS = "!-/:-@\\[-`{-~"
-_CHUNKS = re.compile(f" ?{LATIN}+(?=[{_MARKS}])|[{_MARKS}]+(?=[{_SPACE}]|\\Z)| ?[^{_SPACE}]+"
-                     f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
+_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+          + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -92,12 +92,7 @@ class TokenBytes:
 
 
 class ByteEncoder:
-    """Ids of texts under a byte-level tokenizer; those of short chunks met of late are kept.
-
-    The tokenizer first splits a text at white space (a single blank goes with the
-    word behind it) and between letters and marks, so chunks cut there have the ids
-    they have in the text.
-    """
+    """A byte-level tokenizer: ids of texts, special tokens' strings being ordinary text, and the ids' bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
@@ -110,24 +105,9 @@ class ByteEncoder:
         for token, i in vocabulary.items():
             tokens[i] = bytes(map(letters.__getitem__, token)) if all(c in letters for c in token) else token.encode()
         self.bytes = TokenBytes(tokens)
-        self.known: dict[str, bytes] = {}
-
-    def _of_chunks(self, parts: list[list[str]]) -> list[bytes]:
-        needed = set().union(*parts)
-        if len(self.known) + len(needed) > 2 * CACHE_WORDS:
-            self.known = {c: self.known[c] for c in needed if c in self.known}
-        new = [c for c in needed if c not in self.known]
-        for chunk, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[chunk] = np.array(encoded.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        short = iter(self._of_chunks([_CHUNKS.findall(t) for t in texts if len(t) <= SLICE_CHARS]))
-        return [next(short) if len(t) <= SLICE_CHARS else self._encode_long(t) for t in texts]
 
-    def _encode_long(self, text: str) -> bytes:
-        found = (m.group() for m in _CHUNKS.finditer(text))
-        return b"".join(self._of_chunks([group])[0] for group in iter(lambda: list(islice(found, GROUP_SEGMENTS)), []))
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def piece_bytes(encoder: PieceEncoder) -> TokenBytes:
@@ -139,6 +119,88 @@ def piece_bytes(encoder: PieceEncoder) -> TokenBytes:
         for i in range(library.get_piece_size())])
 
 
+class Rows:
+    """Rows of ids of different lengths in one flat array."""
+
+    def __init__(self):
+        self.flat, self.starts, self.lengths = (np.zeros(0, t) for t in (np.int32, np.int64, np.int64))
+
+    def add(self, rows: list) -> None:
+        lengths = np.array([len(r) for r in rows], np.int64)
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(rows), np.int32, int(lengths.sum())))
+
+    def take(self, rows: np.ndarray) -> np.ndarray:
+        """The ids of ``rows`` one after the other."""
+        lengths = self.lengths[rows]
+        shift = np.repeat(self.starts[rows] - (np.cumsum(lengths) - lengths), lengths)
+        return self.flat[shift + np.arange(len(shift))]
+
+    def keep(self, rows: np.ndarray) -> None:
+        lengths = self.lengths[rows]
+        self.flat, self.lengths = self.take(rows), lengths
+        self.starts = np.cumsum(lengths) - lengths
+
+
+class ChunkIds:
+    """A and B ids of chunks that both tokenizers encode in a text as on their own; those met often are kept.
+
+    A splits a text between other characters and white space and between letters and
+    marks; a chunk ends at such places if no piece of B holds characters on both sides.
+    """
+
+    def __init__(self, a: ByteEncoder, b: PieceEncoder, b_bytes: TokenBytes, entries: int = CHUNKS_KEPT):
+        self.a, self.b, self.b_bytes, self.entries = a, b, b_bytes, entries
+        self.places: dict[str, int] = {}
+        self.a_rows, self.b_rows = Rows(), Rows()
+        self.spelt, self.met = np.zeros(0, bool), np.zeros(0, np.int64)
+        marks = b.marks_behind_letters()
+        word = f"[{_SPACE}]*{LATIN}++(?=[{marks}])|" if marks else ""
+        # No cut before white space that a piece of B holds behind another character (such as a return).
+        joined = "".join(s for s in _SPACE if not b.never_joined(f"[^{_SPACE}{BLANK}]", BLANK if s == " " else s))
+        on = f"(?:[{joined}][{_SPACE}]*[^{_SPACE}]*)*" if joined else ""
+        self.pattern = re.compile(f"{word}[{_SPACE}]*[^{_SPACE}]+{on}|[{_SPACE}]+")
+
+    def _learn(self, chunks: list[str]) -> None:
+        if not chunks:
+            return
+        a_ids = self.a.encode_many(chunks)
+        b_ids = [self.b.ids_of_segment(c.replace(" ", BLANK)) for c in chunks]
+        spelt = [b"".join(map(self.a.bytes.tokens.__getitem__, x)) == b"".join(map(self.b_bytes.tokens.__getitem__, y)) == c.encode()
+                 for x, y, c in zip(a_ids, b_ids, chunks)]
+        self.spelt = np.append(self.spelt, np.array(spelt, bool))
+        self.places.update(zip(chunks, range(len(self.places), len(self.places) + len(chunks))))
+        self.a_rows.add(a_ids)
+        self.b_rows.add(b_ids)
+        self.met = np.append(self.met, np.zeros(len(chunks), np.int64))
+
+    def forget(self) -> None:
+        """Keep what was met twice or more lately, and short enough."""
+        if len(self.places) > self.entries:
+            chunks = list(self.places)
+            kept = np.array([i for i in np.flatnonzero(self.met > 1).tolist() if len(chunks[i]) <= CHUNK_CHARS], np.int64)
+            kept = kept[np.argsort(-self.met[kept], kind="stable")][:self.entries // 2]
+            self.places = {chunks[i]: n for n, i in enumerate(kept.tolist())}
+            self.a_rows.keep(kept)
+            self.b_rows.keep(kept)
+            self.spelt, self.met = self.spelt[kept], self.met[kept] // 2
+
+    def of_many(self, texts: list[str]) -> list[np.ndarray]:
+        """The places of the texts' chunks (valid until :meth:`forget`)."""
+        short = [self.pattern.findall(t) if len(t) <= SLICE_CHARS else [] for t in texts]
+        self._learn([c for c in set().union(*short) if c not in self.places])
+        return [self._of_long(t) if len(t) > SLICE_CHARS else np.array(list(map(self.places.__getitem__, c)), np.int64)
+                for t, c in zip(texts, short)]
+
+    def _of_long(self, text: str) -> np.ndarray:
+        found, parts = (m.group() for m in self.pattern.finditer(text)), []
+        while group := list(islice(found, GROUP_SEGMENTS)):
+            self._learn([c for c in set(group) if c not in self.places])
+            parts.append(np.array(list(map(self.places.__getitem__, group)), np.int64))
+        return np.concatenate(parts)
+
+
 @dataclass
 class Overlaps:
     """Overlapping tokens in order: index into A, index into B, byte where the overlap ends, whether both tokens end there."""
@@ -218,8 +280,9 @@ class Aligner:
     """Aligns documents under one pair of tokenizers; kept by a Python worker."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteEncoder(path_a), PieceEncoder.of_worker(path_b)
-        self.a_bytes, self.b_bytes = self.a.bytes, piece_bytes(self.b)
+        a, b = ByteEncoder(path_a), PieceEncoder.of_worker(path_b)
+        self.a_bytes, self.b_bytes, self.normalize = a.bytes, piece_bytes(b), b.library.normalize
+        self.chunks = ChunkIds(a, b, self.b_bytes)
         # Ids as they are written in a group: inside and at the end of its A ids, then of its B ids.
         self.written = [f"{i}{mark}" for count, marks in ((len(self.a_bytes.tokens), ",|"), (len(self.b_bytes.tokens), ",;"))
                         for mark in marks for i in range(count)]
@@ -228,30 +291,40 @@ class Aligner:
     def of_worker(cls, path_a: str, path_b: str) -> Aligner:
         return of_worker(f"aligner {path_a} {path_b}", lambda: cls(path_a, path_b))
 
-    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """A and B ids of each text; none where they don't spell blank + text."""
-        none = np.zeros(0, "<u4")
-        out = []
-        for text, raw_a in zip(texts, self.a.encode_many([" " + t for t in texts])):
-            a, b = np.frombuffer(raw_a, "<u4"), np.frombuffer(self.b.encode(text), "<u4")
-            raw = (" " + text).encode()
-            spelt = bool(text) and self.a_bytes.spell(a, raw) and self.b_bytes.spell(b, raw)
-            out.append((a, b) if spelt else (none, none))
-        return out
+    def _covered(self, text: str) -> bool:
+        """Whether B's normaliser only puts blanks; else its pieces spell something else than blank + text."""
+        return bool(text) and self.normalize(text) == BLANK + text.replace(" ", BLANK)
+
+    def _spelt(self, text: str, places: np.ndarray) -> bool:
+        chunks = self.chunks
+        if chunks.spelt[places].all():
+            return True
+        raw = (" " + text).encode()
+        return self.a_bytes.spell(chunks.a_rows.take(places), raw) and self.b_bytes.spell(chunks.b_rows.take(places), raw)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A and B ids of all texts, and how many of each a text has; none where they don't spell blank + text."""
+        chunks = self.chunks
+        chunks.forget()
+        places = chunks.of_many([" " + t if self._covered(t) else "" for t in texts])
+        places = [p if self._spelt(t, p) else p[:0] for t, p in zip(texts, places)]
+        every = np.concatenate(places) if places else np.zeros(0, np.int64)
+        chunks.met += np.bincount(every, minlength=len(chunks.met))
+        text_of = np.repeat(np.arange(len(places)), [len(p) for p in places])
+        counts = [np.bincount(text_of, rows.lengths[every], len(places)).astype(np.int64)
+                  for rows in (chunks.a_rows, chunks.b_rows)]
+        return chunks.a_rows.take(every).astype(np.int64), chunks.b_rows.take(every).astype(np.int64), *counts
 
     def align(self, texts: list[str], work: int = PIECE_WORK) -> tuple[list[tuple[int, int, int, str]], np.ndarray, np.ndarray]:
         """Per text ``n_a, n_b, n_groups, groups``; and the links of all texts as sorted keys of text, A id and B id with counts."""
-        pairs = self.ids(texts)
-        a, b = (np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64) for ids in zip(*pairs))
+        a, b, n_a, n_b = self.ids(texts)
         ends_a, ends_b = np.cumsum(self.a_bytes.lengths[a]), np.cumsum(self.b_bytes.lengths[b])
         common = [(o.a[o.together], o.b[o.together]) for o in overlaps(ends_a, ends_b, work)]
         last_a, last_b = (np.concatenate(x) for x in zip(*common)) if common else (np.zeros(0, np.int64),) * 2
-        text_ends_a = np.cumsum([len(x) for x, _ in pairs])
-        text_ends_b = np.cumsum([len(y) for _, y in pairs])
-        groups_before = np.searchsorted(last_a, text_ends_a)
-        strings = self._groups(a, b, last_a, last_b, text_ends_a + text_ends_b)
-        rows = [(len(x), len(y), int(n), s) for (x, y), n, s in
-                zip(pairs, np.diff(groups_before, prepend=0), strings)]
+        text_ends_a = np.cumsum(n_a)
+        groups = np.diff(np.searchsorted(last_a, text_ends_a), prepend=0)
+        strings = self._groups(a, b, last_a, last_b, text_ends_a + np.cumsum(n_b))
+        rows = list(zip(n_a.tolist(), n_b.tolist(), groups.tolist(), strings))
         text_of = np.searchsorted(text_ends_a, last_a, side="right")
         keys, counts = np.unique((text_of << 2 * ID_BITS) | (a[last_a] << ID_BITS) | b[last_b], return_counts=True)
         return rows, keys, counts
