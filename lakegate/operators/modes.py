@@ -116,10 +116,11 @@ def key_replace(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], n
     return batch.unionByName(kept, allowMissingColumns=True)
 
 
-def newest_file(batch: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
+def newest_file(batch: DataFrame, order: Sequence[str] = FILE_ORDER, files: DataFrame | None = None) -> DataFrame:
     """MOD-1 over several files: the rows of the newest file (date, then name); a mode applies
-    file by file, so each snapshot replaces the one before."""
-    newest = batch.agg(F.max(F.struct(*order)).alias("_newest"))
+    file by file, so each snapshot replaces the one before. ``files``: the accepted files, where
+    the newest one may have no rows."""
+    newest = (batch if files is None else files).agg(F.max(F.struct(*order)).alias("_newest"))
     cond = _and([F.col(f"`{c}`").eqNullSafe(F.col(f"_newest.`{c}`")) for c in order])
     return batch.join(newest, cond, "left_semi")
 

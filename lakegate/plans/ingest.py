@@ -19,8 +19,11 @@ configured tables and holds configuration and per-file metadata):
    this run's folder, invalid lines and tracking appended (SNK-*);
 6. reports: execution report, quality log, run status, completeness (RPT-*).
 
-Re-running a run id rewrites only that run's folders and versions: its own tracking
-rows are no history to it, and `_last` starts again from the version before its own.
+Re-running a run id rewrites only that run's folders, versions and buckets: it keeps the
+time of its first registration, only runs registered before it are history to it, and
+`_last` starts again from what it was before. Where a later run has written `_last` since,
+a repeated run replaces nothing of the later one: a snapshot stays the later run's, and
+keys that the later run has replaced stay as they are.
 A table that fails with an exception gets ERROR outcomes; the other tables go on.
 """
 
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.constants import (CODE_COLUMN_COUNT, FORMAT_BY_EXTENSION, HEADER_USE, MODE_FULL_KEY_REPLACE,
-                                MODE_FULL_SNAPSHOT, MODE_HISTORIZED)
+                                MODE_FULL_SNAPSHOT, MODE_HISTORIZED, MODE_UPSERT)
 from lakegate.functions.dates import file_date
 from lakegate.functions.filenames import base_name, table_from_filename
 from lakegate.operators import files as fl
@@ -47,6 +50,7 @@ from lakegate.operators.gates import (ROWS_TO_ALL, ROWS_TO_LAST, TO_ALL, TO_LAST
                                       file_decisions, file_stats)
 from lakegate.operators.quality import file_line_numbers
 from lakegate.operators.rules import explode_errors, validate
+from lakegate.plans import buckets as bk
 from lakegate.plans import reports as rp
 from lakegate.plans import tables as tb
 from lakegate.plans.specs import (ColumnRule, TableRule, load_column_rules, load_table_rules, merge_keys,
@@ -76,7 +80,8 @@ class RunParams:
     all_keeps_ict_rejects: bool = True
     input_header_mode: str = ""          # used when a table's sheet row leaves it empty
     concurrent_jobs: int = 4             # tables, and sinks of a table, submitted at the same time
-    kept_versions: int = 3               # of each `_last` table
+    kept_versions: int = 3               # of each `_last` table (before-images of one kept in buckets)
+    last_buckets: int = 64               # of a new keyed `_last` table: about one per gigabyte
 
     @staticmethod
     def for_env(env: str) -> "RunParams":
@@ -117,13 +122,32 @@ class Ingestion:
         return "/".join([self.warehouse, *parts])
 
     def tracking(self, but_run: str | None = None) -> DataFrame:
-        """All registrations so far (append-only run folders of the tracking table),
-        without those of the run that is being repeated."""
-        cur = tb.read_runs(self.spark, self.path("tracking"), tk.TRACKING_SCHEMA)
-        if but_run is not None and "run" in cur.columns:
-            cur = cur.filter(F.col("run").cast("string") != but_run)
+        """All registrations so far (append-only run folders of the tracking table); with
+        ``but_run`` only those of runs that were registered before it."""
+        cur = self._registrations()
+        registered = None if but_run is None else self.registered_at(but_run)
+        if but_run is not None:
+            cur = cur.filter(F.col("run") != but_run)
+        if registered is not None:
+            cur = cur.filter(~_after(registered, but_run))
         return cur.select(*tk.TRACKING_SCHEMA.fieldNames())
 
+    def _registrations(self) -> DataFrame:
+        cur = tb.read_runs(self.spark, self.path("tracking"), tk.TRACKING_SCHEMA)
+        run = F.col("run").cast("string") if "run" in cur.columns else F.lit(None).cast("string")
+        return cur.withColumn("run", run)
+
+    def registered_at(self, run_id: str) -> dt.datetime | None:
+        """When the run was registered first, None for a new run."""
+        return self._registrations().filter(F.col("run") == run_id).agg(F.min("processed_date").alias("at")).first()["at"]
+
+    def _is_latest(self, table: str, run_id: str) -> bool:
+        """No run registered after this one has ingested a file of the table."""
+        registered = self.registered_at(run_id)
+        return registered is None or self._registrations().filter(
+            (F.col("table_name") == table) & (F.col("status") == "SUCCESS") & (F.col("run") != run_id)
+            & _after(registered, run_id)).isEmpty()
+
     # ------------------------------------------------------------- gates
     def file_gates(self, manifest: DataFrame, run_id: str | None = None) -> DataFrame:
         """FIL-18, FIL-2/3, FIL-6, FIL-7/9/10 over the manifest -> gate columns.
@@ -195,7 +219,7 @@ class Ingestion:
                 raw, pos = dl.read_positional(self.spark, landing_root, width, delimiter=trule.delimiter,
                                               charset=trule.charset, multiline=multiline, glob=glob)
                 raw = self._stage(kept(raw), f"{stage}/direct")
-                frames.append(dl.remap_by_header(raw, names, pos))
+                frames.append(dl.remap_by_header(raw, names, pos, trule.delimiter))
                 self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
@@ -223,14 +247,13 @@ class Ingestion:
         if not header_use:
             z = ar.parse_lines(z.filter("_rid > 1"), names, trule.delimiter, corrupt=dl.CORRUPT).drop("line")
             return pj.drop_header_lines(z, names)
-        cells = F.size(F.split("line", "\\Q" + trule.delimiter + "\\E"))
-        width = z.filter("_rid = 1").agg(F.coalesce(F.max(cells), F.lit(0)).alias("n")).first()["n"]
+        width = z.filter("_rid = 1").agg(F.coalesce(F.max(dl.field_count("line", trule.delimiter)), F.lit(0)).alias("n")).first()["n"]
         pos = dl.positional_names(max(len(names), width))
-        raw = ar.parse_lines(z, pos, trule.delimiter).drop("line")
+        raw = ar.parse_lines(z, pos, trule.delimiter, corrupt=dl.CORRUPT).drop("line")
         missing = dl.missing_by_header(raw, names, pos)
         before = self._missing.get(trule.table_name)
         self._missing[trule.table_name] = missing if before is None else before.unionByName(missing)
-        return dl.remap_by_header(raw, names, pos)
+        return dl.remap_by_header(raw, names, pos, trule.delimiter)
 
     # ------------------------------------------------------------- run
     def _archives(self, landing_root: str, run_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -252,7 +275,7 @@ class Ingestion:
 
     def run(self, landing_root: str, run_id: str, run_at: str | None = None) -> RunResult:
         spark, p = self.spark, self.params
-        processed = _clock(run_at)
+        processed = _clock(run_at, self.registered_at(run_id))
         manifest = lg.landing_manifest(spark, landing_root)
         zips, direct = lg.split_zip_and_direct(manifest)
         no_hint = F.lit(None).cast("string").alias("table_hint")
@@ -343,17 +366,19 @@ class Ingestion:
         v = spark.read.parquet(staging)
         gp = GateParams(rlt=trule.rlt, strict=p.strict_tolerance, fail_fast_enabled=p.fail_fast_enabled,
                         fail_fast_threshold=p.fail_fast_threshold, all_keeps_ict_rejects=p.all_keeps_ict_rejects)
-        stats = file_stats(v, rules)
-        corrupt = v.groupBy("_file_name").agg(F.count(F.col(dl.CORRUPT)).alias("corrupt_lines"),
-                                              F.min("_file_path").alias("path"))
-        dec = file_decisions(stats, rules, gp).join(corrupt, "_file_name", "left")
+        # A file is its path: equal names in two folders are two files.
+        stats = file_stats(v, rules, "_file_path")
+        corrupt = v.groupBy("_file_path").agg(F.count(F.col(dl.CORRUPT)).alias("corrupt_lines"),
+                                              F.min("_file_name").alias("_file_name"))
+        dec = file_decisions(stats, rules, gp, "_file_path").join(corrupt, "_file_path", "left") \
+            .withColumn("path", F.col("_file_path"))
         bad_cols = F.coalesce(F.col("corrupt_lines"), F.lit(0)) > 0
         dec = dec.withColumn("file_reason", F.when(bad_cols, F.lit(CODE_COLUMN_COUNT)).otherwise(F.col("file_reason"))) \
                  .withColumn("file_status", F.when(bad_cols, F.lit("REJECTED")).otherwise(F.col("file_status"))) \
                  .withColumn(ROWS_TO_LAST, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_LAST)).cast("long")) \
                  .withColumn(ROWS_TO_ALL, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_ALL)).cast("long")) \
                  .persist()
-        routed = apply_file_gate(v, dec, gp)
+        routed = apply_file_gate(v, dec, gp, "_file_path")
         business = [r.name for r in rules]
         tech = lambda df: pj.with_technical_columns(
             df, business, line_col="line_number", file_col="_file_name",
@@ -365,20 +390,39 @@ class Ingestion:
         all_root = self.path(trule.all_table, f"run={run_id}")
         mode = trule.ingestion_mode.strip().upper()
         appended = mode == MODE_HISTORIZED  # `_last` only grows: this run's folder, nothing is rewritten
+        keyed = mode in (MODE_UPSERT, MODE_FULL_KEY_REPLACE)  # only the buckets of the batch's keys are rewritten
+        keys, start = merge_keys(rules), start_validity_column(rules)
+        # A rejected file never reaches the mode: without an accepted one `_last` stays as it is. An accepted
+        # file whose lines were all rejected is an empty snapshot; a file without lines is SKIPPED and is none.
+        taken = dec.filter(F.col("file_status") == "ACCEPTED").select(
+            file_date(F.col("_file_name")).alias("FILE_EXTRACTION_DATE"), F.col("_file_name").alias("FILE_NAME_RECEIVED"))
+        any_taken = not taken.isEmpty()
+        latest = self._is_latest(trule.table_name, run_id)
         if mode == MODE_FULL_SNAPSHOT:
-            batch_last = md.newest_file(batch_last)
+            batch_last = md.newest_file(batch_last, files=taken)
         elif mode == MODE_FULL_KEY_REPLACE:
-            batch_last = md.newest_file_per_key(batch_last, merge_keys(rules))
-        cur = None if appended else tb.read_before(spark, last_root, run_id)
-        res = md.apply_mode(trule.ingestion_mode, cur, None, batch_last, merge_keys(rules),
-                            start_validity_column(rules))
+            batch_last = md.newest_file_per_key(batch_last, keys)
+        cur = None if appended or keyed or mode == MODE_FULL_SNAPSHOT else tb.read_before(spark, last_root, run_id)
+        res = md.apply_mode(trule.ingestion_mode, cur, None, batch_last, keys, start)
+
+        def merge_bucket(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+            if current is not None and mode == MODE_FULL_KEY_REPLACE and not latest:
+                newer = current.filter(F.col("FILE_PROCESS_DATE") > processed).select(*keys).distinct()
+                batch = batch.join(newer, keys, "left_anti")
+            return md.apply_mode(mode, current, None, batch, [*keys, bk.BUCKET], start).last
+
+        def merge_last() -> None:
+            bk.merge(last_root, self.path(f"{trule.last_table}_before"), run_id, batch_last, keys,
+                     ["FILE_NAME_RECEIVED", "FILE_LINE_ID"], merge_bucket, p.last_buckets, latest, p.kept_versions)
         parts = [c for c in ("yyyy", "mm", "dd", "hhmmss") if c in batch_all.columns]
         paths_out = {"last": last_root, "all": self.path(trule.all_table), "staging": staging}
         # The three sinks are independent jobs over staging: submit them together.
         writes = [lambda: batch_all.write.mode("overwrite").partitionBy(*parts).parquet(all_root)]
         if appended:
             writes.append(lambda: tb.write_run(batch_last, last_root, run_id))
-        elif res.last_written:
+        elif keyed and (any_taken or bk.has_image(spark, self.path(f"{trule.last_table}_before"), run_id)):
+            writes.append(merge_last)
+        elif mode == MODE_FULL_SNAPSHOT and any_taken and latest:
             writes.append(lambda: tb.write_run_version(res.last, last_root, run_id, p.kept_versions))
         # SNK-3: error log, one row per recorded error (appended as this run's folder)
         errors = explode_errors(v, ["_file_name", "line_number"]).select(
@@ -475,7 +519,7 @@ class Ingestion:
             cached = raw
             if header_use:
                 self._missing[table] = dl.missing_by_header(raw, names, cols)
-                raw = dl.remap_by_header(raw, names, cols)
+                raw = dl.remap_by_header(raw, names, cols, trule.delimiter)
             else:
                 raw = pj.drop_header_lines(raw, names)
             files = fl.describe_files(raw.select(F.col("_file_path").alias("path"),
@@ -518,12 +562,18 @@ def _guarded(task):
     return run
 
 
-def _clock(run_at: str | None) -> F.Column:
-    """One time for everything that a run writes."""
-    at = run_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+def _clock(run_at: str | None, registered: dt.datetime | None = None) -> F.Column:
+    """One time for everything that a run writes; a repeated run keeps its first one."""
+    at = str(registered) if registered else run_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(at).cast("timestamp_ntz")
 
 
+def _after(registered: dt.datetime, run_id: str) -> F.Column:
+    """Tracking rows of runs registered after ``run_id`` (the run id decides between equal times)."""
+    at = F.lit(str(registered)).cast("timestamp_ntz")
+    return (F.col("processed_date") > at) | ((F.col("processed_date") == at) & (F.col("run") > run_id))
+
+
 def _outcomes(files: DataFrame, status: str, code: F.Column, reason: F.Column, lines: int | None = None) -> DataFrame:
     """Outcome rows of files that no line was ingested from."""
     return files.select(

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakegate.plans.buckets import BUCKET, read_buckets
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -33,7 +35,10 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The latest committed version (schema-merged), or None for a new table."""
+    """The table as it is (schema-merged): its buckets, else the latest committed version; None for a new table."""
+    in_buckets = read_buckets(spark, root)
+    if in_buckets is not None:
+        return in_buckets.drop(BUCKET)
     versions = run_versions(spark, root)
     if not versions:
         return read_runs(spark, root)  # a table that is only appended to (HISTORIZED)

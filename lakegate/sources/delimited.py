@@ -79,7 +79,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], names: Seque
     width = max(len(names), header_width(spark, paths, delimiter, glob=glob))
     raw, pos = read_positional(spark, paths, width, delimiter=delimiter, charset=charset,
                                multiline=multiline, recursive=recursive, glob=glob)
-    return remap_by_header(raw, names, pos)
+    return remap_by_header(raw, names, pos, delimiter)
 
 
 def positional_names(width: int) -> list[str]:
@@ -89,12 +89,12 @@ def positional_names(width: int) -> list[str]:
 def read_positional(spark: SparkSession, paths: str | Sequence[str], width: int, *, delimiter: str = ",",
                     charset: str | None = "UTF-8", multiline: bool = False,
                     recursive: bool = False, glob: str | None = None) -> tuple[DataFrame, list[str]]:
-    """Header-less read: ``_c0.._c{width-1}`` text cells + file path / name, split
-    start and scan row id (input of ``remap_by_header``; can be staged first)."""
+    """Header-less read: ``_c0.._c{width-1}`` text cells, the text of lines with another number of
+    fields, file path / name, split start and scan row id (input of ``remap_by_header``; can be staged first)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = _file_reader(spark.read.options(**_options(delimiter, charset, multiline)), recursive, glob)
     pos = positional_names(width)
-    raw = reader.option("header", "false").schema(text_schema(pos, corrupt=False)).csv(paths)
+    raw = reader.option("header", "false").schema(text_schema(pos)).csv(paths)
     return _with_file(raw), pos
 
 
@@ -106,38 +106,52 @@ def header_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str
     if accepted is not None:
         lines = lines.join(accepted.select(F.col("path").alias("_file_path")), "_file_path", "left_semi")
     first = lines.groupBy("_file_path").agg(F.min_by("value", "_rid").alias("h"))
-    cells = F.size(F.split("h", "\\Q" + delimiter + "\\E"))
-    return first.agg(F.coalesce(F.max(cells), F.lit(0)).alias("n")).first()["n"]
+    return first.agg(F.coalesce(F.max(field_count("h", delimiter)), F.lit(0)).alias("n")).first()["n"]
 
 
-def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) -> DataFrame:
+def field_count(text: str | F.Column, delimiter: str) -> F.Column:
+    """Fields of a line: delimiters outside quotes (with backslash as escape) and one."""
+    text = F.col(text) if isinstance(text, str) else text
+    unquoted = F.regexp_replace(text, r'(?s)"(?:[^"\\]|\\.|"")*"', "")
+    return F.size(F.split(unquoted, "\\Q" + (delimiter or ",") + "\\E"))
+
+
+def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",") -> DataFrame:
     """H2: per-file header line -> configured names; the header line itself is dropped.
 
-    ``raw`` carries positional text columns ``pos`` plus ``_file_path``, ``_block``
-    (split start) and ``_rid`` (row id increasing within a split).
+    ``raw`` carries positional text columns ``pos``, the corrupt-record column, ``_file_path``,
+    ``_block`` (split start) and ``_rid`` (row id increasing within a split). The parser fills the
+    corrupt-record column where a line hasn't as many fields as ``pos``; a line is bad if it hasn't
+    as many as its own file's header, blank fields included.
     """
     cells = F.array(*[F.col(c) for c in pos])
-    hdr = header_lines(raw, pos)
+    hdr = header_lines(raw, pos, delimiter)
     j = raw.join(hdr, raw["_file_path"] == hdr["_h_path"], "inner").filter(F.col("_rid") != F.col("_h_rid"))
     out = []
     for n in names:
         p = F.array_position(F.col("_header"), F.lit(n))
         out.append(F.when(p > 0, F.element_at(cells, p.cast("int"))).alias(n))
-    width = F.size(F.filter(F.col("_header"), lambda x: x.isNotNull()))
-    filled = F.size(F.filter(cells, lambda x: x.isNotNull()))
-    return j.select(*out, F.when(filled > width, F.concat_ws(",", cells)).alias(CORRUPT),
+    fields = _fields(pos, delimiter)
+    # Of a line that the parser took whole the text is put together again from its cells.
+    text = F.coalesce(F.col(CORRUPT), F.concat_ws(delimiter, *[F.coalesce(F.col(c), F.lit("")) for c in pos]))
+    return j.select(*out, F.when(fields != F.col("_h_fields"), text).alias(CORRUPT),
                     "_file_path", "_file_name", "_block", "_rid")
 
 
-def header_lines(raw: DataFrame, pos: Sequence[str]) -> DataFrame:
-    """One row per file: its header line (lower-cased, trimmed cells) and its row id.
+def _fields(pos: Sequence[str], delimiter: str) -> F.Column:
+    return F.when(F.col(CORRUPT).isNull(), F.lit(len(pos))).otherwise(field_count(CORRUPT, delimiter))
+
+
+def header_lines(raw: DataFrame, pos: Sequence[str], delimiter: str = ",") -> DataFrame:
+    """One row per file: its header line (lower-cased, trimmed cells), its number of fields and its row id.
     A partial aggregation over the first split of each file (``min_by`` row id)."""
     cells = F.array(*[F.col(c) for c in pos])
     first = (raw.filter(F.col("_block") == 0)
              .groupBy("_file_path", "_file_name")
-             .agg(F.min_by(F.struct(F.col("_rid").alias("rid"), cells.alias("cells")), F.col("_rid")).alias("_h")))
+             .agg(F.min_by(F.struct(F.col("_rid").alias("rid"), cells.alias("cells"),
+                                    _fields(pos, delimiter).alias("fields")), F.col("_rid")).alias("_h")))
     return first.select(F.col("_file_path").alias("_h_path"), F.col("_file_name").alias("_h_name"),
-                        F.col("_h.rid").alias("_h_rid"),
+                        F.col("_h.rid").alias("_h_rid"), F.col("_h.fields").alias("_h_fields"),
                         F.transform(F.col("_h.cells"), lambda x: F.lower(F.trim(x))).alias("_header"))
 
 
