@@ -6,6 +6,7 @@ Each query takes ``(spark, sf_dir)``, reads the driver tables below ``sf_dir``
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -718,6 +719,59 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("entry_name", "table_name", "line_no", *ORDER_VALUES)
 
 
+ML_VALUES = ["orderkey", "note", "orderpriority"]
+
+
+def _multi_line_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, F.Column]:
+    """Orders with a note of two lines that holds the delimiter and a quote, and their text as the source sends it."""
+    d = fx.dirty_orders(spark, sf_dir)
+    note = F.concat(F.col("orderstatus"), F.lit(';"'), F.col("totalprice"), F.lit('"\nline 2'))
+    quoted = F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return d, F.concat_ws(";", "orderkey", quoted, "orderpriority")
+
+
+@query("csv_quote_ml")
+def csv_quote_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4 / SRC-1: records of several lines (a quoted note with line ends, delimiters and escaped
+    quotes), landed directly and in archives: both give the same records."""
+    d, line = _multi_line_orders(spark, sf_dir)
+    root, zips = scratch_path(spark, "ml-landing"), scratch_path(spark, "ml-zips")
+    ld.write_text_with_header(d, root, ML_VALUES, line)
+    direct = dl.read_delimited(spark, root, ML_VALUES, header_mode="FIRST_LINE", delimiter=";", multiline=True)
+    direct = direct.select(F.regexp_extract("_file_path", r"landing_name=([^/]+)/", 1).alias("file_name"), *ML_VALUES,
+                           F.col(dl.CORRUPT).isNotNull().alias("corrupt"), F.lit("direct").alias("source"))
+    ld.write_zips(d, zips, ML_VALUES, line=line)
+    lines = ar.expand_archives(spark, zips, skip_header=False).filter("status = 'OK'")
+    parsed = ar.parse_lines(ar.records(lines, ["archive", "entry_name"]).filter("record_no > 1"), ML_VALUES, ";", dl.CORRUPT)
+    return direct.unionByName(parsed.select(F.col("entry_name").alias("file_name"), *ML_VALUES,
+                                            F.col(dl.CORRUPT).isNotNull().alias("corrupt"), F.lit("archive").alias("source")))
+
+
+@query("zip_json")
+def zip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1 / SRC-9: the dirty orders as JSON entries of archives, read as landed JSON files are."""
+    d = fx.dirty_orders(spark, sf_dir).withColumn("_file_name", F.regexp_replace("_file_name", "csv$", "json"))
+    root = scratch_path(spark, "zip-json-landing")
+    ld.write_zips(d, root, ORDER_VALUES, line=F.to_json(F.struct(*ORDER_VALUES)))
+    lines = ar.expand_archives(spark, root, skip_header=False).filter("status = 'OK'")
+    return ar.parse_json_lines(lines, ORDER_VALUES, dl.CORRUPT).select("entry_name", "table_name", "line_no", *ORDER_VALUES)
+
+
+@query("header_use_extra_cell")
+def header_use_extra_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5 / SRC-8 / FIL-15: under HEADER_USE a line with fewer or more fields than its file's header
+    is a bad record, kept whole; blank fields count."""
+    d = fx.dirty_orders(spark, sf_dir)
+    k = F.col("_line_order")
+    full, short = F.concat_ws(";", *ORDER_VALUES), F.concat_ws(";", *ORDER_VALUES[:-1])
+    line = F.when(k % 29 == 0, short).when(k % 31 == 0, F.concat(full, F.lit(";extra"))).otherwise(full)
+    root = scratch_path(spark, "header-use-landing")
+    ld.write_text_with_header(d, root, ORDER_VALUES, line)
+    bad = dl.corrupt_lines(dl.read_delimited(spark, root, ORDER_VALUES, header_mode="HEADER_USE", delimiter=";"))
+    return bad.select(F.regexp_extract("_file_path", r"landing_name=([^/]+)/", 1).alias("_file_name"),
+                      F.col(dl.CORRUPT).alias("corrupt_record"), *ORDER_VALUES)
+
+
 # -------------------------------------------------------------- streaming (H)
 
 EVENT_VALUES = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -845,6 +899,83 @@ def ingest_table_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.run(land, "r1", run_at=cm.AS_OF).outcomes.select("table_name", "filename", "status", "rows_ingested")
 
 
+def _orders_ingestion(spark: SparkSession, warehouse: str, mode: str | None = None, **params):
+    """An ingestion of the orders table alone, by another mode if given."""
+    from lakegate.plans.ingest import Ingestion, RunParams
+    from lakegate.plans.specs import column_sheet
+    rows = [r | ({"Ingestion mode": mode} if mode else {}) for r in fx.ORDERS_TABLE_ROWS]
+    return Ingestion(spark, table_sheet(spark, rows), column_sheet(spark, fx.ORDERS_COLUMN_ROWS), warehouse,
+                     RunParams(**params))
+
+
+def _landed(spark: SparkSession, df: DataFrame, name: str) -> str:
+    root = scratch_path(spark, name)
+    ld.write_named_csv(df, root, ORDER_VALUES, ";")
+    return root
+
+
+def _two_batches(spark: SparkSession, sf_dir: str, mode: str, warehouse: str) -> DataFrame:
+    """Both orders landings ingested by ``mode``, the re-sent orders a day later -> `_last`."""
+    from lakegate.plans.tables import read_current
+    run = _orders_ingestion(spark, warehouse, mode, duplicate_check_enabled=False, file_order_check_enabled=False)
+    before = (dt.datetime.fromisoformat(cm.AS_OF) - dt.timedelta(days=1)).isoformat(" ")
+    run.run(_landed(spark, fx.dirty_orders(spark, sf_dir), "first-landing"), "r1", run_at=before)
+    run.run(_landed(spark, fx.orders_batch2(spark, sf_dir), "second-landing"), "r2", run_at=cm.AS_OF)
+    return read_current(spark, f"{warehouse}/orders_last").select(*TECH_AND_VALUES)
+
+
+@query("ingest_upsert_buckets")
+def ingest_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-3 / JOI-1 in two runs: `_last` in buckets of the merge key, of which the second run rewrites
+    those that hold its keys."""
+    return _two_batches(spark, sf_dir, "DELTA_FROM_NON_HISTORIZED", scratch_path(spark, "upsert-warehouse"))
+
+
+@query("ingest_key_replace_buckets")
+def ingest_key_replace_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-5 / JOI-2 in two runs over a table in buckets."""
+    return _two_batches(spark, sf_dir, "FULL_KEY_REPLACE", scratch_path(spark, "key-replace-warehouse"))
+
+
+@query("ingest_rejected_snapshot")
+def ingest_rejected_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-1: a run whose only files are rejected by the tolerance gate leaves the snapshot as it was."""
+    from lakegate.plans.tables import read_current
+    wh = scratch_path(spark, "snapshot-warehouse")
+    run = _orders_ingestion(spark, wh, "FULL_SNAPSHOT")
+    dirty = fx.dirty_orders(spark, sf_dir)
+    run.run(_landed(spark, dirty, "snapshot-landing"), "r1", run_at=cm.AS_OF)
+    bad = dirty.withColumn("orderkey", F.lit("bad")).withColumn("_file_name", F.regexp_replace("_file_name", "_19", "_20"))
+    run.run(_landed(spark, bad, "rejected-landing"), "r2", run_at=cm.AS_OF)
+    return read_current(spark, f"{wh}/orders_last").select(*TECH_AND_VALUES)
+
+
+@query("ingest_same_names")
+def ingest_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-16 / FIL-17: files of one name in two folders are judged, counted and reported each on its own."""
+    root = scratch_path(spark, "same-names-landing")
+    dirty = fx.dirty_orders(spark, sf_dir)
+    ld.write_named_csv(dirty, f"{root}/a", ORDER_VALUES, ";")
+    ld.write_named_csv(dirty.filter(F.col("_line_order") % 2 == 0), f"{root}/b", ORDER_VALUES, ";")
+    run = _orders_ingestion(spark, scratch_path(spark, "same-names-warehouse"), duplicate_check_enabled=False)
+    out = run.run(root, "r1", run_at=cm.AS_OF).outcomes
+    return out.select(F.regexp_extract("path", "/([ab])/[^/]*$", 1).alias("folder"), "filename", "total_lines", "rejected_lines")
+
+
+@query("ingest_older_rerun")
+def ingest_older_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-11: two runs, then the first one again: it is judged as of its own time, so tracking stays as it was."""
+    from lakegate.plans.tables import read_runs
+    dirty, wh = fx.dirty_orders(spark, sf_dir), scratch_path(spark, "older-warehouse")
+    early = F.substring("_file_name", 8, 4) < "1995"
+    run = _orders_ingestion(spark, wh)
+    first = _landed(spark, dirty.filter(early), "older-landing")
+    run.run(first, "r1", run_at="2025-12-30 00:00:00")
+    run.run(_landed(spark, dirty.filter(~early), "newer-landing"), "r2", run_at="2025-12-31 00:00:00")
+    run.run(first, "r1", run_at=cm.AS_OF)
+    return read_runs(spark, f"{wh}/tracking").select("table_name", "filename", "status", "row_count")
+
+
 @query("files_by_table")
 def files_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-3 / SRC-11: landed files grouped per derived table (count, first / last name, folders)."""

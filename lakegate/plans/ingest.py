@@ -220,7 +220,7 @@ class Ingestion:
                                               charset=trule.charset, multiline=multiline, glob=glob)
                 raw = self._stage(kept(raw), f"{stage}/direct")
                 frames.append(dl.remap_by_header(raw, names, pos, trule.delimiter))
-                self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos)
+                self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos, trule.delimiter)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
                 r = self._stage(kept(dl.read_delimited(self.spark, landing_root, names, delimiter=trule.delimiter,
@@ -236,24 +236,32 @@ class Ingestion:
 
     def _archive_rows(self, trule: TableRule, names: list[str], header_use: bool, zip_lines: DataFrame,
                       accepted: DataFrame) -> DataFrame:
-        """Lines of the table's accepted archive entries, by the rules of directly landed files."""
-        mine = accepted.filter("from_archive").select(F.col("path").alias("_file_path"))
+        """Lines of the table's accepted archive entries, by the rules of directly landed files of their format."""
+        mine = accepted.filter("from_archive").select(F.col("path").alias("_file_path"), F.col("file_format").alias("_format"))
         raw = F.encode("line", "ISO-8859-1")  # the bytes, to be read in the sheet's charset
         utf8 = trule.charset.upper().replace("-", "") == "UTF8"
-        line = F.make_valid_utf8(raw.cast("string")) if utf8 else F.decode(raw, trule.charset)
-        z = (zip_lines.filter("status = 'OK'").join(mine, "_file_path", "left_semi")
-             .select("_file_path", F.col("entry_name").alias("_file_name"), line.alias("line"),
-                     F.lit(0).cast("long").alias("_block"), F.col("line_no").cast("long").alias("_rid")))
+        text = F.make_valid_utf8(raw.cast("string")) if utf8 else F.decode(raw, trule.charset)
+        z = (zip_lines.filter("status = 'OK'").join(mine, "_file_path")
+             .select("_file_path", F.col("entry_name").alias("_file_name"), "_format", "line_no", "row_no", "record_no",
+                     F.when(F.col("_format") == "json", F.make_valid_utf8(raw.cast("string"))).otherwise(text).alias("line")))
+        files = ["_file_path", "_file_name"]
+        numbered = [*files, F.lit(0).cast("long").alias("_block")]
+        rows = z.filter("row_no is not null").select(*numbered, "_format", F.col("row_no").alias("_rid"), "line")
+        from_json = ar.parse_json_lines(rows.filter("_format = 'json'").drop("_format"), names, dl.CORRUPT).drop("line")
+        if trule.input_format.endswith("_ml"):
+            z = ar.records(z.filter("_format <> 'json'"), files).select(*numbered, F.col("record_no").alias("_rid"), "line")
+        else:
+            z = rows.filter("_format <> 'json'").drop("_format")
         if not header_use:
             z = ar.parse_lines(z.filter("_rid > 1"), names, trule.delimiter, corrupt=dl.CORRUPT).drop("line")
-            return pj.drop_header_lines(z, names)
+            return pj.drop_header_lines(z, names).unionByName(from_json)
         width = z.filter("_rid = 1").agg(F.coalesce(F.max(dl.field_count("line", trule.delimiter)), F.lit(0)).alias("n")).first()["n"]
         pos = dl.positional_names(max(len(names), width))
         raw = ar.parse_lines(z, pos, trule.delimiter, corrupt=dl.CORRUPT).drop("line")
-        missing = dl.missing_by_header(raw, names, pos)
+        missing = dl.missing_by_header(raw, names, pos, trule.delimiter)
         before = self._missing.get(trule.table_name)
         self._missing[trule.table_name] = missing if before is None else before.unionByName(missing)
-        return dl.remap_by_header(raw, names, pos, trule.delimiter)
+        return dl.remap_by_header(raw, names, pos, trule.delimiter).unionByName(from_json)
 
     # ------------------------------------------------------------- run
     def _archives(self, landing_root: str, run_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -288,7 +296,11 @@ class Ingestion:
             files = files.unionByName(entries.withColumn("from_archive", F.lit(True)))
         described = fl.describe_files(files).withColumn("table_name", F.coalesce("table_hint", "table_name"))
         kinds = described.select("path", "from_archive")
-        gated = self.file_gates(described, run_id).join(kinds, "path").persist()
+        # A Parquet entry would have to be unpacked as a file of its own; it is refused by name, not read as text.
+        packed = F.col("from_archive") & (F.col("file_format") == "parquet") & F.col("gate_code").isNull()
+        gated = (self.file_gates(described, run_id).join(kinds, "path")
+                 .withColumn("gate_reason", F.when(packed, F.lit("Parquet inside an archive is not read")).otherwise(F.col("gate_reason")))
+                 .withColumn("gate_code", F.when(packed, F.lit("INVALID_ARCHIVE")).otherwise(F.col("gate_code"))).persist())
         accepted = gated.filter(F.col("gate_code").isNull()).select("table_name", "path", "filename", "file_date",
                                                                     "file_format", "from_archive")
         # What occurs: bounded by the configured tables and the formats, not by the files.
@@ -518,7 +530,7 @@ class Ingestion:
             seen_rows[batch_id] = raw.count()
             cached = raw
             if header_use:
-                self._missing[table] = dl.missing_by_header(raw, names, cols)
+                self._missing[table] = dl.missing_by_header(raw, names, cols, trule.delimiter)
                 raw = dl.remap_by_header(raw, names, cols, trule.delimiter)
             else:
                 raw = pj.drop_header_lines(raw, names)

@@ -53,9 +53,7 @@ def write_parquet(df: DataFrame, root: str, names: Sequence[str]) -> str:
     return root
 
 
-def _zip_writer(root: str, names: Sequence[str], delimiter: str):
-    header = delimiter.join(names)
-
+def _zip_writer(root: str, header: str):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         path = os.path.join(local_path(root), f"part-{uuid.uuid4().hex[:12]}.zip")
         entries, lines, current, fh = 0, 0, None, None
@@ -70,7 +68,8 @@ def _zip_writer(root: str, names: Sequence[str], delimiter: str):
                     if fh is not None:
                         fh.close()
                     fh = io.TextIOWrapper(zf.open(name, "w"), encoding="utf-8", newline="")
-                    fh.write(header + "\n")
+                    if not name.endswith(".json"):
+                        fh.write(header + "\n")
                     current, entries = name, entries + 1
                 fh.write(text + "\n")
                 lines += 1
@@ -82,17 +81,19 @@ def _zip_writer(root: str, names: Sequence[str], delimiter: str):
     return write
 
 
-def write_zips(df: DataFrame, root: str, names: Sequence[str], archives: int = 4, delimiter: str = ";") -> DataFrame:
+def write_zips(df: DataFrame, root: str, names: Sequence[str], archives: int = 4, delimiter: str = ";",
+               line: F.Column | None = None) -> DataFrame:
     """Zip archives written by tasks (each task streams its sorted lines into one
     archive, one entry per landed name).  The scratch folder must be a mounted
     path the Python workers can open (local disk in tests, a FUSE mount on a
-    cluster).  Returns the per-archive summary (already computed)."""
+    cluster).  ``line`` replaces the delimited cells; JSON entries get no header line.  Returns the per-archive summary (already computed)."""
     ensure_dir(root)
-    line = F.concat_ws(delimiter, *[F.coalesce(F.col(n), F.lit("")) for n in names])
+    if line is None:
+        line = F.concat_ws(delimiter, *[F.coalesce(F.col(n), F.lit("")) for n in names])
     body = (df.select(F.col("_file_name").alias(LANDING), F.col("_line_order").cast("long").alias("_o"),
                       line.alias("value"))
             .repartition(archives, LANDING).sortWithinPartitions(LANDING, "_o"))
-    summary = body.mapInPandas(_zip_writer(root, names, delimiter), "archive string, entries int, lines long")
+    summary = body.mapInPandas(_zip_writer(root, delimiter.join(names)), "archive string, entries int, lines long")
     rows = summary.collect()  # one small row per archive written; forces the write
     return df.sparkSession.createDataFrame(rows, "archive string, entries int, lines long")
 

@@ -1054,3 +1054,66 @@ def _():
     return f"""WITH {lineitem_typed_ctes()}, {lineitem_gate_ctes()}
 SELECT table_name, filename, status, rows_to_all AS rows_ingested FROM ({ORACLES["execution_report"]})
 UNION ALL SELECT 'lineitem', _file_name, 'ERROR', 0 FROM ldec"""
+
+
+def _with_process_date(batch: str) -> str:
+    return f"SELECT {TECH_COLS_SQL} FROM {batch}"
+
+
+@oracle("ingest_upsert_buckets")
+def _():
+    return f"WITH {batches_ctes()}, {UPSERT_SQL} {_with_process_date('ups')}"
+
+
+@oracle("ingest_key_replace_buckets")
+def _():
+    # Several files may hold a key: all its rows of the newest one stay.
+    def newest(b: str) -> str:
+        return f"""(SELECT {TECH_COLS_SQL} FROM (SELECT *, rank() OVER (PARTITION BY orderkey
+      ORDER BY FILE_EXTRACTION_DATE DESC NULLS LAST, FILE_NAME_RECEIVED DESC) AS rk FROM {b}) WHERE rk = 1)"""
+    return f"""WITH {batches_ctes()}
+SELECT * FROM {newest('b1l')} t WHERE NOT EXISTS (SELECT 1 FROM b2l s WHERE s.orderkey = t.orderkey)
+UNION ALL SELECT * FROM {newest('b2l')}"""
+
+
+@oracle("ingest_rejected_snapshot")
+def _():
+    return f"""WITH {batches_ctes()}, newest AS (
+  SELECT _file_name AS f FROM dec WHERE file_status = 'ACCEPTED' ORDER BY {file_date_sql('_file_name')} DESC, f DESC LIMIT 1)
+SELECT FILE_LINE_ID, FILE_NAME_RECEIVED, FILE_EXTRACTION_DATE, {AS_OF_SQL} AS FILE_PROCESS_DATE, {ORDER_VALUES_SQL}
+FROM b1l WHERE FILE_NAME_RECEIVED = (SELECT f FROM newest)"""
+
+
+@oracle("ingest_same_names")
+def _():
+    return f"""WITH {orders_typed_ctes()}, lines AS (
+  SELECT 'a' AS folder, _file_name AS filename, line_rejected FROM tx
+  UNION ALL SELECT 'b', _file_name, line_rejected FROM tx WHERE orderkey % 2 = 0)
+SELECT folder, filename, count(*) AS total_lines, count(*) FILTER (WHERE line_rejected) AS rejected_lines
+FROM lines GROUP BY folder, filename"""
+
+
+@oracle("ingest_older_rerun")
+def _():
+    return ORACLES["ingest_rerun_tracking"]
+
+
+@oracle("header_use_extra_cell")
+def _():
+    return ORACLES["corrupt_records"]
+
+
+@oracle("zip_json")
+def _():
+    vals = ", ".join(f"{c} AS {c}" for c in ORDER_VALUES_SQL.split(", "))
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT regexp_replace(_file_name, 'csv$', 'json') AS entry_name, 'orders' AS table_name,
+  row_number() OVER (PARTITION BY _file_name ORDER BY _line_order) AS line_no, {vals}
+FROM d"""
+
+
+@oracle("csv_quote_ml")
+def _():
+    return f"""WITH d AS ({DIRTY_ORDERS_SQL})
+SELECT _file_name AS file_name, orderkey, orderstatus || ';"' || totalprice || '"' || chr(10) || 'line 2' AS note,
+  orderpriority, false AS corrupt, source FROM d, (VALUES ('direct'), ('archive')) s(source)"""

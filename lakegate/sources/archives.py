@@ -4,12 +4,16 @@
 opens it in the task and streams its entries out in bounded chunks.  Entries
 starting with ``__MACOSX`` or '.', and folders, are skipped; an archive with no
 entry left is reported ``No valid files in ZIP``; an unreadable one ``Invalid
-ZIP file``.  Parsing the lines into columns is left to ``from_csv`` in the JVM.
+ZIP file``.  Parsing the lines into columns is left to ``from_csv`` and
+``from_json`` in the JVM, by the format that the entry would have as a landed file.
+Lines come with the number of the record they belong to where quoted fields may
+hold line ends; such records are put together by a grouping on that number.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
@@ -20,8 +24,10 @@ from pyspark.sql import functions as F
 
 from lakegate.functions.filenames import base_name, plain_path, table_from_filename
 
-LINES_SCHEMA = ("archive string, entry string, line_no long, line string, status string, error string")
+LINES_SCHEMA = ("archive string, entry string, line_no long, row_no long, record_no long, line string, status string, "
+                "error string")
 CHUNK = 50_000
+_QUOTES = re.compile(r'\\.|"')
 
 
 def _valid_entry(name: str) -> bool:
@@ -29,8 +35,28 @@ def _valid_entry(name: str) -> bool:
     return not (name.startswith("__MACOSX") or name.endswith("/") or leaf.startswith(".") or name.startswith("."))
 
 
-def _rows(archive: str, entry, line_no, line, status, error) -> dict:
-    return {"archive": archive, "entry": entry, "line_no": line_no, "line": line, "status": status, "error": error}
+def _rows(archive: str, entry, line_no, line, status, error, row_no=None, record_no=None) -> dict:
+    return {"archive": archive, "entry": entry, "line_no": line_no, "row_no": row_no, "record_no": record_no, "line": line,
+            "status": status, "error": error}
+
+
+class _Numbers:
+    """Numbers of the lines that hold anything, and of the records they belong to: a record goes on
+    while a quote is open (a backslash escapes one, a doubled one opens and closes)."""
+
+    def __init__(self):
+        self.row, self.record, self.open = 0, 0, False
+
+    def of(self, line: str) -> tuple[int | None, int | None]:
+        blank = not line.strip()
+        if not blank:
+            self.row += 1
+        if not self.open and not blank:
+            self.record += 1
+        numbers = (None if blank else self.row, None if blank and not self.open else self.record)
+        if '"' in line:
+            self.open ^= sum(m == '"' for m in _QUOTES.findall(line)) % 2 == 1
+        return numbers
 
 
 def _expand(batches: Iterator[pd.DataFrame], skip_header: bool, encoding: str) -> Iterator[pd.DataFrame]:
@@ -55,11 +81,14 @@ def _expand(batches: Iterator[pd.DataFrame], skip_header: bool, encoding: str) -
 
 def _entry_lines(zf: zipfile.ZipFile, archive: str, name: str, skip_header: bool, encoding: str) -> Iterator[pd.DataFrame]:
     buf: list[dict] = []
+    numbers = _Numbers()
     with zf.open(name) as fh:
         for n, raw in enumerate(io.TextIOWrapper(fh, encoding=encoding, newline="\n"), 1):
+            line = raw.rstrip("\r\n")
+            row_no, record_no = numbers.of(line)
             if skip_header and n == 1:
                 continue
-            buf.append(_rows(archive, name, n, raw.rstrip("\r\n"), "OK", None))
+            buf.append(_rows(archive, name, n, line, "OK", None, row_no, record_no))
             if len(buf) >= CHUNK:
                 yield pd.DataFrame(buf)
                 buf = []
@@ -91,6 +120,23 @@ def parse_lines(lines: DataFrame, names: Sequence[str], delimiter: str = ",", co
     return lines.select("*", parsed.alias("_p")).select("*", *[F.col("_p")[n].alias(n) for n in wanted]).drop("_p")
 
 
+def records(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Lines -> records ``keys, record_no, line``: the lines of one record joined by line ends.
+
+    A group is one record, however large its entry is.
+    """
+    return (lines.filter(F.col("record_no").isNotNull()).groupBy(*keys, "record_no")
+            .agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("_l"))
+            .select(*keys, "record_no", F.array_join(F.col("_l.line"), "\n").alias("line")))
+
+
+def parse_json_lines(lines: DataFrame, names: Sequence[str], corrupt: str) -> DataFrame:
+    """JSON lines -> text columns, and the text of lines that aren't JSON."""
+    schema = ", ".join(f"`{n}` string" for n in [*names, corrupt])
+    parsed = F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    return lines.select("*", parsed.alias("_p")).select("*", *[F.col("_p")[n].alias(n) for n in [*names, corrupt]]).drop("_p")
+
+
 def archive_report(lines: DataFrame) -> DataFrame:
     """Per archive: entries, lines, status and error (SRC-1 result dict as a frame)."""
     return lines.groupBy("archive").agg(

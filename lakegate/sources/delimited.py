@@ -155,9 +155,9 @@ def header_lines(raw: DataFrame, pos: Sequence[str], delimiter: str = ",") -> Da
                         F.transform(F.col("_h.cells"), lambda x: F.lower(F.trim(x))).alias("_header"))
 
 
-def missing_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str]) -> DataFrame:
+def missing_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",") -> DataFrame:
     """QUA-17 for HEADER_USE: per file, configured columns absent from its header."""
-    hdr = header_lines(raw, pos)
+    hdr = header_lines(raw, pos, delimiter)
     wanted = F.array(*[F.lit(n) for n in names])
     # array_contains is NULL (not false) when the value is absent and the header holds NULL cells
     missing = F.filter(wanted, lambda n: ~F.coalesce(F.array_contains(F.col("_header"), n), F.lit(False)))
