@@ -6,6 +6,7 @@ CODE_DUPLICATE_FILE = "000000002"
 CODE_FILE_ORDER = "000000003"
 CODE_COLUMN_COUNT = "000000006"
 CODE_FAIL_FAST = "000000007"
+FAIL_FAST_STOP = "FAIL_FAST_STOP"   # reason of the files behind one that failed fast
 
 # --- fixed values: cell values that mean "not set" in a configuration sheet -
 NULL_TOKENS = ("", "nan", "none", "null")

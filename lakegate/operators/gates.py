@@ -17,7 +17,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.constants import ACTION_ICT, CODE_FAIL_FAST
+from lakegate.constants import ACTION_ICT, CODE_FAIL_FAST, FAIL_FAST_STOP
 from lakegate.operators.rules import ERRORS, ICT_REJECTED, LINE_REJECTED, N_ERRORS, REJECT, is_enrichment
 from lakegate.plans.specs import ColumnRule
 
@@ -92,11 +92,23 @@ def file_decisions(stats: DataFrame, rules: Sequence[ColumnRule], params: GatePa
     )
 
 
+def stop_at_fail_fast(decisions: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """QUA-12: files behind the first one (by ``order``) that failed fast are NOT_STARTED and reach no sink."""
+    place = F.struct(*order)
+    first = decisions.filter("fail_fast").agg(F.min(place)).scalar()
+    behind = F.coalesce(place > first, F.lit(False))
+    return decisions.withColumns({
+        "file_status": F.when(behind, F.lit("NOT_STARTED")).otherwise(F.col("file_status")),
+        "file_reason": F.when(behind, F.lit(FAIL_FAST_STOP)).otherwise(F.col("file_reason")),
+        ROWS_TO_LAST: F.when(behind, F.lit(0)).otherwise(F.col(ROWS_TO_LAST)).cast("long"),
+        ROWS_TO_ALL: F.when(behind, F.lit(0)).otherwise(F.col(ROWS_TO_ALL)).cast("long")})
+
+
 def apply_file_gate(validated: DataFrame, decisions: DataFrame, params: GateParams,
                     file_col: str = "_file_name") -> DataFrame:
     """Lines + their file's decision -> routing flags for `_last`, `_all`, invalid lines."""
     d = decisions.select(F.col(file_col).alias("_gate_file"),
-                         (F.col("file_status") == "REJECTED").alias(FILE_REJECTED),
+                         (F.col("file_status") != "ACCEPTED").alias(FILE_REJECTED),
                          F.col("file_reason").alias(FILE_REASON))
     joined = validated.join(d, validated[file_col] == d["_gate_file"], "left").drop("_gate_file")
     file_ok = ~F.coalesce(F.col(FILE_REJECTED), F.lit(False))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,15 @@ def summary(invalid: DataFrame, table_name: str) -> DataFrame:
     ).select(F.lit(table_name).alias("table_name"), "*")
 
 
+def summary_of_tables(invalid: Mapping[str, DataFrame]) -> DataFrame:
+    """RPT-2 over all tables: lines and distinct files per table, reason and error type, with subtotals per reason,
+    per table and over all (``level`` 0 to 3; the columns summed over are NULL). One rollup, one shuffle."""
+    parts = [df.select(F.lit(t).alias("table_name"), "rejection_reason", "error_type", "filename") for t, df in invalid.items()]
+    return reduce(DataFrame.unionByName, parts).rollup("table_name", "rejection_reason", "error_type").agg(
+        F.bit_count(F.grouping_id()).cast("int").alias("level"), F.count(F.lit(1)).alias("lines"),
+        F.count_distinct("table_name", "filename").alias("files"))
+
+
 def latest(invalid: DataFrame, n: int = 10) -> DataFrame:
     """SRT-2: the latest ``n`` invalid lines (a top-k report) with their ``rank``."""
     order = [F.desc("rejection_date"), F.asc("filename"), F.asc("line_number")]

@@ -976,6 +976,103 @@ def ingest_older_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_runs(spark, f"{wh}/tracking").select("table_name", "filename", "status", "row_count")
 
 
+def _one_run(spark: SparkSession, sf_dir: str, name: str, **params):
+    """The orders landing ingested once -> (run result, warehouse)."""
+    wh = scratch_path(spark, f"{name}-warehouse")
+    land = _landed(spark, fx.dirty_orders(spark, sf_dir), f"{name}-landing")
+    return _orders_ingestion(spark, wh, **params).run(land, "r1", run_at=cm.AS_OF), wh
+
+
+@query("ingest_fail_fast")
+def ingest_fail_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-12 in a run: the first file past the threshold fails with 000000007, those behind it don't start;
+    neither has invalid lines, of the others every rejected line is one."""
+    result, wh = _one_run(spark, sf_dir, "fail-fast", fail_fast_enabled=True, fail_fast_threshold=30)
+    lines = spark.read.parquet(f"{wh}/orders_invalid_lines").groupBy("filename").agg(F.count(F.lit(1)).alias("invalid_lines"))
+    return result.outcomes.join(lines, "filename", "left").select(
+        "filename", "status", "error_code", "rows_ingested", F.coalesce("invalid_lines", F.lit(0)).alias("invalid_lines"))
+
+
+@query("ingest_error_log")
+def ingest_error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 / SET-1: the error log of a run, one row per error of every column."""
+    _, wh = _one_run(spark, sf_dir, "error-log")
+    return spark.read.parquet(f"{wh}/orders_errors").select(
+        "table_name", "filename", "line_number", "error_pos", "column", "code", "action", "message", "raw_value")
+
+
+@query("ingest_mode_stats")
+def ingest_mode_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MOD-9: mode, rows handed to it and tables written."""
+    return _one_run(spark, sf_dir, "mode-stats")[0].mode_stats
+
+
+@query("ingest_quality_issues")
+def ingest_quality_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QUA-15 / QUA-16 in a run: keys that the accepted lines repeat (every third order is sent once more)."""
+    dirty = fx.dirty_orders(spark, sf_dir)
+    wh = scratch_path(spark, "issues-warehouse")
+    land = _landed(spark, dirty.unionByName(dirty.filter(F.col("_line_order") % 3 == 0)), "issues-landing")
+    _orders_ingestion(spark, wh).run(land, "r1", run_at=cm.AS_OF)
+    return spark.read.parquet(f"{wh}/orders_quality_issues").select(
+        "table_name", "filename", "column_name", "key_value", "error_message", "error_count")
+
+
+@query("ingest_retention")
+def ingest_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIL-13 / QUA-21 in storage: what two runs, 60 days apart, leave after a purge (30 days of invalid lines,
+    90 of tracking): rows per file in both tables."""
+    from lakegate.plans.tables import read_runs
+    dirty, wh = fx.dirty_orders(spark, sf_dir), scratch_path(spark, "purge-warehouse")
+    early = F.substring("_file_name", 8, 4) < "1995"
+    run = _orders_ingestion(spark, wh)
+    run.run(_landed(spark, dirty.filter(early), "purge-first"), "r1", run_at="2025-11-02 00:00:00")
+    run.run(_landed(spark, dirty.filter(~early), "purge-second"), "r2", run_at=cm.AS_OF)
+    run.purge("2026-01-10 00:00:00")
+    parts = [read_runs(spark, f"{wh}/{t}").select(F.lit(t).alias("kept_in"), "filename")
+             for t in ("orders_invalid_lines", "tracking")]
+    return parts[0].unionByName(parts[1]).groupBy("kept_in", "filename").agg(F.count(F.lit(1)).alias("kept_rows"))
+
+
+@query("history_type_change")
+def history_type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-7: runs of a table whose columns changed their type (int to bigint, decimal to double, date to text,
+    one column more) read as one table of the wider types."""
+    from lakegate.plans import tables as tb
+    o, root = fx.table(spark, sf_dir, "orders"), scratch_path(spark, "type-change")
+    tb.write_run(o.filter("o_orderkey % 2 = 0").select(
+        F.col("o_orderkey").cast("int").alias("orderkey"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.col("o_orderdate").cast("date").alias("day")), root, "a")
+    tb.write_run(o.filter("o_orderkey % 2 <> 0").select(
+        F.col("o_orderkey").cast("long").alias("orderkey"), F.col("o_totalprice").cast("decimal(18,2)").cast("double").alias("price"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderstatus").alias("status")), root, "b")
+    return tb.read_runs(spark, root).select("orderkey", "price", "day", "status")
+
+
+@query("parquet_types")
+def parquet_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-9: Parquet files of one landing whose columns differ in type, read as text."""
+    o, root = fx.table(spark, sf_dir, "orders"), scratch_path(spark, "parquet-types")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    o.filter("o_orderkey % 2 = 0").select(key.cast("int").alias("orderkey"), cust.cast("long").alias("custkey")) \
+        .write.parquet(f"{root}/a")
+    o.filter("o_orderkey % 2 <> 0").select(key.cast("string").alias("orderkey"), F.col("o_orderstatus").alias("status")) \
+        .write.parquet(f"{root}/b")
+    names = ["orderkey", "custkey", "status"]
+    return dl.read_parquet_as_text(spark, root, names, glob="*.parquet").select(*names)
+
+
+@query("invalid_lines_all_tables")
+def invalid_lines_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-2 over all tables: invalid lines of orders and lineitem with subtotals."""
+    parts = {}
+    for kind, values in (("orders", ORDER_VALUES), ("lineitem", LINEITEM_VALUES)):
+        v = cm.validated(spark, sf_dir, kind).withColumn("_raw", F.lit(None).cast("string"))
+        parts[kind] = il.invalid_lines(v, values, id_col="_line_order", line_col="_line_order", raw_col="_raw",
+                                       rejection_date=cm.as_of())
+    return il.summary_of_tables(parts)
+
+
 @query("files_by_table")
 def files_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-3 / SRC-11: landed files grouped per derived table (count, first / last name, folders)."""

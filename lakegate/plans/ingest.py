@@ -37,7 +37,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.constants import (CODE_COLUMN_COUNT, FORMAT_BY_EXTENSION, HEADER_USE, MODE_FULL_KEY_REPLACE,
+from lakegate.constants import (CODE_COLUMN_COUNT, CODE_FAIL_FAST, FAIL_FAST_STOP, FORMAT_BY_EXTENSION, HEADER_USE, MODE_FULL_KEY_REPLACE,
                                 MODE_FULL_SNAPSHOT, MODE_HISTORIZED, MODE_UPSERT)
 from lakegate.functions.dates import file_date
 from lakegate.functions.filenames import base_name, table_from_filename
@@ -46,9 +46,9 @@ from lakegate.operators import invalid_lines as il
 from lakegate.operators import modes as md
 from lakegate.operators import projections as pj
 from lakegate.operators import tracking as tk
-from lakegate.operators.gates import (ROWS_TO_ALL, ROWS_TO_LAST, TO_ALL, TO_LAST, GateParams, apply_file_gate,
-                                      file_decisions, file_stats)
-from lakegate.operators.quality import file_line_numbers
+from lakegate.operators.gates import (FILE_REASON, ROWS_TO_ALL, ROWS_TO_LAST, TO_ALL, TO_LAST, GateParams,
+                                      apply_file_gate, file_decisions, file_stats, stop_at_fail_fast)
+from lakegate.operators.quality import file_line_numbers, quality_issues
 from lakegate.operators.rules import explode_errors, validate
 from lakegate.plans import buckets as bk
 from lakegate.plans import reports as rp
@@ -213,7 +213,7 @@ class Ingestion:
             if fmt == "json":
                 frames.append(kept(dl.read_json(self.spark, landing_root, names, glob=glob)))
             elif fmt == "parquet":
-                frames.append(kept(dl.read_parquet_as_text(self.spark, landing_root, names, glob=glob)))
+                frames.append(kept(dl.read_parquet_as_text(self.spark, landing_root, names, glob=glob, accepted=mine)))
             elif header_use:
                 width = max(len(names), dl.header_width(self.spark, landing_root, trule.delimiter, mine, glob))
                 raw, pos = dl.read_positional(self.spark, landing_root, width, delimiter=trule.delimiter,
@@ -232,7 +232,7 @@ class Ingestion:
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f, allowMissingColumns=True)
-        return out
+        return out if dl.CORRUPT in out.columns else out.withColumn(dl.CORRUPT, F.lit(None).cast("string"))  # Parquet alone
 
     def _archive_rows(self, trule: TableRule, names: list[str], header_use: bool, zip_lines: DataFrame,
                       accepted: DataFrame) -> DataFrame:
@@ -388,9 +388,14 @@ class Ingestion:
         dec = dec.withColumn("file_reason", F.when(bad_cols, F.lit(CODE_COLUMN_COUNT)).otherwise(F.col("file_reason"))) \
                  .withColumn("file_status", F.when(bad_cols, F.lit("REJECTED")).otherwise(F.col("file_status"))) \
                  .withColumn(ROWS_TO_LAST, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_LAST)).cast("long")) \
-                 .withColumn(ROWS_TO_ALL, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_ALL)).cast("long")) \
-                 .persist()
+                 .withColumn(ROWS_TO_ALL, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_ALL)).cast("long"))
+        if p.fail_fast_enabled:  # judged on the counts, before any sink of the table is written
+            dec = stop_at_fail_fast(dec, [file_date(F.col("_file_name")), F.col("_file_name"), F.col("_file_path")])
+        dec = dec.persist()
         routed = apply_file_gate(v, dec, gp, "_file_path")
+        # A file that failed fast leaves its errors; the files behind it leave nothing.
+        begun = routed.filter(F.coalesce(F.col(FILE_REASON) != FAIL_FAST_STOP, F.lit(True)))
+        reported = begun.filter(F.coalesce(F.col(FILE_REASON) != CODE_FAIL_FAST, F.lit(True)))
         business = [r.name for r in rules]
         tech = lambda df: pj.with_technical_columns(
             df, business, line_col="line_number", file_col="_file_name",
@@ -437,7 +442,7 @@ class Ingestion:
         elif mode == MODE_FULL_SNAPSHOT and any_taken and latest:
             writes.append(lambda: tb.write_run_version(res.last, last_root, run_id, p.kept_versions))
         # SNK-3: error log, one row per recorded error (appended as this run's folder)
-        errors = explode_errors(v, ["_file_name", "line_number"]).select(
+        errors = explode_errors(begun, ["_file_name", "line_number"]).select(
             F.lit(trule.table_name).alias("table_name"), F.col("_file_name").alias("filename"), "line_number",
             "error_pos", "column", "code", "action", "message", "raw_value")
         missing = self._missing.pop(trule.table_name, None)
@@ -453,25 +458,30 @@ class Ingestion:
         writes.append(lambda: errors.write.mode("overwrite").parquet(errors_root))
         paths_out["errors"] = self.path(f"{trule.table_name}_errors")
         # SRC-8: lines the parser could not map (bad records), kept verbatim
-        bad = v.filter(F.col(dl.CORRUPT).isNotNull()).select(
+        bad = begun.filter(F.col(dl.CORRUPT).isNotNull()).select(
             F.col("_file_name").alias("filename"), "line_number", F.col(dl.CORRUPT).alias("raw_line"))
         bad_root = self.path(f"{trule.table_name}_bad_records", f"run={run_id}")
         writes.append(lambda: bad.write.mode("overwrite").parquet(bad_root))
         paths_out["bad_records"] = self.path(f"{trule.table_name}_bad_records")
         if p.invalid_lines_generated:
             line_id = F.xxhash64(F.lit(run_id), "_file_path", "line_number")
-            inv = il.invalid_lines(routed.withColumn("_line_id", line_id), business, id_col="_line_id", line_col="line_number", raw_col="_raw_data",
-                                   rejection_date=processed)
+            inv = il.invalid_lines(reported.withColumn("_line_id", line_id), business, id_col="_line_id", line_col="line_number",
+                                   raw_col="_raw_data", rejection_date=processed)
             inv_root = self.path(f"{trule.table_name}_invalid_lines", f"run={run_id}")
             writes.append(lambda: inv.write.mode("overwrite").parquet(inv_root))
             paths_out["invalid_lines"] = self.path(f"{trule.table_name}_invalid_lines")
+        # QUA-15/16: keys that the accepted lines repeat, files whose columns are all empty
+        issues = quality_issues(reported.filter(F.col(TO_LAST)), reported, keys, business, trule.table_name)
+        issues_root = self.path(f"{trule.table_name}_quality_issues", f"run={run_id}")
+        writes.append(lambda: issues.write.mode("overwrite").parquet(issues_root))
+        paths_out["quality_issues"] = self.path(f"{trule.table_name}_quality_issues")
         _concurrently(writes, p.concurrent_jobs)
         o = dec.select(
             F.lit(trule.table_name).alias("table_name"), "path", F.col("_file_name").alias("filename"),
             file_date(F.col("_file_name")).alias("file_date"),
             F.col("total_lines").cast("long"), F.col("rejected_lines").cast("long"),
             F.col(ROWS_TO_ALL).alias("rows_ingested"),
-            F.when(F.col("total_lines") == 0, F.lit("SKIPPED"))
+            F.when((F.col("total_lines") == 0) | (F.col("file_status") == "NOT_STARTED"), F.lit("SKIPPED"))
              .when(F.col("file_status") == "ACCEPTED", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
             F.col("file_reason").alias("error_code"), F.col("file_reason").alias("reason"))
         outcomes = o
@@ -500,6 +510,15 @@ class Ingestion:
         t = F.lit(as_of).cast("timestamp_ntz")
         return tk.retain(inv, t, self.params.invalid_lines_cleanup_days, date_col="rejection_date")
 
+    def purge(self, as_of: str) -> dict[str, tuple[int, int]]:
+        """FIL-13 / QUA-21 in storage: rows outside the retention windows are removed from the tracking table and
+        the invalid lines; per table the number of run folders dropped and rewritten."""
+        p, day = self.params, dt.datetime.fromisoformat(as_of).date()
+        windows = {"tracking": ("processed_date", p.tracking_cleanup_days)} | {
+            f"{t}_invalid_lines": ("rejection_date", p.invalid_lines_cleanup_days) for t in self.tables}
+        return {name: tb.expire_runs(self.spark, self.path(name), column, str(day - dt.timedelta(days=days)))
+                for name, (column, days) in windows.items()}
+
     # ------------------------------------------------------------- stream
     def run_stream(self, landing_root: str, table: str, checkpoint: str, run_prefix: str,
                    max_files_per_trigger: int | None = None, run_at: str | None = None):

@@ -1117,3 +1117,74 @@ def _():
     return f"""WITH d AS ({DIRTY_ORDERS_SQL})
 SELECT _file_name AS file_name, orderkey, orderstatus || ';"' || totalprice || '"' || chr(10) || 'line 2' AS note,
   orderpriority, false AS corrupt, source FROM d, (VALUES ('direct'), ('archive')) s(source)"""
+
+
+@oracle("ingest_fail_fast")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {orders_gate_ctes(fail_fast=30)},
+stop AS (SELECT min(_file_name) AS f FROM dec WHERE fail_fast),
+w AS (SELECT _file_name, count(*) FILTER (WHERE to_all) AS n FROM rt GROUP BY _file_name)
+SELECT _file_name AS filename,
+  CASE WHEN _file_name > f THEN 'SKIPPED' WHEN file_status = 'ACCEPTED' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+  CASE WHEN _file_name > f THEN 'FAIL_FAST_STOP' ELSE file_reason END AS error_code,
+  CASE WHEN _file_name > f THEN 0 ELSE n END AS rows_ingested,
+  CASE WHEN _file_name >= f THEN 0 ELSE rejected_lines END AS invalid_lines
+FROM dec JOIN w USING (_file_name), stop"""
+
+
+@oracle("ingest_error_log")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {error_rows_cte()},
+ln AS (SELECT _file_name, _line_order, row_number() OVER (PARTITION BY _file_name ORDER BY _line_order) AS line_number FROM tx)
+SELECT 'orders' AS table_name, _file_name AS filename, line_number, error_pos, "column", code, action, message,
+  nullif(raw_value, '') AS raw_value  -- a blank cell of a file is NULL
+FROM err JOIN ln USING (_file_name, _line_order)"""
+
+
+@oracle("ingest_mode_stats")
+def _():
+    return f"""WITH {orders_typed_ctes()}, {orders_gate_ctes()}
+SELECT 'orders' AS table_name, 'DELTA_FROM_NON_HISTORIZED' AS mode, count(*) AS rows, true AS last_written, true AS all_written
+FROM rt WHERE to_last"""
+
+
+@oracle("ingest_quality_issues")
+def _():
+    twice = f"SELECT * FROM ({DIRTY_ORDERS_SQL}) UNION ALL SELECT * FROM ({DIRTY_ORDERS_SQL}) WHERE _line_order % 3 = 0"
+    return f"""WITH {orders_typed_ctes(twice)}, {orders_gate_ctes()}
+SELECT 'orders' AS table_name, CAST(NULL AS VARCHAR) AS filename, 'orderkey' AS column_name,
+  CAST(orderkey AS VARCHAR) AS key_value, 'DUPLICATE_KEY' AS error_message, count(*) AS error_count
+FROM rt WHERE to_last GROUP BY orderkey HAVING count(*) > 1"""
+
+
+@oracle("ingest_retention")
+def _():
+    return f"""WITH {orders_typed_ctes()}
+SELECT 'orders_invalid_lines' AS kept_in, _file_name AS filename, count(*) AS kept_rows
+FROM tx WHERE line_rejected AND substr(_file_name, 8, 4) >= '1995' GROUP BY _file_name
+UNION ALL SELECT DISTINCT 'tracking', _file_name, 1 FROM tx"""
+
+
+@oracle("history_type_change")
+def _():
+    return """SELECT CAST(o_orderkey AS BIGINT) AS orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price,
+  strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_orderkey % 2 <> 0 THEN o_orderstatus END AS status FROM orders"""
+
+
+@oracle("parquet_types")
+def _():
+    return """SELECT CAST(o_orderkey AS VARCHAR) AS orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) END AS custkey,
+  CASE WHEN o_orderkey % 2 <> 0 THEN o_orderstatus END AS status FROM orders"""
+
+
+@oracle("invalid_lines_all_tables")
+def _():
+    return f"""WITH {invalid_lines_cte()}, {lineitem_typed_ctes()},
+every AS (
+  SELECT 'orders' AS table_name, rejection_reason, error_type, filename FROM inv WHERE line_rejected
+  UNION ALL SELECT 'lineitem', CASE WHEN reject THEN 'REJECT' ELSE 'ICT_DRIVEN' END, regexp_extract(error_codes, '^[^:]*:([^;]*)', 1),
+    _file_name FROM lt WHERE line_rejected)
+SELECT table_name, rejection_reason, error_type,
+  CAST(grouping(table_name) + grouping(rejection_reason) + grouping(error_type) AS INTEGER) AS level,
+  count(*) AS lines, count(DISTINCT (table_name, filename)) AS files
+FROM every GROUP BY ROLLUP (table_name, rejection_reason, error_type)"""

@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakegate.functions.types import wider_type
 from lakegate.plans.buckets import BUCKET, read_buckets
 
 
@@ -138,4 +141,53 @@ def read_runs(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
             and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
     if not done:
         return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*done)
+    return merged(spark, done, root)
+
+
+def merged(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
+    """Parquet folders or files as one frame (SNK-7): columns of any of them; types that differ become the wider one.
+
+    Spark merges the schemas in one job.  Only where it can't, because a column has
+    changed its type, the paths are read by schema (one footer each) and cast.
+    """
+    reader = spark.read if base is None else spark.read.option("basePath", base)
+    try:
+        return reader.option("mergeSchema", "true").parquet(*paths)
+    except Exception as exc:  # a Java exception that PySpark gives no class of its own
+        if "CANNOT_MERGE" not in str(exc):
+            raise
+    by_schema: dict[tuple, list[str]] = {}
+    for path in paths:
+        by_schema.setdefault(tuple(reader.parquet(path).dtypes), []).append(path)
+    types: dict[str, str] = {}
+    for schema in by_schema:
+        for name, kind in schema:
+            types[name] = wider_type(types.get(name, kind), kind)
+    frames = [reader.parquet(*same).select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c, _ in schema])
+              for schema, same in by_schema.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def expire_runs(spark: SparkSession, root: str, date_col: str, oldest: str) -> tuple[int, int]:
+    """Remove rows older than ``oldest`` from an append-only table: run folders that hold no other rows are
+    dropped, only mixed ones are rewritten. Returns how many folders were dropped and rewritten."""
+    table = read_runs(spark, root)
+    if table is None:
+        return 0, 0
+    old = F.col(date_col) < F.lit(oldest).cast("timestamp_ntz")
+    folder = F.regexp_extract(F.input_file_name(), "/run=([^/]+)/", 1)
+    found = (table.groupBy(folder.alias("run_folder")).agg(F.count_if(old).alias("old"), F.count(F.lit(1)).alias("n"))
+             .filter("old > 0").collect())  # one row per run folder
+    fs, _, jvm = _fs(spark, root)
+    rewritten = 0
+    for r in found:
+        path = f"{root.rstrip('/')}/run={r['run_folder']}"
+        if r["old"] < r["n"]:
+            aside = f"{root.rstrip('/')}/.kept-{r['run_folder']}"  # hidden from readers; the folder itself is being replaced
+            spark.read.parquet(path).filter(~old).write.mode("overwrite").parquet(aside)
+            spark.read.parquet(aside).write.mode("overwrite").parquet(path)
+            fs.delete(jvm.org.apache.hadoop.fs.Path(aside), True)
+            rewritten += 1
+        else:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+    return len(found) - rewritten, rewritten

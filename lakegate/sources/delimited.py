@@ -16,6 +16,7 @@ Header modes:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,7 +134,7 @@ def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], de
         out.append(F.when(p > 0, F.element_at(cells, p.cast("int"))).alias(n))
     fields = _fields(pos, delimiter)
     # Of a line that the parser took whole the text is put together again from its cells.
-    text = F.coalesce(F.col(CORRUPT), F.concat_ws(delimiter, *[F.coalesce(F.col(c), F.lit("")) for c in pos]))
+    text = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*pos), {"sep": delimiter or ","}))
     return j.select(*out, F.when(fields != F.col("_h_fields"), text).alias(CORRUPT),
                     "_file_path", "_file_name", "_block", "_rid")
 
@@ -192,9 +193,29 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], names: Sequence[s
 
 
 def read_parquet_as_text(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str] | None = None,
-                         merge_schema: bool = True, glob: str | None = None) -> DataFrame:
-    """SRC-9 / SNK-7: Parquet (schema-merged) cast to text."""
+                         glob: str | None = None, accepted: DataFrame | None = None) -> DataFrame:
+    """SRC-9 / SNK-7: Parquet (schema-merged) cast to text; a column that no file has is NULL.
+
+    Files whose types can't be merged, of one table or of another one that the file-name pattern
+    covers too, are read by schema: those of ``accepted`` (column ``path``) only, one footer each.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = _file_reader(spark.read, False, glob)
-    df = reader.option("mergeSchema", "true" if merge_schema else "false").parquet(*paths)
-    return _with_file(as_text_columns(df, names))
+
+    def text(df: DataFrame) -> DataFrame:
+        here = {c.lower(): c for c in df.columns}
+        lacking = [n for n in names or [] if n.lower() not in here]
+        df = df.withColumns({n: F.lit(None).cast("string") for n in lacking}) if lacking else df
+        return _with_file(as_text_columns(df, names and [here.get(n.lower(), n) for n in names]))
+    try:
+        return text(reader.option("mergeSchema", "true").parquet(*paths))
+    except Exception as exc:  # a Java exception that PySpark gives no class of its own
+        if "CANNOT_MERGE" not in str(exc):
+            raise
+    files = [r["path"] for r in accepted.collect()] if accepted is not None else \
+        _file_reader(spark.read, False, glob).option("mergeSchema", "false").parquet(*paths).inputFiles()
+    by_schema: dict[tuple, list[str]] = {}
+    for file in files:
+        by_schema.setdefault(tuple(spark.read.parquet(file).dtypes), []).append(file)
+    parts = [text(spark.read.parquet(*same)) for same in by_schema.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
