@@ -945,7 +945,8 @@ def ingest_rejected_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _orders_ingestion(spark, wh, "FULL_SNAPSHOT")
     dirty = fx.dirty_orders(spark, sf_dir)
     run.run(_landed(spark, dirty, "snapshot-landing"), "r1", run_at=cm.AS_OF)
-    bad = dirty.withColumn("orderkey", F.lit("bad")).withColumn("_file_name", F.regexp_replace("_file_name", "_19", "_20"))
+    bad = dirty.withColumns({c: F.lit("bad") for c in ("orderkey", "custkey", "totalprice", "orderdate")}) \
+        .withColumn("_file_name", F.regexp_replace("_file_name", "_19", "_20"))
     run.run(_landed(spark, bad, "rejected-landing"), "r2", run_at=cm.AS_OF)
     return read_current(spark, f"{wh}/orders_last").select(*TECH_AND_VALUES)
 
