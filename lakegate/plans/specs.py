@@ -350,7 +350,24 @@ def resolve_table_config(files: DataFrame, table_conf: DataFrame, table_col: str
     exact = first_of(files.join(conf, t == F.col("cfg_table_name"), "left"))
     if not allow_substring:
         return exact
-    # Only the names that no row matches exactly meet all rows of the (small) sheet.
+    # Only names that no row matches exactly go on; containment is equality with a substring, so it stays an equi-join.
     rest = exact.filter(F.col("cfg_table_name").isNull()).select(*key_cols)
-    near = t.contains(F.col("cfg_table_name")) | F.col("cfg_table_name").contains(t)
-    return exact.filter(F.col("cfg_table_name").isNotNull()).unionByName(first_of(rest.join(conf, near, "left")))
+    names = rest.select(t.alias("_name")).distinct()
+    lengths = [r[0] for r in conf.select(F.length("cfg_table_name")).distinct().collect() if r[0]]  # of the sheet's names
+    within = names.select("_name", F.explode(_substrings(F.col("_name"), lengths)).alias("_part"))
+    around = conf.select("*", F.explode(_substrings(F.col("cfg_table_name"), range(max(lengths, default=0) + 1))).alias("_part"))
+    near = within.join(conf, F.col("_part") == F.col("cfg_table_name")).select("_name", *conf.columns).unionByName(
+        names.join(around, F.col("_part") == F.col("_name")).select("_name", *conf.columns))
+    best = near.groupBy("_name").agg(F.min_by(F.struct(*conf.columns), "cfg_position").alias("_cfg"))
+    found = rest.join(best, t == F.col("_name"), "left").select(*key_cols, *[F.col("_cfg")[c].alias(c) for c in conf.columns])
+    return exact.filter(F.col("cfg_table_name").isNotNull()).unionByName(found)
+
+
+def _substrings(text: Column, lengths: Iterable[int]) -> Column:
+    """All substrings of ``text`` that have one of the ``lengths``, each once."""
+    def of(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+        return F.when(F.length(text) >= size, F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))).otherwise(
+            F.array().cast("array<string>"))
+    parts = [of(n) for n in lengths if n > 0] + ([F.array(F.lit(""))] if 0 in lengths else [])
+    return F.array_distinct(F.concat(*parts)) if parts else F.array().cast("array<string>")

@@ -57,3 +57,21 @@ def test_white_space_cells_and_java_patterns(spark):
     rows = [{"Delta Table Name": "a", "Column Name": "c", "Transformation Type": "regex",
              "Transformation pattern": r"\p{L}+", "Regex replacement": " "}]
     assert load_column_rules(column_sheet(spark, rows), "a")[0].replacement == " "
+
+
+def test_substring_lookup_is_an_equi_join(spark):
+    """FIL-18: exact name, then a name contained either way, the first in sheet order; no nested loop."""
+    from lakegate.plans.specs import normalise_table_sheet, resolve_table_config, table_sheet
+    sheet = ["salesarchive", "sales", "ale", "stock", "x" * 60]
+    conf = normalise_table_sheet(table_sheet(spark, [{"Delta Table Name": n} for n in sheet]))
+    names = ["sales", "sales2", "mysalesarchive", "sto", "whole", "", None, "none", "x" * 59, "sales2"]
+    files = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, table_name string")
+    got = resolve_table_config(files, conf, allow_substring=True)
+
+    def expected(name):
+        if name is None or name in sheet:
+            return name
+        return next((s for s in sheet if s in name or name in s), None)
+    assert {r["i"]: r["cfg_table_name"] for r in got.collect()} == {i: expected(n) for i, n in enumerate(names)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
