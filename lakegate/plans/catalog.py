@@ -816,6 +816,15 @@ def stream_events_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(staging)
 
 
+@query("stream_staging_stats")
+def stream_staging_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-2 / STR-3: the staging tables found below a folder, and the rows that the run of one reported."""
+    s = st.landing_stream(spark, write_events_landing(spark, sf_dir), EVENT_VALUES, "json", max_files_per_trigger=20)
+    base = scratch_path(spark, "staging-base")
+    stats = st.stage(s.drop("_file_path"), f"{base}/events_staging", scratch_path(spark, "staging-stats-ckpt"))
+    return st.list_staging_tables(spark, base).withColumns({"reported_rows": F.lit(stats.rows), "status": F.lit(stats.status)})
+
+
 @query("stream_upsert_events")
 def stream_upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MOD-3 inside foreachBatch: latest event per user, compared by (ts, event_id)."""

@@ -1188,3 +1188,8 @@ SELECT table_name, rejection_reason, error_type,
   CAST(grouping(table_name) + grouping(rejection_reason) + grouping(error_type) AS INTEGER) AS level,
   count(*) AS lines, count(DISTINCT (table_name, filename)) AS files
 FROM every GROUP BY ROLLUP (table_name, rejection_reason, error_type)"""
+
+
+@oracle("stream_staging_stats")
+def _():
+    return "SELECT 'events_staging' AS table_name, count(*) AS reported_rows, 'SUCCESS' AS status FROM events"

@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from lakegate.functions.filenames import base_name, plain_path
 from lakegate.plans import tables as tb
@@ -47,9 +46,6 @@ def landing_stream(spark: SparkSession, root: str, names: Sequence[str], fmt: st
     return df.select("*", base_name(path).alias("_file_name"), path.alias("_file_path"))
 
 
-KEPT_REPORTS = 1 << 20
-
-
 @dataclass
 class RunStats:
     rows: int
@@ -57,30 +53,38 @@ class RunStats:
     status: str  # SUCCESS / NO_DATA
 
 
-def run_available_now(query: StreamingQuery) -> RunStats:
-    """STR-2: wait for an availableNow query; rows = sum over all progress reports
-    (``lastProgress`` alone only covers the last micro-batch)."""
-    query.awaitTermination()
-    progress = [p for p in query.recentProgress if p]
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    batches = len({p.get("batchId") for p in progress if int(p.get("numInputRows", 0)) > 0})
-    return RunStats(rows, batches, "SUCCESS" if rows > 0 else "NO_DATA")
+def committed_batches(spark: SparkSession, checkpoint: str) -> int:
+    """Micro-batches that a query with this checkpoint has committed so far (batch ids count from 0)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n) + 1 for n in names if n.isdigit()), default=0)
+
+
+def _staged_rows(spark: SparkSession, path: str) -> int:
+    """Rows that the sink's log names; Parquet footers alone are read."""
+    jvm = spark.sparkContext._jvm
+    log = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    exists = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+    return spark.read.parquet(path).count() if exists else 0
 
 
 def stage(stream: DataFrame, staging_path: str, checkpoint: str, query_name: str | None = None) -> RunStats:
-    """SNK-1: append the stream to ``<table>_staging`` (Parquet file sink) and run once."""
+    """SNK-1 / STR-2: append the stream to ``<table>_staging`` (Parquet file sink) and run once.
+
+    Rows and batches are counted from what the sink and the checkpoint have committed, so their number
+    doesn't matter: a query keeps only its latest progress reports, ``lastProgress`` only the last one.
+    """
+    spark = stream.sparkSession
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if query_name:
         w = w.queryName(query_name)
-    # The rows are summed over all progress reports, so all of them must be kept (100 are by default).
-    conf, key = stream.sparkSession.conf, "spark.sql.streaming.numRecentProgressUpdates"
-    before = conf.get(key)
-    conf.set(key, str(KEPT_REPORTS))
-    try:
-        return run_available_now(w.start(staging_path))
-    finally:
-        conf.set(key, before)
+    rows, batches = _staged_rows(spark, staging_path), committed_batches(spark, checkpoint)
+    w.start(staging_path).awaitTermination()
+    rows = _staged_rows(spark, staging_path) - rows
+    return RunStats(rows, committed_batches(spark, checkpoint) - batches, "SUCCESS" if rows else "NO_DATA")
 
 
 def latest_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
