@@ -534,11 +534,10 @@ def orders_batch(spark: SparkSession, sf_dir: str, second: bool = False) -> tupl
 
 @query("mode_full_snapshot")
 def mode_full_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MOD-1: `_last` after two snapshots = the second batch."""
-    l1, a1 = orders_batch(spark, sf_dir)
-    l2, a2 = orders_batch(spark, sf_dir, second=True)
-    r1 = md.full_snapshot(None, None, l1)
-    return md.full_snapshot(r1.last, r1.all, l2).last
+    """MOD-1: after two snapshots `_last` is the second batch, `_all` holds both."""
+    first = md.full_snapshot(None, None, orders_batch(spark, sf_dir)[0])
+    both = md.full_snapshot(first.last, first.all, orders_batch(spark, sf_dir, second=True)[0])
+    return both.last.withColumn("kept_in", F.lit("last")).unionByName(both.all.withColumn("kept_in", F.lit("all")))
 
 
 @query("mode_delta_flow")

@@ -860,7 +860,8 @@ ups AS (
 
 @oracle("mode_full_snapshot")
 def _():
-    return f"WITH {batches_ctes()} SELECT * FROM b2l"
+    return f"""WITH {batches_ctes()} SELECT *, 'last' AS kept_in FROM b2l
+UNION ALL SELECT *, 'all' FROM b1l UNION ALL SELECT *, 'all' FROM b2l"""
 
 
 @oracle("mode_full_snapshot_files")
