@@ -42,3 +42,10 @@ def transform(c: Column | str, kind: str | None, pattern: str | None = None,
     if kind == "regex" and pattern:
         return F.regexp_replace(c, F.lit(pattern), F.lit(replacement or ""))
     return c
+
+
+def field_count(text: Column | str, delimiter: str) -> Column:
+    """Fields of a line: delimiters outside quotes (with backslash as escape) and one."""
+    text = F.col(text) if isinstance(text, str) else text
+    unquoted = F.regexp_replace(text, r'(?s)"(?:[^"\\]|\\.|"")*"', "")
+    return F.size(F.split(unquoted, "\\Q" + (delimiter or ",") + "\\E"))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.constants import ACTION_ICT, CODE_FAIL_FAST, FAIL_FAST_STOP
+from lakegate.functions.text import field_count
 from lakegate.operators.rules import ERRORS, ICT_REJECTED, LINE_REJECTED, N_ERRORS, REJECT, is_enrichment
 from lakegate.plans.specs import ColumnRule
 
@@ -131,11 +132,9 @@ def column_count_gate(lines: DataFrame, text_col: str, delimiter: str, expected:
                       file_col: str = "_file_name") -> DataFrame:
     """FIL-15: per file, min/max number of delimited fields vs the configured count.
 
-    A quoted delimiter is not a field separator here: the count uses Spark's CSV
-    parser (``from_csv`` would need a schema), so a plain split is used and the
-    input must be unquoted text (as the reference assumes).
+    Delimiters inside quotes separate nothing.
     """
-    n = F.size(F.split(F.col(text_col), _regex_literal(delimiter)))
+    n = field_count(text_col, delimiter)
     stats = lines.groupBy(file_col).agg(F.min(n).alias("min_fields"), F.max(n).alias("max_fields"),
                                         F.count(F.lit(1)).alias("total_lines"))
     bad = (F.col("min_fields") != expected) | (F.col("max_fields") != expected)
@@ -145,8 +144,3 @@ def column_count_gate(lines: DataFrame, text_col: str, delimiter: str, expected:
         F.when(bad, F.lit("000000006")).alias("error_code"),
         F.when(bad, F.lit("REJECTED")).otherwise(F.lit("ACCEPTED")).alias("file_status"),
     )
-
-
-def _regex_literal(s: str) -> str:
-    import re
-    return re.escape(s)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from lakegate.constants import HEADER_USE
 from lakegate.functions.filenames import base_name, plain_path
+from lakegate.functions.text import field_count
 
 CORRUPT = "_corrupt_record"
 
@@ -110,13 +111,6 @@ def header_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str
     return first.agg(F.coalesce(F.max(field_count("h", delimiter)), F.lit(0)).alias("n")).first()["n"]
 
 
-def field_count(text: str | F.Column, delimiter: str) -> F.Column:
-    """Fields of a line: delimiters outside quotes (with backslash as escape) and one."""
-    text = F.col(text) if isinstance(text, str) else text
-    unquoted = F.regexp_replace(text, r'(?s)"(?:[^"\\]|\\.|"")*"', "")
-    return F.size(F.split(unquoted, "\\Q" + (delimiter or ",") + "\\E"))
-
-
 def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",") -> DataFrame:
     """H2: per-file header line -> configured names; the header line itself is dropped.
 

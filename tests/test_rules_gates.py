@@ -107,3 +107,12 @@ def test_ict_flagged_denominator(spark):
     df = frame(spark, [("x", "1", "1", "1")], ["a", "b", "c", "d"]).withColumn("_file_name", F.lit("f.csv"))
     assert validate(df, rules, ict=50).collect()[0]["_ict_rejected"] is False          # 1/4 = 25 %
     assert validate(df, rules, ict=50, ict_mode="flagged").collect()[0]["_ict_rejected"] is True  # 1/1
+
+
+def test_column_count_ignores_delimiters_in_quotes(spark):
+    from lakegate.operators.gates import column_count_gate
+    lines = spark.createDataFrame([("a.csv", '1;"x;y";2'), ("a.csv", '1;"q\\";";2'), ("b.csv", "1;2"), ("b.csv", "1;2;3")],
+                                  "_file_name string, line string")
+    got = {r["_file_name"]: (r["min_fields"], r["max_fields"], r["file_status"])
+           for r in column_count_gate(lines, "line", ";", 3).collect()}
+    assert got == {"a.csv": (3, 3, "ACCEPTED"), "b.csv": (2, 3, "REJECTED")}
