@@ -3,8 +3,9 @@
 A low-discrepancy schedule: slot ``i`` is mapped to the golden-ratio point
 ``frac(i / phi)``, which picks a source through the cumulative weights; a slot's
 rank among its source's slots picks one of the source's shuffled blocks of equal
-token counts, going round the source again when it is through.  Ranks and token
-offsets are prefix sums over many small buckets, so a source with a third of all
+token counts, going round the source again when it is through.  A source's last
+slot takes a part of its block, so that its words are its target's, rounded, however
+small the source is.  Ranks and token offsets are prefix sums over many small buckets, so a source with a third of all
 rows is never one task.
 
 Defined results
@@ -78,22 +79,29 @@ def running_total(df: DataFrame, group: str, bucket: str, order: list, value: Co
             .withColumn(name, F.col("_start") + F.col("_inside")).drop("_v", "_start", "_inside"))
 
 
-def schedule(targets: DataFrame, total: int, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Slots ``slot, _i (source), rank``: golden-ratio points through cumulative target shares."""
-    spark = targets.sparkSession
+def schedule(wanted: DataFrame, total: int) -> DataFrame:
+    """Slots ``_i (source), rank``: golden-ratio points through the cumulative numbers of slots that sources want.
+
+    ``wanted`` has ``_i, slots`` per source, ``total`` slots in all.  A source has as many slots as it wants: the
+    points give it that many but for their small discrepancy, which is dropped or added behind them.
+    """
+    spark = wanted.sparkSession
     last = F.lead("_i").over(W.orderBy("_i")).isNull()
-    ends = (targets.where("target > 0")
-            .withColumn("_end", F.when(last, F.lit(float("inf"))).otherwise(F.sum("target").over(W.orderBy("_i"))))
+    ends = (wanted.where("slots > 0")
+            .withColumn("_end", F.when(last, F.lit(float("inf"))).otherwise(F.sum("slots").over(W.orderBy("_i")).cast("double")))
             .agg(F.sort_array(F.collect_list(F.struct("_end", "_i"))).alias("a")))
     ends = stored(ends)
-    slots = -(-total // block_words)
     point = (F.pmod(F.pmod("id", F.lit(1 << 31)) * F.lit(GOLDEN_31), F.lit(1 << 31)) + F.lit(0.5)) / F.lit(float(1 << 31))
-    drawn = spark.range(slots).select(F.col("id").alias("slot"), (point * F.lit(float(total))).alias("_u"),
+    drawn = spark.range(total).select(F.col("id").alias("slot"), (point * F.lit(float(total))).alias("_u"),
                                       ends.scalar().alias("_ends"))
     hit = F.element_at(F.filter("_ends", lambda e: e["_end"] > F.col("_u")), 1)["_i"]
     picked = (drawn.select("slot", hit.alias("_i"))
               .withColumn("_chunk", F.floor(F.col("slot") / F.lit(SLOT_CHUNK))))
-    return running_total(picked, "_i", "_chunk", ["slot"], F.lit(1), "rank").drop("_chunk")
+    ranked = running_total(picked, "_i", "_chunk", ["slot"], F.lit(1), "rank")
+    got = F.coalesce("_got", F.lit(0))
+    lacking = (wanted.join(picked.groupBy("_i").agg(F.count(F.lit(1)).alias("_got")), "_i", "left").where(got < F.col("slots"))
+               .select("_i", F.explode(F.sequence(got, F.col("slots") - 1)).alias("rank")))
+    return ranked.join(wanted, "_i").where("rank < slots").select("_i", "rank").unionByName(lacking)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_REPEAT,
@@ -102,7 +110,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_R
     sized = stored(with_row_id(docs).select(
         "_row", "doc_id", "source", word_count(text_or_empty()).alias("size")))
     targets = stored(source_targets(sized.select("source", "size"), weights, repeat))
-    total = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("t")).first()["t"]
+    # A source's target in whole rounds through its blocks, whole blocks of a last round, and a part of one block.
+    b = F.lit(block_words)
+    goal, rest = F.floor(F.col("target") + F.lit(0.5)), F.col("_goal") % F.col("source_size")
+    wanted = stored(targets.where("source_size > 0").withColumn("_goal", goal).select(
+        "_i", F.ceil(F.col("source_size") / b).alias("_blocks"), (rest % b).alias("_part"),
+        F.expr("_goal div source_size").alias("_rounds"), F.floor(rest / b).alias("_more")).select(
+        "_i", "_blocks", "_part", (F.col("_rounds") * F.col("_blocks") + F.col("_more")).alias("_whole"))
+        .withColumn("slots", F.col("_whole") + F.when(F.col("_part") > 0, 1).otherwise(0)))
+    total = wanted.agg(F.coalesce(F.sum("slots"), F.lit(0)).alias("t")).first()["t"]
     tagged = (sized.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
               .drop("_s").withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     if not total:
@@ -110,18 +126,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = MAX_R
     bucket = F.conv(F.substring("_key", 1, 4), 16, 10).cast("int") % F.lit(buckets)
     placed = stored(running_total(tagged.withColumn("_bucket", bucket), "_i", "_bucket", ["_key", "_row"],
                                         F.col("size"), "_at").drop("_bucket", "_key"))
-    blocks = targets.select("_i", F.ceil(F.col("source_size") / F.lit(block_words)).alias("_blocks"))
-    used = (schedule(targets, total, block_words).join(blocks, "_i")
-            .where(F.col("rank") < F.col("_blocks") * F.lit(repeat))
-            .groupBy("_i", (F.col("rank") % F.col("_blocks")).alias("_block")).agg(F.count(F.lit(1)).alias("_times")))
-    b = F.lit(block_words)
+    words = F.when(F.col("rank") < F.col("_whole"), b).otherwise(F.col("_part"))
+    used = (schedule(wanted.select("_i", "slots"), total).join(wanted.drop("slots"), "_i")
+            .groupBy("_i", (F.col("rank") % F.col("_blocks")).alias("_block"), words.alias("_words"))
+            .agg(F.count(F.lit(1)).alias("_times")))
     pieces = (placed.where("size > 0")
               .select("_row", "_i", "_at", "size", F.explode(F.sequence(
                   F.floor(F.col("_at") / b), F.floor((F.col("_at") + F.col("size") - 1) / b))).alias("_block"))
-              .select("_row", "_i", "_block", (F.least(F.col("_at") + F.col("size"), (F.col("_block") + 1) * b)
-                                               - F.greatest(F.col("_at"), F.col("_block") * b)).alias("_part")))
-    taken = (pieces.join(used, ["_i", "_block"]).groupBy("_row")
-             .agg(F.sum(F.col("_part") * F.col("_times")).alias("taken")))
+              .select("_row", "_i", "_block", F.greatest(F.col("_at") - F.col("_block") * b, F.lit(0)).alias("_from"),
+                      F.least(F.col("_at") + F.col("size") - F.col("_block") * b, b).alias("_to")))
+    part = F.greatest(F.least(F.col("_to"), F.col("_words")) - F.col("_from"), F.lit(0))
+    taken = (pieces.join(used, ["_i", "_block"]).groupBy("_row").agg(F.sum(part * F.col("_times")).alias("taken")))
     return (placed.join(taken, "_row", "left")
             .select("_row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 

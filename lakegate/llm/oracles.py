@@ -48,25 +48,35 @@ rated AS (
 common AS (SELECT first(rate ORDER BY ratio, i) AS c FROM rated WHERE rate <= ratio),
 targets AS (
   SELECT source, i, source_size, CASE WHEN rate > ratio THEN cap ELSE least(cap, c * w) END AS target FROM rated, common),
-whole AS (SELECT sum(source_size)::BIGINT AS t FROM targets),
+goals AS (
+  SELECT i, source_size::BIGINT AS n, floor(target + 0.5)::BIGINT AS goal, CAST(ceil(source_size / {BLOCK_WORDS}.0) AS BIGINT) AS b
+  FROM targets WHERE source_size > 0),
+wanted AS (
+  SELECT i, b, goal % n % {BLOCK_WORDS} AS part, goal // n * b + goal % n // {BLOCK_WORDS} AS whole FROM goals),
+slotted AS (SELECT *, whole + CASE WHEN part > 0 THEN 1 ELSE 0 END AS slots FROM wanted),
+overall AS (SELECT sum(slots)::BIGINT AS t FROM slotted),
 ends AS (
   SELECT i, CASE WHEN lead(i) OVER (ORDER BY i) IS NULL THEN 'infinity'::DOUBLE
-    ELSE sum(target) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) END AS e FROM targets WHERE target > 0),
+    ELSE sum(slots) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) END AS e FROM slotted WHERE slots > 0),
 points AS (
   SELECT s AS slot, ((s % 2147483648) * {GOLDEN_31} % 2147483648 + 0.5::DOUBLE) / 2147483648.0::DOUBLE * t::DOUBLE AS u
-  FROM whole, range(0, (t + {BLOCK_WORDS - 1}) // {BLOCK_WORDS}) r(s)),
-slots AS (
+  FROM overall, range(0, t) r(s)),
+hits AS (
   SELECT i, row_number() OVER (PARTITION BY i ORDER BY slot) - 1 AS rank
   FROM (SELECT slot, min(i) AS i FROM points JOIN ends ON e > u GROUP BY slot)),
+got AS (SELECT i, count(*) AS n FROM hits GROUP BY i),
+ranks AS (
+  SELECT i, rank FROM hits JOIN slotted USING (i) WHERE rank < slots
+  UNION ALL
+  SELECT i, unnest(range(coalesce(n, 0)::BIGINT, slots::BIGINT)) FROM slotted LEFT JOIN got USING (i)),
 used AS (
-  SELECT i, rank % b AS block, count(*) AS times
-  FROM slots JOIN (SELECT i, CAST(ceil(source_size / {BLOCK_WORDS}.0) AS BIGINT) AS b FROM targets) USING (i)
-  WHERE rank < b * {MAX_REPEAT} GROUP BY i, rank % b),
+  SELECT i, rank % b AS block, CASE WHEN rank < whole THEN {BLOCK_WORDS} ELSE part END AS words, count(*) AS times
+  FROM ranks JOIN slotted USING (i) GROUP BY ALL),
 pieces AS (
   SELECT doc_id, source, pos, size, unnest(range(CAST(pos // {BLOCK_WORDS} AS BIGINT),
     CAST((pos + size - 1) // {BLOCK_WORDS} AS BIGINT) + 1)) AS block FROM placed WHERE size > 0),
 taken AS (
-  SELECT doc_id, sum((least(pos + size, (block + 1) * {BLOCK_WORDS}) - greatest(pos, block * {BLOCK_WORDS})) * times) AS taken
+  SELECT doc_id, sum(greatest(least(pos + size, block * {BLOCK_WORDS} + words) - greatest(pos, block * {BLOCK_WORDS}), 0) * times) AS taken
   FROM pieces JOIN targets t ON t.source IS NOT DISTINCT FROM pieces.source JOIN used USING (i, block) GROUP BY doc_id)
 SELECT p.doc_id, p.size::BIGINT AS size, t.source_size::BIGINT AS source_size, t.target, coalesce(k.taken, 0)::BIGINT AS taken
 FROM placed p JOIN targets t ON t.source IS NOT DISTINCT FROM p.source LEFT JOIN taken k ON k.doc_id = p.doc_id
