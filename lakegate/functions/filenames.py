@@ -21,6 +21,11 @@ def plain_path(path: Column | str) -> Column:
     return F.url_decode(F.replace(col_of(path), F.lit("+"), F.lit("%2B")))
 
 
+def as_literal_path(path: str) -> str:
+    """A path for a reader that takes patterns: signs of patterns stand for themselves."""
+    return "".join("\\" + c if c in "\\*?[]{}" else c for c in path)
+
+
 def strip_extension(fname: Column | str) -> Column:
     """Drop the last '.ext' (a leading dot alone is not an extension)."""
     return F.regexp_replace(col_of(fname), r"(?<=.)\.[^.]*$", "")

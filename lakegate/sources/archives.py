@@ -1,9 +1,20 @@
-"""Archive expansion (SRC-1, H6): zip landings -> lines, one task per archive.
+"""Archive expansion (SRC-1, H6): zip landings -> lines, entries spread over tasks.
 
-``binaryFile`` yields one row per archive (content < 2 GB); ``mapInPandas``
-opens it in the task and streams its entries out in bounded chunks.  Entries
-starting with ``__MACOSX`` or '.', and folders, are skipped; an archive with no
-entry left is reported ``No valid files in ZIP``; an unreadable one ``Invalid
+The text source cuts archives at the four bytes that begin every entry, so an
+archive is read like any large file: in splits, by ranged reads, by as many tasks
+as it has splits.  These pieces are stored once; the places of a piece are prefix
+sums of lengths, per split and then over an archive's splits, on rows without the
+bytes.  An archive's directory, at its end, names the entries and their places: a
+piece that begins where no entry does (the four bytes also occur by chance, or in
+archives within archives) belongs to the entry before it.  An entry is then opened
+by its own task, as an archive of this entry alone, so that checksums and
+compression methods are those of ``zipfile``.
+
+Bounds: an entry of up to 2 GB compressed, whatever the size of its archive; an
+archive's directory (about 100 bytes an entry) is read by one task.
+
+Entries starting with ``__MACOSX`` or '.', and folders, are skipped; an archive with
+no entry left is reported ``No valid files in ZIP``; an unreadable one ``Invalid
 ZIP file``.  Parsing the lines into columns is left to ``from_csv`` and
 ``from_json`` in the JVM, by the format that the entry would have as a landed file.
 Lines come with the number of the record they belong to where quoted fields may
@@ -14,19 +25,34 @@ from __future__ import annotations
 
 import io
 import re
+import struct
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakegate.functions.filenames import base_name, plain_path, table_from_filename
+from lakegate.session import scratch_path
+from lakegate.sources.landing import list_files
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
 
 LINES_SCHEMA = ("archive string, entry string, line_no long, row_no long, record_no long, line string, status string, "
                 "error string")
 CHUNK = 50_000
+ZIPS = "*.[zZ][iI][pP]"
+ENTRY_MARK = "PK\x03\x04"
+"""The bytes before every entry."""
+END_BYTES = 66_000
+"""No less than the end records of an archive and the longest comment behind them."""
+_DIRECTORY_SCHEMA = "archive string, at long, name string, valid boolean, record binary, error string"
+_BROKEN = (zipfile.BadZipFile, OSError, ValueError, RuntimeError, NotImplementedError, EOFError, zlib.error, struct.error)
 _QUOTES = re.compile(r'\\.|"')
 
 
@@ -59,24 +85,112 @@ class _Numbers:
         return numbers
 
 
+# ------------------------------------------------------------- pieces and their places
+def _pieces(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    """``archive, block, rid, n, piece``: archives cut at the entry marks, in the order of ``block, rid``."""
+    raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", ZIPS)
+           .option("lineSep", ENTRY_MARK).text(root if isinstance(root, str) else list(root)))
+    piece = F.col("value").cast("binary")
+    return raw.select(plain_path("_metadata.file_path").alias("archive"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("rid"), F.octet_length(piece).cast("long").alias("n"),
+                      piece.alias("piece"))
+
+
+def _places(pieces: DataFrame) -> DataFrame:
+    """``archive, block, rid, n, at``: where in its archive each piece begins, its mark not counted."""
+    taken = F.col("n") + F.lit(len(ENTRY_MARK))
+    inside = W.partitionBy("archive", "block").orderBy("rid").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("archive").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    sums = pieces.groupBy("archive", "block").agg(F.sum(taken).alias("_s"))
+    starts = sums.select("archive", "block", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_start"))
+    return (pieces.select("archive", "block", "rid", "n", F.coalesce(F.sum(taken).over(inside), F.lit(0)).alias("_in"))
+            .join(starts, ["archive", "block"])
+            .select("archive", "block", "rid", "n", (F.col("_start") + F.col("_in")).alias("at")))
+
+
+def _last_bytes(pieces: DataFrame, places: DataFrame, archives: DataFrame) -> DataFrame:
+    """``archive, tail``: the last ``wanted`` bytes of ``archives`` (``archive, length, wanted``), in parts."""
+    first = F.col("length") - F.col("wanted")
+    near = (places.join(archives, "archive").where(F.col("at") + F.col("n") > first)
+            .select("archive", "block", "rid", "at", F.greatest(first - F.col("at"), F.lit(0)).cast("int").alias("cut")))
+    part = F.expr("substring(piece, cut + 1)")
+    return (pieces.join(near, ["archive", "block", "rid"]).groupBy("archive")
+            .agg(F.sort_array(F.collect_list(F.struct("at", part.alias("part"))))["part"].alias("tail")))
+
+
+# ------------------------------------------------------------- directories
+def _end_of(tail: bytes) -> tuple[int, int] | None:
+    """From an archive's last bytes: how far before its end the directory begins, and the place it is said to have."""
+    at = tail.rfind(b"PK\x05\x06")
+    if at < 0 or len(tail) - at < 22:
+        return None
+    size, place = struct.unpack("<LL", tail[at + 12:at + 20])
+    wide = at - 76  # the end record and locator of archives with 64-bit places
+    if wide >= 0 and tail[at - 20:at - 16] == b"PK\x06\x07" and tail[wide:wide + 4] == b"PK\x06\x06":
+        size, place = struct.unpack("<QQ", tail[wide + 40:wide + 56])
+        at = wide
+    return len(tail) - at + size, place
+
+
+def _ends(tails: pd.Series) -> pd.DataFrame:
+    found = [None if t is None else _end_of(ENTRY_MARK.encode().join(map(bytes, t))) for t in tails]
+    return pd.DataFrame([f or (None, None) for f in found], columns=["wanted", "place"]).astype("Int64")
+
+
+def _alone(record: bytes, body: bytes = b"") -> zipfile.ZipFile:
+    """An archive of one entry, from its directory record."""
+    end = struct.pack("<4s4H2LH", b"PK\x05\x06", 0, 0, 1, 1, len(record), len(body), 0)
+    return zipfile.ZipFile(io.BytesIO(b"".join((body, record, end))))
+
+
+def _entries(tail: bytes, behind: int, place: int, length: int) -> Iterator[tuple[int, str, bytes]]:
+    """Per directory record where the entry's piece begins, the entry's name, and the record."""
+    pos = len(tail) - behind
+    shift = length - behind - place  # bytes put before the archive
+    if pos < 0 or shift < 0:
+        raise zipfile.BadZipFile("bad place of the directory")
+    while tail[pos:pos + 4] == b"PK\x01\x02":
+        record = tail[pos:pos + 46 + sum(struct.unpack("<3H", tail[pos + 28:pos + 34]))]
+        info = _alone(record).infolist()[0]
+        yield info.header_offset + shift + len(ENTRY_MARK), info.filename, record[:42] + bytes(4) + record[46:]
+        pos += len(record)
+    if tail[pos:pos + 4] not in (b"PK\x05\x06", b"PK\x06\x06"):
+        raise zipfile.BadZipFile("bad magic number in the directory")
+
+
+def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["archive", "at", "name", "valid", "record", "error"]
+    for pdf in batches:
+        for archive, tail, behind, place, length in zip(pdf["archive"], pdf["tail"], pdf["wanted"], pdf["place"], pdf["length"]):
+            rows, any_valid = [], False
+            try:
+                for at, name, record in _entries(ENTRY_MARK.encode().join(map(bytes, tail)), behind, place, length):
+                    valid = _valid_entry(name)
+                    any_valid |= valid
+                    rows.append((archive, at, name, valid, record, None))
+                    if len(rows) >= CHUNK:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+                if not any_valid:
+                    rows.append((archive, None, None, False, None, "No valid files in ZIP"))
+            except _BROKEN as exc:
+                rows.append((archive, None, None, False, None, f"Invalid ZIP file: {exc}"))
+            yield pd.DataFrame(rows, columns=columns).astype({"at": "Int64"})
+
+
+# ------------------------------------------------------------- entries
 def _expand(batches: Iterator[pd.DataFrame], skip_header: bool, encoding: str) -> Iterator[pd.DataFrame]:
+    mark = ENTRY_MARK.encode()
     for pdf in batches:
-        for archive, content in zip(pdf["path"], pdf["content"]):
+        for archive, name, record, pieces in zip(pdf["archive"], pdf["name"], pdf["record"], pdf["pieces"]):
+            yield pd.DataFrame([_rows(archive, name, 0, None, "ENTRY", None)])
             try:
-                zf = zipfile.ZipFile(io.BytesIO(content))
-                names = [n for n in zf.namelist() if _valid_entry(n)]
-            except (zipfile.BadZipFile, OSError, ValueError) as exc:
-                yield pd.DataFrame([_rows(archive, None, None, None, "ERROR", f"Invalid ZIP file: {exc}")])
-                continue
-            if not names:
-                yield pd.DataFrame([_rows(archive, None, None, None, "ERROR", "No valid files in ZIP")])
-                continue
-            for name in names:
-                yield pd.DataFrame([_rows(archive, name, 0, None, "ENTRY", None)])
-                try:
+                if not len(pieces):
+                    raise zipfile.BadZipFile("no entry at the place in the directory")
+                with _alone(bytes(record), mark + mark.join(map(bytes, pieces))) as zf:
                     yield from _entry_lines(zf, archive, name, skip_header, encoding)
-                except (zipfile.BadZipFile, OSError, ValueError, RuntimeError, NotImplementedError, EOFError, zlib.error) as exc:
-                    yield pd.DataFrame([_rows(archive, name, None, None, "ERROR", f"Invalid ZIP entry: {exc}")])
+            except _BROKEN as exc:
+                yield pd.DataFrame([_rows(archive, name, None, None, "ERROR", f"Invalid ZIP entry: {exc}")])
 
 
 def _entry_lines(zf: zipfile.ZipFile, archive: str, name: str, skip_header: bool, encoding: str) -> Iterator[pd.DataFrame]:
@@ -96,19 +210,65 @@ def _entry_lines(zf: zipfile.ZipFile, archive: str, name: str, skip_header: bool
         yield pd.DataFrame(buf)
 
 
-def expand_archives(spark: SparkSession, root: str, skip_header: bool = True,
-                    encoding: str = "utf-8") -> DataFrame:
+def archive_entries(spark: SparkSession, root: str | Sequence[str], stage: str) -> DataFrame:
+    """``archive, name, record, pieces, error``: one row per entry to be read, or per archive that can't be.
+
+    ``stage`` is a folder of the shared store where the pieces are kept.
+    """
+    _pieces(spark, root).write.mode("overwrite").parquet(f"{stage}/pieces")
+    pieces = spark.read.parquet(f"{stage}/pieces")
+    _places(pieces).write.mode("overwrite").parquet(f"{stage}/places")
+    places = spark.read.parquet(f"{stage}/places")
+    ends_of = F.pandas_udf(_ends, "wanted long, place long")
+    archives = list_files(spark, root, ZIPS).select(F.col("path").alias("archive"), "length")
+    last = _last_bytes(pieces, places, archives.withColumn("wanted", F.lit(END_BYTES)))
+    ends = archives.join(last.select("archive", ends_of("tail").alias("_e")), "archive", "left").select(
+        "archive", "length", F.col("_e.wanted").alias("wanted"), F.col("_e.place").alias("place"))
+    found = ends.where("wanted <= length")
+    tails = _last_bytes(pieces, places, found.drop("place")).join(found, "archive")
+    (tails.mapInPandas(_directory, _DIRECTORY_SCHEMA)
+     .unionByName(ends.where("wanted is null or wanted > length").select(
+         "archive", F.lit(None).cast("long").alias("at"), F.lit(None).cast("string").alias("name"),
+         F.lit(False).alias("valid"), F.lit(None).cast("binary").alias("record"), F.lit("Invalid ZIP file: no directory at its end").alias("error")))
+     .write.mode("overwrite").parquet(f"{stage}/directory"))
+    directory = spark.read.parquet(f"{stage}/directory")
+    entries = directory.where("error is null")
+    # Every piece belongs to the last entry that begins at it or before; mostly an entry is one piece.
+    begins = entries.select("archive", "at", F.col("at").alias("_from")).distinct()
+    so_far = W.partitionBy("archive").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    owned = (places.join(begins, ["archive", "at"], "left")
+             .withColumn("_from", F.last("_from", ignorenulls=True).over(so_far)).where("_from is not null")
+             .withColumn("_pieces", F.count(F.lit(1)).over(W.partitionBy("archive", "_from"))))
+    valid = entries.where("valid")
+    wanted = owned.join(valid.select("archive", F.col("at").alias("_from")).distinct(), ["archive", "_from"], "left_semi")
+    bodies = pieces.join(wanted.select("archive", "block", "rid", "at", "_from", "_pieces"), ["archive", "block", "rid"])
+    whole = bodies.where("_pieces = 1").select("archive", "_from", F.array("piece").alias("pieces"))
+    parted = (bodies.where("_pieces > 1").groupBy("archive", "_from")
+              .agg(F.sort_array(F.collect_list(F.struct("at", "piece")))["piece"].alias("pieces")))
+    none = F.array().cast("array<binary>")
+    opened = (valid.withColumnRenamed("at", "_from").join(whole.unionByName(parted), ["archive", "_from"], "left")
+              .select("archive", "name", "record", F.coalesce("pieces", none).alias("pieces"), "error"))
+    return opened.unionByName(directory.where("error is not null").select(
+        "archive", "name", "record", none.alias("pieces"), "error"))
+
+
+def expand_archives(spark: SparkSession, root: str | Sequence[str], skip_header: bool = True,
+                    encoding: str = "utf-8", stage: str | None = None) -> DataFrame:
     """Lines of every zip below ``root`` + the entry's file name and table.
 
     Status ENTRY: one row per entry, also of an empty one; OK: a line; ERROR: an
     archive, or an entry, that can't be read (its other rows don't count).
+    ``stage`` is a folder of the shared store for the archives' pieces, below the
+    checkpoint folder where it isn't given.
     """
-    bins = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.[zZ][iI][pP]").load(root)
-            .select(plain_path("_metadata.file_path").alias("path"), "content"))
-    lines = bins.mapInPandas(lambda it: _expand(it, skip_header, encoding), LINES_SCHEMA)
-    return lines.select("*", base_name(F.col("entry")).alias("entry_name"),
-                        table_from_filename(base_name(F.col("entry"))).alias("table_name"))
+    found = archive_entries(spark, root, stage or scratch_path(spark, "archives"))
+    lines = found.where("error is null").select("archive", "name", "record", "pieces").mapInPandas(
+        lambda it: _expand(it, skip_header, encoding), LINES_SCHEMA)
+    nothing = {c: F.lit(None) for c in ("entry", "line_no", "row_no", "record_no", "line")}
+    broken = (found.where("error is not null").withColumns(nothing | {"status": F.lit("ERROR")})
+              .select(*[F.col(f.split()[0]).cast(f.split()[1]) for f in LINES_SCHEMA.split(", ")]))
+    return lines.unionByName(broken).select("*", base_name(F.col("entry")).alias("entry_name"),
+                                            table_from_filename(base_name(F.col("entry"))).alias("table_name"))
 
 
 def parse_lines(lines: DataFrame, names: Sequence[str], delimiter: str = ",", corrupt: str | None = None) -> DataFrame:
