@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--run-id", required=True)
     ap.add_argument("--env", default="dev", help="dev or prd parameter preset")
-    ap.add_argument("--stream", action="store_true", help="availableNow stream per configured table")
+    ap.add_argument("--stream", action="store_true", help="availableNow stream over the landing")
     ap.add_argument("--checkpoint", help="stream checkpoint root (required with --stream)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
@@ -35,9 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.stream:
         if not a.checkpoint:
             ap.error("--checkpoint is required with --stream")
-        for table in ing.tables:
-            stats = ing.run_stream(a.landing, table, f"{a.checkpoint.rstrip('/')}/{table}", a.run_id)
-            print(f"{table}: {stats.status} rows={stats.rows} batches={stats.batches}")
+        stats = ing.run_stream(a.landing, None, a.checkpoint, a.run_id)
+        print(f"{stats.status} rows={stats.rows} batches={stats.batches}")
         return 0
     result = ing.run(a.landing, a.run_id)
     result.run_status.show(truncate=False)

@@ -1107,6 +1107,21 @@ def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, f"{wh}/orders_last").select(*TECH_AND_VALUES)
 
 
+@query("stream_ingest_archives")
+def stream_ingest_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1 / SRC-1: the landing of ``stream_ingest_orders`` packed into archives, three a micro-batch; their
+    entries go through the same gates, rules and upsert and give the same `_last`."""
+    from lakegate.plans.ingest import Ingestion, RunParams
+    from lakegate.plans.specs import column_sheet
+    from lakegate.plans.tables import read_current
+    land, wh = scratch_path(spark, "orders-archives"), scratch_path(spark, "stream-archives-warehouse")
+    ld.write_zips(fx.dirty_orders(spark, sf_dir), land, ORDER_VALUES, archives=8)
+    run = Ingestion(spark, table_sheet(spark, fx.ORDERS_TABLE_ROWS), column_sheet(spark, fx.ORDERS_COLUMN_ROWS),
+                    wh, RunParams(file_order_check_enabled=False))
+    run.run_stream(land, None, scratch_path(spark, "stream-archives-ckpt"), "s", max_files_per_trigger=3, run_at=cm.AS_OF)
+    return read_current(spark, f"{wh}/orders_last").select(*TECH_AND_VALUES)
+
+
 @query("validity_ranges")
 def validity_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D16 (optional view): validity ranges of the historised `_all` rows of both

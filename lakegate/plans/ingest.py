@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from lakegate.constants import (CODE_COLUMN_COUNT, CODE_FAIL_FAST, FAIL_FAST_STOP, FORMAT_BY_EXTENSION, HEADER_USE, MODE_FULL_KEY_REPLACE,
                                 MODE_FULL_SNAPSHOT, MODE_HISTORIZED, MODE_UPSERT)
 from lakegate.functions.dates import file_date
-from lakegate.functions.filenames import base_name, table_from_filename
+from lakegate.functions.filenames import as_literal_path, base_name, table_from_filename
 from lakegate.operators import files as fl
 from lakegate.operators import invalid_lines as il
 from lakegate.operators import modes as md
@@ -59,6 +59,9 @@ from lakegate.sources import archives as ar
 from lakegate.sources import delimited as dl
 from lakegate.sources import landing as lg
 
+FILES_PER_BATCH = 1000
+"""Files of a micro-batch: the bound of what a stream's driver holds."""
+
 
 @dataclass(frozen=True)
 class RunParams:
@@ -192,7 +195,7 @@ class Ingestion:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def read_table(self, trule: TableRule, landing_root: str, formats: set[str], accepted: DataFrame,
+    def read_table(self, trule: TableRule, landing_root: str | list[str], formats: set[str], accepted: DataFrame,
                    zip_lines: DataFrame | None, stage: str) -> DataFrame:
         """Text lines of the table's accepted files (``path, file_format, from_archive``).
 
@@ -264,10 +267,11 @@ class Ingestion:
         return dl.remap_by_header(raw, names, pos, trule.delimiter).unionByName(from_json)
 
     # ------------------------------------------------------------- run
-    def _archives(self, landing_root: str, run_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def _archives(self, landing_root: str | list[str], run_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Archives expanded once and stored: their lines, entries (``path, filename, archive``) and
         what can't be read (``path, filename, error``)."""
-        lines = ar.expand_archives(self.spark, landing_root, skip_header=False, encoding="iso-8859-1")
+        lines = ar.expand_archives(self.spark, landing_root, skip_header=False, encoding="iso-8859-1",
+                                   stage=self.path("_archive_pieces", f"run={run_id}"))
         lines = lines.withColumn("_file_path", F.concat_ws("!/", "archive", "entry"))
         lines = self._stage(lines, self.path("_archive_lines", f"run={run_id}"))
         broken = lines.filter("status = 'ERROR'").select(
@@ -281,7 +285,10 @@ class Ingestion:
                    .withColumn("table_hint", F.when(F.col("_known").isNull(), table_from_filename(base_name("archive")))))
         return lines, entries.select("path", "filename", "table_hint"), broken
 
-    def run(self, landing_root: str, run_id: str, run_at: str | None = None) -> RunResult:
+    def run(self, landing_root: str | list[str], run_id: str, run_at: str | None = None,
+            table: str | None = None) -> RunResult:
+        """One run over a landing folder, or over the landed files of a list (as a stream's micro-batch gives
+        them); with ``table`` only over what belongs to that table."""
         spark, p = self.spark, self.params
         processed = _clock(run_at, self.registered_at(run_id))
         manifest = lg.landing_manifest(spark, landing_root)
@@ -300,7 +307,8 @@ class Ingestion:
         packed = F.col("from_archive") & (F.col("file_format") == "parquet") & F.col("gate_code").isNull()
         gated = (self.file_gates(described, run_id).join(kinds, "path")
                  .withColumn("gate_reason", F.when(packed, F.lit("Parquet inside an archive is not read")).otherwise(F.col("gate_reason")))
-                 .withColumn("gate_code", F.when(packed, F.lit("INVALID_ARCHIVE")).otherwise(F.col("gate_code"))).persist())
+                 .withColumn("gate_code", F.when(packed, F.lit("INVALID_ARCHIVE")).otherwise(F.col("gate_code"))))
+        gated = (gated if table is None else gated.filter(F.col("table_name") == table)).persist()
         accepted = gated.filter(F.col("gate_code").isNull()).select("table_name", "path", "filename", "file_date",
                                                                     "file_format", "from_archive")
         # What occurs: bounded by the configured tables and the formats, not by the files.
@@ -313,6 +321,7 @@ class Ingestion:
         received = gated.select("path", "table_name")
         if broken is not None:
             bad = fl.describe_files(broken)
+            bad = bad if table is None else bad.filter(F.col("table_name") == table)
             outcomes.append(_outcomes(bad, "FAILED", F.lit("INVALID_ARCHIVE"), F.col("error")))
             received = received.unionByName(bad.select("path", "table_name"))
         reports, qlogs, mstats, table_paths = [], [], [], {}
@@ -343,19 +352,25 @@ class Ingestion:
 
         def union(xs: list[DataFrame]) -> DataFrame:
             return reduce(lambda a, b: a.unionByName(b), xs)
+        frames = {"execution_report": union(reports) if reports else None,
+                  "quality_log": union(qlogs) if qlogs else None,
+                  "run_status": rp.run_status(out),
+                  "completeness": rp.completeness(received, out, "path"),
+                  "quarantine": fl.quarantine(out.filter(F.col("status") == "FAILED"), processed),
+                  "mode_stats": union(mstats) if mstats else None}
+        # Reports are kept with the run, each written once; what is read later is what was written.
+        made = [n for n, f in frames.items() if f is not None]
+        kept = dict(zip(made, _concurrently([lambda n=n: self._stage(frames[n], self.path("reports", n, f"run={run_id}"))
+                                             for n in made], p.concurrent_jobs)))
         empty_rep = spark.createDataFrame([], "table_name string")
-        return RunResult(
-            outcomes=out,
-            execution_report=union(reports) if reports else empty_rep,
-            quality_log=union(qlogs) if qlogs else empty_rep,
-            run_status=rp.run_status(out),
-            completeness=rp.completeness(received, out, "path"),
-            quarantine=fl.quarantine(out.filter(F.col("status") == "FAILED"), processed),
-            mode_stats=union(mstats) if mstats else None,
-            tables=table_paths,
-        )
-
-    def _run_table(self, trule: TableRule, landing_root: str, occurring: set, accepted: DataFrame,
+        return RunResult(outcomes=out, tables=table_paths, **{"execution_report": empty_rep, "quality_log": empty_rep} | kept)
+
+    def report(self, name: str) -> DataFrame | None:
+        """A report (``execution_report``, ``quality_log``, ``run_status``, ``completeness``, ``quarantine`` or
+        ``mode_stats``) of all runs so far, batch and stream, with the run's id in ``run``."""
+        return tb.read_runs(self.spark, self.path("reports", name))
+
+    def _run_table(self, trule: TableRule, landing_root: str | list[str], occurring: set, accepted: DataFrame,
                    zip_lines: DataFrame | None, run_id: str, processed: F.Column) -> dict:
         stage = self.path(f"{trule.table_name}_staging", f"run={run_id}")
         raw = self.read_table(trule, landing_root, occurring - {None}, accepted,
@@ -520,58 +535,34 @@ class Ingestion:
                 for name, (column, days) in windows.items()}
 
     # ------------------------------------------------------------- stream
-    def run_stream(self, landing_root: str, table: str, checkpoint: str, run_prefix: str,
-                   max_files_per_trigger: int | None = None, run_at: str | None = None):
-        """STR-1 with the whole per-table flow: the file source takes each file of
-        ``table`` once (``availableNow``); every micro-batch gets the file gates
-        (on its own files), rules, tolerance gates, the ingestion mode and the
-        sinks, as run ``<run_prefix>-<batch id>`` (a replay rewrites its folders)."""
+    def run_stream(self, landing_root: str, table: str | None, checkpoint: str, run_prefix: str,
+                   max_files_per_trigger: int = FILES_PER_BATCH, run_at: str | None = None):
+        """STR-1: the batch run over the files that land, each file taken once (``availableNow``).
+
+        The stream is the landing's listing: the source remembers which files it has given, their content is
+        read by the batch run of a micro-batch, so every format, archive and header mode gives what a batch run
+        gives, with all gates and reports, as run ``<run_prefix>-<batch id>``.  A replayed micro-batch is that
+        run repeated.  Files come in the order of their modification times, at most ``max_files_per_trigger`` at
+        once; the run is given their paths, so it reads no file of another micro-batch.  With ``table`` only that
+        table's files and entries are taken: archives of any name are opened for them.  A table that fails gets
+        ERROR outcomes, as in a batch run, and the stream goes on.  The rows counted are the lines of files that
+        passed the file gates.
+        """
         from lakegate.streaming import staging as stg
-        spark = self.spark
-        trule = self.tables[table]
-        names = [r.name for r in self.columns[table] if not (r.enrich or "")]
-        header_use = (trule.header_mode or self.params.input_header_mode.upper()) == HEADER_USE
-        glob = _name_glob(table, "json" if trule.input_format == "json" else "csv")
-        cols = names
-        if header_use:  # a stream's schema is fixed at its start: as wide as the widest header landed so far
-            cols = dl.positional_names(max(len(names), dl.header_width(spark, landing_root, trule.delimiter, glob=glob)))
-        stream = stg.landing_stream(spark, landing_root, cols, trule.input_format, header=not header_use,
-                                    delimiter=trule.delimiter, charset=trule.charset,
-                                    max_files_per_trigger=max_files_per_trigger, glob=glob)
-        stream = stream.withColumn("_block", F.col("_metadata.file_block_start"))
-        processed = _clock(run_at)
-
-        seen_rows: dict[int, int] = {}
+        stream = stg.file_stream(self.spark, landing_root, max_files_per_trigger)
+        lines: dict[int, int] = {}
 
         def each(batch: DataFrame, batch_id: int) -> None:
-            # the micro-batch is used by several actions: read its files once
-            raw = batch.withColumn("_rid", F.monotonically_increasing_id()).persist()
-            seen_rows[batch_id] = raw.count()
-            cached = raw
-            if header_use:
-                self._missing[table] = dl.missing_by_header(raw, names, cols, trule.delimiter)
-                raw = dl.remap_by_header(raw, names, cols, trule.delimiter)
-            else:
-                raw = pj.drop_header_lines(raw, names)
-            files = fl.describe_files(raw.select(F.col("_file_path").alias("path"),
-                                                 F.col("_file_name").alias("filename")).distinct())
-            gated = self.file_gates(files, f"{run_prefix}-{batch_id}").persist()
-            ok = gated.filter(F.col("gate_code").isNull()).select(F.col("path").alias("_file_path"))
-            accepted = raw.join(ok, "_file_path", "left_semi")
-            res = self.process_table(trule, accepted, f"{run_prefix}-{batch_id}", processed)
-            failed = _outcomes(gated.filter(F.col("gate_code").isNotNull()), "FAILED", F.col("gate_code"),
-                               F.col("gate_reason"))
-            out = res["outcomes"].unionByName(failed)
-            tb.write_run(tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed),
-                         self.path("tracking"), f"{run_prefix}-{batch_id}")
-            gated.unpersist()
-            cached.unpersist()
+            paths = [r["path"] for r in batch.select("path").collect()]  # bounded by max_files_per_trigger
+            if paths:
+                done = self.run([as_literal_path(x) for x in paths], f"{run_prefix}-{batch_id}", run_at, table)
+                lines[batch_id] = done.outcomes.agg(F.coalesce(F.sum("total_lines"), F.lit(0)).alias("n")).first()["n"]
 
         q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
         q.awaitTermination()
-        rows = sum(seen_rows.values())
-        return stg.RunStats(rows, len([n for n in seen_rows.values() if n > 0]), "SUCCESS" if rows else "NO_DATA")
+        rows = sum(lines.values())
+        return stg.RunStats(rows, len(lines), "SUCCESS" if rows else "NO_DATA")
 
 
 def _concurrently(tasks: list, max_workers: int) -> list:

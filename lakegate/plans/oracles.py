@@ -1044,6 +1044,11 @@ def _():
     return ORACLES["stream_ingest_orders"]
 
 
+@oracle("stream_ingest_archives")
+def _():
+    return ORACLES["stream_ingest_orders"]
+
+
 @oracle("ingest_rerun_tracking")
 def _():
     return f"""SELECT table_name, filename, status, rows_to_all AS row_count

@@ -14,12 +14,16 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.functions.types import wider_type
 from lakegate.plans.buckets import BUCKET, read_buckets
 
+NO_FILES = "UNABLE_TO_INFER_SCHEMA"
+"""Spark's condition for folders without a data file, as a partitioned write of no rows leaves them."""
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -132,16 +136,21 @@ def write_run(df: DataFrame, root: str, run_id: str, partition_by: Sequence[str]
 
 
 def read_runs(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """All committed run folders of an append-only table (``run`` column added)."""
+    """All committed run folders of an append-only table (``run`` column added); without any, or
+    where no run has left a row in a partitioned table, None or an empty frame of ``schema``."""
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return None if schema is None else spark.createDataFrame([], schema)
     done = [st.getPath().toString() for st in fs.listStatus(p)
             if st.isDirectory() and st.getPath().getName().startswith("run=")
             and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
-    if not done:
-        return None if schema is None else spark.createDataFrame([], schema)
-    return merged(spark, done, root)
+    try:
+        if done:
+            return merged(spark, done, root)
+    except AnalysisException as exc:
+        if exc.getCondition() != NO_FILES:
+            raise
+    return None if schema is None else spark.createDataFrame([], schema)
 
 
 def merged(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
@@ -158,7 +167,11 @@ def merged(spark: SparkSession, paths: Sequence[str], base: str | None = None) -
             raise
     by_schema: dict[tuple, list[str]] = {}
     for path in paths:
-        by_schema.setdefault(tuple(reader.parquet(path).dtypes), []).append(path)
+        try:
+            by_schema.setdefault(tuple(reader.parquet(path).dtypes), []).append(path)
+        except AnalysisException as exc:
+            if exc.getCondition() != NO_FILES:
+                raise
     types: dict[str, str] = {}
     for schema in by_schema:
         for name, kind in schema:

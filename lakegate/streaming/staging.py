@@ -46,6 +46,13 @@ def landing_stream(spark: SparkSession, root: str, names: Sequence[str], fmt: st
     return df.select("*", base_name(path).alias("_file_name"), path.alias("_file_path"))
 
 
+def file_stream(spark: SparkSession, root: str, max_files_per_trigger: int) -> DataFrame:
+    """The landing's files as a stream of ``path, length, modificationTime``; no content is read."""
+    listed = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files_per_trigger)).load(root))
+    return listed.select(plain_path("_metadata.file_path").alias("path"), "length", "modificationTime")
+
+
 @dataclass
 class RunStats:
     rows: int
