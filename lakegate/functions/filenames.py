@@ -13,12 +13,13 @@ _ALL_DIGITS = "^[0-9]+$"
 
 def base_name(path: Column | str) -> Column:
     """SCA-3: last path element."""
-    return F.regexp_extract(col_of(path), r"([^/]*)$", 1)
+    return F.substring_index(col_of(path), "/", -1)
 
 
 def plain_path(path: Column | str) -> Column:
     """A ``_metadata.file_path`` as the file is called: percent codes decoded, '+' kept."""
-    return F.url_decode(F.replace(col_of(path), F.lit("+"), F.lit("%2B")))
+    path = col_of(path)
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def as_literal_path(path: str) -> str:

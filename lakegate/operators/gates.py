@@ -106,11 +106,12 @@ def stop_at_fail_fast(decisions: DataFrame, order: Sequence[Column]) -> DataFram
 
 
 def apply_file_gate(validated: DataFrame, decisions: DataFrame, params: GateParams,
-                    file_col: str = "_file_name") -> DataFrame:
-    """Lines + their file's decision -> routing flags for `_last`, `_all`, invalid lines."""
+                    file_col: str = "_file_name", carried: Sequence[str] = ()) -> DataFrame:
+    """Lines + their file's decision -> routing flags for `_last`, `_all`, invalid lines; and the
+    ``carried`` columns of the decision."""
     d = decisions.select(F.col(file_col).alias("_gate_file"),
                          (F.col("file_status") != "ACCEPTED").alias(FILE_REJECTED),
-                         F.col("file_reason").alias(FILE_REASON))
+                         F.col("file_reason").alias(FILE_REASON), *carried)
     joined = validated.join(d, validated[file_col] == d["_gate_file"], "left").drop("_gate_file")
     file_ok = ~F.coalesce(F.col(FILE_REJECTED), F.lit(False))
     keep_all = ~F.col(REJECT) if params.all_keeps_ict_rejects else ~F.col(LINE_REJECTED)

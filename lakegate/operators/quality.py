@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,7 +89,8 @@ def dense_line_numbers(df: DataFrame, group: Sequence[str], order: Sequence[str]
 
 
 def file_line_numbers(scan: DataFrame, path_col: str = "_file_path", block_col: str = "_block",
-                      rid_col: str = "_rid", out: str = "line_number") -> DataFrame:
+                      rid_col: str = "_rid", out: str = "line_number",
+                      store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """H3 for real files: 1..n per file in file order, no checkpoint needed.
 
     ``scan`` must carry the file path, the split start (``_metadata.file_block_start``)
@@ -97,11 +98,14 @@ def file_line_numbers(scan: DataFrame, path_col: str = "_file_path", block_col:
     consecutive within a split and a file scan is read the same way every time.
     Per (file, split) counts become offsets over a frame with one row per split,
     which is joined back - a hot file spread over many splits stays spread.
+    ``store`` writes the offsets and reads them again: their size is then known
+    before the join, which deals out no lines for a few splits.
     """
     stats = scan.groupBy(path_col, block_col).agg(F.min(rid_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(path_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.select(F.col(path_col).alias("_o_path"), F.col(block_col).alias("_o_block"), "_first",
                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offs = offs if store is None else store(offs)
     j = scan.join(offs, (scan[path_col] == offs["_o_path"]) & (scan[block_col] == offs["_o_block"]), "inner")
     return j.select(*[F.col(f"`{c}`") for c in scan.columns],
                     (F.col("_off") + F.col(rid_col) - F.col("_first") + 1).cast("long").alias(out))

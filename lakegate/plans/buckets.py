@@ -129,7 +129,8 @@ def merge(root: str, before_root: str, run_id: str, batch: DataFrame, keys: Sequ
         changed = {c: wider_type(old[c], new[c]) for c in old.keys() & new.keys() if old[c] != new[c]}
         batch = _same_types(batch, changed)
     batch = batch.withColumn(BUCKET, bucket_of(keys, line, count))
-    touched = set(range(count)) if any(t != dict(table.dtypes)[c] for c, t in changed.items()) else _numbers(batch)
+    of_batch = _numbers(batch)
+    touched = set(range(count)) if any(t != dict(table.dtypes)[c] for c, t in changed.items()) else set(of_batch)
     image = BeforeImage(spark, before_root, run_id)
     attempt = image.last() if latest else None
     known = set() if attempt is None else image.buckets(attempt)
@@ -150,7 +151,7 @@ def merge(root: str, before_root: str, run_id: str, batch: DataFrame, keys: Sequ
             current = current.withColumn(BUCKET, bucket_of(keys, line, count))
     (step(current, batch).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(f"{root}/of={count}"))
-    filled = _numbers(batch) | (set() if current is None else _numbers(current))
+    filled = of_batch | (set() if current is None else _numbers(current))
     for empty in touched - filled:
         _delete(spark, f"{root}/of={count}/{BUCKET}={empty}")
     images = sorted(_folders(spark, before_root), key=lambda s: s.getModificationTime())

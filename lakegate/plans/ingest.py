@@ -222,7 +222,8 @@ class Ingestion:
                 raw, pos = dl.read_positional(self.spark, landing_root, width, delimiter=trule.delimiter,
                                               charset=trule.charset, multiline=multiline, glob=glob)
                 raw = self._stage(kept(raw), f"{stage}/direct")
-                frames.append(dl.remap_by_header(raw, names, pos, trule.delimiter))
+                frames.append(dl.remap_by_header(raw, names, pos, trule.delimiter,
+                                                 store=lambda h: self._stage(h, f"{stage}/headers")))
                 self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos, trule.delimiter)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
@@ -385,7 +386,8 @@ class Ingestion:
         spark, p = self.spark, self.params
         started = time.perf_counter()
         rules = self.columns[trule.table_name]
-        numbered = file_line_numbers(raw)
+        work = f"_per_file/{trule.table_name}"  # frames of a row per file or split, stored so that joins know their size
+        numbered = file_line_numbers(raw, store=lambda o: self._stage(o, self.path(work, f"run={run_id}", "offsets")))
         v = validate(numbered, rules, ict=trule.ict, strict=p.strict_tolerance, raw_data_sep=trule.delimiter)
         # H4: validated lines written once; gates and routing read them back.
         staging = self.path(f"{trule.table_name}_validated", f"run={run_id}")
@@ -406,15 +408,16 @@ class Ingestion:
                  .withColumn(ROWS_TO_ALL, F.when(bad_cols, F.lit(0)).otherwise(F.col(ROWS_TO_ALL)).cast("long"))
         if p.fail_fast_enabled:  # judged on the counts, before any sink of the table is written
             dec = stop_at_fail_fast(dec, [file_date(F.col("_file_name")), F.col("_file_name"), F.col("_file_path")])
-        dec = dec.persist()
-        routed = apply_file_gate(v, dec, gp, "_file_path")
+        dec = self._stage(dec.withColumn("_extracted", file_date(F.col("_file_name"))),
+                          self.path(work, f"run={run_id}", "decisions"))
+        routed = apply_file_gate(v, dec, gp, "_file_path", ["_extracted"])
         # A file that failed fast leaves its errors; the files behind it leave nothing.
         begun = routed.filter(F.coalesce(F.col(FILE_REASON) != FAIL_FAST_STOP, F.lit(True)))
         reported = begun.filter(F.coalesce(F.col(FILE_REASON) != CODE_FAIL_FAST, F.lit(True)))
         business = [r.name for r in rules]
         tech = lambda df: pj.with_technical_columns(
             df, business, line_col="line_number", file_col="_file_name",
-            extraction_date=file_date(F.col("_file_name")), process_date=processed)
+            extraction_date=F.col("_extracted"), process_date=processed)
         batch_last = tech(routed.filter(F.col(TO_LAST)))
         batch_all = pj.with_partitions(tech(routed.filter(F.col(TO_ALL))), trule.partitioning)
         batch_all = pj.with_comments(batch_all, {r.name: r.comment for r in rules if r.comment})
@@ -427,7 +430,7 @@ class Ingestion:
         # A rejected file never reaches the mode: without an accepted one `_last` stays as it is. An accepted
         # file whose lines were all rejected is an empty snapshot; a file without lines is SKIPPED and is none.
         taken = dec.filter(F.col("file_status") == "ACCEPTED").select(
-            file_date(F.col("_file_name")).alias("FILE_EXTRACTION_DATE"), F.col("_file_name").alias("FILE_NAME_RECEIVED"))
+            F.col("_extracted").alias("FILE_EXTRACTION_DATE"), F.col("_file_name").alias("FILE_NAME_RECEIVED"))
         any_taken = not taken.isEmpty()
         latest = self._is_latest(trule.table_name, run_id)
         if mode == MODE_FULL_SNAPSHOT:
@@ -436,6 +439,8 @@ class Ingestion:
             batch_last = md.newest_file_per_key(batch_last, keys)
         cur = None if appended or keyed or mode == MODE_FULL_SNAPSHOT else tb.read_before(spark, last_root, run_id)
         res = md.apply_mode(trule.ingestion_mode, cur, None, batch_last, keys, start)
+        if keyed:  # read for its buckets, by the merge and for the statistics: made once
+            batch_last = self._stage(batch_last, self.path(f"{trule.table_name}_batch", f"run={run_id}"))
 
         def merge_bucket(current: DataFrame | None, batch: DataFrame) -> DataFrame:
             if current is not None and mode == MODE_FULL_KEY_REPLACE and not latest:
@@ -493,7 +498,7 @@ class Ingestion:
         _concurrently(writes, p.concurrent_jobs)
         o = dec.select(
             F.lit(trule.table_name).alias("table_name"), "path", F.col("_file_name").alias("filename"),
-            file_date(F.col("_file_name")).alias("file_date"),
+            F.col("_extracted").alias("file_date"),
             F.col("total_lines").cast("long"), F.col("rejected_lines").cast("long"),
             F.col(ROWS_TO_ALL).alias("rows_ingested"),
             F.when((F.col("total_lines") == 0) | (F.col("file_status") == "NOT_STARTED"), F.lit("SKIPPED"))

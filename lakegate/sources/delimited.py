@@ -15,7 +15,7 @@ Header modes:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,21 +111,22 @@ def header_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str
     return first.agg(F.coalesce(F.max(field_count("h", delimiter)), F.lit(0)).alias("n")).first()["n"]
 
 
-def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",") -> DataFrame:
+def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",",
+                    store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """H2: per-file header line -> configured names; the header line itself is dropped.
 
     ``raw`` carries positional text columns ``pos``, the corrupt-record column, ``_file_path``,
     ``_block`` (split start) and ``_rid`` (row id increasing within a split). The parser fills the
     corrupt-record column where a line hasn't as many fields as ``pos``; a line is bad if it hasn't
-    as many as its own file's header, blank fields included.
+    as many as its own file's header, blank fields included. ``store`` writes the header lines and reads
+    them again: their size is then known before the join, which deals out no lines for a few headers.
     """
-    cells = F.array(*[F.col(c) for c in pos])
-    hdr = header_lines(raw, pos, delimiter)
-    j = raw.join(hdr, raw["_file_path"] == hdr["_h_path"], "inner").filter(F.col("_rid") != F.col("_h_rid"))
-    out = []
-    for n in names:
-        p = F.array_position(F.col("_header"), F.lit(n))
-        out.append(F.when(p > 0, F.element_at(cells, p.cast("int"))).alias(n))
+    places = [(F.array_position("_header", F.lit(n)) - 1).cast("int").alias(f"_at_{i}") for i, n in enumerate(names)]
+    hdr = header_lines(raw, pos, delimiter).select("_h_path", "_h_rid", "_h_fields", *places)  # looked up once a file
+    hdr = hdr if store is None else store(hdr)
+    j = (raw.join(hdr, raw["_file_path"] == hdr["_h_path"], "inner").filter(F.col("_rid") != F.col("_h_rid"))
+         .withColumn("_cells", F.array(*[F.col(c) for c in pos])))
+    out = [F.get("_cells", F.col(f"_at_{i}")).alias(n) for i, n in enumerate(names)]
     fields = _fields(pos, delimiter)
     # Of a line that the parser took whole the text is put together again from its cells.
     text = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*pos), {"sep": delimiter or ","}))
