@@ -32,6 +32,7 @@ import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -45,7 +46,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 LINES_SCHEMA = ("archive string, entry string, line_no long, row_no long, record_no long, line string, status string, "
                 "error string")
+_LINES = pa.schema([(f.split()[0], pa.int64() if f.endswith(" long") else pa.string()) for f in LINES_SCHEMA.split(", ")])
 CHUNK = 50_000
+LINES_AT_ONCE = 10_000
+"""Lines of an entry that a task holds before it hands them on."""
 ZIPS = "*.[zZ][iI][pP]"
 ENTRY_MARK = "PK\x03\x04"
 """The bytes before every entry."""
@@ -61,9 +65,11 @@ def _valid_entry(name: str) -> bool:
     return not (name.startswith("__MACOSX") or name.endswith("/") or leaf.startswith(".") or name.startswith("."))
 
 
-def _rows(archive: str, entry, line_no, line, status, error, row_no=None, record_no=None) -> dict:
-    return {"archive": archive, "entry": entry, "line_no": line_no, "row_no": row_no, "record_no": record_no, "line": line,
-            "status": status, "error": error}
+def _batch(archive: str, entry: str, rows: list[tuple], status: str, error: str | None = None) -> pa.RecordBatch:
+    """Rows ``line_no, row_no, record_no, line`` of an entry as LINES_SCHEMA has them."""
+    numbers = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+    same = [pa.repeat(pa.scalar(x, pa.string()), len(rows)) for x in (archive, entry, status, error)]
+    return pa.RecordBatch.from_arrays([*same[:2], *numbers, *same[2:]], schema=_LINES)
 
 
 class _Numbers:
@@ -137,10 +143,12 @@ def _ends(tails: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([f or (None, None) for f in found], columns=["wanted", "place"]).astype("Int64")
 
 
-def _alone(record: bytes, body: bytes = b"") -> zipfile.ZipFile:
-    """An archive of one entry, from its directory record."""
-    end = struct.pack("<4s4H2LH", b"PK\x05\x06", 0, 0, 1, 1, len(record), len(body), 0)
-    return zipfile.ZipFile(io.BytesIO(b"".join((body, record, end))))
+def _alone(record: bytes, pieces: Sequence = ()) -> zipfile.ZipFile:
+    """An archive of one entry, from its directory record and its pieces, which are copied once."""
+    size = sum(len(p) + len(ENTRY_MARK) for p in pieces)
+    end = struct.pack("<4s4H2LH", b"PK\x05\x06", 0, 0, 1, 1, len(record), size, 0)
+    marked = (part for p in pieces for part in (ENTRY_MARK.encode(), p))
+    return zipfile.ZipFile(io.BytesIO(b"".join((*marked, record, end))))
 
 
 def _entries(tail: bytes, behind: int, place: int, length: int) -> Iterator[tuple[int, str, bytes]]:
@@ -179,22 +187,23 @@ def _directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 # ------------------------------------------------------------- entries
-def _expand(batches: Iterator[pd.DataFrame], skip_header: bool, encoding: str) -> Iterator[pd.DataFrame]:
-    mark = ENTRY_MARK.encode()
-    for pdf in batches:
-        for archive, name, record, pieces in zip(pdf["archive"], pdf["name"], pdf["record"], pdf["pieces"]):
-            yield pd.DataFrame([_rows(archive, name, 0, None, "ENTRY", None)])
+def _expand(batches: Iterator[pa.RecordBatch], skip_header: bool, encoding: str) -> Iterator[pa.RecordBatch]:
+    """Entries are read where Arrow has them: beside a batch a task holds one entry and LINES_AT_ONCE of its lines."""
+    for batch in batches:
+        for archive, name, record, pieces in zip(*(batch.column(c) for c in ("archive", "name", "record", "pieces"))):
+            archive, name = archive.as_py(), name.as_py()
+            yield _batch(archive, name, [(0, None, None, None)], "ENTRY")
             try:
                 if not len(pieces):
                     raise zipfile.BadZipFile("no entry at the place in the directory")
-                with _alone(bytes(record), mark + mark.join(map(bytes, pieces))) as zf:
+                with _alone(record.as_py(), [p.as_buffer() for p in pieces]) as zf:
                     yield from _entry_lines(zf, archive, name, skip_header, encoding)
             except _BROKEN as exc:
-                yield pd.DataFrame([_rows(archive, name, None, None, "ERROR", f"Invalid ZIP entry: {exc}")])
+                yield _batch(archive, name, [(None, None, None, None)], "ERROR", f"Invalid ZIP entry: {exc}")
 
 
-def _entry_lines(zf: zipfile.ZipFile, archive: str, name: str, skip_header: bool, encoding: str) -> Iterator[pd.DataFrame]:
-    buf: list[dict] = []
+def _entry_lines(zf: zipfile.ZipFile, archive: str, name: str, skip_header: bool, encoding: str) -> Iterator[pa.RecordBatch]:
+    buf: list[tuple] = []
     numbers = _Numbers()
     with zf.open(name) as fh:
         for n, raw in enumerate(io.TextIOWrapper(fh, encoding=encoding, newline="\n"), 1):
@@ -202,12 +211,12 @@ def _entry_lines(zf: zipfile.ZipFile, archive: str, name: str, skip_header: bool
             row_no, record_no = numbers.of(line)
             if skip_header and n == 1:
                 continue
-            buf.append(_rows(archive, name, n, line, "OK", None, row_no, record_no))
-            if len(buf) >= CHUNK:
-                yield pd.DataFrame(buf)
+            buf.append((n, row_no, record_no, line))
+            if len(buf) >= LINES_AT_ONCE:
+                yield _batch(archive, name, buf, "OK")
                 buf = []
     if buf:
-        yield pd.DataFrame(buf)
+        yield _batch(archive, name, buf, "OK")
 
 
 def archive_entries(spark: SparkSession, root: str | Sequence[str], stage: str) -> DataFrame:
@@ -262,7 +271,7 @@ def expand_archives(spark: SparkSession, root: str | Sequence[str], skip_header:
     checkpoint folder where it isn't given.
     """
     found = archive_entries(spark, root, stage or scratch_path(spark, "archives"))
-    lines = found.where("error is null").select("archive", "name", "record", "pieces").mapInPandas(
+    lines = found.where("error is null").select("archive", "name", "record", "pieces").mapInArrow(
         lambda it: _expand(it, skip_header, encoding), LINES_SCHEMA)
     nothing = {c: F.lit(None) for c in ("entry", "line_no", "row_no", "record_no", "line")}
     broken = (found.where("error is not null").withColumns(nothing | {"status": F.lit("ERROR")})

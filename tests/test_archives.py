@@ -5,6 +5,7 @@ import os
 import random
 import zipfile
 
+import pyarrow as pa
 import pytest
 
 from lakegate.sources import archives as ar
@@ -118,3 +119,20 @@ def test_broken_archives_and_entries(spark, tmp_root):
 def test_no_archives(spark, tmp_root):
     os.makedirs(f"{tmp_root}/none")
     assert ar.expand_archives(spark, f"{tmp_root}/none").count() == 0
+
+
+def test_entry_lines_leave_the_task_in_small_batches(tmp_root):
+    path, lines = f"{tmp_root}/a.zip", [f"{i};\u00e9" if i % 7 else "" for i in range(25_000)]
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("orders_1.csv", "\n".join(lines))
+    data = open(path, "rb").read()
+    end = data.index(b"PK\x01\x02")
+    record, piece = data[end:data.index(b"PK\x05\x06")], data[4:end]
+    one = pa.RecordBatch.from_pylist([{"archive": "a.zip", "name": "orders_1.csv", "record": record, "pieces": [piece]},
+                                      {"archive": "a.zip", "name": "lost.csv", "record": record, "pieces": []}])
+    out = list(ar._expand(iter([one]), False, "utf-8"))
+    assert max(b.num_rows for b in out) <= 10_000 and len({str(b.schema) for b in out}) == 1
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["status"] for r in rows] == ["ENTRY"] + ["OK"] * 25_000 + ["ENTRY", "ERROR"]
+    assert [r["line"] for r in rows[1:-2]] == lines and rows[25_000]["row_no"] == sum(map(bool, lines))
+    assert [r["row_no"] for r in rows[1:3]] == [None, 1] and rows[-1]["line_no"] is None and rows[-1]["entry"] == "lost.csv"
