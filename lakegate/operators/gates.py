@@ -66,6 +66,16 @@ def file_stats(validated: DataFrame, rules: Sequence[ColumnRule], file_col: str
     )
 
 
+def bad_records(validated: DataFrame, corrupt_col: str, file_col: str = "_file_path", name_col: str = "_file_name") -> DataFrame:
+    """SRC-8 per file: lines that the parser could not map, and the file's name.
+
+    The least of texts is found by sorting, so lines are counted by path and name, and names
+    compared on a row per file.
+    """
+    counted = validated.groupBy(file_col, name_col).agg(F.count(F.col(corrupt_col)).alias("corrupt_lines"))
+    return counted.groupBy(file_col).agg(F.sum("corrupt_lines").alias("corrupt_lines"), F.min(name_col).alias(name_col))
+
+
 def file_decisions(stats: DataFrame, rules: Sequence[ColumnRule], params: GateParams,
                    file_col: str = "_file_name") -> DataFrame:
     """QUA-9 column abort, QUA-11 RLT, QUA-12 fail-fast -> status + reason per file, and the

@@ -47,7 +47,7 @@ from lakegate.operators import modes as md
 from lakegate.operators import projections as pj
 from lakegate.operators import tracking as tk
 from lakegate.operators.gates import (FILE_REASON, ROWS_TO_ALL, ROWS_TO_LAST, TO_ALL, TO_LAST, GateParams,
-                                      apply_file_gate, file_decisions, file_stats, stop_at_fail_fast)
+                                      apply_file_gate, bad_records, file_decisions, file_stats, stop_at_fail_fast)
 from lakegate.operators.quality import file_line_numbers, quality_issues
 from lakegate.operators.rules import explode_errors, validate
 from lakegate.plans import buckets as bk
@@ -397,9 +397,7 @@ class Ingestion:
                         fail_fast_threshold=p.fail_fast_threshold, all_keeps_ict_rejects=p.all_keeps_ict_rejects)
         # A file is its path: equal names in two folders are two files.
         stats = file_stats(v, rules, "_file_path")
-        corrupt = v.groupBy("_file_path").agg(F.count(F.col(dl.CORRUPT)).alias("corrupt_lines"),
-                                              F.min("_file_name").alias("_file_name"))
-        dec = file_decisions(stats, rules, gp, "_file_path").join(corrupt, "_file_path", "left") \
+        dec = file_decisions(stats, rules, gp, "_file_path").join(bad_records(v, dl.CORRUPT), "_file_path", "left") \
             .withColumn("path", F.col("_file_path"))
         bad_cols = F.coalesce(F.col("corrupt_lines"), F.lit(0)) > 0
         dec = dec.withColumn("file_reason", F.when(bad_cols, F.lit(CODE_COLUMN_COUNT)).otherwise(F.col("file_reason"))) \

@@ -3,6 +3,7 @@
 import re
 import uuid
 
+from lakegate.operators.gates import bad_records
 from lakegate.operators.quality import file_line_numbers
 from lakegate.operators.rules import validate
 from lakegate.plans import common as cm
@@ -55,3 +56,13 @@ def test_mapped_numbered_and_validated_lines_are_compiled(spark, tmp_root, capsy
     assert sizes and max(sizes) < JIT_BYTES
     got = {r["_file_name"]: (r["suppkey"], r["shipdate"], r["_raw_data"].count("7"), r["line_number"], r[dl.CORRUPT]) for r in v.collect()}
     assert got == {"f0.csv": (7, None, len(names), 1, None), "f1.csv": (7, None, len(names) - 1, 1, None)}
+
+
+def test_bad_records_are_counted_without_sorting_lines(spark):
+    lines = spark.createDataFrame([("/a/f.csv", "f.csv", "x"), ("/a/f.csv", "f.csv", None), ("/b/f.csv", "f.csv", None),
+                                   ("/c", None, "y"), (None, "n", "z")], "_file_path string, _file_name string, _corrupt_record string")
+    counts = bad_records(lines, dl.CORRUPT)
+    plan = counts._jdf.queryExecution().sparkPlan().toString()
+    assert plan.rfind("HashAggregate") > plan.rfind("SortAggregate")  # the one next to the lines
+    got = {r["_file_path"]: (r["corrupt_lines"], r["_file_name"]) for r in counts.collect()}
+    assert got == {"/a/f.csv": (1, "f.csv"), "/b/f.csv": (0, "f.csv"), "/c": (1, None), None: (1, "n")}
