@@ -19,8 +19,13 @@ OUTPUT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def parse_strict(c: Column | str, pattern: str) -> Column:
-    """QUA-2: one pattern only; no match -> NULL (never an error)."""
-    return F.try_to_timestamp(col_of(c), F.lit(pattern)).cast("timestamp_ntz")
+    """QUA-2: one pattern only; no match -> NULL (never an error).
+
+    A text without a digit has no year; told apart first, it costs no exception in the parser.
+    """
+    c = col_of(c)
+    parsed = F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+    return F.when(c.rlike("[0-9]"), parsed) if "yy" in pattern and "'" not in pattern else parsed
 
 
 def parse_multi(c: Column | str, patterns: Sequence[str], default: str | None = None) -> Column:

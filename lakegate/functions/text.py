@@ -30,6 +30,15 @@ def harmonise_decimal(c: Column | str) -> Column:
     return F.replace(col_of(c), F.lit(","), F.lit("."))
 
 
+def may_be_whole(c: Column | str) -> Column:
+    """False only for text that no cast to a whole number reads.
+
+    Such a cast throws and catches an exception that costs many times what a good cell costs;
+    the grammar of whole numbers tells bad cells apart first.
+    """
+    return col_of(c).rlike(r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$")
+
+
 def transform(c: Column | str, kind: str | None, pattern: str | None = None,
               replacement: str | None = None) -> Column:
     """SCA-1/SCA-2: uppercase / lowercase / regex replace (empty replacement deletes)."""

@@ -20,7 +20,7 @@ from lakegate.constants import (ACTION_ICT, ACTION_REJECT, ERR_DATE_PARSE, ERR_N
                                 ERR_TYPE_MISMATCH)
 from lakegate.functions.dates import parse_strict
 from lakegate.functions.filenames import enrich_from_name
-from lakegate.functions.text import harmonise_decimal, is_blank, transform
+from lakegate.functions.text import harmonise_decimal, is_blank, may_be_whole, transform
 from lakegate.functions.types import is_numeric_type, spark_type
 from lakegate.plans.specs import ColumnRule
 
@@ -50,7 +50,8 @@ def typed_value(raw: Column, rule: ColumnRule) -> tuple[Column, Column, Column]:
     if rule.is_date:
         parsed = parse_strict(txt, rule.date_pattern)
     elif is_numeric_type(rule.field_type):
-        parsed = harmonise_decimal(txt).try_cast(spark_type(rule.field_type))
+        kind = spark_type(rule.field_type)
+        parsed = F.when(may_be_whole(txt), txt.try_cast(kind)) if kind in ("int", "bigint") else harmonise_decimal(txt).try_cast(kind)
     else:
         parsed = txt.try_cast(spark_type(rule.field_type))
     value = F.when(~blank, parsed)
