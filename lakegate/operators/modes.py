@@ -7,7 +7,7 @@ versions of both tables; writing them is the caller's business
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -69,7 +69,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], cmp: str, tiebreak: Seque
 
 
 def upsert(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], cmp: str,
-           tiebreak: Sequence[str] = ("FILE_NAME_RECEIVED", "FILE_LINE_ID"), null_safe: bool = False) -> DataFrame:
+           tiebreak: Sequence[str] = ("FILE_NAME_RECEIVED", "FILE_LINE_ID"), null_safe: bool = False,
+           repeated: DataFrame | None = None) -> DataFrame:
     """MOD-3 / JOI-1 (D14/D15): per key keep the target row unless the batch row's
     ``cmp`` is strictly greater (a NULL target value loses to a non-NULL one; ties
     keep the target); keys absent from the target are inserted.  Several batch rows
@@ -79,9 +80,18 @@ def upsert(last: DataFrame | None, batch: DataFrame, keys: Sequence[str], cmp: s
     tiebreak, row))`` per key - a map-side-combined aggregation, no join, no skew.
     Rows with a NULL key never match anything (``null_safe=True`` lets NULL match NULL);
     ``tiebreak`` must identify a line (file name + line number by default).
+
+    ``repeated``: the keys (columns of their names) that ``batch`` holds more than once, if they are
+    known. Without a target the rows of all other keys are the result as they are, and only rows of
+    these are aggregated.
     """
     if not keys:
         raise ValueError("upsert needs merge keys (IsMergeKey columns)")
+    if repeated is not None and last is None and not null_safe:
+        several = repeated.select(*[F.col(f"`{c}`").alias(f"_k_{c}") for c in repeated.columns])
+        same_key = _and([F.col(f"`{c}`") == F.col(f"_k_{c}") for c in repeated.columns])
+        one_each = upsert(None, batch.join(several, same_key, "left_semi"), keys, cmp, tiebreak)
+        return batch.join(several, same_key, "left_anti").unionByName(one_each)
     tb = [F.col(f"`{t}`") for t in tiebreak]
     src = batch.select(*batch.columns, F.lit(0).alias("_is_target"))
     # A column that only one side has (the sheet gained or lost it) is NULL on the other.
@@ -125,12 +135,28 @@ def newest_file(batch: DataFrame, order: Sequence[str] = FILE_ORDER, files: Data
     return batch.join(newest, cond, "left_semi")
 
 
-def newest_file_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = FILE_ORDER) -> DataFrame:
-    """MOD-5 over several files: per key all rows of the newest file that holds it."""
-    newest = batch.groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys]).agg(F.max(F.struct(*order)).alias("_newest"))
+def newest_file_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = FILE_ORDER,
+                        repeated: DataFrame | None = None,
+                        store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """MOD-5 over several files: per key all rows of the newest file that holds it.
+
+    Rows of older files go; a key that one file alone holds loses none, so only keys of several files are
+    joined. ``repeated``: the keys (columns of their names) that ``batch`` holds more than once, if they are
+    known; no others are looked at. ``store`` writes the keys of several files and reads them again: their size
+    is then known before the join, which deals out no rows for a few keys.
+    """
+    file = F.struct(*order)
+    lines = batch
+    if repeated is not None:
+        some = repeated.select(*[F.col(f"`{k}`").alias(f"_r_{k}") for k in keys])
+        lines = batch.join(some, _and([F.col(f"`{k}`").eqNullSafe(F.col(f"_r_{k}")) for k in keys]), "left_semi")
+    held = lines.groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys]).agg(
+        F.max(file).alias("_newest"), F.min(file).alias("_oldest"))
+    several = held.filter(~F.col("_newest").eqNullSafe(F.col("_oldest"))).drop("_oldest")
+    several = several if store is None else store(several)
     same_key = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     same_file = [F.col(f"`{c}`").eqNullSafe(F.col(f"_newest.`{c}`")) for c in order]
-    return batch.join(newest, _and(same_key + same_file), "left_semi")
+    return batch.join(several, _and(same_key) & ~_and(same_file), "left_anti")
 
 
 def _and(conditions: Sequence[Column]) -> Column:
@@ -142,8 +168,8 @@ def _and(conditions: Sequence[Column]) -> Column:
 
 def apply_mode(mode: str | None, last: DataFrame | None, all_: DataFrame | None, batch: DataFrame,
                keys: Sequence[str] = (), cmp: str | None = None,
-               tiebreak: Sequence[str] = ("FILE_NAME_RECEIVED", "FILE_LINE_ID")) -> ModeResult:
-    """MOD-6: case-insensitive dispatch; unknown or empty -> DELTA_FROM_FLOW (v2)."""
+               tiebreak: Sequence[str] = ("FILE_NAME_RECEIVED", "FILE_LINE_ID"), repeated: DataFrame | None = None) -> ModeResult:
+    """MOD-6: case-insensitive dispatch; unknown or empty -> DELTA_FROM_FLOW (v2). ``repeated``: see ``upsert``."""
     m = (mode or "").strip().upper()
     if m == MODE_FULL_SNAPSHOT:
         return full_snapshot(last, all_, batch)
@@ -151,7 +177,7 @@ def apply_mode(mode: str | None, last: DataFrame | None, all_: DataFrame | None,
         return historized(last, all_, batch)
     if m == MODE_UPSERT:
         cmp_col = cmp or "FILE_PROCESS_DATE"
-        return ModeResult(MODE_UPSERT, upsert(last, batch, keys, cmp_col, tiebreak), _union(all_, batch), True, True)
+        return ModeResult(MODE_UPSERT, upsert(last, batch, keys, cmp_col, tiebreak, repeated=repeated), _union(all_, batch), True, True)
     if m == MODE_FULL_KEY_REPLACE:
         return ModeResult(MODE_FULL_KEY_REPLACE, key_replace(last, batch, keys), _union(all_, batch), True, True)
     return delta_from_flow(last, all_, batch)

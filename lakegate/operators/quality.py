@@ -35,15 +35,16 @@ def null_profile(df: DataFrame, columns: Sequence[str], file_col: str = "_file_n
 
 
 def quality_issues(accepted: DataFrame, lines: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                   table_name: str) -> DataFrame:
-    """QUA-15 and QUA-16 as one table: keys that accepted lines repeat, and files whose columns are all NULL."""
+                   table_name: str, repeated: DataFrame | None = None) -> DataFrame:
+    """QUA-15 and QUA-16 as one table: keys that accepted lines repeat, and files whose columns are all NULL.
+    ``repeated``: ``duplicate_keys`` of the accepted lines, if they are known."""
     text, number = "cast(null as string)", F.col("error_count").cast("long").alias("error_count")
     empty = null_profile(lines, columns).filter(F.col("error_type").isNotNull()).select(
         F.lit(table_name).alias("table_name"), F.col("_file_name").alias("filename"), F.col("all_null_columns").alias("column_name"),
         F.expr(text).alias("key_value"), F.col("error_type").alias("error_message"), F.col("rows").cast("long").alias("error_count"))
     if not keys:
         return empty
-    repeated = duplicate_keys(accepted, keys, table_name).select(
+    repeated = (duplicate_keys(accepted, keys, table_name) if repeated is None else repeated).select(
         "table_name", F.expr(text).alias("filename"), "column_name",
         F.concat_ws(",", *[F.col(f"`{k}`").cast("string") for k in keys]).alias("key_value"), "error_message", number)
     return repeated.unionByName(empty)

@@ -11,9 +11,9 @@ configured tables and holds configuration and per-file metadata):
 2. file gates on the manifest: config resolution (FIL-18), name date (FIL-2/3),
    fixed part (FIL-6), duplicate / order against tracking (FIL-7/9/10);
 3. per configured table: read the accepted files as text under the table's
-   header mode (SRC-4..9), number lines in file order (H3), validate in one
-   projection (QUA-1..8), write the validated lines to staging once (H4 - the
-   file gates and the routing read staging, not the CSV again);
+   header mode (SRC-4..9), validate in one projection (QUA-1..8), write the
+   validated lines to staging once (H4 - the file gates, the line numbers in file
+   order (H3) and the routing read staging, not the CSV again);
 4. per-file gates (QUA-9..12, FIL-15/16) -> `_last` / `_all` / invalid lines;
 5. ingestion mode on the current `_last` version (MOD-1..6), `_all` appended as
    this run's folder, invalid lines and tracking appended (SNK-*);
@@ -48,7 +48,7 @@ from lakegate.operators import projections as pj
 from lakegate.operators import tracking as tk
 from lakegate.operators.gates import (FILE_REASON, ROWS_TO_ALL, ROWS_TO_LAST, TO_ALL, TO_LAST, GateParams,
                                       apply_file_gate, bad_records, file_decisions, file_stats, stop_at_fail_fast)
-from lakegate.operators.quality import file_line_numbers, quality_issues
+from lakegate.operators.quality import duplicate_keys, file_line_numbers, quality_issues
 from lakegate.operators.rules import explode_errors, validate
 from lakegate.plans import buckets as bk
 from lakegate.plans import reports as rp
@@ -190,8 +190,7 @@ class Ingestion:
 
     # ------------------------------------------------------------- read
     def _stage(self, df: DataFrame, path: str) -> DataFrame:
-        """SNK-1: the raw text lines of this run, written once (one parse of the
-        landed files); everything after reads this Parquet copy."""
+        """SNK-1: a frame of this run, written once; everything after reads this Parquet copy."""
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
@@ -227,9 +226,8 @@ class Ingestion:
                 self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos, trule.delimiter)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
-                r = self._stage(kept(dl.read_delimited(self.spark, landing_root, names, delimiter=trule.delimiter,
-                                                       charset=trule.charset, multiline=multiline, glob=glob)),
-                                f"{stage}/direct")
+                r = kept(dl.read_delimited(self.spark, landing_root, names, delimiter=trule.delimiter,
+                                           charset=trule.charset, multiline=multiline, glob=glob))
                 frames.append(pj.drop_header_lines(r, names))  # PRJ-4: header lines repeated inside a file
         if zip_lines is not None:
             frames.append(self._archive_rows(trule, names, header_use, zip_lines, accepted))
@@ -292,7 +290,7 @@ class Ingestion:
         them); with ``table`` only over what belongs to that table."""
         spark, p = self.spark, self.params
         processed = _clock(run_at, self.registered_at(run_id))
-        manifest = lg.landing_manifest(spark, landing_root)
+        manifest = self._stage(lg.landing_manifest(spark, landing_root), self.path("_manifest", f"run={run_id}"))  # listed once
         zips, direct = lg.split_zip_and_direct(manifest)
         no_hint = F.lit(None).cast("string").alias("table_hint")
         files = direct.select("path", "filename", no_hint, F.lit(False).alias("from_archive"))
@@ -309,7 +307,8 @@ class Ingestion:
         gated = (self.file_gates(described, run_id).join(kinds, "path")
                  .withColumn("gate_reason", F.when(packed, F.lit("Parquet inside an archive is not read")).otherwise(F.col("gate_reason")))
                  .withColumn("gate_code", F.when(packed, F.lit("INVALID_ARCHIVE")).otherwise(F.col("gate_code"))))
-        gated = (gated if table is None else gated.filter(F.col("table_name") == table)).persist()
+        gated = gated if table is None else gated.filter(F.col("table_name") == table)
+        gated = self._stage(gated, self.path("_gates", f"run={run_id}"))
         accepted = gated.filter(F.col("gate_code").isNull()).select("table_name", "path", "filename", "file_date",
                                                                     "file_format", "from_archive")
         # What occurs: bounded by the configured tables and the formats, not by the files.
@@ -349,7 +348,6 @@ class Ingestion:
         new_tracking = tk.registrations(out.withColumn("row_count", F.col("rows_ingested")), processed)
         tb.write_run(new_tracking, self.path("tracking"), run_id)
         received = self._stage(received, self.path("received", f"run={run_id}"))
-        gated.unpersist()
 
         def union(xs: list[DataFrame]) -> DataFrame:
             return reduce(lambda a, b: a.unionByName(b), xs)
@@ -387,12 +385,9 @@ class Ingestion:
         started = time.perf_counter()
         rules = self.columns[trule.table_name]
         work = f"_per_file/{trule.table_name}"  # frames of a row per file or split, stored so that joins know their size
-        numbered = file_line_numbers(raw, store=lambda o: self._stage(o, self.path(work, f"run={run_id}", "offsets")))
-        v = validate(numbered, rules, ict=trule.ict, strict=p.strict_tolerance, raw_data_sep=trule.delimiter)
-        # H4: validated lines written once; gates and routing read them back.
+        # H4: lines are read, validated and written once; gates, line numbers and routing read them back.
         staging = self.path(f"{trule.table_name}_validated", f"run={run_id}")
-        v.write.mode("overwrite").parquet(staging)
-        v = spark.read.parquet(staging)
+        v = self._stage(validate(raw, rules, ict=trule.ict, strict=p.strict_tolerance, raw_data_sep=trule.delimiter), staging)
         gp = GateParams(rlt=trule.rlt, strict=p.strict_tolerance, fail_fast_enabled=p.fail_fast_enabled,
                         fail_fast_threshold=p.fail_fast_threshold, all_keeps_ict_rejects=p.all_keeps_ict_rejects)
         # A file is its path: equal names in two folders are two files.
@@ -408,7 +403,8 @@ class Ingestion:
             dec = stop_at_fail_fast(dec, [file_date(F.col("_file_name")), F.col("_file_name"), F.col("_file_path")])
         dec = self._stage(dec.withColumn("_extracted", file_date(F.col("_file_name"))),
                           self.path(work, f"run={run_id}", "decisions"))
-        routed = apply_file_gate(v, dec, gp, "_file_path", ["_extracted"])
+        numbered = file_line_numbers(v, store=lambda o: self._stage(o, self.path(work, f"run={run_id}", "offsets")))
+        routed = apply_file_gate(numbered, dec, gp, "_file_path", ["_extracted"])
         # A file that failed fast leaves its errors; the files behind it leave nothing.
         begun = routed.filter(F.coalesce(F.col(FILE_REASON) != FAIL_FAST_STOP, F.lit(True)))
         reported = begun.filter(F.coalesce(F.col(FILE_REASON) != CODE_FAIL_FAST, F.lit(True)))
@@ -431,20 +427,24 @@ class Ingestion:
             F.col("_extracted").alias("FILE_EXTRACTION_DATE"), F.col("_file_name").alias("FILE_NAME_RECEIVED"))
         any_taken = not taken.isEmpty()
         latest = self._is_latest(trule.table_name, run_id)
+        # QUA-15: keys that accepted lines repeat, found once; the modes look at no others within the batch.
+        repeated = None if not keys else self._stage(
+            duplicate_keys(batch_last, keys, trule.table_name), self.path(f"{trule.table_name}_repeated_keys", f"run={run_id}"))
         if mode == MODE_FULL_SNAPSHOT:
             batch_last = md.newest_file(batch_last, files=taken)
         elif mode == MODE_FULL_KEY_REPLACE:
-            batch_last = md.newest_file_per_key(batch_last, keys)
+            several = self.path(f"{trule.table_name}_keys_of_several_files", f"run={run_id}")
+            batch_last = md.newest_file_per_key(batch_last, keys, repeated=repeated, store=lambda s: self._stage(s, several))
         cur = None if appended or keyed or mode == MODE_FULL_SNAPSHOT else tb.read_before(spark, last_root, run_id)
         res = md.apply_mode(trule.ingestion_mode, cur, None, batch_last, keys, start)
-        if keyed:  # read for its buckets, by the merge and for the statistics: made once
+        if mode == MODE_FULL_KEY_REPLACE:  # joined, and read for its buckets, by the merge and for the statistics: made once
             batch_last = self._stage(batch_last, self.path(f"{trule.table_name}_batch", f"run={run_id}"))
 
         def merge_bucket(current: DataFrame | None, batch: DataFrame) -> DataFrame:
             if current is not None and mode == MODE_FULL_KEY_REPLACE and not latest:
                 newer = current.filter(F.col("FILE_PROCESS_DATE") > processed).select(*keys).distinct()
                 batch = batch.join(newer, keys, "left_anti")
-            return md.apply_mode(mode, current, None, batch, [*keys, bk.BUCKET], start).last
+            return md.apply_mode(mode, current, None, batch, [*keys, bk.BUCKET], start, repeated=repeated.select(*keys)).last
 
         def merge_last() -> None:
             bk.merge(last_root, self.path(f"{trule.last_table}_before"), run_id, batch_last, keys,
@@ -489,7 +489,7 @@ class Ingestion:
             writes.append(lambda: inv.write.mode("overwrite").parquet(inv_root))
             paths_out["invalid_lines"] = self.path(f"{trule.table_name}_invalid_lines")
         # QUA-15/16: keys that the accepted lines repeat, files whose columns are all empty
-        issues = quality_issues(reported.filter(F.col(TO_LAST)), reported, keys, business, trule.table_name)
+        issues = quality_issues(reported.filter(F.col(TO_LAST)), reported, keys, business, trule.table_name, repeated)
         issues_root = self.path(f"{trule.table_name}_quality_issues", f"run={run_id}")
         writes.append(lambda: issues.write.mode("overwrite").parquet(issues_root))
         paths_out["quality_issues"] = self.path(f"{trule.table_name}_quality_issues")
@@ -506,8 +506,7 @@ class Ingestion:
         if expected is not None:  # FIL-16: accepted files that produced no line at all are skipped.
             none = expected.join(dec.select("path"), "path", "left_anti")
             outcomes = o.unionByName(_outcomes(none, "SKIPPED", F.lit(None).cast("string"), F.lit("empty file"), lines=0))
-        outcomes = outcomes.persist()
-        outcomes.count()
+        outcomes = self._stage(outcomes, self.path(work, f"run={run_id}", "outcomes"))
         stats = md.mode_stats(res, batch_last).select(F.lit(trule.table_name).alias("table_name"), "*")
         report = rp.execution_report(dec, trule.table_name).withColumn(
             "duration_sec", F.lit(round(time.perf_counter() - started, 3)))
