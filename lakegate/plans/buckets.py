@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from lakegate.functions.types import wider_type
 
 BUCKET = "_bucket"
+ROWS_AT_ONCE = 25_000_000
+"""Rows whose buckets are merged in one job: the bound of the shuffle files that a merge keeps at a time."""
 
 
 def _folders(spark: SparkSession, root: str) -> list:
@@ -71,6 +73,23 @@ def _numbers(df: DataFrame) -> set[int]:
     return {r[0] for r in df.select(BUCKET).distinct().collect()}
 
 
+def _sizes(df: DataFrame) -> dict[int, int]:
+    """The buckets that occur and their rows: at most as many as the table has."""
+    return {r[0]: r[1] for r in df.groupBy(BUCKET).count().collect()}
+
+
+def _slices(sizes: dict[int, int]) -> list[list[int]]:
+    """The buckets in turns of at most ``ROWS_AT_ONCE`` rows, or of one larger bucket."""
+    out, rows = [], 0
+    for bucket, n in sorted(sizes.items()):
+        if not out or rows + n > ROWS_AT_ONCE:
+            out.append([])
+            rows = 0
+        out[-1].append(bucket)
+        rows += n
+    return out
+
+
 class BeforeImage:
     """What the buckets touched by one run held before it: ``try=<k>/rows`` and ``try=<k>/buckets``."""
 
@@ -115,7 +134,8 @@ def merge(root: str, before_root: str, run_id: str, batch: DataFrame, keys: Sequ
           kept_images: int = 3) -> set[int]:
     """Apply ``step(current rows, batch)`` to the buckets that hold the batch's keys; returns the buckets rewritten.
 
-    ``step`` must keep rows in their bucket (both frames have the column ``_bucket``).
+    ``step`` must keep rows in their bucket (both frames have the column ``_bucket``) and decide by bucket: it is
+    applied to some of the buckets at a time where they hold more than ``ROWS_AT_ONCE`` rows.
     ``latest``: no later run has written the table, so a repetition may start from
     the run's own before-image.  A column whose type changed gets the wider of both
     types, and the whole table is rewritten once.
@@ -129,7 +149,7 @@ def merge(root: str, before_root: str, run_id: str, batch: DataFrame, keys: Sequ
         changed = {c: wider_type(old[c], new[c]) for c in old.keys() & new.keys() if old[c] != new[c]}
         batch = _same_types(batch, changed)
     batch = batch.withColumn(BUCKET, bucket_of(keys, line, count))
-    of_batch = _numbers(batch)
+    of_batch = _sizes(batch)
     touched = set(range(count)) if any(t != dict(table.dtypes)[c] for c, t in changed.items()) else set(of_batch)
     image = BeforeImage(spark, before_root, run_id)
     attempt = image.last() if latest else None
@@ -149,10 +169,14 @@ def merge(root: str, before_root: str, run_id: str, batch: DataFrame, keys: Sequ
         current = _same_types(current, changed)
         if set(keys) & changed.keys():  # another type, another spelling, another bucket
             current = current.withColumn(BUCKET, bucket_of(keys, line, count))
-    (step(current, batch).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(f"{root}/of={count}"))
-    filled = of_batch | (set() if current is None else _numbers(current))
-    for empty in touched - filled:
+    of_current = {} if current is None else _sizes(current)
+    filled = {b: of_batch.get(b, 0) + of_current.get(b, 0) for b in of_batch.keys() | of_current.keys()}
+    slices = _slices(filled)
+    for some in slices or [[]]:
+        mine = [f if f is None or len(slices) < 2 else f.where(F.col(BUCKET).isin(*some)) for f in (current, batch)]
+        (step(*mine).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(f"{root}/of={count}"))
+    for empty in touched - filled.keys():
         _delete(spark, f"{root}/of={count}/{BUCKET}={empty}")
     images = sorted(_folders(spark, before_root), key=lambda s: s.getModificationTime())
     for old_image in images[:-max(1, kept_images)]:

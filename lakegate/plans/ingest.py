@@ -55,6 +55,7 @@ from lakegate.plans import reports as rp
 from lakegate.plans import tables as tb
 from lakegate.plans.specs import (ColumnRule, TableRule, load_column_rules, load_table_rules, merge_keys,
                                   normalise_table_sheet, resolve_table_config, start_validity_column)
+from lakegate.session import lean_on_disk
 from lakegate.sources import archives as ar
 from lakegate.sources import delimited as dl
 from lakegate.sources import landing as lg
@@ -217,13 +218,20 @@ class Ingestion:
             elif fmt == "parquet":
                 frames.append(kept(dl.read_parquet_as_text(self.spark, landing_root, names, glob=glob, accepted=mine)))
             elif header_use:
-                width = max(len(names), dl.header_width(self.spark, landing_root, trule.delimiter, mine, glob))
-                raw, pos = dl.read_positional(self.spark, landing_root, width, delimiter=trule.delimiter,
-                                              charset=trule.charset, multiline=multiline, glob=glob)
-                raw = self._stage(kept(raw), f"{stage}/direct")
-                frames.append(dl.remap_by_header(raw, names, pos, trule.delimiter,
-                                                 store=lambda h: self._stage(h, f"{stage}/headers")))
-                self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos, trule.delimiter)
+                # The headers (a row per file) are stored; lines are mapped as they are read, without a copy.
+                first = self._stage(dl.first_lines(self.spark, landing_root, mine, glob), f"{stage}/first_lines")
+                width = max(len(names), dl.first_width(first, trule.delimiter))
+
+                def positional(skip_header: bool) -> tuple[DataFrame, list[str]]:
+                    return dl.read_positional(self.spark, landing_root, width, delimiter=trule.delimiter, charset=trule.charset,
+                                              multiline=multiline, glob=glob, skip_header=skip_header)
+                raw, pos = positional(skip_header=True)
+                by_line = not multiline and (trule.charset or "UTF-8").upper().replace("-", "") == "UTF8"
+                hdr = dl.parsed_headers(first, pos, trule.delimiter) if by_line else \
+                    dl.header_lines(kept(positional(skip_header=False)[0]), pos, trule.delimiter)
+                hdr = self._stage(hdr, f"{stage}/headers")
+                frames.append(dl.remap_by_header(raw, names, pos, trule.delimiter, headers=hdr))
+                self._missing[trule.table_name] = dl.missing_by_header(raw, names, pos, trule.delimiter, headers=hdr)
             else:
                 # csv / csv_quote / csv_quote_ml (quoted fields over several lines)
                 r = kept(dl.read_delimited(self.spark, landing_root, names, delimiter=trule.delimiter,
@@ -288,6 +296,10 @@ class Ingestion:
             table: str | None = None) -> RunResult:
         """One run over a landing folder, or over the landed files of a list (as a stream's micro-batch gives
         them); with ``table`` only over what belongs to that table."""
+        with lean_on_disk(self.spark):
+            return self._run(landing_root, run_id, run_at, table)
+
+    def _run(self, landing_root: str | list[str], run_id: str, run_at: str | None, table: str | None) -> RunResult:
         spark, p = self.spark, self.params
         processed = _clock(run_at, self.registered_at(run_id))
         manifest = self._stage(lg.landing_manifest(spark, landing_root), self.path("_manifest", f"run={run_id}"))  # listed once

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.session import ensure_dir, local_path
+from lakegate.session import ensure_dir, lean_on_disk, local_path
 
 LANDING = "landing_name"
 
@@ -107,10 +107,11 @@ def write_named_csv(df: DataFrame, root: str, names: Sequence[str], delimiter: s
     Returns the number of files written."""
     spark = df.sparkSession
     parts = f"{root.rstrip('/')}-parts-{uuid.uuid4().hex[:12]}"
-    (df.select(F.col(file_col).alias(LANDING), F.col(order_col).alias("_o"), *[F.col(n).cast("string") for n in names])
-     .repartition(LANDING).sortWithinPartitions(LANDING, "_o").drop("_o")
-     .write.partitionBy(LANDING).option("header", "true").option("sep", delimiter).option("emptyValue", "")
-     .csv(parts))
+    with lean_on_disk(spark):  # the shuffle is as large as half the landing
+        (df.select(F.col(file_col).alias(LANDING), F.col(order_col).alias("_o"), *[F.col(n).cast("string") for n in names])
+         .repartition(LANDING).sortWithinPartitions(LANDING, "_o").drop("_o")
+         .write.partitionBy(LANDING).option("header", "true").option("sep", delimiter).option("emptyValue", "")
+         .csv(parts))
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,13 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+LEAN_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+"""Shuffle files go when their query has ended, not when the driver next happens to collect garbage; Parquet copies
+are packed closer than by Spark's default."""
+
 
 def get_spark(master: str | None = None, app: str = "lakegate", **conf: str) -> SparkSession:
     """Build (or reuse) a session with AQE on and a UTC session clock."""
@@ -33,6 +42,19 @@ def get_spark(master: str | None = None, app: str = "lakegate", **conf: str) ->
     return builder.getOrCreate()
 
 
+@contextmanager
+def lean_on_disk(spark: SparkSession) -> Iterator[None]:
+    """``LEAN_CONF`` for the queries that run inside; what the session sets itself stays."""
+    mine = {k: v for k, v in LEAN_CONF.items() if spark.conf.get(k, None) is None}
+    for key, value in mine.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in mine:
+            spark.conf.unset(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only in local mode."""
     sc = spark.sparkContext

@@ -89,30 +89,52 @@ def positional_names(width: int) -> list[str]:
 
 
 def read_positional(spark: SparkSession, paths: str | Sequence[str], width: int, *, delimiter: str = ",",
-                    charset: str | None = "UTF-8", multiline: bool = False,
-                    recursive: bool = False, glob: str | None = None) -> tuple[DataFrame, list[str]]:
+                    charset: str | None = "UTF-8", multiline: bool = False, recursive: bool = False,
+                    glob: str | None = None, skip_header: bool = False) -> tuple[DataFrame, list[str]]:
     """Header-less read: ``_c0.._c{width-1}`` text cells, the text of lines with another number of
-    fields, file path / name, split start and scan row id (input of ``remap_by_header``; can be staged first)."""
+    fields, file path / name, split start and scan row id (input of ``remap_by_header``; can be staged first).
+    ``skip_header``: without the first line of each file, for a ``remap_by_header`` that is given the header lines."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = _file_reader(spark.read.options(**_options(delimiter, charset, multiline)), recursive, glob)
     pos = positional_names(width)
-    raw = reader.option("header", "false").schema(text_schema(pos)).csv(paths)
+    raw = reader.option("header", str(skip_header).lower()).schema(text_schema(pos)).csv(paths)
     return _with_file(raw), pos
 
 
-def header_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str, accepted: DataFrame | None = None,
-                 glob: str | None = None) -> int:
-    """The most cells in any file's first line (of the ``accepted`` paths): one value, from an aggregation."""
+def header_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str, glob: str | None = None) -> int:
+    """The most cells in any file's first line: one value, from an aggregation."""
+    return first_width(first_lines(spark, paths, glob=glob), delimiter)
+
+
+def first_lines(spark: SparkSession, paths: str | Sequence[str], accepted: DataFrame | None = None,
+                glob: str | None = None) -> DataFrame:
+    """One row per file (of the ``accepted`` paths), from one scan of the text: its first line, and the first one
+    that isn't blank, which is the parser's first record of a file whose records are lines."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = _with_file(_file_reader(spark.read, bool(glob), glob).text(paths)).where("_block = 0")
     if accepted is not None:
         lines = lines.join(accepted.select(F.col("path").alias("_file_path")), "_file_path", "left_semi")
-    first = lines.groupBy("_file_path").agg(F.min_by("value", "_rid").alias("h"))
-    return first.agg(F.coalesce(F.max(field_count("h", delimiter)), F.lit(0)).alias("n")).first()["n"]
+    filled = F.col("value").rlike("[^\\x00-\\x20]")
+    return lines.groupBy("_file_path", "_file_name").agg(
+        F.min_by("value", "_rid").alias("first"), F.min_by("value", F.when(filled, F.col("_rid"))).alias("filled"))
+
+
+def first_width(first: DataFrame, delimiter: str) -> int:
+    """The most cells in any first line of ``first_lines``."""
+    return first.agg(F.coalesce(F.max(field_count("first", delimiter)), F.lit(0)).alias("n")).first()["n"]
+
+
+def parsed_headers(first: DataFrame, pos: Sequence[str], delimiter: str = ",") -> DataFrame:
+    """What ``header_lines`` gives, from the text of ``first_lines``."""
+    options = _options(delimiter, None, False)
+    parsed = first.filter(F.col("filled").isNotNull()).select(
+        "_file_path", "_file_name", F.from_csv("filled", ", ".join(f"`{c}` string" for c in [*pos, CORRUPT]), options).alias("_r"))
+    zero = F.lit(0).cast("long")
+    return header_lines(parsed.select("_file_path", "_file_name", zero.alias("_block"), zero.alias("_rid"), "_r.*"), pos, delimiter)
 
 
 def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",",
-                    store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                    store: Callable[[DataFrame], DataFrame] | None = None, headers: DataFrame | None = None) -> DataFrame:
     """H2: per-file header line -> configured names; the header line itself is dropped.
 
     ``raw`` carries positional text columns ``pos``, the corrupt-record column, ``_file_path``,
@@ -120,12 +142,15 @@ def remap_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], de
     corrupt-record column where a line hasn't as many fields as ``pos``; a line is bad if it hasn't
     as many as its own file's header, blank fields included. ``store`` writes the header lines and reads
     them again: their size is then known before the join, which deals out no lines for a few headers.
+    ``headers``: the files' ``header_lines``, if ``raw`` was read without them (``skip_header``).
     """
     places = [(F.array_position("_header", F.lit(n)) - 1).cast("int").alias(f"_at_{i}") for i, n in enumerate(names)]
-    hdr = header_lines(raw, pos, delimiter).select("_h_path", "_h_rid", "_h_fields", *places)  # looked up once a file
+    hdr = header_lines(raw, pos, delimiter) if headers is None else headers
+    hdr = hdr.select("_h_path", "_h_rid", "_h_fields", *places)  # looked up once a file
     hdr = hdr if store is None else store(hdr)
-    j = (raw.join(hdr, raw["_file_path"] == hdr["_h_path"], "inner").filter(F.col("_rid") != F.col("_h_rid"))
-         .withColumn("_cells", F.array(*[F.col(c) for c in pos])))
+    j = raw.join(hdr, raw["_file_path"] == hdr["_h_path"], "inner")
+    j = (j if headers is not None else j.filter(F.col("_rid") != F.col("_h_rid"))) \
+        .withColumn("_cells", F.array(*[F.col(c) for c in pos]))
     out = [F.get("_cells", F.col(f"_at_{i}")).alias(n) for i, n in enumerate(names)]
     fields = _fields(pos, delimiter)
     # Of a line that the parser took whole the text is put together again from its cells.
@@ -151,9 +176,10 @@ def header_lines(raw: DataFrame, pos: Sequence[str], delimiter: str = ",") -> Da
                         F.transform(F.col("_h.cells"), lambda x: F.lower(F.trim(x))).alias("_header"))
 
 
-def missing_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",") -> DataFrame:
-    """QUA-17 for HEADER_USE: per file, configured columns absent from its header."""
-    hdr = header_lines(raw, pos, delimiter)
+def missing_by_header(raw: DataFrame, names: Sequence[str], pos: Sequence[str], delimiter: str = ",",
+                      headers: DataFrame | None = None) -> DataFrame:
+    """QUA-17 for HEADER_USE: per file, configured columns absent from its header (``headers``: see ``remap_by_header``)."""
+    hdr = header_lines(raw, pos, delimiter) if headers is None else headers
     wanted = F.array(*[F.lit(n) for n in names])
     # array_contains is NULL (not false) when the value is absent and the header holds NULL cells
     missing = F.filter(wanted, lambda n: ~F.coalesce(F.array_contains(F.col("_header"), n), F.lit(False)))
